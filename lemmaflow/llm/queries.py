@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lemmaflow.llm.common import table
+from lemmaflow.llm.common import scratch_dir, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,8 +21,29 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.warc import convert_pages
+
+    return convert_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.urls import Rule, filter_urls
+
+    rules = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
+    return filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.tokenfile import read_token_files, write_token_files
+
+    path = scratch_dir(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
+    return read_token_files(spark, path, with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_packing": op3_packing}
+    return {"op3_packing": op3_packing, "op4_warc": op4_warc, "op5_url_filter": op5_url_filter, "op10_token_files": op10_token_files}
 
 
 def oracle_sql() -> dict[str, str]:
