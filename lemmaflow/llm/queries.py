@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lemmaflow.llm.common import scratch_dir, table
+from lemmaflow.llm.common import P, scratch_dir, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,6 +16,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.secrets import PATTERNS, find_secrets, named
+
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    numbers = [number(i).alias(f"n_{k}") for i, (k, *_) in enumerate(PATTERNS)]
+    return found.select("doc_id", *numbers, F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.linededup import dedup
+
+    out = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(f"{P}lines").alias("n_lines"), F.col(f"{P}dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.llm.packing import pack_documents
 
@@ -42,9 +62,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.rules import POLICIES, apply_policy, ledger
+
+    rows = apply_policy(ledger(table(spark, sf_dir, "documents")), POLICIES["2024-2"])
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_packing": op3_packing, "op4_warc": op4_warc, "op5_url_filter": op5_url_filter, "op10_token_files": op10_token_files}
+    return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from lemmaflow.llm.oracles import ORACLES
+
+    return ORACLES
