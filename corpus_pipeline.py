@@ -1,8 +1,52 @@
-"""Cleaning pipeline over ``documents``: each stage gets what the one before it kept."""
+"""Cleaning pipeline over ``documents``: each stage gets what the one before it kept, as Parquet.
 
-STAGES = []
+All stages but the last return the columns of documents. Rejected documents, dropped lines, further copies and contaminated
+documents are gone for the stages that follow; the last stage gives the packed pieces of what is left.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lemmaflow.llm import decontam, jaccard, linededup, packing, rules
+from lemmaflow.llm.common import staged, table
+from lemmaflow.llm.queries import tokenizer_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy keeps."""
+    return rules.keep_good(docs, rules.POLICIES["2024-2"])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a document of smaller id has; n_chars follows the text."""
+    out = linededup.dedup(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: that of least id."""
+    return jaccard.one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item contaminates."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences, with their ids."""
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("ngram_jaccard", ngram_jaccard), ("benchmark_decontamination", benchmark_decontamination), ("packing", pack)]
+#: SQL has no tokenizer; tests/llm/test_pipeline.py holds the stages against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -54,6 +54,13 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.quality import score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.llm.tokenfile import read_token_files, write_token_files
 
@@ -62,6 +69,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, with the items that they hold."""
+    from lemmaflow.llm.decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.jaccard import jaccard_classes
+
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.llm.rules import POLICIES, apply_policy, ledger
 
