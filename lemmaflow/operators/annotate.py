@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
@@ -11,7 +11,7 @@ from lemmaflow.functions import text as T
 ISSUES = "array<struct<severity:string,code:string,message:string>>"
 
 
-def _issue(severity: str, code: str, message) -> F.Column:
+def _issue(severity: str, code: str, message) -> Column:
     return F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
 

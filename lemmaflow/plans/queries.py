@@ -1,15 +1,245 @@
-"""Registered queries of the document structuring operators."""
+"""Registered queries of the document structuring operators, over the derived corpus of books and the job-like tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lemmaflow.functions import text as T
+from lemmaflow.operators import annotate, extract, jobs, normalize, quality, spans, split, structure
+from lemmaflow.plans.corpus import books
+from lemmaflow.plans.oracle import ORACLES
+from lemmaflow.sources import readers
+
+NOW = "timestamp'2024-06-01 00:00:00'"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _roles(b: DataFrame) -> DataFrame:
+    return split.classified(split.headings(split.lines(b)), b.select("doc_id", "source_name"))
+
+
+def _items(b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    sections = split.sections(b)
+    return sections, normalize.normalized(extract.local_items(sections), sections)
+
+
+def section_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many items of each kind each section has: the flagship."""
+    _, items = _items(books(spark, sf_dir))
+    return quality.env_counts(items)
+
+
+def lines_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split.lines(books(spark, sf_dir))
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(T.strip(F.col("line")) == "").alias("n_blank"), F.sum(F.length("line")).alias("n_chars"))
+
+
+def heading_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.headings(split.lines(books(spark, sf_dir)))
+
+
+def chapter_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roles(books(spark, sf_dir)).select("doc_id", "line_no", "role", "chapter", "chapter_number")
+
+
+def section_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", "section_number", "chapter_number", "start_line", "end_line", "synthetic")
+
+
+def section_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", "section", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def back_matter_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.back_matter(books(spark, sf_dir)).select("doc_id", F.length("back_matter").cast("long").alias("n_chars"), F.sha2("back_matter", 256).alias("text_sha256"))
+
+
+def split_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.split_warnings(split.sections(books(spark, sf_dir))).select("doc_id", "position", "warning")
+
+
+def no_heading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as they are: one section each."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".md")).alias("source_name"), "text")
+    return split.sections(docs).filter("lone").select("doc_id", "section_number", "section", "start_line", "end_line", F.length("text").cast("long").alias("n_chars"))
+
+
+def local_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = extract.local_items(split.sections(books(spark, sf_dir)))
+    return rows.select("doc_id", "section_index", "position", "env", F.array_join("number_components", ".").alias("number"), F.sha2("content", 256).alias("content_sha256"), F.sha2(F.coalesce("proof", F.lit("-")), 256).alias("proof_sha256"))
+
+
+def normalized_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _items(books(spark, sf_dir))[1].select("doc_id", "section_index", "item_index", "global_index", "label", "env")
+
+
+def duplicate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.duplicate_labels(_items(books(spark, sf_dir))[1])
+
+
+def quality_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections, items = _items(books(spark, sf_dir))
+    return quality.section_reports(sections, items).select("doc_id", "section_index", "source_chars", "n_item_markers", "n_proof_markers", "n_items", "n_proofs", F.array_join("warnings", "|").alias("warnings"))
+
+
+def quality_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections, items = _items(books(spark, sf_dir))
+    return quality.document_reports(sections, items, split.split_warnings(sections)).select("doc_id", "sections_total", "items_total", F.size("duplicate_labels").cast("long").alias("n_duplicate_labels"), F.size("global_warnings").cast("long").alias("n_global_warnings"))
+
+
+def annotation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.issues(annotate.annotated(_items(books(spark, sf_dir))[1])).select("doc_id", "global_index", "item_id", "severity", "code", "message")
+
+
+def annotation_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.chapters(annotate.annotated(_items(books(spark, sf_dir))[1]))
+
+
+def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections, items = _items(books(spark, sf_dir))
+    reports = quality.section_reports(sections, items)
+    documents = quality.document_reports(sections, items, split.split_warnings(sections))
+    return annotate.quality_summary(annotate.annotated(items), documents, reports)
+
+
+def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = structure.candidates(split.lines(books(spark, sf_dir)))
+    return rows.filter("kind not in ('bare_section_candidate')").select("doc_id", "line_no", "kind", F.sha2("text", 256).alias("text_sha256"), F.sha2("prev", 256).alias("prev_sha256"), F.sha2("next", 256).alias("next_sha256"))
+
+
+def planner_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = books(spark, sf_dir)
+    sections = split.sections(b)
+    return structure.planner_needed(split.lines(b), sections, split.split_warnings(sections))
+
+
+def plan_clip_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned sections stand-ins: an order's lines, with starts and ends from part and supplier keys."""
+    plan = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("position"), (F.col("l_partkey") % 60).cast("int").alias("start_line"), (F.col("l_partkey") % 60 + F.col("l_suppkey") % 25).cast("int").alias("end_line"), F.lit(50).alias("n_lines"))
+    return structure.clipped(plan)
+
+
+def span_nth_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the second occurrence of each document's first two characters is."""
+    text = F.coalesce("text", F.lit(""))
+    return _table(spark, sf_dir, "documents").select("doc_id", T.nth_position(text, F.substring(text, 1, 2), F.lit(2)).cast("long").alias("position"))
+
+
+def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("start_line"))
+    rows = docs.select("*", F.substring("text", 5, 3).alias("start_anchor"), F.when(F.col("doc_id") % 3 > 0, F.substring("text", 20, 2)).alias("end_anchor"), F.lit(1).alias("start_occurrence"), F.lit(2).alias("end_occurrence"), (F.col("doc_id") % 2 == 0).alias("include_start"), (F.col("doc_id") % 5 == 0).alias("include_end"))
+    return spans.resolved(rows).select("doc_id", "found", F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"), F.col("line_start").cast("long").alias("line_start"), F.sha2("span_text", 256).alias("span_sha256"))
+
+
+def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each book has the first line of the document that opens the next one."""
+    docs = _table(spark, sf_dir, "documents").filter("doc_id % 16 = 0").select(F.expr("cast(doc_id div 16 as string)").alias("doc_id"), F.substring_index("text", "\n", 1).alias("value"))
+    b = books(spark, sf_dir)
+    return b.join(docs, "doc_id").select("doc_id", spans.source_backed(F.col("text"), F.col("value")).alias("backed"))
+
+
+def prompt_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.functions.profiles import profile
+
+    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", profile().alias("profile"))
+
+
+def _traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _table(spark, sf_dir, "conversations")
+    phase = F.element_at(F.lit(jobs.PHASES[:4]), (F.pmod(F.col("conv_id"), F.lit(4)) + 1).cast("int"))
+    n = F.length(F.coalesce("text", F.lit(""))).cast("long")
+    return c.select(phase.alias("phase"), F.when(F.col("turn") % 2 == 0, n).alias("input_tokens"), F.lit(7).cast("long").alias("prompt_tokens"), (n % 100).alias("output_tokens"), F.lit(3).cast("long").alias("completion_tokens"), n.alias("total_tokens"), (F.col("turn") * 0.25).cast("double").alias("elapsed_seconds"), (F.col("role") != "system").alias("has_usage"))
+
+
+def usage_by_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.usage_by_phase(_traces(spark, sf_dir))
+
+
+def usage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.usage_total(jobs.usage_by_phase(_traces(spark, sf_dir)))
+
+
+def jobs_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return jobs.latest(events, "user_id", F.col("ts"), F.col("event_id"))
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as jobs."""
+    status = F.when(F.col("o_orderstatus") == "F", "succeeded").when(F.col("o_orderkey") % 3 == 0, "failed").when(F.col("o_orderkey") % 3 == 1, "queued").otherwise("running")
+    return _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), status.alias("status"), F.col("o_orderdate").alias("updated_at"))
+
+
+def jobs_unfinished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.unfinished(_jobs(spark, sf_dir))
+
+
+def jobs_recent_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty newest succeeded jobs; the limit is the report's."""
+    return jobs.top_jobs(_jobs(spark, sf_dir), 50, "succeeded")
+
+
+def jobs_union_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs of both kinds under public ids, the hundred newest."""
+    md = _jobs(spark, sf_dir).select(F.concat(F.lit("md_"), F.col("id").cast("string")).alias("id"), "status", "updated_at")
+    users = jobs.latest(_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), "user_id", F.col("ts"), F.col("event_id"))
+    full = users.select(F.concat(F.lit("full_"), F.col("user_id").cast("string")).alias("id"), F.col("event_type").alias("status"), F.col("ts").alias("updated_at"))
+    return jobs.top_jobs(md.unionByName(full), 100)
+
+
+def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    saved = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    return jobs.expired(_jobs(spark, sf_dir), saved, F.expr(NOW))
+
+
+def saved_annotation_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.lit(-1).alias("quality"))
+    saved = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return jobs.preferred(docs, saved, "doc_id", "quality").select("doc_id", F.col("quality").cast("int").alias("quality"), "origin")
+
+
+def ingest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    files = orders.select(F.col("o_orderkey").alias("path"), F.col("o_custkey").alias("digest"), F.col("o_orderdate").alias("modified_at"))
+    state = orders.filter("o_orderkey % 4 > 0").select(F.col("o_orderkey").alias("path"), F.when(F.col("o_orderkey") % 8 == 1, -1).otherwise(F.col("o_custkey")).alias("digest"), F.when(F.col("o_orderkey") % 4 == 1, "done").otherwise("failed").alias("status"), (F.col("o_orderkey") % 5).alias("failure_count"), F.col("o_orderdate").alias("updated_at"))
+    return jobs.pending(files, state, F.expr("timestamp'1997-01-01 00:00:00'")).select("path", "digest")
+
+
+def pages_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books from OCR-like pages: each document is a page."""
+    rows = _chunks(spark, sf_dir)
+    return readers.merged_chunks(rows).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def chunk_page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = readers.merged_chunks(_chunks(spark, sf_dir))
+    return merged.select("doc_id", F.explode("pages").alias("p")).select("doc_id", F.col("p.page_idx").cast("long").alias("page_idx"), F.length("p.md").cast("long").alias("n_chars"))
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = docs.select(F.expr("doc_id div 16").alias("doc_id"), F.expr("(doc_id % 16) div 4").alias("chunk_index"), F.struct((F.col("doc_id") % 4).cast("int").alias("page_idx"), F.col("text").alias("md")).alias("p"))
+    return rows.groupBy("doc_id", "chunk_index").agg(F.array_sort(F.collect_list("p")).alias("pages")).withColumn("start_page", (F.col("chunk_index") * 4).cast("int"))
+
+
+def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.streaming.ingest import replayed
+
+    return replayed(spark, sf_dir)
+
+
+_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_backed, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
