@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
+from lemmaflow.scratch import staged
 
 KEY = ["doc_id", "section_index"]
 
@@ -90,7 +91,7 @@ def standalone_proofs(sections: DataFrame, blocks_: DataFrame) -> DataFrame:
 
 def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
     """Items of all sections: doc_id, section_index, position, env, number_components, content, dependencies, proof and a label by position."""
-    parts = blocks(sections)
+    parts = staged(blocks(sections), "blocks")
     proofs = inline_proofs(parts).join(delayed_proofs(parts, once), [*KEY, "block"], "left")
     both = F.when(F.col("proof").isNotNull() & F.col("delayed").isNotNull(), T.strip(F.concat("proof", F.lit("\n\n"), "delayed"))).otherwise(F.coalesce("proof", "delayed"))
     env = T.item_kind(F.col("word"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
+from lemmaflow.scratch import staged
 
 KEY = ["doc_id", "section_index"]
 
@@ -29,7 +30,7 @@ def normalized(raw: DataFrame, sections: DataFrame) -> DataFrame:
     name = T.lookup(F.col("env"), R.DISPLAY)
     own = own.withColumns({"item_index": F.row_number().over(order), "extra": F.sum(bare).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
     label = F.when(F.size("number_components") > 0, F.concat(name, F.lit(" "), F.array_join("number_components", "."))).otherwise(F.concat(name, F.lit(" "), prefix, F.lit("-extra-"), F.col("extra").cast("string")))
-    kept = own.withColumn("label", label).filter("content <> ''")
+    kept = staged(own.withColumn("label", label).filter("content <> ''"), "labelled")
     renamed = kept.filter("raw_label <> '' and raw_label <> label").groupBy(*KEY, "raw_label").agg(F.max_by("label", "item_index").alias("label"))
     names = renamed.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("raw_label", "label"))).alias("names"))
     out = kept.join(names, KEY, "left")

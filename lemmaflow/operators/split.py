@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
+from lemmaflow.scratch import staged
 
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -94,8 +95,9 @@ def sections(documents: DataFrame) -> DataFrame:
     end_line (without trailing blank lines), synthetic, text. A document without section headings is one section, up to its back matter.
     """
     all_lines = lines(documents)
-    roles = classified(headings(all_lines), documents.select("doc_id", "source_name"))
-    starts = section_starts(all_lines, roles)
+    # headings are few; all that follows reads them again and again
+    roles = staged(classified(headings(all_lines), documents.select("doc_id", "source_name")), "roles")
+    starts = staged(section_starts(all_lines, roles), "starts")
     size = documents.select("doc_id", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
     last = roles.groupBy("doc_id").agg(F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("c"), F.min(F.when(F.col("role") == "back", F.col("line_no"))).alias("first_back"))
     lone = documents.select("doc_id", stem(F.col("source_name")).alias("stem")).join(starts.select("doc_id").distinct(), "doc_id", "left_anti").join(last, "doc_id", "left")
@@ -121,8 +123,8 @@ def sections(documents: DataFrame) -> DataFrame:
 def back_matter(documents: DataFrame) -> DataFrame:
     """(doc_id, back_matter): every excluded heading's block up to the next section, joined by blank lines; a second heading in a block repeats its text."""
     all_lines = lines(documents)
-    roles = classified(headings(all_lines), documents.select("doc_id", "source_name"))
-    starts = section_starts(all_lines, roles).select("doc_id", "line_no", F.lit(True).alias("start"))
+    roles = staged(classified(headings(all_lines), documents.select("doc_id", "source_name")), "roles")
+    starts = staged(section_starts(all_lines, roles).select("doc_id", "line_no", F.lit(True).alias("start")), "starts")
     backs = roles.filter("role = 'back'").select("doc_id", "line_no", F.lit(False).alias("start"))
     later = Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(1, Window.unboundedFollowing)
     blocks = starts.unionByName(backs).withColumn("next_line", F.min(F.when(F.col("start"), F.col("line_no"))).over(later)).filter("not start")

@@ -53,7 +53,7 @@ def clipped(plan: DataFrame) -> DataFrame:
     """
     start = F.greatest(F.lit(1), F.least("n_lines", F.coalesce("start_line", F.lit(1))))
     end = F.greatest(start, F.least("n_lines", F.coalesce("end_line", F.lit(1))))
-    order = Window.partitionBy("doc_id").orderBy(F.coalesce("start_line", F.lit(0)), "position")
+    order = Window.partitionBy("doc_id").orderBy(F.coalesce("start_line", F.lit(0)), "position", "end_line")
     rows = plan.withColumns({"i": F.row_number().over(order), "s": start, "e": end})
     ends = rows.withColumn("new_end", F.least(F.col("n_lines"), F.col("i") + F.max(F.col("e") - F.col("i")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     before = F.coalesce(F.lag("new_end").over(order), F.lit(0))

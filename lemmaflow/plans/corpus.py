@@ -1,6 +1,6 @@
 """A corpus of Markdown books derived from the table ``documents``: sixteen documents in a row make a book.
 
-Its lines are those of the documents; by their place some become headings, items, proofs or back matter.
+Its lines are those of the documents; by their place some become headings, items (every fifth definition repeats a number), proofs or back matter.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (
         F.when(F.col("n") % 60 == 1, F.concat(F.lit("# Chapter "), F.expr("n div 60 + 1").cast("string"), F.lit(" "), x))
         .when(r == 0, F.concat(F.lit("## "), k, F.lit(" "), F.substring(x, 1, 40)))
-        .when(r == 3, F.concat(F.lit("Definition "), k, F.lit(".1. "), x))
+        .when(r == 3, F.concat(F.lit("Definition "), F.when(k.cast("int") % 5 == 0, (k.cast("int") - 1).cast("string")).otherwise(k), F.lit(".1. "), x))
         .when(r == 6, F.concat(F.lit("Theorem "), k, F.lit(".2. "), x))
         .when(r == 7, F.concat(F.lit("Proof. "), x))
         .when(r == 9, F.concat(F.lit("Remark. "), x))

@@ -35,7 +35,7 @@ all_lines as (
   select book as doc_id, n as line_no, case
     when n % 60 = 1 then '# Chapter ' || (n // 60 + 1) || ' ' || x
     when (n - 1) % 12 = 0 then '## ' || k || ' ' || substr(x, 1, 40)
-    when (n - 1) % 12 = 3 then 'Definition ' || k || '.1. ' || x
+    when (n - 1) % 12 = 3 then 'Definition ' || case when k % 5 = 0 then k - 1 else k end || '.1. ' || x
     when (n - 1) % 12 = 6 then 'Theorem ' || k || '.2. ' || x
     when (n - 1) % 12 = 7 then 'Proof. ' || x
     when (n - 1) % 12 = 9 then 'Remark. ' || x
@@ -84,7 +84,7 @@ _SECTIONS = f"""{_ROLES}, own_starts as (
 ), starts as (
   select doc_id, line_no, level, chapter, chapter_number, source_heading, synthetic, section_number, start_title from own_starts
   union all
-  select doc_id, 1, null, chapter, chapter_number, number || '. Inferred pre-section material', true, number, number || '. Inferred pre-section material'
+  select doc_id, cast(1 as bigint), null, chapter, chapter_number, number || '. Inferred pre-section material', true, number, number || '. Inferred pre-section material'
   from (select f.*, coalesce(inferred, case when regexp_matches(section_number, '^\\d+$') and try_cast(section_number as int) > 1 then cast(try_cast(section_number as int) - 1 as varchar) end, 'pre') as number from front join first_starts f using (doc_id) where marker)
 ), lone as (
   select doc_id, 1 as line_no, null as level, chapter, chapter_number, chapter as source_heading, cast(null as boolean) as synthetic, case when chapter_number <> '' then chapter_number else '1' end as section_number, chapter as start_title
@@ -161,11 +161,11 @@ _ITEMS = f"""{_SECTIONS}, section_lines as (
 ), delayed as (
   select doc_id, section_index, block, string_agg(text, chr(10) || chr(10) order by from_block, line_no) as delayed from delayed_rows where text <> '' group by all
 ), raw_items as (
-  select doc_id, section_index, cast(block as int) as position, {_KIND_CASE} as env, number, {_strip("regexp_replace(" + _strip("content") + ", '(?m)^#{1,6}\\s+', '', 'g')")} as content,
+  select doc_id, section_index, cast(block as bigint) as position, {_KIND_CASE} as env, number, {_strip("regexp_replace(" + _strip("content") + ", '(?m)^#{1,6}\\s+', '', 'g')")} as content,
     case when has_proof and not foreign_ and {_unmarked("proof")} <> '' then case when delayed is not null then {_strip(_unmarked("proof") + " || chr(10) || chr(10) || delayed")} else {_unmarked("proof")} end else delayed end as proof
   from parts left join delayed using (doc_id, section_index, block)
   union all
-  select doc_id, section_index, 1, 'remark', '', {_strip("text")}, null from sections s
+  select doc_id, section_index, cast(1 as bigint), 'remark', '', {_strip("text")}, null from sections s
   where not exists (select 1 from heads h where h.doc_id = s.doc_id and h.section_index = s.section_index)
     and (contains(lower(source_heading || ' ' || section), 'proof of') or len(list_filter(string_split(text, chr(10))[1:5], lambda x: {_is(_strip("x"), R.PROOF)})) > 0)
 ), local_items as (select * from raw_items where content <> '')"""
@@ -254,7 +254,7 @@ select doc_id, length(t) as n_chars, sha256(t) as text_sha256 from joined""",
     "no_heading_documents": f"""with l as ({_SPLIT_DOCS}), h as (
   select doc_id, pos, {_clean(_part("x", R.HEADING, 2))} as title, length({_part("x", R.HEADING, 1)}) as level from l where {_is("x", R.HEADING)}
 ), k as (select *, {_KIND} as kind from h)
-select doc_id, '1' as section_number, {_STEM} as section, 1 as start_line, len(string_split(t, chr(10))) - case when ends_with(t, chr(10)) or t = '' then 1 else 0 end as end_line, length({_strip("t")}) as n_chars
+select doc_id, '1' as section_number, {_STEM} as section, cast(1 as bigint) as start_line, len(string_split(t, chr(10))) - case when ends_with(t, chr(10)) or t = '' then 1 else 0 end as end_line, length({_strip("t")}) as n_chars
 from (select doc_id, coalesce(text, '') as t from documents) where doc_id not in (select doc_id from k where kind is not null or {_is("title", R.BACK_MATTER)} or {_is("title", R.CHAPTER)} or level = 1)""",
     "local_items": f"with {_ITEMS} select doc_id, section_index, position, env, number, sha256(content) as content_sha256, sha256(coalesce(proof, '-')) as proof_sha256 from local_items",
     "normalized_labels": f"with {_NORMAL} select doc_id, section_index, item_index, global_index, label, env from items",
@@ -274,18 +274,18 @@ from (select doc_id, coalesce(text, '') as t from documents) where doc_id not in
 ), k as (select *, case when heading then 'markdown_h' || level || case when {_is("title", R.CHAPTER)} then '_chapter' when {_is("title", R.BACK_MATTER)} then '_back_matter' when {_is("raw", R.ITEM_HEADING)} then '_item_or_activity' when section_kind is not null then '_section_candidate' else '_heading' end
     when {_is(_clean("s"), R.CHAPTER)} then 'bare_chapter_candidate' when {_is(_clean("s"), R.BACK_MATTER)} then 'bare_back_matter_candidate' when {_is("s", R.ITEM_HEADING)} then 'item_or_activity_candidate' end as kind from f where s <> '')
 select doc_id, line_no, kind, sha256(substr(s, 1, 500)) as text_sha256, sha256(coalesce(prev, '')) as prev_sha256, sha256(coalesce(next, '')) as next_sha256 from k where kind is not null""",
-    "plan_clip_overlaps": """with plan as (select l_orderkey as doc_id, l_linenumber as position, cast(l_partkey % 60 as int) as s0, greatest(1, least(50, l_partkey % 60)) as s, l_partkey % 60 + l_suppkey % 25 as e0 from lineitem),
-p as (select *, greatest(s, least(50, e0)) as e, row_number() over (partition by doc_id order by s0, position) as i from plan),
+    "plan_clip_overlaps": """with plan as (select l_orderkey as doc_id, cast(l_linenumber as bigint) as position, cast(l_partkey % 60 as int) as s0, greatest(1, least(50, l_partkey % 60)) as s, l_partkey % 60 + l_suppkey % 25 as e0 from lineitem),
+p as (select *, greatest(s, least(50, e0)) as e, row_number() over (partition by doc_id order by s0, position, e0) as i from plan),
 q as (select *, least(50, i + max(e - i) over (partition by doc_id order by i rows unbounded preceding)) as end_line from p),
 r as (select *, coalesce(lag(end_line) over (partition by doc_id order by i), 0) as before from q)
 select doc_id, position, i as section_index, case when s > before then s else least(before + 1, 50) end as start_line, end_line from r""",
     "span_nth_occurrence": """with t as (select doc_id, coalesce(text, '') as t, substr(coalesce(text, ''), 1, 2) as a from documents)
-select doc_id, case when a <> '' and len(string_split(t, a)) > 2 then length(string_split(t, a)[1]) + length(string_split(t, a)[2]) + length(a) end as position from t""",
+select doc_id, case when a <> '' and len(string_split(t, a)) > 2 then length(string_split(t, a)[1]) + length(string_split(t, a)[2]) + length(a) else -1 end as position from t""",
     "span_resolve": """with t as (select doc_id, coalesce(text, '') as t, substr(coalesce(text, ''), 5, 3) as a, case when doc_id % 3 > 0 then substr(coalesce(text, ''), 20, 2) end as b, doc_id % 2 = 0 as inc_a, doc_id % 5 = 0 as inc_b from documents),
 p as (select *, case when a <> '' and contains(t, a) then instr(t, a) - 1 end as a_at, case when b is null then length(t) when b <> '' and len(string_split(t, b)) > 2 then length(string_split(t, b)[1]) + length(string_split(t, b)[2]) + length(b) end as b_at from t),
 q as (select *, case when inc_a then a_at else a_at + length(a) end as s, case when b is null then length(t) when inc_b then b_at + length(b) else b_at end as e from p),
 r as (select *, coalesce(a <> '' and a_at is not null and b_at is not null and e >= s, false) as found from q)
-select doc_id, found, case when found then s end as char_start, case when found then e end as char_end, case when found then 1 + length(substr(t, 1, s)) - length(replace(substr(t, 1, s), chr(10), '')) end as line_start, case when found then sha256(substr(t, s + 1, e - s)) end as span_sha256 from r""",
+select doc_id, found, case when found then s else -1 end as char_start, case when found then e else -1 end as char_end, case when found then 1 + length(substr(t, 1, s)) - length(replace(substr(t, 1, s), chr(10), '')) else -1 end as line_start, case when found then sha256(substr(t, s + 1, e - s)) else sha256('') end as span_sha256 from r""",
     "source_backed": f"""with {_LINES}, b as (select doc_id, {_clean("string_agg(line, chr(10) order by line_no)")} as t from lines group by doc_id), v as (select cast(doc_id // 16 as varchar) as doc_id, {_clean("string_split(coalesce(text, ''), chr(10))[1]")} as x from documents where doc_id % 16 = 0)
 select doc_id, x = '' or contains(t, x) as backed from b join v using (doc_id)""",
     "usage_by_phase": f"with {_USAGE} select * from usage",
@@ -295,7 +295,7 @@ select doc_id, x = '' or contains(t, x) as backed from b join v using (doc_id)""
     "jobs_recent_topk": f"with {_JOBS} select * from jobs where status = 'succeeded' order by updated_at desc, id desc limit 50",
     "jobs_union_list": f"with {_JOBS}, {_LATEST} select * from (select 'md_' || id as id, status, updated_at from jobs union all select 'full_' || user_id, event_type, ts from latest) order by updated_at desc, id desc limit 100",
     "retention_expired": f"with {_JOBS} select j.* from jobs j where status in ('failed', 'succeeded') and updated_at <= timestamp '2024-06-01 00:00:00' - to_days(case when status = 'failed' then 7 when id in (select doc_id from labels) then 90 else 30 end)",
-    "saved_annotation_preferred": "select d.doc_id, coalesce(l.quality, -1) as quality, case when l.quality is not null then 'saved' else 'generated' end as origin from documents d left join labels l using (doc_id)",
+    "saved_annotation_preferred": "select d.doc_id, cast(coalesce(l.quality, -1) as bigint) as quality, case when l.quality is not null then 'saved' else 'generated' end as origin from documents d left join labels l using (doc_id)",
     "ingest_pending": """select o_orderkey as path, o_custkey as digest from orders where o_orderdate <= timestamp '1997-01-01 00:00:00' - interval 30 second
   and not (o_orderkey % 4 > 0 and o_orderkey % 8 <> 1 and (o_orderkey % 4 = 1 or o_orderkey % 5 >= 3 or o_orderdate > timestamp '1997-01-01 00:00:00' - interval 3600 second))""",
     "pages_to_markdown": f"with {_PAGES}, t as (select doc_id, coalesce(string_agg(body, chr(10) || chr(10) order by page_idx) filter (where body <> ''), '') as t from pages_ group by doc_id) select doc_id, length(t) as n_chars, sha256(t) as text_sha256 from t",

@@ -11,6 +11,7 @@ from lemmaflow.functions import text as T
 from lemmaflow.operators import annotate, extract, jobs, normalize, quality, spans, split, structure
 from lemmaflow.plans.corpus import books
 from lemmaflow.plans.oracle import ORACLES
+from lemmaflow.scratch import staged
 from lemmaflow.sources import readers
 
 NOW = "timestamp'2024-06-01 00:00:00'"
@@ -25,8 +26,8 @@ def _roles(b: DataFrame) -> DataFrame:
 
 
 def _items(b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    sections = split.sections(b)
-    return sections, normalize.normalized(extract.local_items(sections), sections)
+    sections = staged(split.sections(staged(b, "books")), "sections")
+    return sections, staged(normalize.normalized(extract.local_items(sections), sections), "items")
 
 
 def section_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,19 +50,19 @@ def chapter_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", "section_number", "chapter_number", "start_line", "end_line", "synthetic")
+    return split.sections(staged(books(spark, sf_dir), "books")).select("doc_id", "section_index", "section_number", "chapter_number", "start_line", "end_line", "synthetic")
 
 
 def section_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", "section", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+    return split.sections(staged(books(spark, sf_dir), "books")).select("doc_id", "section_index", "section", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def back_matter_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.back_matter(books(spark, sf_dir)).select("doc_id", F.length("back_matter").cast("long").alias("n_chars"), F.sha2("back_matter", 256).alias("text_sha256"))
+    return split.back_matter(staged(books(spark, sf_dir), "books")).select("doc_id", F.length("back_matter").cast("long").alias("n_chars"), F.sha2("back_matter", 256).alias("text_sha256"))
 
 
 def split_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.split_warnings(split.sections(books(spark, sf_dir))).select("doc_id", "position", "warning")
+    return split.split_warnings(staged(split.sections(staged(books(spark, sf_dir), "books")), "sections")).select("doc_id", "position", "warning")
 
 
 def no_heading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,7 @@ def no_heading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def local_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extract.local_items(split.sections(books(spark, sf_dir)))
+    rows = extract.local_items(staged(split.sections(staged(books(spark, sf_dir), "books")), "sections"))
     return rows.select("doc_id", "section_index", "position", "env", F.array_join("number_components", ".").alias("number"), F.sha2("content", 256).alias("content_sha256"), F.sha2(F.coalesce("proof", F.lit("-")), 256).alias("proof_sha256"))
 
 
@@ -103,7 +104,7 @@ def annotation_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections, items = _items(books(spark, sf_dir))
-    reports = quality.section_reports(sections, items)
+    reports = staged(quality.section_reports(sections, items), "reports")
     documents = quality.document_reports(sections, items, split.split_warnings(sections))
     return annotate.quality_summary(annotate.annotated(items), documents, reports)
 
@@ -114,8 +115,8 @@ def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planner_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = books(spark, sf_dir)
-    sections = split.sections(b)
+    b = staged(books(spark, sf_dir), "books")
+    sections = staged(split.sections(b), "sections")
     return structure.planner_needed(split.lines(b), sections, split.split_warnings(sections))
 
 
@@ -128,13 +129,13 @@ def plan_clip_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def span_nth_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the second occurrence of each document's first two characters is."""
     text = F.coalesce("text", F.lit(""))
-    return _table(spark, sf_dir, "documents").select("doc_id", T.nth_position(text, F.substring(text, 1, 2), F.lit(2)).cast("long").alias("position"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.coalesce(T.nth_position(text, F.substring(text, 1, 2), F.lit(2)), F.lit(-1)).cast("long").alias("position"))
 
 
 def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("start_line"))
     rows = docs.select("*", F.substring("text", 5, 3).alias("start_anchor"), F.when(F.col("doc_id") % 3 > 0, F.substring("text", 20, 2)).alias("end_anchor"), F.lit(1).alias("start_occurrence"), F.lit(2).alias("end_occurrence"), (F.col("doc_id") % 2 == 0).alias("include_start"), (F.col("doc_id") % 5 == 0).alias("include_end"))
-    return spans.resolved(rows).select("doc_id", "found", F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"), F.col("line_start").cast("long").alias("line_start"), F.sha2("span_text", 256).alias("span_sha256"))
+    return spans.resolved(rows).select("doc_id", "found", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("char_start", "char_end", "line_start")), F.sha2(F.coalesce("span_text", F.lit("")), 256).alias("span_sha256"))
 
 
 def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +148,7 @@ def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prompt_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.functions.profiles import profile
 
-    return split.sections(books(spark, sf_dir)).select("doc_id", "section_index", profile().alias("profile"))
+    return split.sections(staged(books(spark, sf_dir), "books")).select("doc_id", "section_index", profile().alias("profile"))
 
 
 def _traces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,8 +238,19 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_backed, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
 
 
+def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with all integer columns as long, as its SQL has them."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = f(spark, sf_dir)
+        return df.withColumns({c: F.col(c).cast("long") for c, kind in df.dtypes if kind == "int"})
+
+    query.__doc__ = f.__doc__
+    return query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: _long(f) for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
