@@ -110,7 +110,7 @@ def dropped_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: in
     """(doc_id, row, drops): the places of each document's dropped lines, in order; only documents that lose some."""
     spark = docs.sparkSession
     hashes = line_hashes(docs.select(F.col("doc_id").cast("long"), "text"), least)
-    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / batches for i in range(1, batches)], 0.01)
+    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     batch = F.lit(0)
     for c in cuts:
         batch = batch + F.when(F.coalesce(F.col("doc_id") > int(c), F.lit(True)), 1).otherwise(0)

@@ -76,8 +76,7 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         gram = gram[: n - k + 1] * _MULTIPLIER + values[k - 1 :] if n >= k else gram[:0]
         if k in GRAMS and len(gram):
             at = np.flatnonzero(gaps[k - 1 : n] - gaps[1 : n - k + 2] == 0)
-            at = at[~(gap[at] & gap[at + k - 1]) | (k > 2)]
-            yield _bucket(gram[at], k), owner[np.minimum(np.maximum(at, 1), n - 2) - 1]
+            yield _bucket(gram[at], k), owner[at + gap[at] - 1]  # the space before a word isn't the text before
 
 
 @dataclass

@@ -34,6 +34,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}+(?!\p{L})"
 #: Gain in log-likelihood from which a token counts as random: about 1 in 20,000 tokens needs to be.
 LEAST_GAIN = 10.0
+WEIGHT = 500.0
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 KINDS = [k for k, *_ in PATTERNS] + ["random"]
 
@@ -96,7 +97,11 @@ def _any(text: Column, needs: tuple[str, ...]) -> Column:
 
 
 def train(labelled: DataFrame) -> list[float]:
-    """The gain in log-likelihood (random over ordinary) of each pair of characters, with add-one smoothing."""
+    """The gain in log-likelihood (random over ordinary) of each pair of characters.
+
+    Rows of pairs are smoothed by the frequencies of single characters with a weight of WEIGHT, so that a few strings in a corpus don't make
+    their own rare pairs likely; single characters by one more each.
+    """
     n = len(ALPHABET)
     inside = F.filter(F.split("token", ""), lambda c: F.instr(F.lit(ALPHABET), c) > 0)
     pairs = labelled.select(F.array_join(inside, "").alias("token"), "random").select(F.explode(codes(F.col("token"))).alias("pair"), "random").groupBy("pair", "random").count()
@@ -104,12 +109,13 @@ def train(labelled: DataFrame) -> list[float]:
     for r in pairs.collect():  # two rows a pair of characters at most
         if r["pair"] >= 0:
             found[r["random"]][r["pair"]] += r["count"]
-    gain = [0.0] * (n * n)
-    for a in range(n):
-        totals = {k: sum(v[a * n : (a + 1) * n]) + n for k, v in found.items()}
-        for b in range(n):
-            gain[a * n + b] = math.log((found[True][a * n + b] + 1) / totals[True]) - math.log((found[False][a * n + b] + 1) / totals[False])
-    return gain
+
+    def logs(counts: list[int]) -> list[float]:
+        single = [(sum(counts[b::n]) + 1) / (sum(counts) + n) for b in range(n)]
+        totals = [sum(counts[a * n : (a + 1) * n]) for a in range(n)]
+        return [math.log((counts[a * n + b] + WEIGHT * single[b]) / (totals[a] + WEIGHT)) for a in range(n) for b in range(n)]
+
+    return [x - y for x, y in zip(logs(found[True]), logs(found[False]), strict=True)]
 
 
 def find_secrets(docs: DataFrame, gain: list[float] | None = None) -> DataFrame:

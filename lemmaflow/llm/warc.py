@@ -113,7 +113,7 @@ def to_warc(record: dict) -> dict:
         head, payload = (data[: cut.end()], data[cut.end() :]) if cut else (data, b"")
     else:
         kind, content = ("response" if url.startswith("dns:") else "resource"), record["content_type"]
-    date = datetime.strptime((record["date"] + "00000000000000")[:14], "%Y%m%d%H%M%S")
+    date = datetime.strptime((record["date"] + "20000101000000"[len(record["date"]) :])[:14], "%Y%m%d%H%M%S")
     block = hashlib.sha256(data).hexdigest()
     return {
         "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {record["date"]} {block}')}", "warc_date": date.strftime("%Y-%m-%dT%H:%M:%SZ"), "warc_type": kind, "uri": url, "ip": record["ip"],
