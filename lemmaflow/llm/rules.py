@@ -53,8 +53,10 @@ POLICIES = {
 }
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def word_hashes(text: Column) -> Column:
+    """A hash for each word, in order."""
+    inside = F.btrim(text, F.lit(SPACES))
+    return F.when(inside == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(inside, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w)))
 
 
 def repeat_words(windows: Column, n_words: Column) -> Column:
@@ -78,13 +80,11 @@ def repeat_words(windows: Column, n_words: Column) -> Column:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and n_upper."""
     body = F.coalesce(F.col(text), F.lit(""))
-    step = df.withColumns({f"{P}text": body, f"{P}hashes": F.transform(words(body), lambda w: F.xxhash64(w)), f"{P}lines": F.filter(F.split(body, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")})
+    step = df.withColumns({f"{P}text": body, f"{P}hashes": word_hashes(body), f"{P}lines": F.filter(F.split(body, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")})
     hashes, lines, body = F.col(f"{P}hashes"), F.col(f"{P}lines"), F.col(f"{P}text")
     n = F.size(hashes)
-    shifted = [F.slice(hashes, 1 + k, F.greatest(n - (WINDOW - 1), F.lit(0))) for k in range(WINDOW)]
-    windows = shifted[0]
-    for k in range(1, WINDOW):
-        windows = F.zip_with(windows, shifted[k], lambda a, b: F.xxhash64(a, b))
+    places = F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0)))
+    windows = F.when(n >= WINDOW, F.transform(places, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
     measured = step.withColumns({
         f"{P}windows": windows,
         "n_words": n.cast("long"),
@@ -134,4 +134,6 @@ def keep_good(docs: DataFrame, policy: Policy) -> DataFrame:
     for name, fails in RULES:
         if BITS[name] & (policy.mask | BASE):
             bad = bad | F.expr(fails)
-    return measured.filter(~bad).select(*(F.col(f"{P}c{i}").alias(c) for i, c in enumerate(names)))
+    # a generator between them keeps the filter from being pushed down, where it would compute the measurements once more for every rule
+    judged = measured.select(*(f"{P}c{i}" for i in range(len(names))), F.explode(F.array(bad)).alias(f"{P}bad"))
+    return judged.filter(~F.col(f"{P}bad")).select(*(F.col(f"{P}c{i}").alias(c) for i, c in enumerate(names)))
