@@ -13,7 +13,7 @@ CAPS = {"md": 10 * 1024 * 1024, "pdf": 300 * 1024 * 1024, "jpg": 7 * 1024 * 1024
 
 def markdown_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(doc_id, source_name, text) of Markdown files; doc_id is the path."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{md,MD}").text(path)
+    files = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{md,MD}").text(path, wholetext=True)
     name = F.input_file_name()
     return files.select(name.alias("doc_id"), F.url_decode(F.element_at(F.split(name, "/"), -1)).alias("source_name"), F.col("value").alias("text"))
 
