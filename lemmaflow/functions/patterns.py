@@ -35,7 +35,7 @@ PROOF_OF = ANY + r"Proof of\s+(Theorem|Lemma|Proposition|Corollary|Claim)\s+([A-
 SOURCE_ITEM = "(?dmiuU)" + rf"^\s{{0,3}}(?:#{{1,6}}\s+)?(?:{EN15}|{CN14})\b"
 PROOF_MARKER = r"(?dmiuU)^\s{0,3}(?:Proof(?:\s+of\b.*?)?[.;:]?|证明)\b"
 TRUNCATED = ANY + r"\[(?:mock )?excerpt truncated\]|\.\.\.\s*$"
-PROOF_BOUNDARY = r"(?dmiuU)^\s*(?:Proof|证明)[.:：]?"
+PROOF_BOUNDARY = r"(?dmiuU)^\s*(?:Proof|证明)\s*[.:：]?\s*"
 CJK = r"[\x{4e00}-\x{9fff}]"
 
 #: Words in a title, in order, and the kind of item that they show.

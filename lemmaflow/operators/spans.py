@@ -52,6 +52,6 @@ def source_backed(text: Column, value: Column) -> Column:
 
 
 def statement_and_proof(block: Column) -> tuple[Column, Column]:
-    """A block's parts before and from its first proof line on; the proof is null without one."""
-    at = F.regexp_instr(block, F.lit(R.PROOF_BOUNDARY))
-    return F.when(at > 0, T.strip(F.substring(block, F.lit(1), at - 1))).otherwise(T.strip(block)), F.when(at > 0, F.nullif(T.strip(F.substring(block, at, F.length(block))), F.lit("")))
+    """A block's parts before the first proof mark at a line's start and after it; the proof is null without a mark or text."""
+    parts = F.split(block, R.PROOF_BOUNDARY, 2)
+    return T.strip(F.get(parts, F.lit(0))), F.nullif(T.strip(F.get(parts, F.lit(1))), F.lit(""))

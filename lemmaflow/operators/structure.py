@@ -58,3 +58,22 @@ def clipped(plan: DataFrame) -> DataFrame:
     ends = rows.withColumn("new_end", F.least(F.col("n_lines"), F.col("i") + F.max(F.col("e") - F.col("i")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     before = F.coalesce(F.lag("new_end").over(order), F.lit(0))
     return ends.withColumn("before", before).select("doc_id", "position", F.col("i").alias("section_index"), F.when(F.col("s") > F.col("before"), F.col("s")).otherwise(F.least(F.col("before") + 1, "n_lines")).alias("start_line"), F.col("new_end").alias("end_line"))
+
+
+def planned_sections(plans: DataFrame, documents: DataFrame) -> DataFrame:
+    """Sections as a plan has them: sorted, clamped, clipped, with qualified numbers and their text.
+
+    ``plans``: doc_id, position, start_line, end_line, section_number, section_title, and the section's or else the plan's chapter and
+    chapter_number (null where the plan has none, empty where it says so), with fallback_chapter and fallback_number from the hard splitter.
+    """
+    whole = documents.select("doc_id", T.split_lines(F.col("text")).alias("all_lines")).withColumn("n_lines", F.size("all_lines"))
+    placed = clipped(plans.join(whole.select("doc_id", "n_lines"), "doc_id"))
+    named = plans.drop("start_line", "end_line").join(placed, ["doc_id", "position"]).join(whole, "doc_id")
+    chapter = F.coalesce(F.nullif(T.strip(F.col("chapter")), F.lit("")), F.col("fallback_chapter"))
+    chapter_number = F.coalesce(T.strip(F.col("chapter_number")), F.col("fallback_number"), F.lit(""))
+    own = F.coalesce(F.nullif(T.strip(F.col("section_number")), F.lit("")), F.col("section_index").cast("string"))
+    number = T.qualified_number(own, chapter_number)
+    title = F.coalesce(F.nullif(T.strip(F.col("section_title")), F.lit("")), number)
+    line = F.coalesce(F.get("all_lines", F.col("start_line") - 1), F.lit(""))
+    heading = T.matches(line, R.HEADING)
+    return named.select("doc_id", "section_index", number.alias("section_number"), T.strip(F.concat(number, F.lit(". "), title)).alias("section"), chapter.alias("chapter"), chapter_number.alias("chapter_number"), F.when(heading, F.length(T.part(line, R.HEADING, 1))).alias("heading_level"), F.when(heading, T.clean(T.part(line, R.HEADING, 2))).when(T.strip(line) != "", T.strip(line)).otherwise(title).alias("source_heading"), "start_line", "end_line", T.strip(T.join_lines(F.col("all_lines"), F.col("start_line"), F.col("end_line") + 1)).alias("text"))
