@@ -77,3 +77,29 @@ def planned_sections(plans: DataFrame, documents: DataFrame) -> DataFrame:
     line = F.coalesce(F.get("all_lines", F.col("start_line") - 1), F.lit(""))
     heading = T.matches(line, R.HEADING)
     return named.select("doc_id", "section_index", number.alias("section_number"), T.strip(F.concat(number, F.lit(". "), title)).alias("section"), chapter.alias("chapter"), chapter_number.alias("chapter_number"), F.when(heading, F.length(T.part(line, R.HEADING, 1))).alias("heading_level"), F.when(heading, T.clean(T.part(line, R.HEADING, 2))).when(T.strip(line) != "", T.strip(line)).otherwise(title).alias("source_heading"), "start_line", "end_line", T.strip(T.join_lines(F.col("all_lines"), F.col("start_line"), F.col("end_line") + 1)).alias("text"))
+
+
+def heuristic_plans(lines: DataFrame, sections: DataFrame) -> DataFrame:
+    """Plans without a model, as ``planned_sections`` takes them: headings and bare lines that head sections, each up to the next one.
+
+    All sections of a document get its last chapter. A document whose later sections all lie within its first one keeps that one alone;
+    without any start the hard splitter's sections are the plan.
+    """
+    first = sections.groupBy("doc_id").agg(F.min_by(F.struct("chapter", "chapter_number"), "section_index").alias("h")).select("doc_id", F.col("h.chapter").alias("hard_chapter"), F.col("h.chapter_number").alias("hard_number"))
+    x = T.strip(F.col("line"))
+    heading = T.matches(x, R.HEADING)
+    title = T.clean(F.when(heading, T.part(x, R.HEADING, 2)).otherwise(x))
+    so_far = by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lines.select("doc_id", "line_no", x.alias("x"), heading.alias("heading"), title.alias("title")).withColumn("own_number", T.chapter_number(F.col("title"))).withColumn("own_title", F.when(F.col("own_number").isNotNull(), T.chapter_title(F.col("title"))))
+    rows = rows.withColumn("number", F.last("own_number", ignorenulls=True).over(so_far)).join(first, "doc_id").withColumn("number", F.coalesce("number", "hard_number"))
+    chapters = rows.groupBy("doc_id").agg(F.max_by("own_number", F.when(F.col("own_number").isNotNull(), F.col("line_no"))).alias("last_number"), F.max_by("own_title", F.when(F.col("own_title").isNotNull(), F.col("line_no"))).alias("last_title"), F.max("line_no").alias("n_lines"))
+    kind = T.section_kind(F.col("title"))
+    starts = rows.filter(F.col("own_number").isNull() & (F.col("heading") | T.bare_section(F.col("x"))) & kind.isNotNull()).select("doc_id", "line_no", T.section_number(F.col("title"), kind, F.col("number")).alias("section_number"), T.section_title(F.col("title"), kind).alias("section_title"))
+    whole = by_line().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    top = F.first("section_number").over(whole)
+    starts = starts.withColumn("top", top).withColumn("place", F.row_number().over(by_line())).withColumn("inside", (F.col("place") == 1) | F.startswith("section_number", F.concat("top", F.lit("."))))
+    starts = starts.withColumn("collapsed", F.min(F.col("inside")).over(Window.partitionBy("doc_id"))).filter("place = 1 or not collapsed")
+    ends = starts.withColumn("end_line", F.lead("line_no").over(by_line()) - 1).join(chapters, "doc_id").join(first, "doc_id")
+    own = ends.select("doc_id", (F.col("place") - 1).alias("position"), F.col("line_no").alias("start_line"), F.coalesce("end_line", "n_lines").alias("end_line"), "section_number", "section_title", F.coalesce("last_title", "hard_chapter").alias("chapter"), F.coalesce("last_number", "hard_number").alias("chapter_number"))
+    hard = sections.join(starts.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", (F.col("section_index") - 1).alias("position"), "start_line", "end_line", "section_number", F.col("section").alias("section_title"), "chapter", "chapter_number")
+    return own.unionByName(hard).join(first, "doc_id").withColumnsRenamed({"hard_chapter": "fallback_chapter", "hard_number": "fallback_number"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lemmaflow.operators import repair, structure
+from lemmaflow.operators import repair, split, structure
 
 SPAN = "struct<start_anchor:string,end_anchor:string,start_occurrence:int,end_occurrence:int,include_start:boolean,include_end:boolean>"
 REQUEST = f"doc_id string, section_index int, place int, label string, preserve_current_label string, env string, number_components array<string>, dependencies array<string>, source_order_anchor string, source_order_occurrence int, content_span {SPAN}, proof_span {SPAN}"
@@ -60,3 +60,13 @@ def test_planned_sections(spark):
     got = structure.planned_sections(spark.createDataFrame(plan, "doc_id string, position int, start_line int, end_line int, section_number string, section_title string, chapter string, chapter_number string, fallback_chapter string, fallback_number string"), docs).orderBy("section_index").collect()
     assert [(r["section_number"], r["section"], r["chapter"], r["chapter_number"], r["start_line"], r["end_line"]) for r in got] == [("1", "1. 1", "Own", "", 1, 4), ("I.1", "I.1. Two", "Fall", "I", 5, 6), ("2", "2. 2", "Fall", "", 6, 6)]
     assert got[0]["text"] == "# One\na\nb\n## Two" and got[0]["source_heading"] == "One" and got[0]["heading_level"] == 1 and got[1]["source_heading"] == "c" and got[1]["heading_level"] is None
+
+
+def test_heuristic_plans(spark):
+    books = [("a", "a.md", "front\n# Chapter 1. A\n1.1 Bare title\nx\n## 1.2 Marked\ny\n# Chapter 2. B\n## 2.1 Last\nz"), ("b", "b.md", "## 3 Top\nx\n## 3.1 In\ny\n## 3.2 In\nz"), ("c", "c.md", "nothing here")]
+    docs = spark.createDataFrame(books, "doc_id string, source_name string, text string")
+    plans = structure.heuristic_plans(split.lines(docs), split.sections(docs)).orderBy("doc_id", "position").collect()
+    assert [(r["doc_id"], r["section_number"], r["start_line"], r["end_line"]) for r in plans] == [("a", "1.1", 3, 4), ("a", "1.2", 5, 7), ("a", "2.1", 8, 9), ("b", "3", 1, 6), ("c", "1", 1, 1)]
+    assert {r["chapter"] for r in plans if r["doc_id"] == "a"} == {"Chapter 2. B"}
+    made = structure.planned_sections(structure.heuristic_plans(split.lines(docs), split.sections(docs)), docs)
+    assert made.filter("doc_id = 'b'").first()["text"] == books[1][2]
