@@ -42,4 +42,24 @@ with split as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept, fail_bits from bits
 """
 
-ORACLES = {"op2_line_dedup": _LINE_DEDUP, "op8_quality_rules": _QUALITY_RULES}
+_WARC = """
+with p as (select page_id, coalesce(html, '') as html, min(page_id) over (partition by coalesce(html, '')) as first from pages),
+q as (select *, octet_length(encode(html)) >= 100 and page_id <> first as again from p)
+select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha256(html) as payload_digest, case when again then 'revisit' else 'response' end as record_type, case when again then first end as refers_to from q
+"""
+
+# all pairs by their shared shingles, and the closure of the links
+_JACCARD = r"""
+with recursive w as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{M}]+') as ws from documents),
+d as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w),
+n as (select doc_id, count(*) as n from d group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from d a join d b on a.g = b.g and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (select x, y from pairs join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 5 * c >= 4 * (nx.n + ny.n - c)),
+reach(x, y) as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x),
+classes as (select x as doc_id, least(x, min(y)) as class_id from reach group by x)
+select w.doc_id, coalesce(c.class_id, w.doc_id) as class_id, coalesce((select count(*) from links l where l.x = w.doc_id), 0) as n_links,
+  case when len(ws) = 0 then w.doc_id else min(w.doc_id) over (partition by array_to_string(ws, ' ')) end as copy_of
+from w left join classes c on c.doc_id = w.doc_id
+"""
+
+ORACLES = {"op2_line_dedup": _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _JACCARD, "op8_quality_rules": _QUALITY_RULES}

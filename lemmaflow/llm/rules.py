@@ -59,22 +59,24 @@ def word_hashes(text: Column) -> Column:
     return F.when(inside == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(inside, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w)))
 
 
-def repeat_words(windows: Column, n_words: Column) -> Column:
-    """How many words lie in windows that occur twice or more. ``windows``: a hash for each window, in order.
+def with_repeat_words(df: DataFrame) -> DataFrame:
+    """Adds n_repeat_words: how many words lie in windows that occur twice or more. Reads ``__lf_windows``, a hash for each window in order.
 
     Sorted by hash, equal windows are neighbours; their places, sorted again, cover WINDOW words each, less where the next one begins.
+    Most texts repeat no window, which a set shows without sorting; the steps are columns of their own, so that each is computed once.
     """
-    n = F.size(windows)
-    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    none = F.lit(None).cast("struct<h:bigint,i:int>")
-    before = F.concat(F.array(none), F.slice(placed, 1, F.greatest(n - 1, F.lit(0))))
-    after = F.concat(F.slice(placed, 2, F.greatest(n - 1, F.lit(0))), F.array(none))
-    known = F.zip_with(F.zip_with(placed, before, lambda x, y: F.struct(x.alias("x"), (x["h"] == y["h"]).alias("y"))), after, lambda x, z: F.when(x["y"] | (x["x"]["h"] == z["h"]), x["x"]["i"]))
-    at = F.sort_array(F.filter(known, lambda i: i.isNotNull()))
-    next_ = F.concat(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), F.array(F.lit(None).cast("int")))
-    covered = F.aggregate(F.zip_with(at, next_, lambda i, j: F.coalesce(F.least(j - i, F.lit(WINDOW)), F.lit(WINDOW))), F.lit(0), lambda a, x: a + x)
-    # most texts repeat no window, which a set shows without sorting
-    return F.when(F.size(F.array_distinct(windows)) == n, F.lit(0)).otherwise(covered).cast("long")
+    windows = F.col(f"{P}windows")
+    placed = F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    step = df.withColumn(f"{P}placed", placed)
+    placed = F.col(f"{P}placed")
+    last = F.size(placed) - 1
+    # each pair of equal neighbours gives both places, so a place may come twice
+    equal = F.flatten(F.zip_with(F.slice(placed, 1, last), F.slice(placed, 2, last), lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])).otherwise(F.array().cast("array<int>"))))
+    step = step.withColumn(f"{P}at", F.when(placed.isNotNull(), F.sort_array(equal)))
+    at = F.col(f"{P}at")
+    steps = F.zip_with(F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda i, j: F.least(j - i, F.lit(WINDOW)))
+    covered = F.aggregate(steps, F.lit(WINDOW), lambda a, x: a + x)
+    return step.withColumn("n_repeat_words", F.when(at.isNull(), 0).otherwise(covered).cast("long")).drop(f"{P}placed", f"{P}at")
 
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
@@ -94,7 +96,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "n_upper": (F.length(body) - F.length(F.translate(body, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long"),
     })
-    return measured.withColumn("n_repeat_words", repeat_words(F.col(f"{P}windows"), F.col("n_words"))).drop(*(P + x for x in ("text", "hashes", "lines", "windows")))
+    return with_repeat_words(measured).drop(*(P + x for x in ("text", "hashes", "lines", "windows")))
 
 
 def ledger(df: DataFrame) -> DataFrame:
