@@ -165,6 +165,18 @@ def nth_position(text: Column, anchor: Column, n: Column) -> Column:
     return F.when((anchor != "") & (F.size(pieces) > n), before + (n - 1) * F.length(anchor))
 
 
+def positions(text: Column, query: Column, most: int) -> Column:
+    """Where (from 0) the first ``most`` non-overlapping occurrences of ``query`` begin, in code points; none for an empty query."""
+    pieces = F.split(text, F.concat(F.lit(r"\Q"), F.regexp_replace(query, r"\\E", r"\\E\\\\E\\Q"), F.lit(r"\E")), most + 1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        at = acc["at"] + F.length(piece)
+        return F.struct((at + F.length(query)).alias("at"), F.concat(acc["found"], F.array(at)).alias("found"))
+
+    return F.when(query != "", F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step)["found"]).otherwise(F.array().cast("array<int>"))
+
+
 def mime_type(name: Column, source: Column) -> Column:
     ends = lambda *xs: F.rlike(F.lower(name), F.lit(r"\.(" + "|".join(xs) + ")$"))
     return F.when((source == "pdf") | ends("pdf"), "application/pdf").when(ends("md"), "text/markdown").when(ends("jpe?g"), "image/jpeg").when(ends("png"), "image/png").otherwise("application/octet-stream")

@@ -236,6 +236,8 @@ _LATEST = "latest as (select * exclude (rn) from (select user_id, ts, event_id,
 _STEM = "'doc' || doc_id"
 _PAGES = rf"pages_ as (select doc_id // 16 as doc_id, doc_id % 16 as page_idx, coalesce(text, '') as md, regexp_replace(coalesce(text, ''), '\s+$', '') as body from documents)"
 
+_AUDITS = "a as (select d.doc_id // 6 as doc_id, d.doc_id as doc, d.doc_id % 6 + 1 as i, d.lang, 'section' || lpad(cast(d.doc_id % 6 + 1 as varchar), 2, '0') || '_' || d.source as id, l.doc_id is not null as audited, l.quality, coalesce(l.quality = 0, false) as acts, l.toxic from documents d left join labels l using (doc_id))"
+
 ORACLES = {
     "section_item_counts": f"with {_NORMAL} select doc_id, section_index, env, count(*) as n_items from items group by all",
     "lines_explode": f"with {_LINES} select doc_id, count(*) as n_lines, cast(count(*) filter (where {_X} = '') as bigint) as n_blank, cast(sum(length(line)) as bigint) as n_chars from lines group by doc_id",
@@ -286,6 +288,13 @@ p as (select *, case when a <> '' and contains(t, a) then instr(t, a) - 1 end as
 q as (select *, case when inc_a then a_at else a_at + length(a) end as s, case when b is null then length(t) when inc_b then b_at + length(b) else b_at end as e from p),
 r as (select *, coalesce(a <> '' and a_at is not null and b_at is not null and e >= s, false) as found from q)
 select doc_id, found, case when found then s else -1 end as char_start, case when found then e else -1 end as char_end, case when found then 1 + length(substr(t, 1, s)) - length(replace(substr(t, 1, s), chr(10), '')) else -1 end as line_start, case when found then sha256(substr(t, s + 1, e - s)) else sha256('') end as span_sha256 from r""",
+    "source_search": """with t as (select doc_id, coalesce(text, '') as t, substr(coalesce(text, ''), 5, 2) as q from documents),
+p as (select doc_id, t, q, string_split(t, q) as x from t where q <> ''),
+m as (select doc_id, t, q, cast(list_sum(list_transform(x[1:i], lambda y: length(y))) + (i - 1) * length(q) as bigint) as pos from (select *, unnest(range(1, least(len(x) - 1, 3) + 1)) as i from p))
+select doc_id, pos as position, 1 + length(substr(t, 1, pos)) - length(replace(substr(t, 1, pos), chr(10), '')) as line, sha256(substr(t, greatest(pos - 240, 0) + 1, pos - greatest(pos - 240, 0) + length(q) + 240)) as snippet_sha256 from m""",
+    "audit_report": f"""with {_AUDITS} select doc_id, '# Consolidated LLM Audit Report' || chr(10) || chr(10) || string_agg('## section' || lpad(cast(i as varchar), 2, '0') || '.json ' || lang || chr(10) || chr(10) || case when audited then 'Quality ' || quality else 'Audit unavailable.' end || chr(10), chr(10) order by i) as markdown from a group by doc_id""",
+    "patch_candidates": f"""with {_AUDITS} select doc_id, case when bool_or(acts) then 'localized repair' else 'no change' end as overall_assessment, coalesce(string_agg(id, ',' order by i) filter (where audited and not acts), '') as no_change,
+  coalesce(string_agg('{{"id":' || doc || '}}', ',' order by i) filter (where acts), '') as sections, coalesce(string_agg(id || ':' || case when audited then 'keep?' else 'audit result unavailable' end, ',' order by i) filter (where not audited or toxic = 1), '') as defer from a group by doc_id""",
     "source_backed": f"""with {_LINES}, b as (select doc_id, {_clean("string_agg(line, chr(10) order by line_no)")} as t from lines group by doc_id), v as (select cast(doc_id // 16 as varchar) as doc_id, {_clean("string_split(coalesce(text, ''), chr(10))[1]")} as x from documents where doc_id % 16 = 0)
 select doc_id, x = '' or contains(t, x) as backed from b join v using (doc_id)""",
     "usage_by_phase": f"with {_USAGE} select * from usage",

@@ -12,7 +12,7 @@ from lemmaflow.operators import annotate, extract, jobs, normalize, quality, spa
 from lemmaflow.plans.corpus import books
 from lemmaflow.plans.oracle import ORACLES
 from lemmaflow.scratch import staged
-from lemmaflow.sources import readers
+from lemmaflow.sources import readers, writers
 
 NOW = "timestamp'2024-06-01 00:00:00'"
 
@@ -145,6 +145,32 @@ def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.join(docs, "doc_id").select("doc_id", spans.source_backed(F.col("text"), F.col("value")).alias("backed"))
 
 
+def source_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three places in each document of its characters 5 to 6."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("start_line"))
+    return spans.searched(docs.withColumn("query", F.substring("text", 5, 2)), 3).select("doc_id", F.col("offset").alias("position"), "line", F.sha2("snippet", 256).alias("snippet_sha256"))
+
+
+def _audits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents of six as sections, with audits made of labels: quality 0 has an action, toxic 1 an open question."""
+    docs = _table(spark, sf_dir, "documents").select(F.expr("doc_id div 6").alias("doc_id"), F.expr("cast(doc_id % 6 + 1 as int)").alias("section_index"), F.col("lang").alias("section"), F.col("source").alias("section_number"))
+    made = _table(spark, sf_dir, "labels").select(
+        F.expr("doc_id div 6").alias("doc_id"), F.expr("cast(doc_id % 6 + 1 as int)").alias("section_index"), F.concat(F.lit("Quality "), F.col("quality").cast("string"), F.lit(" \n")).alias("audit_markdown"),
+        F.when(F.col("quality") == 0, F.array(F.lit("update"))).otherwise(F.array().cast("array<string>")).alias("actions"), F.when(F.col("toxic") == 1, F.array(F.lit("keep?"), F.lit(""))).alias("open_questions"), F.format_string("{\"id\":%d}", F.col("doc_id")).alias("patch_json"),
+    )
+    return docs, made
+
+
+def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return writers.audit_markdown(*_audits(spark, sf_dir))
+
+
+def patch_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = writers.patch_candidates(*_audits(spark, sf_dir))
+    defer = F.array_join(F.transform("defer", lambda x: F.concat_ws(":", x["section_id"], x["reason"])), ",")
+    return found.select("doc_id", "overall_assessment", F.array_join("no_change", ",").alias("no_change"), F.array_join("sections", ",").alias("sections"), defer.alias("defer"))
+
+
 def prompt_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.functions.profiles import profile
 
@@ -235,7 +261,7 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(spark, sf_dir)
 
 
-_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_backed, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
+_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
 
 
 def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

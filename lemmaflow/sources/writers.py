@@ -37,6 +37,40 @@ def quality_markdown(documents: DataFrame, reports: DataFrame) -> DataFrame:
     return documents.join(own, "doc_id", "left").select("doc_id", F.concat(F.format_string("# Quality Report\n\nsections_total: %d\nitems_total: %d\n\n## Global Warnings\n\n", "sections_total", "items_total"), whole, F.lit("\n\n## Section Warnings\n\n"), F.coalesce("parts", F.lit("")), F.lit("\n")).alias("markdown"))
 
 
+def _with_audits(sections: DataFrame, audits: DataFrame) -> DataFrame:
+    """Sections in a left join with their audits: doc_id, section_index, audit_markdown, actions, open_questions, patch_json."""
+    own = audits.select("doc_id", "section_index", F.lit(True).alias("audited"), *(c for c in ("audit_markdown", "actions", "open_questions", "patch_json") if c in audits.columns))
+    return sections.select("doc_id", "section_index", "section", "section_number").join(own, ["doc_id", "section_index"], "left").withColumn("audited", F.coalesce("audited", F.lit(False)))
+
+
+def audit_markdown(sections: DataFrame, audits: DataFrame) -> DataFrame:
+    """(doc_id, markdown): the audits of all sections in order; a section without one says so, an audit without text is empty."""
+    body = F.when(F.col("audited"), F.regexp_replace(F.coalesce("audit_markdown", F.lit("")), r"(?U)\s+\z", "")).otherwise("Audit unavailable.")
+    part = F.concat(F.format_string("## section%02d.json ", "section_index"), F.coalesce("section", F.lit("")), F.lit("\n\n"), body, F.lit("\n"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("section_index", part.alias("part")))), lambda x: x["part"])
+    return _with_audits(sections, audits).groupBy("doc_id").agg(F.concat(F.lit("# Consolidated LLM Audit Report\n\n"), F.array_join(parts, "\n")).alias("markdown"))
+
+
+def patch_candidates(sections: DataFrame, audits: DataFrame) -> DataFrame:
+    """A row a document: overall_assessment, no_change (ids of sections without actions), sections (the patches of the others) and
+    defer (sections without an audit, and open questions; blank ones go), each in the order of the sections."""
+    name = F.concat(F.format_string("section%02d_", "section_index"), F.coalesce("section_number", F.lit("")))
+    acts = F.coalesce(F.size("actions") > 0, F.lit(False))
+    asked = F.filter(F.coalesce("open_questions", F.array().cast("array<string>")), lambda q: F.coalesce(q, F.lit("")) != "")
+    reasons = F.when(F.col("audited"), asked).otherwise(F.array(F.lit("audit result unavailable")))
+    rows = _with_audits(sections, audits).select(
+        "doc_id", "section_index", F.when(F.col("audited") & ~acts, name).alias("same"), F.when(F.col("audited") & acts, F.col("patch_json")).alias("patch"),
+        F.transform(reasons, lambda r: F.struct(name.alias("section_id"), r.alias("reason"))).alias("later"),
+    )
+    listed = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("section_index", "same", "patch", "later"))).alias("s"))
+
+    def some(field: str):
+        return F.filter(F.transform("s", lambda x: x[field]), lambda v: v.isNotNull())
+
+    out = listed.select("doc_id", some("same").alias("no_change"), some("patch").alias("sections"), F.flatten(some("later")).alias("defer"))
+    return out.withColumn("overall_assessment", F.when(F.size("sections") > 0, "localized repair").otherwise("no change"))
+
+
 def write_by_document(df: DataFrame, path: str) -> None:
     """Replaces the partitions of the documents in ``df``; those of other documents stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_id").parquet(path)

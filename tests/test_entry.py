@@ -11,7 +11,7 @@ import pytest
 
 REPO = Path(__file__).resolve().parent.parent
 DATA = Path("/root/testdata/sf0.001")
-CHEAP = ["lines_explode", "heading_scan", "chapter_carry_forward", "plan_clip_overlaps", "span_resolve", "span_nth_occurrence", "usage_by_phase", "jobs_latest_state", "retention_expired", "ingest_pending", "pages_to_markdown", "source_backed", "structure_candidates"]
+CHEAP = ["lines_explode", "heading_scan", "chapter_carry_forward", "plan_clip_overlaps", "span_resolve", "source_search", "audit_report", "patch_candidates", "span_nth_occurrence", "usage_by_phase", "jobs_latest_state", "retention_expired", "ingest_pending", "pages_to_markdown", "source_backed", "structure_candidates"]
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")

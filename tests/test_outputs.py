@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from lemmaflow.functions.profiles import profile
-from lemmaflow.operators import models, normalize, quality, split
+from lemmaflow.operators import models, normalize, quality, spans, split
 from lemmaflow.sources import writers
 
 BOOK = "# Chapter 1. C\n## 1.1 A | B\nDefinition 1.1. x ...\n## 1.2 Two\nTheorem 1.2. y\nProof. z\n"
@@ -56,3 +56,23 @@ def test_profiles(spark):
     df = spark.createDataFrame(rows, "chapter string, section string, section_number string, chapter_number string, source_heading string, text string, want string")
     assert all(r["got"] == r["want"] for r in df.withColumn("got", profile()).collect())
     assert df.select(profile("paper").alias("p")).first()["p"] == "paper" and df.select(profile("odd").alias("p")).first()["p"] == "textbook"
+
+
+def test_audits_and_patches(spark):
+    sections = spark.createDataFrame([("d", 2, "B", "1.2"), ("d", 1, "A", "1.1"), ("d", 3, "C", None), ("e", 1, None, "1")], "doc_id string, section_index int, section string, section_number string")
+    audits = spark.createDataFrame([("d", 1, "fine \n\n", [], ["", None, "why?"], "{}"), ("d", 2, None, ["update"], None, '{"x":1}'), ("z", 1, "stray", None, None, None)], "doc_id string, section_index int, audit_markdown string, actions array<string>, open_questions array<string>, patch_json string")
+    got = {r["doc_id"]: r["markdown"] for r in writers.audit_markdown(sections, audits).collect()}
+    assert got["d"] == "# Consolidated LLM Audit Report\n\n## section01.json A\n\nfine\n\n## section02.json B\n\n\n\n## section03.json C\n\nAudit unavailable.\n"
+    assert set(got) == {"d", "e"}
+    patch = {r["doc_id"]: r for r in writers.patch_candidates(sections, audits).collect()}
+    assert patch["d"]["no_change"] == ["section01_1.1"] and patch["d"]["sections"] == ['{"x":1}'] and patch["d"]["overall_assessment"] == "localized repair"
+    assert [tuple(x) for x in patch["d"]["defer"]] == [("section01_1.1", "why?"), ("section03_", "audit result unavailable")]
+    assert patch["e"]["overall_assessment"] == "no change" and patch["e"]["no_change"] == [] and len(patch["e"]["defer"]) == 1
+    assert writers.patch_candidates(sections.limit(0), audits).count() == 0
+
+
+def test_search_counts_matches_without_overlaps(spark):
+    rows = spark.createDataFrame([(1, "aaaa\nbaa", "aa", 5), (2, "x\\Ey", "\\E", 1), (3, None, "a", 1), (4, "abc", "", 1), (5, "abc", None, 1), (6, "😀.😀.", ".", 1)], "id int, text string, query string, start_line int")
+    got = [(r["id"], r["offset"], r["line"], r["snippet"]) for r in spans.searched(rows, most=3, around=1).orderBy("id", "offset").collect()]
+    assert got == [(1, 0, 5, "aaa"), (1, 2, 5, "aaa\n"), (1, 6, 6, "baa"), (2, 1, 1, "x\\Ey"), (6, 1, 1, "😀.😀"), (6, 3, 1, "😀.")]
+    assert [r["offset"] for r in spans.searched(rows.filter("id = 1"), most=0).collect()] == [0]
