@@ -1,8 +1,8 @@
 """URL filters: rules first, then the ratio of two character language models.
 
-The models are variable-order Markov models over the URL's bytes, one of accepted and one of rejected URLs. Counts of each order
-are kept in tables of a fixed size by hashes of context and next byte; orders are smoothed into each other, from the lowest up.
-The score is the difference of the log-likelihoods over the length; the threshold is calibrated on labelled URLs left out of training.
+The models are variable-order Markov models over the URL's bytes, one of accepted and one of rejected URLs. Counts are exact, a Spark
+table of the different windows of six bytes, from which those of all orders follow; orders are smoothed into each other, from the
+lowest up. The score is the difference of the log-likelihoods over the length; the threshold is calibrated on labelled URLs left out of training.
 
 Labels come from the rules: what they allow or block. Counts cover all labelled URLs but the left-out fifth, which sets the threshold.
 
@@ -18,14 +18,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lemmaflow.llm.textnum import buffer, chunks, mix
+from lemmaflow.llm.common import heavy_keys, staged
+from lemmaflow.llm.textnum import buffer, chunks
 
 ORDERS = 6
-BUCKETS = 1 << 16
+#: A byte plus one takes nine bits.
+BITS = 9
 SMOOTH = 2.0
+#: Gains are whole numbers of 1/UNIT, so that their sum doesn't depend on the order of the rows.
+UNIT = 1 << 32
 #: Scores from -LIMIT to LIMIT in so many bins, for the calibration.
 LIMIT, BINS = 8.0, 2048
 
@@ -67,86 +71,91 @@ def with_rules(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
 # ---- models
 
 
-def slots(urls: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """For each order the buckets of the contexts and of contexts with next byte, at every byte; and where each URL begins."""
+def windows(urls: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """At every byte the ORDERS bytes that end there as one number of nine bits each, the latest lowest, zero before the URL; and where each URL begins."""
     data, offsets = buffer(urls)
-    n = len(data)
-    data = data.astype(np.uint64)
-    place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
-    context, contexts, joints = np.zeros(n, np.uint64), [], []
-    for k in range(ORDERS):
-        if k:
-            before = np.zeros(n, np.uint64)
-            before[k:] = data[:-k] + np.uint64(1) if n > k else 0
-            context = context * np.uint64(257) + np.where(place >= k, before, np.uint64(0))
-        key = mix(context + np.uint64(k << 56))
-        contexts.append((key % np.uint64(BUCKETS)).astype(np.int64))
-        joints.append((mix(key ^ (data + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BUCKETS)).astype(np.int64))
-    return contexts, joints, offsets
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    code = data.astype(np.int64) + 1
+    out = code.copy()
+    for k in range(1, ORDERS):
+        at = np.flatnonzero(place >= k)
+        out[at] |= code[at - k] << (BITS * k)
+    return out, offsets
 
 
-def counts(labelled: DataFrame) -> DataFrame:
-    """(slot, n) over (url, accepted) rows. A slot is a place in the array [accepted, order, context or joint, bucket]."""
+def counts(urls: DataFrame) -> DataFrame:
+    """(window, n, n0, n1) over (url, trains) rows: how often each window occurs in all URLs, and in the rejected and accepted ones of training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, ORDERS, 2, BUCKETS), np.int64)
         for batch in batches:
             for at, part in chunks(batch.column(0)):
-                kinds = batch.column(1).slice(at, len(part)).to_numpy(zero_copy_only=False).astype(np.int64)
-                contexts, joints, offsets = slots(part)
-                kinds = np.repeat(kinds, np.diff(offsets)).astype(bool)
-                for kind in (0, 1):
-                    own = kinds == bool(kind)
-                    for k in range(ORDERS):
-                        total[kind, k, 0] += np.bincount(contexts[k][own], minlength=BUCKETS)
-                        total[kind, k, 1] += np.bincount(joints[k][own], minlength=BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at], pa.int64())], names=["slot", "n"])
-
-    return labelled.select("url", "accepted").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Model:
-    """Counts as an array [accepted, order, context or joint, bucket]; its size doesn't depend on the input's."""
-
-    counts: np.ndarray
-
-    def scores(self, urls: pa.Array) -> np.ndarray:
-        contexts, joints, offsets = slots(urls)
-        if not self.counts[0, 0, 0].any() or not self.counts[1, 0, 0].any():
-            return np.zeros(len(urls))
-        logs = []
-        for kind in (0, 1):
-            p = np.full(offsets[-1], 1 / 256)
-            for k in range(ORDERS):
-                p = (self.counts[kind, k, 1][joints[k]] + SMOOTH * p) / (self.counts[kind, k, 0][contexts[k]] + SMOOTH)
-            logs.append(np.concatenate([[0.0], np.cumsum(np.log(p))]))
-        gain = logs[1] - logs[0]
-        return (gain[offsets[1:]] - gain[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
-
-
-def train(labelled: DataFrame) -> Model:
-    """Collects the counts: 2 x ORDERS x 2 x BUCKETS rows at most, at any size of the input."""
-    rows = counts(labelled).toArrow()
-    found = np.zeros(2 * ORDERS * 2 * BUCKETS, np.int32)
-    found[rows.column("slot").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 2**31 - 1)
-    return Model(found.reshape(2, ORDERS, 2, BUCKETS))
-
-
-def scored(df: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score`` to rows with a column ``url``."""
-    names, kinds = df.columns, df.schema
-    shared = df.sparkSession.sparkContext.broadcast(model.counts)
-    at_url = names.index("url")
+                kinds = pc.fill_null(batch.column(1).slice(at, len(part)), -1).to_numpy(zero_copy_only=False)
+                found, offsets = windows(part)
+                keys, place = np.unique(found, return_inverse=True)
+                kinds = np.repeat(kinds, np.diff(offsets))
+                own = [np.bincount(place[of], minlength=len(keys)) for of in (kinds > -2, kinds == 0, kinds == 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, *own)], names=["window", "n", "n0", "n1"])
+
+    rows = urls.select("url", F.col("trains").cast("int")).mapInArrow(run, "window long, n long, n0 long, n1 long")
+    return rows.groupBy("window").agg(*(F.sum(c).alias(c) for c in ("n", "n0", "n1")))
+
+
+def gains(found: DataFrame) -> DataFrame:
+    """(window, n, gain): log-likelihood of the last byte by the accepted model less that by the rejected one, in units of 1/UNIT.
+
+    ``found``: a staged table of counts. A key of any join or window has 257 rows at most, one for each byte or none.
+    """
+    before = None
+    for k in range(ORDERS):
+        joint = F.col("window").bitwiseAND(F.lit((1 << BITS * (k + 1)) - 1))
+        rows = found.groupBy(joint.alias("window")).agg(F.sum("n").alias("n"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        context = Window.partitionBy(F.shiftright("window", BITS))
+        rows = rows.withColumns({f"all{c}": F.sum(f"n{c}").over(context) for c in (0, 1)})
+        if before is None:
+            rows = rows.withColumns({"q0": F.lit(1 / 256), "q1": F.lit(1 / 256)})
+        else:
+            rows = rows.withColumn("lower", F.col("window").bitwiseAND(F.lit((1 << BITS * k) - 1))).join(before, "lower")
+        p = [((F.col(f"n{c}") + SMOOTH * F.col(f"q{c}")) / (F.col(f"all{c}") + SMOOTH)).alias(f"q{c}") for c in (0, 1)]
+        before = rows.select(F.col("window").alias("lower"), "n", *p)
+        last, before = before, before.drop("n")
+    return last.select(F.col("lower").alias("window"), "n", F.round((F.log("q1") - F.log("q0")) * UNIT).cast("long").alias("gain"))
+
+
+def scored(rows: DataFrame) -> DataFrame:
+    """Adds ``score`` to a staged table with a unique ``id``, ``url`` and ``trains`` (1 accepted, 0 rejected, null: not in training).
+
+    URLs meet the gains by a join on their windows; frequent windows (500 at most) are summed up where the URLs are.
+    """
+    found = staged(counts(rows), "windows")
+    kinds = found.agg(F.sum("n0"), F.sum("n1")).first()
+    if not kinds[0] or not kinds[1]:
+        return rows.withColumn("score", F.lit(0.0))
+    table = staged(gains(found), "gains")
+    often = heavy_keys(table, ["window"]).select("window", "gain").orderBy("window").toArrow()
+    keys, own = (often.column(c).to_numpy() for c in ("window", "gain"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(shared.value)
         for batch in batches:
-            found = [own.scores(part) for _, part in chunks(batch.column(at_url))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))], names=[*names, "score"])
-
-    return df.mapInArrow(run, type(kinds)([*kinds.fields]).add("score", "double"))
+            for at, part in chunks(batch.column(1)):
+                ids = batch.column(0).slice(at, len(part)).to_numpy()
+                here, offsets = windows(part)
+                ids = np.repeat(ids, np.diff(offsets))
+                place = np.minimum(np.searchsorted(keys, here), max(len(keys) - 1, 0))
+                known = keys[place] == here if len(keys) else np.zeros(len(here), bool)
+                total = np.concatenate([[0], np.cumsum(np.where(known, own[place] if len(keys) else 0, 0))])
+                there = np.diff(offsets) > 0
+                first = batch.column(0).slice(at, len(part)).to_numpy()[there]
+                sums = (total[offsets[1:]] - total[offsets[:-1]])[there]
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.nulls(len(first), pa.int64()), pa.array(sums, pa.int64())], names=["id", "window", "sum"])
+                rare = np.flatnonzero(~known)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rare]), pa.array(here[rare]), pa.array(np.zeros(len(rare), np.int64))], names=["id", "window", "sum"])
+
+    each = rows.select("id", "url").mapInArrow(run, "id long, window long, sum long")
+    frequent = each.filter("window is null").select("id", "sum")
+    rare = each.filter("window is not null").join(table.select("window", "gain"), "window").select("id", F.col("gain").alias("sum"))
+    sums = frequent.unionByName(rare).groupBy("id").agg(F.sum("sum").alias("sum"))
+    score = F.coalesce(F.col("sum") / F.lit(float(UNIT)) / F.greatest(F.octet_length("url"), F.lit(1)), F.lit(0.0))
+    return rows.join(sums, "id", "left").withColumn("score", score).drop("sum")
 
 
 def threshold(labelled: DataFrame) -> float:
@@ -167,10 +176,10 @@ def threshold(labelled: DataFrame) -> float:
 
 def filter_urls(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict and score of every row: the rule's verdict, else the models'."""
-    ruled = with_rules(df.select("page_id", "url"), rules)
-    labelled = ruled.filter("rule_verdict is not null").select("url", (F.col("rule_verdict") == "allow").alias("accepted"))
+    accepted = F.when(F.col("rule_verdict").isNotNull(), (F.col("rule_verdict") == "allow").cast("int"))
     held_out = F.crc32(F.col("url").cast("binary")) % 5 == 0
-    model = train(labelled.filter(~held_out))
-    least = threshold(scored(labelled.filter(held_out), model))
+    ruled = with_rules(df.select("page_id", "url"), rules).withColumns({"id": F.monotonically_increasing_id(), "accepted": accepted, "trains": F.when(~held_out, accepted)})
+    out = staged(scored(staged(ruled, "urls")), "scored")
+    least = threshold(out.filter(held_out & F.col("accepted").isNotNull()).select("score", (F.col("accepted") == 1).alias("accepted")))
     judged = F.coalesce("rule_verdict", F.when(F.col("score") >= least, "allow").otherwise("block"))
-    return scored(ruled, model).select("page_id", "host", "path", "rule", judged.alias("verdict"), "score")
+    return out.select("page_id", "host", "path", "rule", judged.alias("verdict"), "score")

@@ -254,6 +254,37 @@ def test_url_rules_and_models(spark):
     assert urls.filter_urls(df.limit(0), RULES).count() == 0
 
 
+def test_url_scores_are_those_of_exact_counts(spark):
+    rng = random.Random(4)
+    path = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_~%") for _ in range(n))
+    texts = [f"http://a.example.net/en/{path(60)}" for _ in range(2000)] + [f"http://b.other.net/{path(60)}" for _ in range(2000)] + [f"http://c.other.com/é/{path(40)}" for _ in range(20)] + ["http://c.other.com/", "x", "", None]
+    joint, context = [Counter(), Counter()], [Counter(), Counter()]
+
+    def grams(u: str):
+        raw = u.encode()
+        for i in range(len(raw)):
+            yield [((0,) * max(0, k - i) + tuple(b + 1 for b in raw[max(0, i - k) : i]), raw[i]) for k in range(6)]
+
+    for u in texts[:4000]:
+        if zlib.crc32(u.encode()) % 5:
+            kind = int("/en/" in u[:24])
+            for orders in grams(u):
+                joint[kind].update((k, *g) for k, g in enumerate(orders))
+                context[kind].update((k, g[0]) for k, g in enumerate(orders))
+    assert sum(k == 5 for k, *_ in joint[0]) > 1 << 16  # more than the cells that an order once had
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string").repartition(3)
+    got = {r["page_id"]: r["score"] for r in urls.filter_urls(df, RULES).collect()}
+    assert len(got) == len(texts)
+    for i in [*range(0, 4000, 200), *range(4000, len(texts))]:
+        gain, n = 0.0, 0
+        for orders in grams(texts[i] or ""):
+            p = [1 / 256, 1 / 256]
+            for k, g in enumerate(orders):
+                p = [(joint[c][k, *g] + 2 * p[c]) / (context[c][k, g[0]] + 2) for c in (0, 1)]
+            gain, n = gain + np.log(p[1]) - np.log(p[0]), n + 1
+        assert abs(got[i] - gain / max(n, 1)) < 1e-8
+
+
 # ---- 6
 
 
