@@ -2,13 +2,15 @@
 
 Tokenizers cut a text into pieces before they merge; pieces don't influence each other. Where the tokenizer
 surely cuts (before a space that leads a word, or between a letter and a full stop or comma), this cuts first,
-and gives the tokenizers library only pieces that it has not met. Other kinds of tokenizer get whole texts.
+and gives the tokenizers library only pieces that it has not met. Before that, texts are cut at the strings of added
+tokens, as the library does; each is a piece of its own and gets its own id. Other kinds of tokenizer get whole texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
@@ -30,7 +32,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec.get("pre_tokenizer") or {}
@@ -40,6 +41,13 @@ class Encoder:
             self.kind = "led"  # words carry the space before them
         elif len(steps) == 2 and steps[0].get("invert") and steps[0]["pattern"].get("Regex", "").endswith(r"|[^\s\p{L}\p{N}]+") and "Lowercase" in str(spec.get("normalizer")):
             self.kind = "dropped"  # lower case, white space dropped
+        added = spec.get("added_tokens") or []
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or (t["normalized"] and spec.get("normalizer")) or re.search(r"\s|\w[.,]|" + _MARK, t["content"]) for t in added):
+            self.kind = "whole"  # where such tokens match depends on more than their strings, or the cuts of pieces could split them
+        # the first match wins, the longest of those that begin at one place
+        strings = sorted((t["content"] for t in added if t["content"]), key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings and self.kind != "whole" else None
+        self.strings = strings
         self.clear()
 
     def clear(self) -> None:
@@ -64,7 +72,10 @@ class Encoder:
     def pieces(self, texts: pa.Array) -> pa.Array:
         """A list of pieces for each text."""
         if self.kind == "dropped":
-            return pc.split_pattern(pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([.,])", r"\1 \2"), " ")
+            low = pc.ascii_lower(texts)
+            if (as_is := self.holding(low, True)).any():  # lower case would make or lose a token's string
+                low = pc.if_else(pa.array(as_is), texts, low)
+            return pc.split_pattern(pc.replace_substring_regex(low, r"(\pL)([.,])", r"\1 \2"), " ")
         if self.kind == "led" and not pc.any(pc.match_substring(texts, _MARK)).as_py():
             cut = pc.replace_substring(texts, " ", _MARK + " ")
             odd = pc.match_substring_regex(texts, r" ([^\pL\pN\pP\pS]|$)")  # a space that leads no word
@@ -73,10 +84,33 @@ class Encoder:
             return pc.split_pattern(pc.replace_substring_regex(cut, r"(\pL)([.,])", r"\1" + _MARK + r"\2"), _MARK)
         return pa.LargeListArray.from_arrays(np.arange(len(texts) + 1), texts)
 
+    def holding(self, texts: pa.Array, low: bool = False) -> np.ndarray:
+        """Which texts have an added token's string (or, with ``low``, one in lower case)."""
+        hit = np.zeros(len(texts), bool)
+        for x in self.strings:
+            hit |= pc.match_substring(texts, pc.ascii_lower(x).as_py() if low else x).to_numpy(zero_copy_only=False)
+        return hit
+
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The texts cut before and after each added token's string, and where each text's parts begin (one more entry than texts)."""
+        one = np.arange(len(texts) + 1)
+        if self.added is None:
+            return texts, one
+        hit = self.holding(texts)
+        if not hit.any():
+            return texts, one
+        out, count, last = [], np.ones(len(texts), np.int64), 0
+        for i in np.flatnonzero(hit):
+            own = pa.array([x for x in self.added.split(texts[i].as_py()) if x], texts.type)
+            out += [texts.slice(last, i - last), own]
+            count[i], last = len(own), i + 1
+        return pa.concat_arrays([*out, texts.slice(last)]), np.concatenate([[0], np.cumsum(count)])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's begin (one more entry than texts). Texts: not null."""
+        texts, first = self.parts(texts)
         lists = self.pieces(texts)
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py())[first]
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False)
         if len(self.known) > KEPT:

@@ -128,6 +128,20 @@ def test_encoder_gives_the_ids_of_the_library(rows, name):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == [*tokenizer.encode(texts[at + i] or "", add_special_tokens=False).ids, 1]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_texts_get_the_ids_of_the_fresh_file(name):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    end, begin = "<|endoftext|>", "<|startoftext|>"
+    texts = ["plain text. one", f"a {end} b", end, f"{end}{end} {begin}x", f"  {end}  ", f"a.{end}.b, c", f"End {end.upper()} <|endof text|>", f"x\n\n{end}\n\ny \t{end} z", f"<{end}> <|endof{end}text|>", f"a\x01b {end} c", f"é{end}́ e", None, "", f"don{end}'t 1{end}2", "plain  text"]
+    for part in (texts, [t for t in texts if end in (t or "")], ["plain", ""]):
+        for at, ids, offsets in encode_column(pa.array(part), tokenizer_path(name), 1):
+            for i in range(len(offsets) - 1):
+                assert ids[offsets[i] : offsets[i + 1]].tolist() == [*tokenizer.encode(part[at + i] or "", add_special_tokens=False).ids, 1], part[at + i]
+    assert tokenizer.token_to_id(end) in encoder(tokenizer_path(name)).encode(pa.array([f"a {end} b"], pa.large_string()))[0]
+
+
 def test_packing_places_every_id_once(docs, none, rows):
     path = tokenizer_path("byte_bpe_50k.json")
     tokenizer = encoder(path).tokenizer
