@@ -110,8 +110,14 @@ def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kinds but bare sections, which its SQL doesn't have; ``structure_candidates_whole`` has them."""
+    return structure_candidates_whole(spark, sf_dir).filter("kind not in ('bare_section_candidate')")
+
+
+def structure_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of every kind."""
     rows = structure.candidates(split.lines(books(spark, sf_dir)))
-    return rows.filter("kind not in ('bare_section_candidate')").select("doc_id", "line_no", "kind", F.sha2("text", 256).alias("text_sha256"), F.sha2("prev", 256).alias("prev_sha256"), F.sha2("next", 256).alias("next_sha256"))
+    return rows.select("doc_id", "line_no", "kind", F.sha2("text", 256).alias("text_sha256"), F.sha2("prev", 256).alias("prev_sha256"), F.sha2("next", 256).alias("next_sha256"))
 
 
 def planner_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +267,7 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(spark, sf_dir)
 
 
-_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
+_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
 
 
 def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

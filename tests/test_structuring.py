@@ -214,3 +214,19 @@ def test_ingest_stream_keeps_state_across_passes(spark, tmp_path):
     assert go() == [("a", "1", "converted", 0), ("b", "1", "failed", 1)]
     sight(("a", "1", "2024-01-01 01:00:00", "ok"), ("a", "2", "2024-01-01 02:00:00", "error"), ("b", "1", "2024-01-01 00:30:00", "ok"), ("b", "1", "2024-01-01 02:00:00", "error"), ("b", "1", "2024-01-01 04:00:00", "error"), ("b", "1", "2024-01-01 09:00:00", "ok"))
     assert go() == [("a", "1", "converted", 0), ("a", "1", "skip_done", 0), ("a", "2", "failed", 1), ("b", "1", "blocked", 3), ("b", "1", "failed", 1), ("b", "1", "failed", 2), ("b", "1", "skip_blocked", 3), ("b", "1", "skip_cooling", 1)]
+
+
+def _corpus(spark, tmp_path, texts):
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_whole_structure_candidates_have_bare_sections(spark, tmp_path):
+    from lemmaflow.plans.queries import queries
+
+    lines = ["Start", "1.1 Open sets", "B Closed sets", "def", "2 A sentence that ends here.", "3 x = y", "thm", "proof", "C) Compact sets", "remark", "12 plain title", "plain text"]
+    folder = _corpus(spark, tmp_path, [(0, "\n".join(lines))])
+    whole = {(r["line_no"], r["kind"]) for r in queries()["structure_candidates_whole"](spark, folder).collect()}
+    assert {n for n, kind in whole if kind == "bare_section_candidate"} == {2, 3, 9, 11}
+    part = {(r["line_no"], r["kind"]) for r in queries()["structure_candidates"](spark, folder).collect()}
+    assert part == {x for x in whole if x[1] != "bare_section_candidate"}
