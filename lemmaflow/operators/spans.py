@@ -56,10 +56,10 @@ def clipped_to_next(rows: DataFrame, kind: str) -> DataFrame:
     return rows.withColumns({"warning": warning, "found": F.col("found") & ~(late & F.lit(kind == "content")), "char_end": end, "span_text": F.substring("text", F.col("char_start") + 1, end - F.col("char_start"))})
 
 
-def source_backed(text: Column, value: Column) -> Column:
-    """Whether the source has a value, white space aside; null and blank values count as backed."""
+def source_backed(text: Column, value: Column, clean: bool = False) -> Column:
+    """Whether the source has a value, white space aside; null and blank values count as backed. ``clean``: the text is cleaned already."""
     x = T.clean(F.coalesce(value, F.lit("")))
-    return (x == "") | F.contains(T.clean(text), x)
+    return (x == "") | F.contains(text if clean else T.clean(text), x)
 
 
 def statement_and_proof(block: Column) -> tuple[Column, Column]:

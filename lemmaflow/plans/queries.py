@@ -151,6 +151,14 @@ def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.join(docs, "doc_id").select("doc_id", spans.source_backed(F.col("text"), F.col("value")).alias("backed"))
 
 
+def source_backed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the first line of every document is in its own book, and in the book before, if there is one."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document"), F.substring_index("text", "\n", 1).alias("value"), F.explode(F.expr("array(cast(doc_id div 16 as string), cast(doc_id div 16 - 1 as string))")).alias("doc_id"))
+    values = docs.groupBy("doc_id").agg(F.collect_list(F.struct("document", "value")).alias("values"))  # 32 a book
+    rows = books(spark, sf_dir).select("doc_id", T.clean(F.col("text")).alias("text")).join(values, "doc_id")
+    return rows.select("doc_id", "text", F.inline("values")).select("doc_id", "document", spans.source_backed(F.col("text"), F.col("value"), clean=True).alias("backed"))
+
+
 def source_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three places in each document of its characters 5 to 6."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("start_line"))
@@ -267,7 +275,7 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(spark, sf_dir)
 
 
-_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
+_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, source_backed_whole, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
 
 
 def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
