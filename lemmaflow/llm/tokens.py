@@ -1,8 +1,10 @@
 """Ids of many texts by a public tokenizer file, with each distinct piece of text tokenized once.
 
 Tokenizers cut a text into pieces before they merge; pieces don't influence each other. Where the tokenizer
-surely cuts (before a space that leads a word, or between a letter and a full stop or comma), this cuts first,
-and gives the tokenizers library only pieces that it has not met. Before that, texts are cut at the strings of added
+surely cuts (before a space that leads a word, or between a letter of LETTERS and a full stop or comma), this cuts first,
+and gives the tokenizers library only pieces that it has not met. The letters of LETTERS are those that normalisation leaves
+as they are; others may come apart, so no cut is made behind them. Texts with combining marks aren't put into lower case first, as
+a capital and a mark may compose otherwise than the small letter and the mark. Before that, texts are cut at the strings of added
 tokens, as the library does; each is a piece of its own and gets its own id. Other kinds of tokenizer get whole texts.
 """
 
@@ -24,6 +26,9 @@ from lemmaflow.llm.textnum import chunks
 #: Pieces that a worker keeps; about 150 bytes each. When it is full, it is emptied.
 KEPT = 1_500_000
 _MARK = "\x01"
+#: Letters that NFC leaves alone and lower case keeps single letters: those of ASCII and Latin-1.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_STOP = rf"([{LETTERS}])([.,])"
 
 
 class Encoder:
@@ -73,15 +78,16 @@ class Encoder:
         """A list of pieces for each text."""
         if self.kind == "dropped":
             low = pc.ascii_lower(texts)
-            if (as_is := self.holding(low, True)).any():  # lower case would make or lose a token's string
+            as_is = self.holding(low, True) | pc.match_substring_regex(texts, r"\pM").to_numpy(zero_copy_only=False)
+            if as_is.any():  # lower case would make or lose a token's string, or change what composes
                 low = pc.if_else(pa.array(as_is), texts, low)
-            return pc.split_pattern(pc.replace_substring_regex(low, r"(\pL)([.,])", r"\1 \2"), " ")
+            return pc.split_pattern(pc.replace_substring_regex(low, _STOP, r"\1 \2"), " ")
         if self.kind == "led" and not pc.any(pc.match_substring(texts, _MARK)).as_py():
             cut = pc.replace_substring(texts, " ", _MARK + " ")
             odd = pc.match_substring_regex(texts, r" ([^\pL\pN\pP\pS]|$)")  # a space that leads no word
             if pc.any(odd).as_py():
                 cut = pc.replace_with_mask(cut, odd, pc.replace_substring_regex(texts.filter(odd), r" ([\pL\pN\pP\pS])", _MARK + r" \1"))
-            return pc.split_pattern(pc.replace_substring_regex(cut, r"(\pL)([.,])", r"\1" + _MARK + r"\2"), _MARK)
+            return pc.split_pattern(pc.replace_substring_regex(cut, _STOP, r"\1" + _MARK + r"\2"), _MARK)
         return pa.LargeListArray.from_arrays(np.arange(len(texts) + 1), texts)
 
     def holding(self, texts: pa.Array, low: bool = False) -> np.ndarray:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from lemmaflow.llm import decontam, jaccard, linededup, packing, quality, rules, secrets, tokenfile, urls, warc
 from lemmaflow.llm.common import scratch_dir
 from lemmaflow.llm.queries import tokenizer_path
-from lemmaflow.llm.tokens import encoder, encode_column
+from lemmaflow.llm.tokens import Encoder, encode_column
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, h1 long, line string, rep string, __lf_text string"
 HARD = ["a  b", "a \n b", "  x", "don't stop,now. O'K's 12,5 3.4 é.̈ x", "x\t  b", "İstanbul ΣΑΣ. K", "a\x01b c", "<|endoftext|> hi", "A.B.,C ,d , e", "\n\n hello   world \r\n", "汉字 测试,好。", "a ́b"]
@@ -119,10 +120,17 @@ def test_line_dedup_of_an_empty_table(none):
 # ---- tokens, 3 and 10
 
 
+def fresh(name: str):
+    """The library's own tokenizer, without anything of ours."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path(name))
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_gives_the_ids_of_the_library(rows, name):
     texts = [t for _, t in rows]
-    tokenizer = encoder(tokenizer_path(name)).tokenizer
+    tokenizer = fresh(name)
     for at, ids, offsets in encode_column(pa.array(texts), tokenizer_path(name), 1):
         for i in range(len(offsets) - 1):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == [*tokenizer.encode(texts[at + i] or "", add_special_tokens=False).ids, 1]
@@ -130,21 +138,34 @@ def test_encoder_gives_the_ids_of_the_library(rows, name):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_added_tokens_in_texts_get_the_ids_of_the_fresh_file(name):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    tokenizer = fresh(name)
     end, begin = "<|endoftext|>", "<|startoftext|>"
     texts = ["plain text. one", f"a {end} b", end, f"{end}{end} {begin}x", f"  {end}  ", f"a.{end}.b, c", f"End {end.upper()} <|endof text|>", f"x\n\n{end}\n\ny \t{end} z", f"<{end}> <|endof{end}text|>", f"a\x01b {end} c", f"é{end}́ e", None, "", f"don{end}'t 1{end}2", "plain  text"]
     for part in (texts, [t for t in texts if end in (t or "")], ["plain", ""]):
         for at, ids, offsets in encode_column(pa.array(part), tokenizer_path(name), 1):
             for i in range(len(offsets) - 1):
                 assert ids[offsets[i] : offsets[i + 1]].tolist() == [*tokenizer.encode(part[at + i] or "", add_special_tokens=False).ids, 1], part[at + i]
-    assert tokenizer.token_to_id(end) in encoder(tokenizer_path(name)).encode(pa.array([f"a {end} b"], pa.large_string()))[0]
+    assert tokenizer.token_to_id(end) in Encoder(tokenizer_path(name)).encode(pa.array([f"a {end} b"], pa.large_string()))[0]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_no_cut_of_the_encoder_changes_an_id(name):
+    """All letters and marks before stops, and random strings of pieces that normalisation, lower case or added tokens change."""
+    rng, own = random.Random(6), Encoder(tokenizer_path(name))
+    letters = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in "LM"]
+    marks = [c for c in letters if unicodedata.category(c)[0] == "M"]
+    pool = [*"AJTYhWKIİıabßéÉÿΣς., \n\t123!-\x85", "  ", "'s", "'T", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "क़", "ড়", "ਲ਼", "\u0301", "\u0307", "\u030c", "\u0331", "ᄒ", "ᅡ", "Å", "ﬁ", "。", "\x01", "\u200d", "😀"]
+    texts = [f"{x}. x {x}, y" for x in letters] + ["".join(rng.choice(pool if rng.random() < 0.9 else marks) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    for a in range(0, len(texts), 5000):
+        part = texts[a : a + 5000]
+        ids, at = own.encode(pa.array(part, pa.large_string()))
+        for i, want in enumerate(fresh(name).encode_batch(part, add_special_tokens=False)):
+            assert ids[at[i] : at[i + 1]].tolist() == want.ids, ascii(part[i])
 
 
 def test_packing_places_every_id_once(docs, none, rows):
     path = tokenizer_path("byte_bpe_50k.json")
-    tokenizer = encoder(path).tokenizer
+    tokenizer = fresh("byte_bpe_50k.json")
     out = packing.pack_documents(docs, path).collect()
     want = Counter()
     for i, t in rows:
@@ -194,7 +215,7 @@ def test_packing_holds_all_limits_at_once():
 
 def test_token_files_round_trip_in_order(spark, docs, none, rows):
     path, folder = tokenizer_path("word_bpe_49k.json"), scratch_dir(spark, "test")
-    tokenizer = encoder(path).tokenizer
+    tokenizer = fresh("word_bpe_49k.json")
     tokenfile.write_token_files(docs, folder, path)
     got = sorted(tokenfile.read_token_files(spark, folder).collect(), key=lambda r: r["start"])
     want = Counter((i, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t in rows)

@@ -6,10 +6,10 @@ import random
 from collections import Counter
 
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lemmaflow.llm.queries import tokenizer_path
-from lemmaflow.llm.tokens import encoder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -55,7 +55,7 @@ def test_stages_in_order(spark, tables):
     assert set(lines) - set(kept["ngram_jaccard"]) == {33}
     assert set(kept["ngram_jaccard"]) - set(kept["benchmark_decontamination"]) == {34}
     last = kept["benchmark_decontamination"]
-    tokenizer = encoder(tokenizer_path("byte_bpe_50k.json")).tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     want = Counter({i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in last.items()})
     got = Counter()
     for r in corpus_pipeline.run(spark, folder).collect():
