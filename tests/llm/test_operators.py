@@ -408,6 +408,87 @@ def test_jaccard_join_of_repeated_rows_and_empty_tables(docs, none, rows):
     assert jaccard.jaccard_classes(none).count() == 0
 
 
+@pytest.fixture(scope="module")
+def family(spark):
+    """A family of 60 texts that differ in a few words each, and pairs of texts with a similarity from 0.80 to 0.85."""
+    rng, out = random.Random(12), []
+    base = words(rng, 80, 5000).split()
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(80), i // 15):
+            w[at] = f"own{i}x{at}"
+        out.append((1000 + i, " ".join(w)))
+    pairs = []
+    while len(pairs) < 300:
+        a = words(rng, rng.randrange(60, 200), 100_000).split()
+        b = list(a)
+        for _ in range(rng.randrange(1, 5)):
+            b[rng.randrange(len(b))] = "other"
+        x, y = shingle_set(" ".join(a)), shingle_set(" ".join(b))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.85:
+            out += [(2000 + 2 * len(pairs), " ".join(a)), (2001 + 2 * len(pairs), " ".join(b))]
+            pairs.append(out[-2:])
+    return out
+
+
+def brute_links(rows):
+    sets, n = {i: shingle_set(t) for i, t in rows}, Counter()
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                n[i] += 1
+                n[j] += 1
+    return {i: n[i] for i in sets}
+
+
+@pytest.mark.parametrize("limits", [(256, 1 << 22, 1 << 15), (4, 1 << 9, 1 << 15), (4, 1 << 22, 5)])
+def test_jaccard_join_counts_the_links_of_a_family_in_any_blocks(spark, family, limits, monkeypatch):
+    block, volume, node_rows = limits
+    monkeypatch.setattr(jaccard, "VOLUME", volume)
+    monkeypatch.setattr(jaccard, "NODE_ROWS", node_rows)
+    rows = [r for r in family if r[0] < 2000]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_links"] for r in jaccard.jaccard_classes(df, block=block).collect()} == brute_links(rows)
+
+
+def test_recall_at_the_threshold_is_reached(spark, family):
+    """Of 300 pairs with a similarity from 0.80 to 0.85."""
+    rows = [r for r in family if r[0] >= 2000]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_links(rows)
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.99 * sum(want.values())
+
+
+def test_shared_elements_and_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(9)]
+    want = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert jaccard.shared(sets, sets).tolist() == want
+    assert jaccard.shared(sets[:3], sets[3:]).tolist() == [r[3:] for r in want[:3]]
+    assert jaccard.shared([sets[0]], [sets[1]]).tolist() == [[want[0][1]]] and jaccard.shared([sets[0]], [np.array([99], np.uint64)] * 2).tolist() == [[0, 0]]
+    monkeypatch.setattr(jaccard, "SLICE_ROWS", 2)
+    monkeypatch.setattr(jaccard, "SLICE_VOLUME", 10)
+    assert jaccard.slices(np.array([1, 1, 1, 20, 8, 3]), 5) == [(5, 7), (7, 8), (8, 9), (9, 10), (10, 11)] and jaccard.slices(np.array([], int), 0) == []
+
+
+def test_runs_are_joined_as_brute_force_joins_them():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        n = int(rng.integers(1, 30))
+        sig = rng.integers(0, 3, (n, 8)).astype(np.uint16)
+        cut = rng.random(n) < 0.2
+        cut[0] = True
+        run = np.cumsum(cut)
+        root = jaccard.join_alike(np.arange(n), np.flatnonzero(cut), sig, 5)
+        want = list(range(n))
+        for _ in range(n):
+            for i in range(n):
+                for j in range(n):
+                    if run[i] == run[j] and (sig[i] == sig[j]).sum() >= 5:
+                        want[i] = want[j] = min(want[i], want[j])
+        assert root.tolist() == want
+
+
 def test_prefixes_are_shortened_until_the_recall():
     assert jaccard.prefix_length(0.8, 0.999) == 4 and jaccard.prefix_length(0.99, 0.999) == jaccard.DEEPEST and jaccard.prefix_length(0.1, 0.999) == 1
 
