@@ -196,21 +196,88 @@ def test_packing_places_every_id_once(docs, none, rows):
     assert packing.pack_documents(none, path).count() == 0
 
 
-def test_packing_holds_all_limits_at_once():
+def plain_packing(sizes: list[tuple[int, int]], caps: tuple[int, int, int], pool: int) -> list[list[tuple[int, int, int]]]:
+    """Sequences of (example, start, tokens), one example at a time, by the docstring's words. ``sizes``: tokens, and from where they bear loss."""
+    start, waiting, room, pieces, made = [0] * len(sizes), [], list(caps), [], []
+
+    def demand(i, n=None):
+        n = sizes[i][0] - start[i] if n is None else n
+        return n, 1, max(0, start[i] + n - max(start[i], sizes[i][1]))
+
+    def fits(i):
+        return max((n for n in range(1, sizes[i][0] - start[i] + 1) if all(x <= y for x, y in zip(demand(i, n), room))), default=0)
+
+    def close():
+        left, at, open_ = sum(n for _, _, n in pieces), 0, [list(p) for p in pieces]
+        while left:
+            size, own = left if left == caps[0] else 1 << (left.bit_length() - 1), []
+            left -= size
+            while size:
+                n = min(size, open_[at][2])
+                own.append((open_[at][0], open_[at][1], n))
+                open_[at][1], open_[at][2], size = open_[at][1] + n, open_[at][2] - n, size - n
+                at += open_[at][2] == 0
+            made.append(own)
+        room[:] = caps
+        pieces.clear()
+
+    def pack(leave):
+        while len(waiting) > leave:
+            while waiting:
+                able = [i for i in waiting if fits(i) == demand(i)[0]] or [i for i in waiting if fits(i)]
+                if not able:
+                    break
+                best = max(able, key=lambda i: (sum(d * r / c / c for d, r, c in zip(demand(i), room, caps)), -waiting.index(i)))
+                n = fits(best)
+                for k, d in enumerate(demand(best, n)):
+                    room[k] -= d
+                pieces.append((best, start[best], n))
+                start[best] += n
+                if start[best] == sizes[best][0]:
+                    waiting.remove(best)
+            if waiting or room[0] == 0:
+                close()
+
+    for i in range(len(sizes)):
+        waiting.append(i)
+        if len(waiting) >= pool:
+            pack(pool // 2)
+    pack(0)
+    close()
+    return made
+
+
+@pytest.mark.parametrize("caps", [(64, 4, 32), (64, 64, 64), (64, 8, 60)])
+def test_packing_chooses_as_brute_force_does(caps):
     rng = random.Random(3)
-    limits = packing.Limits(tokens=100, segments=4, loss_tokens=40, pool=16)
-    packer, made = packing.Packer(limits), []
-    sizes = [rng.randrange(1, 150) for _ in range(300)]
-    for i, n in enumerate(sizes):
-        made += packer.add(packing.Example(i, np.arange(n), n, 0, rng.randrange(0, n + 1)))
+    sizes = [(n, rng.randrange(0, n + 1)) for n in (rng.choice([1, 3, 10, 40, 150]) + rng.randrange(5) for _ in range(120))]
+    packer, made = packing.Packer(packing.Limits(*caps, pool=16)), []
+    for i, (n, begin) in enumerate(sizes):
+        made += packer.add(packing.Example(i, np.arange(n), n, 0, begin))
     made += packer.finish()
-    seen = defaultdict(list)
+    assert [[(i, start, len(ids)) for i, start, ids, _, _ in pieces] for pieces in made] == plain_packing(sizes, caps, 16)
     for pieces in made:
-        assert 0 < len(pieces) <= 4 and sum(len(p[2]) for p in pieces) <= 100 and sum(p[4] for p in pieces) <= 40
-        for doc, start, ids, _, _ in pieces:
-            seen[doc] += [(start, ids)]
-    for i, n in enumerate(sizes):
-        assert np.concatenate([x for _, x in sorted(seen[i], key=lambda p: p[0])]).tolist() == list(range(n))
+        n = sum(len(p[2]) for p in pieces)
+        assert len(pieces) <= caps[1] and sum(p[4] for p in pieces) <= caps[2] and (n == caps[0] or n & (n - 1) == 0)
+        assert all(loss == sum(t >= sizes[i][1] for t in ids) for i, _, ids, _, loss in pieces)
+    # every limit closes sequences
+    assert caps != (64, 4, 32) or any(sum(p[4] for p in x) == caps[2] for x in made) and any(len(x) == caps[1] for x in made)
+
+
+def test_tiny_examples_fill_whole_sequences():
+    packer = packing.Packer(packing.Limits(tokens=2048, segments=2048, loss_tokens=2048, pool=64))
+    made = [p for i in range(3000) for p in packer.add(packing.Example(i, np.arange(3), 3, 0, 0))] + list(packer.finish())
+    assert [sum(len(p[2]) for p in x) for x in made] == [2048] * 4 + [512, 256, 32, 8]
+
+
+def test_prompts_bear_no_loss(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(1, "two words\nthe answer is here"), (2, "one line"), (3, None), (4, "\nx")], "doc_id long, text string")
+    n = lambda x: len(fresh("byte_bpe_50k.json").encode(x, add_special_tokens=False).ids)
+    loss = Counter()
+    for r in packing.pack_documents(df, path, prompt=packing.first_line()).collect():
+        loss[r["doc_id"]] += r["loss_tokens"]
+    assert loss == {1: n("two words\nthe answer is here") + 1 - n("two words"), 2: n("one line") + 1, 3: 1, 4: n("\nx") + 1}
 
 
 def test_token_files_round_trip_in_order(spark, docs, none, rows):
@@ -341,30 +408,58 @@ def tiling(a: list[str], b: list[str], least: int) -> tuple[int, int]:
         covered, tiles = covered + n, tiles + 1
 
 
-def test_tiling_is_that_of_brute_force():
+@pytest.mark.parametrize("seeds", [1 << 20, 3])
+def test_tiling_is_that_of_brute_force(seeds, monkeypatch):
+    """With few seeds at once, texts meet their items one by one and in slices."""
+    monkeypatch.setattr(decontam, "SEEDS", seeds)
     rng = random.Random(1)
-    for _ in range(150):
-        items = [" ".join(rng.choices("abcd", k=rng.randint(3, 14))) for _ in range(3)]
-        texts = [" ".join(rng.choices("abcd", k=rng.randint(0, 25))) for _ in range(4)]
-        block = decontam.Block.of(list(enumerate(items)), 3)
+    for k in range(150):
+        letters = "abcd" if k % 2 else "ab"
+        items = [" ".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(3)]
+        texts = [" ".join(rng.choices(letters, k=rng.randint(0, 25))) for _ in range(4)]
+        block = decontam.Block.of(list(enumerate(items)), 3, 2)
         got = {(t, i): (c, k) for t, i, _, c, k in decontam.overlaps(pa.array(texts), block)}
         for t, x in enumerate(texts):
             for i, y in enumerate(items):
-                assert got.get((t, i), (0, 0)) == tiling(y.split(), x.split(), 3)
+                n = len(y.split())
+                assert got.get((t, i), (0, 0)) == (tiling(y.split(), x.split(), min(3, n)) if n > 1 else (int(x == y), int(x == y)))
+
+
+def test_tiling_of_repeats_is_that_of_brute_force(monkeypatch):
+    """Most windows of such texts are left out."""
+    monkeypatch.setattr(decontam, "SEEDS", 5)
+    rng = random.Random(2)
+    again = lambda letters, most, n: (rng.choices(letters, k=rng.randint(1, most)) * n)[:n]
+    for _ in range(60):
+        items = [" ".join(again("ab", 3, rng.randint(3, 8)) + rng.choices("abc", k=rng.randint(0, 4))) for _ in range(3)]
+        text = again("ab", 4, rng.randint(100, 300)) + rng.choices("abc", k=rng.randint(0, 20)) + again("ab", 3, rng.randint(1, 150)) + rng.choices("abc", k=6)
+        block = decontam.Block.of(list(enumerate(items)), 3)
+        got = {i: (c, k) for _, i, _, c, k in decontam.overlaps(pa.array([" ".join(text)]), block)}
+        assert all(got.get(i, (0, 0)) == tiling(y.split(), text, 3) for i, y in enumerate(items))
+
+
+def test_repeated_words_take_bounded_memory():
+    import tracemalloc
+
+    block = decontam.Block.of([(i, "word " * 30) for i in range(1000)], 5)
+    tracemalloc.start()
+    found = list(decontam.overlaps(pa.array(["word " * 200_000]), block))
+    assert len(found) == 1000 and all(f[2:] == (30, 30, 1) for f in found) and tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
 
 
 def test_contaminated_documents_are_found_in_any_order(spark, docs, none):
     rng = random.Random(8)
-    items = [(i, words(rng, 40, 10_000)) for i in range(6)] + [(6, None), (7, ""), (8, "just three words"), (None, words(rng, 30, 10_000)), (9, "zzz"), (9, "zzz")]
+    items = [(i, words(rng, 40, 10_000)) for i in range(6)] + [(6, None), (7, ""), (8, "just three words"), (None, words(rng, 30, 10_000)), (9, "zzz"), (9, "zzz"), (11, "just two"), (12, "two more")]
     turned = items[1][1].split()
-    texts = [(200, "before " + items[0][1].upper() + " after"), (201, " ".join(turned[20:] + ["and", "then"] + turned[:20])), (202, " ".join(items[2][1].split()[:15])), (203, "Just three, words!"), (204, "just three words more"), (205, items[9][1]), (None, items[3][1])]
+    texts = [(200, "before " + items[0][1].upper() + " after"), (201, " ".join(turned[20:] + ["and", "then"] + turned[:20])), (202, " ".join(items[2][1].split()[:15])), (203, "Just three, words!"), (204, "just three words more"), (206, "just two"), (205, items[9][1]), (None, items[3][1])]
     extra = spark.createDataFrame([(i, t, None, None, None, 7, "a", "b", "c") for i, t in texts], DOCS)
     benchmark = spark.createDataFrame([(*i, "clash") for i in items], "item_id long, text string, doc_id string")
     for size in (1 << 20, 50):  # one block, and several
         found = decontam.contaminated(docs.unionByName(extra), benchmark, block_words=size)
-        assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(200, 0), (201, 1), (203, 8), (205, None), (None, 3)}
+        assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(200, 0), (201, 1), (203, 8), (204, 8), (206, 11), (205, None), (None, 3)}
         kept = decontam.drop_contaminated(docs.unionByName(extra), benchmark, block_words=size)
-        assert kept.columns == docs.columns and kept.count() == docs.count() + 2
+        assert kept.columns == docs.columns and kept.count() == docs.count() + 1
     assert decontam.contaminated(none, benchmark).count() == 0
     assert decontam.contaminated(docs, benchmark.limit(0)).count() == 0 and decontam.drop_contaminated(docs, benchmark.limit(0)).count() == docs.count()
 
