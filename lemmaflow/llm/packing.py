@@ -1,13 +1,16 @@
 """Packing: vector bin packing of token sequences under simultaneous limits, by the dot-product heuristic.
 
 Every example asks for tokens, segments and loss-bearing tokens; every sequence (bin) has a capacity of each.
-An open sequence takes, from a bounded pool of waiting examples, the fitting example whose demand has the largest
+The open sequence takes, from a bounded pool of waiting examples, the fitting example whose demand has the largest
 dot product with what the sequence has left, both as shares of the capacities. When none fits whole, the example of
-the largest product is cut to what is left. Each Spark partition packs its own examples: no shuffle, no state between tasks,
+the largest product is cut, among those of which a token fits. When no token fits any more, the sequence is closed; one that isn't full is
+cut at powers of two, which need no padding. Each Spark partition packs its own examples: no shuffle, no state between tasks,
 and a task that runs again makes its own sequences again.
 
+Instruction data has a prompt, whose tokens bear no loss, before the answer, whose tokens do.
+
 Defined results: null text is the empty text (only the end id); a null doc_id stays null; rows with equal doc_id are
-separate examples; an empty table gives no rows; other columns of the input are not read.
+separate examples; a null prompt or loss start is none, so that all tokens bear loss; an empty table gives no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lemmaflow.llm.tokens import encode_column
@@ -31,8 +34,8 @@ class Limits:
     """Capacities of a sequence. ``pool``: examples that wait at once in a task."""
 
     tokens: int = 2048
-    segments: int = 512
-    loss_tokens: int = 2048
+    segments: int = 64
+    loss_tokens: int = 1984
     pool: int = 512
 
 
@@ -54,9 +57,20 @@ class Example:
         self.start += n
         return piece
 
-    def most(self, tokens: int, loss: int) -> int:
-        """How many of the next tokens fit into so many tokens and loss-bearing tokens."""
-        return min(tokens, self.total - self.start, max(0, self.loss_from - self.start) + loss)
+
+def choose(need: np.ndarray, room: np.ndarray, caps: np.ndarray) -> tuple[int, int] | None:
+    """The example to place next and how many of its tokens; None if no token of any fits. ``need``: tokens, segments and loss-bearing tokens of each, 0 if placed."""
+    if room[1] < 1:
+        return None
+    # tokens before the loss-bearing ones, and as many of those as fit
+    fits = np.minimum(need[:, 0], np.minimum(room[0], need[:, 0] - need[:, 2] + room[2]))
+    able = (need[:, 0] > 0) & (fits >= need[:, 0])
+    if not able.any():
+        able = fits > 0
+        if not able.any():
+            return None
+    at = int(np.argmax(np.where(able, (need / caps) @ (room / caps), -1.0)))
+    return at, int(fits[at])
 
 
 class Packer:
@@ -66,51 +80,46 @@ class Packer:
         self.limits = limits
         self.caps = np.array([limits.tokens, limits.segments, limits.loss_tokens], np.float64)
         self.pool: list[Example] = []
-        self.need = np.zeros((0, 3))
+        self.begin()
+
+    def begin(self) -> None:
+        self.room, self.pieces = self.caps.copy(), []
 
     def demand(self, x: Example) -> tuple[int, int, int]:
-        return x.total - x.start, 1, x.loss(x.total - x.start)
+        left = x.total - x.start
+        return (left, 1, x.loss(left)) if left else (0, 0, 0)
 
     def add(self, x: Example) -> Iterator[list[tuple]]:
-        limits = self.limits
-        while x.total - x.start >= limits.tokens and x.most(limits.tokens, limits.loss_tokens) == limits.tokens:
-            yield [x.take(limits.tokens)]  # a full sequence of one segment
-        if x.start < x.total:
-            self.pool.append(x)
-        if len(self.pool) >= limits.pool:
-            yield from self.pack(limits.pool // 2)
+        self.pool.append(x)
+        if len(self.pool) >= self.limits.pool:
+            yield from self.pack(self.limits.pool // 2)
 
     def finish(self) -> Iterator[list[tuple]]:
-        for pieces in self.pack(0):
-            if sum(len(p[2]) for p in pieces) == self.limits.tokens:
-                yield pieces
-            else:
-                yield from at_powers_of_two(pieces)
+        yield from self.pack(0)
+        yield from self.close()
+
+    def close(self) -> Iterator[list[tuple]]:
+        pieces, full = self.pieces, self.room[0] == 0
+        self.begin()
+        if pieces:
+            yield from [pieces] if full else at_powers_of_two(pieces)
 
     def pack(self, leave: int) -> Iterator[list[tuple]]:
-        """Fill sequences until no more than ``leave`` examples wait; with ``leave`` over 0 only full ones are closed by want of examples."""
-        self.need = np.array([self.demand(x) for x in self.pool], np.float64).reshape(-1, 3)
-        alive = np.ones(len(self.pool), bool)
+        """Close sequences until no more than ``leave`` examples wait. A sequence that wants examples stays open."""
+        need = np.array([self.demand(x) for x in self.pool], np.float64).reshape(-1, 3)
         n = len(self.pool)
         while n > leave:
-            room, pieces = self.caps.copy(), []
-            while n and room[0] > 0 and room[1] > 0:
-                value = np.where(alive, (self.need / self.caps) @ (room / self.caps), -1.0)
-                fits = alive & (self.need <= room).all(1)
-                at = int(np.argmax(np.where(fits, value, -1.0))) if fits.any() else int(np.argmax(value))
+            while n and (chosen := choose(need, self.room, self.caps)):
+                at, take = chosen
                 x = self.pool[at]
-                take = x.most(int(room[0]), int(room[2]))
-                if take <= 0:
-                    break  # no loss-bearing token fits any more
                 piece = x.take(take)
-                pieces.append(piece)
-                room -= (take, 1, piece[4])
-                if x.start == x.total:
-                    alive[at], n = False, n - 1
-                else:
-                    self.need[at] = self.demand(x)
-            yield pieces
-        self.pool = [x for x, a in zip(self.pool, alive, strict=True) if a]
+                self.pieces.append(piece)
+                self.room -= (take, 1, piece[4])
+                need[at] = self.demand(x)
+                n -= x.start == x.total
+            if n or self.room[0] == 0:
+                yield from self.close()
+        self.pool = [x for x in self.pool if x.start < x.total]
 
 
 def at_powers_of_two(pieces: list[tuple]) -> Iterator[list[tuple]]:
@@ -131,13 +140,18 @@ def at_powers_of_two(pieces: list[tuple]) -> Iterator[list[tuple]]:
         yield out
 
 
-def pack_documents(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", loss_from: str | None = None, limits: Limits = Limits(), end_id: int = 1, with_ids: bool = True) -> DataFrame:
-    """One row for each piece of a document: where it lies in its document and in its sequence, and its ids (uint32, little-endian).
+def pack_documents(
+    df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", loss_from: str | None = None, prompt: Column | None = None, limits: Limits = Limits(), end_id: int = 1, with_ids: bool = True
+) -> DataFrame:
+    """One row for each piece of a document: where it lies in its document and in its sequence, its ids (uint32, little-endian) and its loss-bearing tokens.
 
-    ``loss_from``: a column with the token from which a document's tokens bear loss; without it all do.
+    ``loss_from``: a column with the token from which a document's tokens bear loss. ``prompt``: instead, a column with the text's first part; as
+    many tokens as it has by itself bear no loss. Without both all do.
     """
     from pyspark import TaskContext
 
+    prompted = prompt is not None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, base, made = Packer(limits), TaskContext.get().partitionId() << 32, 0
         columns: list[list] = [[] for _ in range(10)]
@@ -160,6 +174,8 @@ def pack_documents(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
 
         for batch in batches:
             docs, begins = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            if prompted:
+                begins = [n - 1 for _, _, offsets in encode_column(batch.column(3), tokenizer, end_id) for n in np.diff(offsets).tolist()]
             for at, ids, offsets in encode_column(batch.column(1), tokenizer, end_id):
                 for i in range(len(offsets) - 1):
                     own = ids[offsets[i] : offsets[i + 1]]
@@ -172,5 +188,11 @@ def pack_documents(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
         yield from out()
 
     begins = F.col(loss_from).cast("long") if loss_from else F.lit(0).cast("long")
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), begins.alias("loss_from")).mapInArrow(run, PIECES)
+    before = [] if prompt is None else [prompt.alias("prompt")]
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), begins.alias("loss_from"), *before).mapInArrow(run, PIECES)
     return rows if with_ids else rows.drop("ids")
+
+
+def first_line(text: str = "text") -> Column:
+    """The first line of a text of several, as its prompt; null for a text of one line."""
+    return F.when(F.contains(F.col(text), F.lit("\n")), F.substring_index(text, "\n", 1))

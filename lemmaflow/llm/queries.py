@@ -36,9 +36,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lemmaflow.llm.packing import pack_documents
+    """The first line of a document counts as its prompt, so that all three limits act."""
+    from lemmaflow.llm.packing import first_line, pack_documents
 
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), prompt=first_line(), with_ids=False)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
