@@ -37,7 +37,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the training sequences, with their ids."""
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), prompt=packing.first_line())
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("ngram_jaccard", ngram_jaccard), ("benchmark_decontamination", benchmark_decontamination), ("packing", pack)]
