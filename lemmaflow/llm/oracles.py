@@ -14,7 +14,7 @@ select doc_id, count(*) as n_lines, cast(count(*) filter (where dropped) as bigi
 from marked group by doc_id
 """
 
-_QUALITY_RULES = r"""
+_QUALITY_BITS = r"""
 with split as (
   select doc_id, coalesce(text, '') as t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
@@ -39,9 +39,19 @@ with split as (
     + case when n_words >= 10 and (word_chars < 2 * n_words or word_chars > 20 * n_words) then 32 else 0 end as bigint) as fail_bits
   from measured
 )
+"""
+
+_QUALITY_LEDGER = r"""
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept, fail_bits from bits
 """
 
+_ABLATIONS = """
+, rules as (select unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'upper_case', 'word_length']) as rule, unnest([1, 2, 4, 8, 16, 32]) as bit)
+select rule, count(*) filter (where fail_bits & bit <> 0) as n_failed, count(*) filter (where fail_bits = bit) as n_only_this,
+  count(*) filter (where fail_bits = 0 or fail_bits = bit) as n_kept_without, count(*) as n_documents
+from bits cross join rules group by rule
+"""
+
 _WARC = """
 with p as (select page_id, coalesce(html, '') as html, min(page_id) over (partition by coalesce(html, '')) as first from pages),
 q as (select *, octet_length(encode(html)) >= 100 and page_id <> first as again from p)
@@ -62,4 +72,4 @@ select w.doc_id, coalesce(c.class_id, w.doc_id) as class_id, coalesce((select co
 from w left join classes c on c.doc_id = w.doc_id
 """
 
-ORACLES = {"op2_line_dedup": _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _JACCARD, "op8_quality_rules": _QUALITY_RULES}
+ORACLES = {"op2_line_dedup": _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS}

@@ -90,8 +90,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the current policy would keep without each of its rules."""
+    from lemmaflow.llm.rules import POLICIES, ablations, ledger
+
+    return ablations(ledger(table(spark, sf_dir, "documents")), POLICIES["2024-2"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op")}
+    return {k: v for k, v in globals().items() if k.startswith("op") or k == "quality_rules_ablations"}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,6 +1,6 @@
 """Quality rules as a bitmask ledger, with DataFrame functions only.
 
-Every rule is evaluated once for a document. The ledger keeps what was measured and one bit for each rule that failed. Policies are versioned
+Every rule is evaluated once for a document. The ledger, a table, keeps what was measured and one bit for each rule that failed. Policies are versioned
 sets of rules, as masks: a document is kept if none of a policy's bits is set in it. Ablations (what a policy would
 keep without one of its rules) come from the ledger alone, by bitwise aggregation over the few different bit patterns.
 
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lemmaflow.llm.common import P
+from lemmaflow.llm.common import P, staged
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -99,15 +99,18 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     return with_repeat_words(measured).drop(*(P + x for x in ("text", "hashes", "lines", "windows")))
 
 
-def ledger(df: DataFrame) -> DataFrame:
-    """doc_id, the measurements and fail_bits: one bit for each rule of RULES that the document fails."""
-    measured = measure(df.select("doc_id", "text")).drop("text")
+def _with_bits(measured: DataFrame) -> DataFrame:
     bits = F.lit(0).cast("long")
     for name, fails in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BITS[name])).otherwise(F.lit(0)).cast("long"))
     return measured.withColumn("fail_bits", bits)
 
 
+def ledger(df: DataFrame) -> DataFrame:
+    """The table of doc_id, the measurements and fail_bits: one bit for each rule of RULES that the document fails."""
+    return staged(_with_bits(measure(df.select("doc_id", "text")).drop("text")), "ledger")
+
+
 def apply_policy(rows: DataFrame, policy: Policy) -> DataFrame:
     """Adds base_failed, kept and policy_version to ledger rows."""
     failed = F.col("fail_bits").bitwiseAND(F.lit(policy.mask).cast("long")) != 0
@@ -128,14 +131,8 @@ def ablations(rows: DataFrame, policy: Policy) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: Policy) -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, with their own columns."""
+    """The rows of ``docs`` that the policy keeps, with their own columns, which the ledger carries along."""
     names = docs.columns
-    safe = docs.select(*(F.col(f"`{c}`").alias(f"{P}c{i}") for i, c in enumerate(names)), F.col("text"))
-    measured = measure(safe)
-    bad = F.lit(False)
-    for name, fails in RULES:
-        if BITS[name] & (policy.mask | BASE):
-            bad = bad | F.expr(fails)
-    # a generator between them keeps the filter from being pushed down, where it would compute the measurements once more for every rule
-    judged = measured.select(*(f"{P}c{i}" for i in range(len(names))), F.explode(F.array(bad)).alias(f"{P}bad"))
-    return judged.filter(~F.col(f"{P}bad")).select(*(F.col(f"{P}c{i}").alias(c) for i, c in enumerate(names)))
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"{P}c{i}") for i, c in enumerate(names)), F.col("text"))
+    judged = apply_policy(staged(_with_bits(measure(rows)).drop("text"), "ledger"), policy)
+    return judged.filter("kept").select(*(F.col(f"{P}c{i}").alias(c) for i, c in enumerate(names)))
