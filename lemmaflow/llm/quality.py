@@ -1,9 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
-Features of a text are its words, the character n-grams inside its words (with the white space at their ends), two word n-gram
-marks (the word before repeated; five words seen before in the text) and one mark for the text itself, hashed into BUCKETS.
+Features of a text are its words, the character n-grams inside its words (with the white space at their ends), two tokens of their own for word n-grams
+that come again (the word before; five words seen before in the text) and one for the text itself, hashed into BUCKETS.
 Each bucket has a learned vector; a text's vector is the average over its features; a softmax over the classes gives the score.
-Training is stochastic gradient descent in numpy on a bounded sample of labelled rows (``most`` rows, those of least hash). Scoring reads whole texts.
+The two tokens for repeats are beyond plain hashed n-grams, whose average can't tell a text from the text twice; README.md has the figures without them.
+Training is stochastic gradient descent in numpy on a bounded sample of labelled rows: those whose ids have the least hashes, ``most`` rows and
+``most_features`` different features of rows at most. Scoring reads whole texts.
 
 As the output is linear in the averaged vector, a bucket's vector times the difference of the class weights is a number, and
 a text's score comes from the average of these; that table of BUCKETS numbers is all that goes to the tasks.
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lemmaflow.llm.common import staged
 from lemmaflow.llm.textnum import chunks, mix, shingles
 
 BUCKETS = 1 << 17
@@ -133,21 +136,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model:
-    """Fit on ``most`` labelled rows at most: those whose ids have the least hashes."""
+def train(docs: DataFrame, labels: DataFrame, most: int = 3000, most_features: int = 1 << 24) -> Model:
+    """Fit on labelled rows in the order of their ids' hashes: ``most`` at most, with ``most_features`` different features (summed over rows) at most."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-    chosen = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, part in chunks(batch.column(1)):
                 bags = bag(part.to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), batch.column(2).slice(at, len(part)), pa.array([b[0] for b in bags], pa.list_(pa.int32())), pa.array([b[1] for b in bags], pa.list_(pa.float32()))], names=["doc_id", "quality", "ids", "share"])
-
-    # at most ``most`` rows are broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, quality int, ids array<int>, share array<float>").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    bags = [(np.array(i.as_py(), np.int32), np.array(s.as_py(), np.float32)) for i, s in zip(rows.column("ids"), rows.column("share"), strict=True)]
-    return fit(bags, rows.column("quality").to_numpy())
+                columns = [batch.column(0).slice(at, len(part)), batch.column(2).slice(at, len(part)), pa.array([len(b[0]) for b in bags], pa.int64()), pa.array([b[0] for b in bags], pa.list_(pa.int32())), pa.array([b[1] for b in bags], pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "size", "ids", "share"])
+
+    # at most ``most`` rows are broadcast; of several texts with one id the least is taken
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    bags = staged(texts.select("doc_id", "text", "quality").mapInArrow(run, "doc_id long, quality int, size long, ids array<int>, share array<float>").withColumn("place", F.xxhash64("doc_id")), "bags")
+    order = [("place", "ascending"), ("doc_id", "ascending"), ("quality", "ascending")]
+    sizes = bags.select("place", "doc_id", "quality", "size").toArrow().sort_by(order)
+    n = int(np.searchsorted(np.cumsum(sizes.column("size").to_numpy()), most_features, "right"))
+    if n == 0:
+        return fit([], np.zeros(0, int))
+    rows = bags.filter(F.col("place") <= sizes.column("place")[n - 1].as_py()).toArrow().sort_by(order).slice(0, n)
+    found = [(np.array(i.as_py(), np.int32), np.array(s.as_py(), np.float32)) for i, s in zip(rows.column("ids"), rows.column("share"), strict=True)]
+    return fit(found, rows.column("quality").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
