@@ -1,9 +1,10 @@
 """Secret scans, with DataFrame functions only: fixed patterns, and character Markov models for what the patterns don't name.
 
 Two first-order Markov models over the characters of long tokens are trained from labelled samples: strings that look random and
-ordinary identifiers. A token whose log-likelihood ratio exceeds ``LEAST_GAIN`` is a span of kind ``random``, if it overlaps no pattern's span.
+ordinary identifiers. A token whose log-likelihood ratio exceeds a threshold is a span of kind ``random``, if it overlaps no pattern's span.
 The labels come from the patterns: what they match is random, other long tokens are ordinary. Counts cover all documents; there are no more
-than two for each pair of characters.
+than two for each pair of characters. Tokens that hide among the ordinary ones but look random to a first model lose their label. One labelled token in ``HELD_OUT``, by hash, is left out of the counts; on these the threshold is set:
+at the least sum of the share of random ones missed and COST times the share of ordinary ones taken, in the middle of the best range.
 
 Defined results: null text is the empty text, without spans; a null doc_id stays null; repeated rows are scanned alike;
 without samples of one kind its model is uniform; an empty table gives no rows; other columns aren't read.
@@ -16,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lemmaflow.llm.common import P
+from lemmaflow.llm.common import P, staged
 
 
 def _either_case(word: str) -> str:
@@ -32,9 +33,13 @@ PATTERNS = [
 ]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}+(?!\p{L})"
-#: Gain in log-likelihood from which a token counts as random: about 1 in 20,000 tokens needs to be.
+#: Gain in log-likelihood from which a token counts as random where no held-out tokens tell.
 LEAST_GAIN = 10.0
 WEIGHT = 500.0
+#: One token in so many sets the threshold; an ordinary token taken counts as so many random ones missed.
+HELD_OUT, COST = 5, 10.0
+#: Gains from -LIMIT to LIMIT in so many bins.
+LIMIT, BINS = 256.0, 1024
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 KINDS = [k for k, *_ in PATTERNS] + ["random"]
 
@@ -96,6 +101,15 @@ def _any(text: Column, needs: tuple[str, ...]) -> Column:
     return out
 
 
+def _held_out(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(HELD_OUT)) == 0
+
+
+def _inside(token: Column) -> Column:
+    """A token's characters of ALPHABET."""
+    return F.array_join(F.filter(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) > 0), "")
+
+
 def train(labelled: DataFrame) -> list[float]:
     """The gain in log-likelihood (random over ordinary) of each pair of characters.
 
@@ -103,8 +117,7 @@ def train(labelled: DataFrame) -> list[float]:
     their own rare pairs likely; single characters by one more each.
     """
     n = len(ALPHABET)
-    inside = F.filter(F.split("token", ""), lambda c: F.instr(F.lit(ALPHABET), c) > 0)
-    pairs = labelled.select(F.array_join(inside, "").alias("token"), "random").select(F.explode(codes(F.col("token"))).alias("pair"), "random").groupBy("pair", "random").count()
+    pairs = labelled.select(_inside(F.col("token")).alias("token"), "random").select(F.explode(codes(F.col("token"))).alias("pair"), "random").groupBy("pair", "random").count()
     found = {True: [0] * (n * n), False: [0] * (n * n)}
     for r in pairs.collect():  # two rows a pair of characters at most
         if r["pair"] >= 0:
@@ -118,21 +131,51 @@ def train(labelled: DataFrame) -> list[float]:
     return [x - y for x, y in zip(logs(found[True]), logs(found[False]), strict=True)]
 
 
-def find_secrets(docs: DataFrame, gain: list[float] | None = None) -> DataFrame:
-    """doc_id, base (spans of the patterns) and spans (all), each span as (start, rank of its kind in KINDS, end) in code points."""
-    if gain is None:
-        gain = train(labelled_tokens(docs))
+def gain_of(token: Column, gain: list[float]) -> Column:
     table = F.lit(gain)
-    n = len(ALPHABET)
+    return F.aggregate(codes(token), F.lit(0.0), lambda a, c: a + F.get(table, c))
+
+
+def threshold(labelled: DataFrame, gain: list[float]) -> float:
+    """Where the labelled tokens part best; LEAST_GAIN without tokens of both kinds. There are two rows a bin at most."""
+    width = 2 * LIMIT / BINS
+    bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((gain_of(_inside(F.col("token")), gain) + LIMIT) / width)))
+    found = {True: [0] * BINS, False: [0] * BINS}
+    for r in labelled.groupBy(bin_.cast("int").alias("bin"), "random").count().collect():
+        found[r["random"]][r["bin"]] = r["count"]
+    n = {k: sum(v) for k, v in found.items()}
+    if not n[True] or not n[False]:
+        return LEAST_GAIN
+    missed, taken, costs = 0, n[False], []
+    for b in range(BINS + 1):  # tokens from bin b on are taken
+        costs.append(missed / n[True] + COST * taken / n[False])
+        if b < BINS:
+            missed, taken = missed + found[True][b], taken - found[False][b]
+    first = costs.index(min(costs))
+    last = next((b for b in range(first, BINS + 1) if costs[b] > costs[first]), BINS + 1) - 1
+    return width * (first + last) / 2 - LIMIT
+
+
+def learn(docs: DataFrame) -> tuple[list[float], float]:
+    """The gains and the threshold."""
+    labelled = staged(labelled_tokens(docs), "tokens")
+    first = train(labelled.filter(~_held_out(F.col("token"))))
+    labelled = staged(labelled.filter(F.col("random") | (gain_of(_inside(F.col("token")), first) <= LEAST_GAIN)), "tokens")
+    gain = train(labelled.filter(~_held_out(F.col("token"))))
+    return gain, threshold(labelled.filter(_held_out(F.col("token"))), gain)
+
+
+def find_secrets(docs: DataFrame, model: tuple[list[float], float] | None = None) -> DataFrame:
+    """doc_id, base (spans of the patterns) and spans (all), each span as (start, rank of its kind in KINDS, end) in code points. ``model``: what ``learn`` gives."""
+    gain, least = model or learn(docs)
     text = F.col(f"{P}text")
     step = docs.select("doc_id", F.coalesce("text", F.lit("")).alias(f"{P}text")).withColumns({f"{P}{k}": base_spans(text, i) for i, (k, *_) in enumerate(PATTERNS)} | {f"{P}tokens": tokens(text)})
-    score = lambda t: F.aggregate(codes(t), F.lit(0.0), lambda a, c: a + F.get(table, c))
-    step = step.withColumn(f"{P}scores", F.transform(f"{P}tokens", score))
+    step = step.withColumn(f"{P}scores", F.transform(f"{P}tokens", lambda t: gain_of(t, gain)))
     scores, found = F.col(f"{P}scores"), F.col(f"{P}tokens")
     base = F.sort_array(F.concat(*(F.col(f"{P}{k}") for k, *_ in PATTERNS)))
     # a score stands for the length that is measured: 1 where it is high enough
-    high = F.transform(scores, lambda s: F.when(s > LEAST_GAIN, 1).otherwise(0))
-    random = F.when(F.exists(scores, lambda s: s > LEAST_GAIN), _located(text, TOKEN, high, found, 1, len(PATTERNS))).otherwise(_none())
+    high = F.transform(scores, lambda s: F.when(s > least, 1).otherwise(0))
+    random = F.when(F.exists(scores, lambda s: s > least), _located(text, TOKEN, high, found, 1, len(PATTERNS))).otherwise(_none())
     step = step.select("doc_id", base.alias("base"), random.alias(f"{P}random"))
     free = F.filter(f"{P}random", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     return step.select("doc_id", "base", F.sort_array(F.concat("base", free)).alias("spans"))

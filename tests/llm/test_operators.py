@@ -87,6 +87,40 @@ def test_secrets_find_the_base_spans_and_random_strings(spark):
     assert secrets.find_secrets(df.limit(0)).count() == 0
 
 
+def test_threshold_of_random_strings_is_set_on_held_out_tokens(spark):
+    """Precision and recall of strings beyond the patterns, of several alphabets, among identifiers that training hasn't seen."""
+    rng = random.Random(11)
+    syllables = ["get", "user", "name", "list", "item", "count", "value", "file", "path", "index", "row", "ta", "ble", "con", "fig", "re", "port"]
+    name = lambda: rng.choice(["", "_"]).join(rng.choice(syllables) for _ in range(rng.randrange(6, 9)))
+    blob = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    every, upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    texts = [f"secret: {blob(24, every)} {blob(32, '0123456789abcdef')} of {name()} and {name()}" for _ in range(500)]
+    hidden = [blob(n, a) for n in (20, 28, 40) for a in (every, upper) for _ in range(20)]
+    clean = [name() for _ in range(300)]
+    texts += [f"see {x} here" for x in hidden + clean]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gain, least = secrets.learn(df)
+    assert least != secrets.LEAST_GAIN
+    found = {r["doc_id"] for r in secrets.find_secrets(df, (gain, least)).collect() if any(s["rank"] == 3 for s in r["spans"])}
+    at = len(texts) - len(hidden) - len(clean)
+    long = {at + len(hidden) + i for i, x in enumerate(clean) if len(x) >= 16}
+    assert len(long) > 200 and len(found & long) <= 0.01 * len(long) and len(found & set(range(at, at + len(hidden)))) >= 0.95 * len(hidden)
+    # gains are those of counts by hand
+    known = secrets.labelled_tokens(df)
+    gain, kept = secrets.train(known), [("".join(c for c in r["token"] if c in secrets.ALPHABET), r["random"]) for r in known.collect()]
+    for kind in (True, False):
+        pairs = Counter(p for t, k in kept if k == kind for p in zip(t, t[1:]))
+        single, n = Counter(), len(secrets.ALPHABET)
+        for (_, b), c in pairs.items():
+            single[b] += c
+        def log(a, b):
+            q = (single[b] + 1) / (sum(single.values()) + n)
+            return np.log((pairs[a, b] + secrets.WEIGHT * q) / (sum(c for (x, _), c in pairs.items() if x == a) + secrets.WEIGHT))
+        for a, b in ("ab", "Z9", "_r", "00"):
+            gain[secrets.ALPHABET.index(a) * n + secrets.ALPHABET.index(b)] -= log(a, b) if kind else -log(a, b)
+    assert all(abs(gain[secrets.ALPHABET.index(a) * n + secrets.ALPHABET.index(b)]) < 1e-9 for a, b in ("ab", "Z9", "_r", "00"))
+
+
 # ---- 2
 
 
@@ -634,6 +668,8 @@ def test_classifier_learns_quality(spark, none):
     assert {r["doc_id"] for r in held} == {i for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0}
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 > 0) for r in held]) > 0.97
     assert quality.score(none, quality.fit([], np.zeros(0, int))).count() == 0
+    few = quality.train(df.unionByName(df), labels, most_features=2000)  # equal rows count once, and the bound on features holds
+    assert np.isfinite(few.gain).all() and quality.train(df, labels, most_features=0).gain.std() == 0
     lone = quality.score(df, quality.train(df, labels.filter("quality = 1")))
     assert lone.filter("score < 0.9").count() == 0
 
