@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+from typing import ClassVar
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
@@ -53,46 +56,83 @@ def chinese_number(x: Column) -> Column:
     return F.when(matches(x, r"^\d+$"), x).when(x == "十", "10").when(F.contains(x, F.lit("十")), (tens * 10 + F.coalesce(digit(right), F.lit(0))).cast("string")).otherwise(F.coalesce(digit(x).cast("string"), x))
 
 
-def chapter_number(title: Column) -> Column:
-    """The number of a chapter heading, else null."""
-    return F.when(matches(title, R.CHAPTER), part(title, R.CHAPTER, 1)).when(matches(title, R.CHAPTER_CN), chinese_number(part(title, R.CHAPTER_CN, 1)))
+@dataclass(frozen=True)
+class Title:
+    """A title and, for each pattern, its two groups, the second one stripped. A first group has a character at least, so an empty one is no match."""
 
+    text: Column
+    parts: dict[str, tuple[Column, Column]]
 
-def chapter_title(title: Column) -> Column:
-    """``Chapter N. rest`` of a chapter heading, else null."""
-    rest = strip(F.when(matches(title, R.CHAPTER), part(title, R.CHAPTER, 2)).otherwise(part(title, R.CHAPTER_CN, 2)))
-    return F.concat(F.lit("Chapter "), chapter_number(title), F.when(rest != "", F.concat(F.lit(". "), rest)).otherwise(""))
+    PATTERNS: ClassVar[dict[str, str]] = {"chapter": R.CHAPTER, "chinese": R.CHAPTER_CN, "appendix": R.APPENDIX_SECTION, "numeric": R.NUMERIC_SECTION, "letter": R.LETTER_SECTION}
 
+    @classmethod
+    def of(cls, title: Column) -> Title:
+        return cls(title, {n: (part(title, p, 1), strip(part(title, p, 2))) for n, p in cls.PATTERNS.items()})
 
-def is_back_matter(title: Column) -> Column:
-    return matches(clean(title), R.BACK_MATTER)
+    def has(self, name: str) -> Column:
+        return self.parts[name][0] != ""
+
+    def chapter_number(self) -> Column:
+        """The number of a chapter heading, else null."""
+        return F.when(self.has("chapter"), self.parts["chapter"][0]).when(self.has("chinese"), chinese_number(self.parts["chinese"][0]))
+
+    def chapter_title(self, number: Column) -> Column:
+        """``Chapter N. rest`` of a chapter heading, else null."""
+        rest = F.when(self.has("chapter"), self.parts["chapter"][1]).otherwise(self.parts["chinese"][1])
+        return F.concat(F.lit("Chapter "), number, F.when(rest != "", F.concat(F.lit(". "), rest)).otherwise(""))
+
+    def kind(self) -> Column:
+        """appendix, numeric or letter for a cleaned title that heads a section, else null."""
+        rest = self.parts["letter"][1]
+        item = matches(rest, R.RESULT_HEADING) & (matches(rest, R.NUMBERED_ITEM) | matches(rest, R.PROOF_HEADING))
+        sentence = matches(self.text, r"[.?!;:]$") & (F.length(self.text) > 80)
+        none = F.lit(None).cast("string")
+        return (
+            F.when((self.text == "") | matches(self.text, R.BACK_MATTER) | matches(self.text, R.RESULT_HEADING), none)
+            .when(self.has("appendix"), "appendix")
+            .when(self.has("numeric"), F.when(~matches(self.parts["numeric"][1], R.RESULT_HEADING), "numeric"))
+            .when(self.has("letter") & ~sentence, F.when(~item | F.startswith(F.lower(rest), F.lit("proof of")), "letter"))
+        )
+
+    def mark(self, kind: Column) -> Column:
+        """A section's own number or letter."""
+        return F.when(kind == "appendix", self.parts["appendix"][0]).when(kind == "numeric", self.parts["numeric"][0]).when(kind == "letter", self.parts["letter"][0])
+
+    def name(self, kind: Column) -> Column:
+        """A section's title without its number."""
+        letter, own = self.parts["appendix"]
+        return F.when(kind == "appendix", F.when(own != "", own).otherwise(F.concat(F.lit("Appendix "), letter))).when(kind == "numeric", self.parts["numeric"][1]).when(kind == "letter", self.parts["letter"][1])
+
+
+def with_title(df: DataFrame, title: Column) -> DataFrame:
+    """Adds what a cleaned title shows, each pattern matched once: title, kind, mark, name (of a section), own_chapter and own_number (of a chapter).
+
+    The steps are columns of their own, which later expressions only name; filters on them belong behind a shuffle, or they are
+    put before it with all of this once more.
+    """
+    names = [f"__lf_{n}{g}" for n in Title.PATTERNS for g in (1, 2)]
+    own = Title(F.col("title"), {n: (F.col(f"__lf_{n}1"), F.col(f"__lf_{n}2")) for n in Title.PATTERNS})
+    parsed = Title.of(F.col("title")).parts
+    step = df.withColumn("title", title).withColumns({f"__lf_{n}{g}": parsed[n][g - 1] for n in Title.PATTERNS for g in (1, 2)})
+    step = step.withColumns({"kind": own.kind(), "own_number": own.chapter_number()})
+    return step.withColumns({"mark": own.mark(F.col("kind")), "name": own.name(F.col("kind")), "own_chapter": own.chapter_title(F.col("own_number"))}).drop(*names)
 
 
-def _sentence(x: Column) -> Column:
-    return matches(x, r"[.?!;:]$") & (F.length(x) > 80)
+def chapter_number(title: Column) -> Column:
+    return Title.of(title).chapter_number()
 
 
 def section_kind(title: Column) -> Column:
-    """appendix, numeric or letter for a cleaned title that heads a section, else null."""
-    letter_rest = strip(part(title, R.LETTER_SECTION, 2))
-    item = matches(letter_rest, R.RESULT_HEADING) & (matches(letter_rest, R.NUMBERED_ITEM) | matches(letter_rest, R.PROOF_HEADING))
-    none = F.lit(None).cast("string")
-    return (
-        F.when((title == "") | matches(title, R.BACK_MATTER) | matches(title, R.RESULT_HEADING), none)
-        .when(matches(title, R.APPENDIX_SECTION), "appendix")
-        .when(matches(title, R.NUMERIC_SECTION), F.when(~matches(strip(part(title, R.NUMERIC_SECTION, 2)), R.RESULT_HEADING), "numeric"))
-        .when(matches(title, R.LETTER_SECTION) & ~_sentence(title), F.when(~item | F.startswith(F.lower(letter_rest), F.lit("proof of")), "letter"))
-    )
+    return Title.of(title).kind()
 
 
-def section_number(title: Column, kind: Column, chapter: Column) -> Column:
-    letter = part(title, R.LETTER_SECTION, 1)
-    return F.when(kind == "appendix", part(title, R.APPENDIX_SECTION, 1)).when(kind == "numeric", part(title, R.NUMERIC_SECTION, 1)).when(kind == "letter", F.when(chapter != "", F.concat(chapter, F.lit("."), letter)).otherwise(letter))
+def section_number(kind: Column, mark: Column, chapter: Column) -> Column:
+    """A section's number; letters follow their chapter's."""
+    return F.when((kind == "letter") & (chapter != ""), F.concat(chapter, F.lit("."), mark)).otherwise(mark)
 
 
-def section_title(title: Column, kind: Column) -> Column:
-    own = strip(part(title, R.APPENDIX_SECTION, 2))
-    return F.when(kind == "appendix", F.when(own != "", own).otherwise(F.concat(F.lit("Appendix "), part(title, R.APPENDIX_SECTION, 1)))).when(kind == "numeric", strip(part(title, R.NUMERIC_SECTION, 2))).when(kind == "letter", strip(part(title, R.LETTER_SECTION, 2)))
+def is_back_matter(title: Column) -> Column:
+    return matches(clean(title), R.BACK_MATTER)
 
 
 def heading_like(text: Column, math: Column | bool) -> Column:
@@ -102,12 +142,6 @@ def heading_like(text: Column, math: Column | bool) -> Column:
     return (x != "") & (F.length(x) <= 110) & ~matches(x, r"[.。;；,，]$") & (plain | ~matches(x, R.MATHY)) & ~((F.length(x) > 55) & matches(x, r"[，,;；:：。.!?？]"))
 
 
-def bare_section(line: Column) -> Column:
-    """A line without heading marks that may head a section."""
-    marker, rest = part(line, R.BARE_NUMBERED, 1), strip(part(line, R.BARE_NUMBERED, 2))
-    return matches(line, R.BARE_NUMBERED) & ~matches(line, R.ITEM_HEADING) & section_kind(clean(line)).isNotNull() & heading_like(rest, F.contains(marker, F.lit(".")))
-
-
 def previous_number(number: Column) -> Column:
     """The number before in its last place, if that is over 0; else null."""
     last = F.element_at(F.split(number, r"\."), -1)
@@ -142,17 +176,26 @@ def item_type(raw: Column) -> Column:
     return F.when(x.isin(*R.TYPES), x).otherwise("unknown")
 
 
-def inferred_number(kind: Column, content: Column) -> Column:
-    """The number that an item's first line shows after its kind's name, as components; else none."""
-    first = F.regexp_replace(F.coalesce(F.get(split_lines(content), F.lit(0)), F.lit("")), r"(?U)^\s*(?:#{1,6}\s*)?[*_`]+", "")
-    out = F.lit(None).cast("array<string>")
-    for name, words in R.SOURCE_NAMES.items():
-        alternatives = "|".join(w.replace(".", r"\.") for w in sorted(words, key=len, reverse=True))
-        pattern = R.ANY + rf"^\s*(?:{alternatives})(?![A-Za-z])\s*([:：.]?)\s*{R.SOURCE_NUMBER}(?=[\s.:：)）(]|$)"
-        parts = F.filter(F.split(part(first, pattern, 2), r"\."), lambda p: p != "")
-        lone = (part(first, pattern, 1) == ".") & (F.size(parts) == 1) & matches(F.get(parts, F.lit(0)), r"^[A-Za-z]$")
-        out = F.when(kind == name, F.when(matches(first, pattern) & ~lone, parts)).otherwise(out)
-    return F.coalesce(out, F.array().cast("array<string>"))
+def _first_line_number() -> str:
+    words = sorted((w for names in R.SOURCE_NAMES.values() for w in names), key=len, reverse=True)
+    return R.ANY + rf"^\s*({'|'.join(w.replace('.', chr(92) + '.') for w in words)})(?![A-Za-z])\s*([:：.]?)\s*{R.SOURCE_NUMBER}(?=[\s.:：)）(]|$)"
+
+
+def inferred_number(first: Column, kind: Column) -> Column:
+    """The number that an item's first line shows after its kind's name, as components; else none. ``first``: see ``first_line``.
+
+    One pattern has the names of all kinds, no two of which share a name.
+    """
+    pattern, kinds = _first_line_number(), {w.lower(): k for k, names in R.SOURCE_NAMES.items() for w in names}
+    word = F.translate(F.lower(part(first, pattern, 1)), "ſ", "s")
+    parts = F.filter(F.split(part(first, pattern, 3), r"\."), lambda p: p != "")
+    lone = (part(first, pattern, 2) == ".") & (F.size(parts) == 1) & matches(F.get(parts, F.lit(0)), r"^[A-Za-z]$")
+    return F.when((lookup(word, kinds) == kind) & ~lone, parts).otherwise(F.array().cast("array<string>"))
+
+
+def first_line(content: Column) -> Column:
+    """An item's first line without heading marks and emphasis before its words."""
+    return F.regexp_replace(F.coalesce(F.get(split_lines(content), F.lit(0)), F.lit("")), r"(?U)^\s*(?:#{1,6}\s*)?[*_`]+", "")
 
 
 def nth_position(text: Column, anchor: Column, n: Column) -> Column:

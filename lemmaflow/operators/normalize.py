@@ -23,7 +23,8 @@ def normalized(raw: DataFrame, sections: DataFrame) -> DataFrame:
     context = sections.select(*KEY, "section_number", "chapter_number", "section", "chapter")
     own = raw.join(context, KEY).withColumns({"env": T.normal_kind(F.col("env")), "raw_label": T.strip(F.coalesce("label", F.lit(""))), "content": T.strip(F.coalesce("content", F.lit("")))})
     given = trimmed(F.col("number_components"))
-    own = own.withColumn("number_components", F.when(F.size(given) > 0, given).otherwise(T.inferred_number(F.col("env"), F.col("content"))))
+    own = own.withColumns({"first": T.first_line(F.col("content")), "given": given})
+    own = own.withColumn("number_components", F.when(F.size("given") > 0, F.col("given")).otherwise(T.inferred_number(F.col("first"), F.col("env")))).drop("first", "given")
     order = Window.partitionBy(*KEY).orderBy("position")
     bare = (F.size("number_components") == 0).cast("int")
     prefix = F.coalesce(F.nullif(T.strip(F.coalesce("section_number", F.lit(""))), F.lit("")), F.nullif(T.strip(F.coalesce("chapter_number", F.lit(""))), F.lit("")), F.lit("section"))

@@ -37,47 +37,55 @@ def classified(headings_: DataFrame, names: DataFrame) -> DataFrame:
     ``names``: (doc_id, source_name). The chapter before the first one is the document's title: its first plain heading of level 1, else the file's stem.
     """
     title = F.col("title")
-    kind = T.section_kind(title)
-    role = F.when(T.is_back_matter(title), "back").when(T.chapter_number(title).isNotNull(), "chapter").when(T.matches(title, R.FRONT_MATTER), "front").when(F.col("section_kind").isNotNull(), "section").otherwise("none")
-    own = headings_.withColumn("section_kind", kind).withColumn("role", role)
+    role = F.when(T.matches(title, R.BACK_MATTER), "back").when(F.col("own_number").isNotNull(), "chapter").when(T.matches(title, R.FRONT_MATTER), "front").when(F.col("kind").isNotNull(), "section").otherwise("none")
+    own = T.with_title(headings_, title).withColumn("role", role).select("doc_id", "line_no", "level", "title", F.col("kind").alias("section_kind"), "mark", "name", "own_chapter", "own_number", "role")
     plain = F.when((F.col("role") == "none") & (F.col("level") == 1), title)
     everywhere = by_line().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = by_line().rowsBetween(*UP_TO_HERE)
-    chapter = F.col("role") == "chapter"
+    chapter, section = F.col("role") == "chapter", F.col("role") == "section"
     own = own.withColumns({
         "doc_title": F.first(plain, ignorenulls=True).over(everywhere),
-        "chapter": F.last(F.when(chapter, T.chapter_title(title)), ignorenulls=True).over(so_far),
-        "chapter_number": F.coalesce(F.last(F.when(chapter, T.chapter_number(title)), ignorenulls=True).over(so_far), F.lit("")),
+        "chapter": F.last(F.when(chapter, F.col("own_chapter")), ignorenulls=True).over(so_far),
+        "chapter_number": F.coalesce(F.last(F.when(chapter, F.col("own_number")), ignorenulls=True).over(so_far), F.lit("")),
     }).join(names.select("doc_id", stem(F.col("source_name")).alias("stem")), "doc_id", "left")
-    section = F.col("role") == "section"
     return own.withColumn("doc_title", F.coalesce("doc_title", "stem")).withColumns({
         "chapter": F.coalesce("chapter", "doc_title"),
-        "section_number": F.when(section, T.section_number(title, F.col("section_kind"), F.col("chapter_number"))),
-        "section_title": F.when(section, T.section_title(title, F.col("section_kind"))),
-    }).drop("stem")
-
-
-def has_marker(line: Column) -> Column:
-    x = T.strip(F.regexp_replace(T.strip(line), "^#+", ""))
-    return T.matches(x, R.NUMBERED_ITEM) | T.matches(x, R.RESULT_HEADING)
-
-
-def item_number(line: Column) -> Column:
-    """The number of a numbered item without its last component; null if it has only one."""
-    number = T.part(T.strip(F.regexp_replace(T.strip(line), "^#+", "")), R.NUMBERED_ITEM, 1)
-    return F.when(F.contains(number, F.lit(".")), F.regexp_replace(number, r"\.[^.]*$", ""))
+        "section_number": F.when(section, T.section_number(F.col("section_kind"), F.col("mark"), F.col("chapter_number"))),
+        "section_title": F.when(section, F.col("name")),
+    }).drop("stem", "mark", "name", "own_chapter", "own_number")
 
 
 def front(lines_: DataFrame, first: DataFrame) -> DataFrame:
-    """What stands before the first section: doc_id, front_text, marker (whether it has items) and inferred (their section's number)."""
+    """What stands before the first section: doc_id, front_text, marker (whether it has items) and inferred (their section's number:
+    that of the first numbered item with several components, without the last)."""
     before = lines_.join(first.select("doc_id", F.col("line_no").alias("first_line")), "doc_id").filter("line_no < first_line")
-    return before.groupBy("doc_id").agg(
+    before = before.withColumn("bare", T.strip(F.regexp_replace(T.strip(F.col("line")), "^#+", ""))).withColumn("number", T.part(F.col("bare"), R.NUMBERED_ITEM, 1))
+    upper = F.when(F.contains("number", F.lit(".")), F.regexp_replace("number", r"\.[^.]*$", ""))
+    return before.withColumn("upper", upper).groupBy("doc_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("front_text"),
-        F.coalesce(F.bool_or(has_marker(F.col("line"))), F.lit(False)).alias("marker"),
-        F.min_by(item_number(F.col("line")), F.when(item_number(F.col("line")).isNotNull(), F.col("line_no"))).alias("inferred"),
+        F.coalesce(F.bool_or((F.col("number") != "") | T.matches(F.col("bare"), R.RESULT_HEADING)), F.lit(False)).alias("marker"),
+        F.min_by("upper", F.when(F.col("upper").isNotNull(), F.col("line_no"))).alias("inferred"),
     )
 
 
+def with_own_lines(rows: DataFrame, documents: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows with ``own``, their document's lines from line ``start`` to before line ``end`` (null: to the last), and n_lines, the document's.
+
+    A document's rows, which are few, are cut from its one array of lines; no row meets the whole document.
+    """
+    names = rows.columns
+    grouped = rows.groupBy("doc_id").agg(F.collect_list(F.struct(*names)).alias("rows"))
+    whole = documents.select("doc_id", T.split_lines(F.col("text")).alias("lines")).withColumn("n_lines", F.size("lines"))
+    after = F.col("n_lines") + 1
+
+    def cut(r: Column) -> Column:
+        first = F.greatest(r[start], F.lit(1))
+        size = F.greatest(F.least(F.coalesce(r[end], after), after) - first, F.lit(0))
+        return F.struct(*(r[c].alias(c) for c in names), F.col("n_lines").alias("n_lines"), F.slice("lines", first, size).alias("own"))
+
+    return grouped.join(whole, "doc_id").select(F.inline(F.transform("rows", cut)))
+
+
 def section_starts(lines_: DataFrame, roles: DataFrame) -> DataFrame:
     """The starts of all sections, with a synthetic one at line 1 where items stand before the first heading."""
     starts = roles.filter("role = 'section'").select("doc_id", "line_no", "section_number", F.col("section_title").alias("start_title"), "chapter", "chapter_number", "level", F.col("title").alias("source_heading"), F.lit(False).alias("synthetic"))
@@ -98,7 +106,6 @@ def sections(documents: DataFrame) -> DataFrame:
     # headings are few; all that follows reads them again and again
     roles = staged(classified(headings(all_lines), documents.select("doc_id", "source_name")), "roles")
     starts = staged(section_starts(all_lines, roles), "starts")
-    size = documents.select("doc_id", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
     last = roles.groupBy("doc_id").agg(F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("c"), F.min(F.when(F.col("role") == "back", F.col("line_no"))).alias("first_back"))
     lone = documents.select("doc_id", stem(F.col("source_name")).alias("stem")).join(starts.select("doc_id").distinct(), "doc_id", "left_anti").join(last, "doc_id", "left")
     chapter, number = F.coalesce("c.chapter", "stem"), F.coalesce("c.chapter_number", F.lit(""))
@@ -109,15 +116,17 @@ def sections(documents: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("line_no", F.desc("start"))
     # the next boundary is a greater line, so equal ones are passed over
     later = F.min(F.struct("line_no")).over(Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(1, Window.unboundedFollowing))["line_no"]
-    bounded = marks.withColumn("next_line", later).filter("start").withColumn("section_index", F.row_number().over(order)).join(size, "doc_id").withColumn("next_line", F.coalesce("next_line", F.col("n_lines") + 1))
-    whole = documents.select("doc_id", T.split_lines(F.col("text")).alias("all_lines"))
-    body = T.join_lines(F.col("all_lines"), F.col("line_no"), F.col("next_line"))
-    # trailing blank lines: what stripping the end takes from the number of lines
-    own = F.slice("all_lines", F.col("line_no"), F.greatest(F.least("next_line", F.col("n_lines") + 1) - F.col("line_no"), F.lit(0)))
-    filled = F.array_max(F.transform(own, lambda x, i: F.when(T.strip(x) != "", i + 1).otherwise(0)))
-    end = F.when(F.col("synthetic").isNull(), F.least(F.col("next_line") - 1, "n_lines")).otherwise(F.col("line_no") + F.coalesce(filled, F.lit(0)) - 1)
+    bounded = marks.withColumn("next_line", later).filter("start").withColumn("section_index", F.row_number().over(order)).drop("start")
+    cut = with_own_lines(bounded, documents, "line_no", "next_line")
+    # trailing blank lines are no part of a section
+    filled = F.array_max(F.transform("own", lambda x, i: F.when(T.strip(x) != "", i + 1).otherwise(0)))
+    next_line = F.coalesce("next_line", F.col("n_lines") + 1)
+    end = F.when(F.col("synthetic").isNull(), F.least(next_line - 1, "n_lines")).otherwise(F.col("line_no") + F.coalesce(filled, F.lit(0)) - 1)
     titled = F.when(F.coalesce("synthetic", F.lit(True)), F.col("start_title")).otherwise(T.strip(F.concat("section_number", F.lit(". "), "start_title")))
-    return bounded.join(whole, "doc_id").select("doc_id", "section_index", "section_number", titled.alias("section"), "chapter", "chapter_number", F.col("level").alias("heading_level"), "source_heading", F.col("line_no").alias("start_line"), end.alias("end_line"), F.coalesce("synthetic", F.lit(False)).alias("synthetic"), F.col("synthetic").isNull().alias("lone"), T.strip(body).alias("text"))
+    return cut.select(
+        "doc_id", "section_index", "section_number", titled.alias("section"), "chapter", "chapter_number", F.col("level").alias("heading_level"), "source_heading", F.col("line_no").alias("start_line"), end.alias("end_line"),
+        F.coalesce("synthetic", F.lit(False)).alias("synthetic"), F.col("synthetic").isNull().alias("lone"), T.strip(F.array_join("own", "\n")).alias("text"),
+    )
 
 
 def back_matter(documents: DataFrame) -> DataFrame:
@@ -128,10 +137,9 @@ def back_matter(documents: DataFrame) -> DataFrame:
     backs = roles.filter("role = 'back'").select("doc_id", "line_no", F.lit(False).alias("start"))
     later = Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(1, Window.unboundedFollowing)
     blocks = starts.unionByName(backs).withColumn("next_line", F.min(F.when(F.col("start"), F.col("line_no"))).over(later)).filter("not start")
-    whole = documents.select("doc_id", T.split_lines(F.col("text")).alias("all_lines"))
     has_start = starts.select("doc_id").distinct().withColumn("sectioned", F.lit(True))
-    block = T.strip(T.join_lines(F.col("all_lines"), F.col("line_no"), F.coalesce("next_line", F.size("all_lines") + 1)))
-    each = blocks.join(whole, "doc_id").join(has_start, "doc_id", "left").withColumn("block", block).withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no")))
+    placed = blocks.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no"))).join(has_start, "doc_id", "left")
+    each = with_own_lines(placed, documents, "line_no", "next_line").withColumn("block", T.strip(F.array_join("own", "\n")))
     # a document without sections has one block, from its first back matter on
     each = each.filter("(sectioned or place = 1) and block <> ''")
     return each.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "block"))), lambda x: x["block"]), "\n\n").alias("back_matter"))

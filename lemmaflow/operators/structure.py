@@ -2,45 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
-from lemmaflow.operators.split import by_line, headings
+from lemmaflow.operators.split import by_line, with_own_lines
+from lemmaflow.scratch import staged
 
 
-def candidate_kind(line: Column) -> Column:
-    """What a stripped line may be in a document's structure; the first that fits, else null."""
-    title = T.strip(T.part(line, R.HEADING, 2))
-    level = F.concat(F.lit("markdown_h"), F.length(T.part(line, R.HEADING, 1)).cast("string"))
-    of = lambda what: F.concat(level, F.lit(what))
-    marked = F.when(T.chapter_number(T.clean(title)).isNotNull(), of("_chapter")).when(T.is_back_matter(title), of("_back_matter")).when(T.matches(title, R.ITEM_HEADING), of("_item_or_activity")).when(T.section_kind(T.clean(title)).isNotNull(), of("_section_candidate")).otherwise(of("_heading"))
-    bare = F.when(T.chapter_number(T.clean(line)).isNotNull(), "bare_chapter_candidate").when(T.is_back_matter(line), "bare_back_matter_candidate").when(T.matches(line, R.ITEM_HEADING), "item_or_activity_candidate").when(T.bare_section(line), "bare_section_candidate")
-    return F.when(T.matches(line, R.HEADING), marked).otherwise(bare)
+def parsed(lines: DataFrame) -> DataFrame:
+    """(doc_id, line_no, x, level, item, back, bare and what ``text.with_title`` adds) of all lines: what each may be in its document's structure.
+
+    ``x``: the stripped line; ``level``: of a heading, else 0; the title is a heading's or the line; ``bare``: no heading, but may head a section.
+    """
+    marks, own = T.part(F.col("x"), R.HEADING, 1), T.strip(T.part(F.col("x"), R.HEADING, 2))
+    rows = lines.select("doc_id", "line_no", T.strip(F.col("line")).alias("x")).withColumn("level", F.length(marks)).withColumn("words", F.when(F.col("level") > 0, own).otherwise(F.col("x")))
+    rows = T.with_title(rows, T.clean(F.col("words"))).withColumns({"item": T.matches(F.col("words"), R.ITEM_HEADING), "back": T.matches(F.col("title"), R.BACK_MATTER), "marker": T.part(F.col("x"), R.BARE_NUMBERED, 1), "rest": T.strip(T.part(F.col("x"), R.BARE_NUMBERED, 2))})
+    bare = (F.col("level") == 0) & (F.col("marker") != "") & ~F.col("item") & F.col("kind").isNotNull() & T.heading_like(F.col("rest"), F.contains("marker", F.lit(".")))
+    return rows.withColumn("bare", bare).drop("words", "marker", "rest")
 
 
 def candidates(lines: DataFrame, most: int = 5000) -> DataFrame:
-    """(doc_id, line_no, kind, text, prev, next): the first ``most`` candidates of each document, with the nearest lines that aren't blank."""
-    x = T.strip(F.col("line"))
-    filled = F.nullif(F.substring(x, 1, 300), F.lit(""))
+    """(doc_id, line_no, kind, text, prev, next): the first ``most`` candidates of each document, with the nearest lines that aren't blank.
+
+    The kind is the first that fits.
+    """
+    level = F.concat(F.lit("markdown_h"), F.col("level").cast("string"))
+    chapter, section = F.col("own_number").isNotNull(), F.col("kind").isNotNull()
+    marked = F.concat(level, F.when(chapter, "_chapter").when(F.col("back"), "_back_matter").when(F.col("item"), "_item_or_activity").when(section, "_section_candidate").otherwise("_heading"))
+    plain = F.when(chapter, "bare_chapter_candidate").when(F.col("back"), "bare_back_matter_candidate").when(F.col("item"), "item_or_activity_candidate").when(F.col("bare"), "bare_section_candidate")
+    rows = parsed(lines).select("doc_id", "line_no", F.substring("x", 1, 500).alias("text"), F.when(F.col("level") > 0, marked).otherwise(plain).alias("kind"))
+    filled = F.nullif(F.substring("text", 1, 300), F.lit(""))
     before = F.last(filled, ignorenulls=True).over(by_line().rowsBetween(Window.unboundedPreceding, -1))
     after = F.first(filled, ignorenulls=True).over(by_line().rowsBetween(1, Window.unboundedFollowing))
-    found = lines.select("doc_id", "line_no", candidate_kind(x).alias("kind"), F.substring(x, 1, 500).alias("text"), F.coalesce(before, F.lit("")).alias("prev"), F.coalesce(after, F.lit("")).alias("next")).filter("kind is not null and text <> ''")
-    return found.withColumn("place", F.row_number().over(by_line())).filter(F.col("place") <= most).drop("place")
+    found = rows.withColumns({"prev": F.coalesce(before, F.lit("")), "next": F.coalesce(after, F.lit(""))}).filter("kind is not null and text <> ''")
+    return found.withColumn("place", F.row_number().over(by_line())).filter(F.col("place") <= most).select("doc_id", "line_no", "kind", "text", "prev", "next")
 
 
 def planner_needed(lines: DataFrame, sections: DataFrame, split_warnings: DataFrame) -> DataFrame:
     """(doc_id, needed): warnings of the splitter, a bare section that it missed, or items above sections."""
     number = sections.groupBy("doc_id").agg(F.min_by("chapter_number", "section_index").alias("number"))
-    x = T.strip(F.col("line"))
-    bare = lines.join(number, "doc_id").filter(T.bare_section(x))
-    title = T.clean(x)
-    bare = bare.select("doc_id", F.col("line_no").alias("start_line"), T.section_number(title, T.section_kind(title), F.col("number")).alias("section_number"))
+    # headings and bare sections are few
+    rows = staged(parsed(lines).select("doc_id", "line_no", "level", "kind", "mark", "item", "bare"), "parsed").filter("bare or level > 0")
+    bare = rows.filter("bare").join(number, "doc_id").select("doc_id", F.col("line_no").alias("start_line"), T.section_number(F.col("kind"), F.col("mark"), F.col("number")).alias("section_number"))
     missed = bare.join(sections.select("doc_id", "start_line"), ["doc_id", "start_line"], "left_anti").join(sections.select("doc_id", "section_number"), ["doc_id", "section_number"], "left_anti")
-    heads = headings(lines)
-    is_section = T.section_kind(F.col("title")).isNotNull()
-    levels = heads.groupBy("doc_id").agg(F.max(F.when(is_section, F.col("level"))).alias("section_level"), F.min(F.when(~is_section & T.matches(F.col("title"), R.ITEM_HEADING), F.col("level"))).alias("item_level"))
+    section = F.col("kind").isNotNull()
+    levels = rows.filter("level > 0").groupBy("doc_id").agg(F.max(F.when(section, F.col("level"))).alias("section_level"), F.min(F.when(~section & F.col("item"), F.col("level"))).alias("item_level"))
     reasons = split_warnings.select("doc_id").unionByName(missed.select("doc_id")).unionByName(levels.filter("item_level < section_level").select("doc_id")).distinct()
     return number.select("doc_id").join(reasons.withColumn("hit", F.lit(True)), "doc_id", "left").select("doc_id", F.coalesce("hit", F.lit(False)).alias("needed"))
 
@@ -66,17 +74,23 @@ def planned_sections(plans: DataFrame, documents: DataFrame) -> DataFrame:
     ``plans``: doc_id, position, start_line, end_line, section_number, section_title, and the section's or else the plan's chapter and
     chapter_number (null where the plan has none, empty where it says so), with fallback_chapter and fallback_number from the hard splitter.
     """
-    whole = documents.select("doc_id", T.split_lines(F.col("text")).alias("all_lines")).withColumn("n_lines", F.size("all_lines"))
-    placed = clipped(plans.join(whole.select("doc_id", "n_lines"), "doc_id"))
-    named = plans.drop("start_line", "end_line").join(placed, ["doc_id", "position"]).join(whole, "doc_id")
-    chapter = F.coalesce(F.nullif(T.strip(F.col("chapter")), F.lit("")), F.col("fallback_chapter"))
+    size = documents.select("doc_id", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
+    placed = clipped(plans.join(size, "doc_id")).withColumn("next_line", F.col("end_line") + 1)
+    named = with_own_lines(plans.drop("start_line", "end_line").join(placed, ["doc_id", "position"]), documents, "start_line", "next_line")
     chapter_number = F.coalesce(T.strip(F.col("chapter_number")), F.col("fallback_number"), F.lit(""))
-    own = F.coalesce(F.nullif(T.strip(F.col("section_number")), F.lit("")), F.col("section_index").cast("string"))
-    number = T.qualified_number(own, chapter_number)
-    title = F.coalesce(F.nullif(T.strip(F.col("section_title")), F.lit("")), number)
-    line = F.coalesce(F.get("all_lines", F.col("start_line") - 1), F.lit(""))
-    heading = T.matches(line, R.HEADING)
-    return named.select("doc_id", "section_index", number.alias("section_number"), T.strip(F.concat(number, F.lit(". "), title)).alias("section"), chapter.alias("chapter"), chapter_number.alias("chapter_number"), F.when(heading, F.length(T.part(line, R.HEADING, 1))).alias("heading_level"), F.when(heading, T.clean(T.part(line, R.HEADING, 2))).when(T.strip(line) != "", T.strip(line)).otherwise(title).alias("source_heading"), "start_line", "end_line", T.strip(T.join_lines(F.col("all_lines"), F.col("start_line"), F.col("end_line") + 1)).alias("text"))
+    named = named.withColumns({
+        "chapter": F.coalesce(F.nullif(T.strip(F.col("chapter")), F.lit("")), F.col("fallback_chapter")), "chapter_number": chapter_number,
+        "own_number": F.coalesce(F.nullif(T.strip(F.col("section_number")), F.lit("")), F.col("section_index").cast("string")),
+        "line": F.coalesce(F.get("own", F.lit(0)), F.lit("")), "text": T.strip(F.array_join("own", "\n")),
+    })
+    named = named.withColumns({"section_number": T.qualified_number(F.col("own_number"), F.col("chapter_number")), "level": F.length(T.part(F.col("line"), R.HEADING, 1)), "line": T.strip(F.col("line")), "heading": T.clean(T.part(F.col("line"), R.HEADING, 2))})
+    named = named.withColumn("section_title", F.coalesce(F.nullif(T.strip(F.col("section_title")), F.lit("")), F.col("section_number")))
+    heading = F.col("level") > 0
+    source = F.when(heading, F.col("heading")).when(F.col("line") != "", F.col("line")).otherwise(F.col("section_title"))
+    return named.select(
+        "doc_id", "section_index", "section_number", T.strip(F.concat("section_number", F.lit(". "), "section_title")).alias("section"), "chapter", "chapter_number", F.when(heading, F.col("level")).alias("heading_level"),
+        source.alias("source_heading"), "start_line", "end_line", "text",
+    )
 
 
 def heuristic_plans(lines: DataFrame, sections: DataFrame) -> DataFrame:
@@ -86,15 +100,12 @@ def heuristic_plans(lines: DataFrame, sections: DataFrame) -> DataFrame:
     without any start the hard splitter's sections are the plan.
     """
     first = sections.groupBy("doc_id").agg(F.min_by(F.struct("chapter", "chapter_number"), "section_index").alias("h")).select("doc_id", F.col("h.chapter").alias("hard_chapter"), F.col("h.chapter_number").alias("hard_number"))
-    x = T.strip(F.col("line"))
-    heading = T.matches(x, R.HEADING)
-    title = T.clean(F.when(heading, T.part(x, R.HEADING, 2)).otherwise(x))
     so_far = by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = lines.select("doc_id", "line_no", x.alias("x"), heading.alias("heading"), title.alias("title")).withColumn("own_number", T.chapter_number(F.col("title"))).withColumn("own_title", F.when(F.col("own_number").isNotNull(), T.chapter_title(F.col("title"))))
+    rows = parsed(lines).select("doc_id", "line_no", "kind", "mark", "name", "own_number", "own_chapter", ((F.col("level") > 0) | F.col("bare")).alias("heads"))
     rows = rows.withColumn("number", F.last("own_number", ignorenulls=True).over(so_far)).join(first, "doc_id").withColumn("number", F.coalesce("number", "hard_number"))
-    chapters = rows.groupBy("doc_id").agg(F.max_by("own_number", F.when(F.col("own_number").isNotNull(), F.col("line_no"))).alias("last_number"), F.max_by("own_title", F.when(F.col("own_title").isNotNull(), F.col("line_no"))).alias("last_title"), F.max("line_no").alias("n_lines"))
-    kind = T.section_kind(F.col("title"))
-    starts = rows.filter(F.col("own_number").isNull() & (F.col("heading") | T.bare_section(F.col("x"))) & kind.isNotNull()).select("doc_id", "line_no", T.section_number(F.col("title"), kind, F.col("number")).alias("section_number"), T.section_title(F.col("title"), kind).alias("section_title"))
+    of_chapter = F.when(F.col("own_number").isNotNull(), F.col("line_no"))
+    chapters = rows.groupBy("doc_id").agg(F.max_by("own_number", of_chapter).alias("last_number"), F.max_by("own_chapter", of_chapter).alias("last_title"), F.max("line_no").alias("n_lines"))
+    starts = rows.filter(F.col("own_number").isNull() & F.col("heads") & F.col("kind").isNotNull()).select("doc_id", "line_no", T.section_number(F.col("kind"), F.col("mark"), F.col("number")).alias("section_number"), F.col("name").alias("section_title"))
     whole = by_line().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     top = F.first("section_number").over(whole)
     starts = starts.withColumn("top", top).withColumn("place", F.row_number().over(by_line())).withColumn("inside", (F.col("place") == 1) | F.startswith("section_number", F.concat("top", F.lit("."))))
