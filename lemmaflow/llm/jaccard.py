@@ -213,12 +213,22 @@ def candidate_edges(nodes: DataFrame, least: int, depth: int) -> DataFrame:
     return dealt.select(*keys, "label", "rep", "sig").mapInArrow(run, "u long, v long")
 
 
+def stars(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with the components of those given, hardly more than the nodes: each v and its other neighbours are tied to its least one.
+
+    The neighbours are leaders of sets, few and shared by many nodes; a node has one for each task that it was in.
+    """
+    once = edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    near = once.groupBy("v").agg(F.min("u").alias("u"), F.collect_set("u").alias("all"))
+    return near.select("u", F.explode(F.concat(F.array("v"), "all")).alias("v")).filter("u <> v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node that has an edge: the least node of its component, by least neighbours and jumps.
 
     Nodes with over 1/500 of the edges send their labels by broadcast, so that no task gets all edges of a hub.
     """
-    once = edges.filter("u <> v").distinct()
+    once = staged(stars(edges), "stars")
     both = staged(once.unionByName(once.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
     hubs = staged(heavy_keys(staged(both.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "degrees"), ["v"]).select("v"), "hubs")
     others = both.join(F.broadcast(hubs), "v", "left_anti")
