@@ -83,3 +83,19 @@ WARN_NO_SECTIONS = "no explicit section headings found; converted the body as on
 WARN_SYNTHETIC = "created a synthetic first section from material before the first explicit section heading"
 ISSUE_EMPTY, ISSUE_NO_LABEL = "该条目内容为空", "该条目缺少编号或名称"
 ISSUE_DUPLICATE, ISSUE_DEPENDENCY = "编号或名称重复：", ("引用 ", "，但未找到对应条目")
+
+#: What the span builder says of raw items.
+ERROR_ITEM, ERROR_NO_SPAN, ERROR_EMPTY = "Extractor item ", " missing content_span.", " produced an empty content span."
+ERROR_CONTENT, ERROR_PROOF = "Could not extract content span for ", "Could not extract proof span for "
+ERROR_EMPTY_TEXT, ERROR_NOT_IN_SOURCE = "Mock API item cannot build an empty source span.", "Mock API item text is not present in the source: "
+#: What a repair's actions may be.
+ACTIONS, ANCHOR_POSITIONS = ("add", "update", "delete"), ("before", "after", "replace")
+NO_AUDIT = ("\n\nShort verdict: no change\n\nCurrent JSON summary: ", " item(s).\n\nFindings: mock audit did not perform semantic review.\n\nCompact action summary: no actions.")
+#: What is wrong with a submitted annotation.
+BAD_OBJECT, BAD_VERSION = "Annotation payload must be a JSON object.", "Only schema_version=md2json.annotation.v1 is accepted."
+BAD_SOURCE, BAD_SOURCE_TYPE = "Annotation payload must include source object.", "Annotation source.source_type does not match the conversion job."
+BAD_ITEMS, BAD_QUALITY = "Annotation payload must include items array.", "Annotation quality must be an object when provided."
+BAD_ITEM, BAD_ITEM_OBJECT, BAD_ITEM_ID, BAD_DUPLICATE = "Annotation item at index ", " must be an object.", " must include a non-empty id.", "Duplicate annotation item id: "
+#: Fields of an OCR answer that may have Markdown, in order.
+OCR_TEXTS, OCR_LINES, OCR_LINE_TEXTS = ("md", "markdown", "text", "content"), ("texLines", "lines", "blocks"), ("md", "markdown", "text", "content", "latex", "line")
+EXPORT_NAME_BYTES = 50

@@ -22,7 +22,11 @@ def _any(x: Column, words: list[str]) -> Column:
 
 
 def profile(requested: str = "auto") -> Column:
-    """Of a row with chapter, section, section_number, chapter_number, source_heading and text; the first 4000 characters decide, as the profile asks for."""
+    """Of a row with chapter, section, section_number, chapter_number, source_heading and text; the first 4000 characters decide, as the profile asks for.
+
+    ``requested``: a profile's name in any case, or auto.
+    """
+    requested = requested.strip().lower()
     if requested != "auto":
         return F.lit(requested if requested in PROFILES else "textbook")
     text = F.concat_ws("\n", "chapter", "section", "source_heading", F.substring("text", 1, 4000))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
+from lemmaflow.functions import values as V
+from lemmaflow.operators import jobs
 
 ISSUES = "array<struct<severity:string,code:string,message:string>>"
 
@@ -64,3 +66,73 @@ def document_titles(annotated_: DataFrame) -> DataFrame:
     """(doc_id, title): the first chapter title that an item has."""
     title = F.col("context.chapter_title")
     return annotated_.groupBy("doc_id").agg(F.coalesce(F.min_by(title, F.when(title != "", F.col("global_index"))), F.lit("")).alias("title"))
+
+
+def fields(payload: Column) -> Column:
+    """The annotation's fields of an item's JSON, in whatever form it has them: statement, number_components, context, dependencies, source_refs, assets and modified."""
+    v = V.parsed(payload)
+    statement = F.when(V.field(v, "statement").isNotNull(), V.nullable_text(v, "statement")).otherwise(V.nullable_text(v, "content"))
+    c = V.field(v, "context")
+    context = F.struct(
+        V.first_text(c, "chapter_title", "chapter").alias("chapter_title"), V.first_text(c, "chapter_number").alias("chapter_number"), V.first_text(c, "section_title", "section").alias("section_title"),
+        V.first_text(c, "section_number").alias("section_number"), V.first_text(c, "subsection_title").alias("subsection_title"), V.first_text(c, "subsection_number").alias("subsection_number"),
+    )
+    given = V.field(v, "dependencies")
+    depends = F.when(given.isNull() | F.is_variant_null(given), V.field(v, "references")).otherwise(given)
+
+    def dependency(d: Column) -> Column:
+        target, resolved = V.nullable_text(d, "target_id"), F.try_variant_get(d, "$.resolved", "boolean")
+        own = F.struct(V.first_text(d, "label", "target_label", "name").alias("label"), target.alias("target_id"), F.coalesce(resolved, target.isNotNull()).alias("resolved"))
+        return F.when(V.is_object(d), own).otherwise(F.struct(V.text(d).alias("label"), F.lit(None).cast("string").alias("target_id"), F.lit(False).alias("resolved")))
+
+    targets = F.filter(F.transform(V.listed(depends), dependency), lambda d: d["label"] != "")
+    open_ = F.transform(V.text_list(V.field(v, "unresolved_references")), lambda x: F.struct(x.alias("label"), F.lit(None).cast("string").alias("target_id"), F.lit(False).alias("resolved")))
+    listed = F.when(V.listed(depends).isNotNull(), F.concat(targets, open_)).otherwise(F.array().cast("array<struct<label:string,target_id:string,resolved:boolean>>"))
+    source = V.field(v, "source")
+    either = lambda n: F.when(V.counts(V.field(source, n)), V.field(source, n)).otherwise(V.field(v, n))
+    pages = F.when(V.field(v, "pages").isNotNull(), V.field(v, "pages")).otherwise(V.field(source, "pages"))
+    page = F.array_compact(F.array(F.try_variant_get(v, "$.page", "bigint")))
+
+    def box(b: Column) -> Column:
+        return F.struct(F.coalesce(F.try_variant_get(b, "$.page", "bigint"), F.lit(0)).alias("page"), V.first_text(b, "block_id").alias("block_id"), F.try_variant_get(b, "$.bbox", "array<double>").alias("bbox"))
+
+    boxes = F.filter(F.transform(F.filter(V.listed(either("bbox_refs")), V.is_object), box), lambda b: F.size(b["bbox"]) == 4)
+    refs = F.struct(
+        F.when(pages.isNull() | F.is_variant_null(pages), page).otherwise(V.number_list(pages)).alias("pages"), V.text_list(either("block_ids")).alias("block_ids"), V.text_list(either("span_ids")).alias("span_ids"),
+        F.coalesce(boxes, F.array().cast("array<struct<page:bigint,block_id:string,bbox:array<double>>>")).alias("bbox_refs"),
+    )
+    image = V.first_text(v, "image_path")
+    assets = F.struct(F.when(image != "", image).otherwise(V.first_text(V.field(v, "image"), "path")).alias("image_path"), V.first_text(v, "caption").alias("caption"), V.first_text(v, "table_markdown").alias("table_markdown"))
+    modified = V.field(v, "modified")
+    return F.struct(
+        F.coalesce(statement, F.lit("")).alias("statement"), V.text_list(V.field(v, "number_components")).alias("number_components"), context.alias("context"), listed.alias("dependencies"), refs.alias("source_refs"), assets.alias("assets"),
+        F.when(V.is_object(modified), V.counts(V.field(modified, "any"))).otherwise(V.counts(modified)).alias("modified"),
+    )
+
+
+def payload_error(payload: Column, source_type: Column | None = None) -> Column:
+    """The first thing that is wrong with a submitted annotation (JSON), else null. ``source_type``: what the payload's own, if it has one, must be."""
+    v = V.parsed(payload)
+    source, items, quality = V.field(v, "source"), V.listed(V.field(v, "items")), V.field(v, "quality")
+    ids = F.transform(items, lambda i: F.when(V.is_text(V.field(i, "id")), F.nullif(V.text(V.field(i, "id")), F.lit(""))))
+    # places of repeated ids are looked for only where there are some
+    repeats = F.size(F.array_distinct(ids)) < F.size(ids)
+    at = lambda i, what: F.concat(F.lit(R.BAD_ITEM), (i + 1).cast("string"), F.lit(what))
+    first = lambda x, i: F.when(~V.is_object(x), at(i, R.BAD_ITEM_OBJECT)).when(F.get(ids, i).isNull(), at(i, R.BAD_ITEM_ID)).when(repeats & (F.array_position(ids, F.get(ids, i)) <= i), F.concat(F.lit(R.BAD_DUPLICATE), F.get(ids, i)))
+    own_type = V.field(source, "source_type")
+    other = F.lit(False) if source_type is None else own_type.isNotNull() & ~F.is_variant_null(own_type) & ~V.text(own_type).eqNullSafe(source_type)
+    version = V.field(v, "schema_version")
+    return (
+        F.when(~V.is_object(v), R.BAD_OBJECT).when(~F.coalesce(V.is_text(version) & (V.text(version) == R.SCHEMA_VERSION), F.lit(False)), R.BAD_VERSION).when(~V.is_object(source), R.BAD_SOURCE).when(other, R.BAD_SOURCE_TYPE)
+        .when(items.isNull(), R.BAD_ITEMS).otherwise(F.coalesce(F.get(F.array_compact(F.transform(items, first)), F.lit(0)), F.when(quality.isNotNull() & ~F.is_variant_null(quality) & ~V.is_object(quality), R.BAD_QUALITY)))
+    )
+
+
+def saved(stored: DataFrame, submitted: DataFrame) -> DataFrame:
+    """Annotation documents (id, payload, updated_at) after submissions of the same form: of the valid ones and what was stored, each id's latest, whole.
+
+    Adds item_count. Of equal times the greater payload wins.
+    """
+    good = submitted.select("id", "payload", "updated_at").filter(payload_error(F.col("payload")).isNull())
+    last = jobs.latest(stored.select("id", "payload", "updated_at").unionByName(good), "id", F.col("updated_at"), F.col("payload"))
+    return last.withColumn("item_count", F.coalesce(F.size(V.listed(V.field(V.parsed(F.col("payload")), "items"))), F.lit(0)))

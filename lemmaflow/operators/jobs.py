@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lemmaflow.functions import values as V
+
 PHASES = ["structure", "extract", "audit", "mock_structure", "mock_extract", "mock_audit"]
 
 
@@ -21,7 +23,46 @@ def top_jobs(jobs: DataFrame, limit: int = 50, status: str | None = None) -> Dat
 
 
 def unfinished(jobs: DataFrame) -> DataFrame:
-    return jobs.filter(F.col("status").isin("queued", "running"))
+    """Jobs that wait or run, the oldest first."""
+    return jobs.filter(F.col("status").isin("queued", "running")).orderBy("updated_at", "id")
+
+
+def merged_usage(turns: DataFrame, *keys: str) -> DataFrame:
+    """(keys, name, value) of usage reports (keys, turn, usage as JSON), merged turn by turn: numbers add up, other values replace what was there.
+
+    After a value that is no number, numbers begin anew. Null reports are none.
+    """
+    own = turns.select(*keys, "turn", F.explode(F.try_variant_get(V.parsed(F.col("usage")), "$", "map<string,variant>")).alias("name", "v"))
+    number = F.when(V.kind(F.col("v")).isin("BIGINT", "DOUBLE", "DECIMAL"), F.try_variant_get("v", "$", "double"))
+    rows = own.select(*keys, "turn", "name", number.alias("number"), V.text(F.col("v")).alias("said"))
+    broken = F.max(F.when(F.col("number").isNull(), F.col("turn"))).over(Window.partitionBy(*keys, "name"))
+    rows = rows.withColumn("broken", broken)
+    run = F.sum(F.when(F.col("broken").isNull() | (F.col("turn") > F.col("broken")), F.col("number")))
+    return rows.groupBy(*keys, "name").agg(run.alias("sum"), F.max_by("said", "turn").alias("said")).select(*keys, "name", F.coalesce(F.col("sum").cast("string"), "said").alias("value"))
+
+
+def combined_usage(conversion: DataFrame, seconds: DataFrame) -> DataFrame:
+    """Usage of an OCR run with its conversion: one request more, and the OCR's seconds are what the conversion leaves of the whole time.
+
+    ``conversion``: id, requests, input_tokens, output_tokens, total_tokens, llm_elapsed_seconds, wall_clock_elapsed_seconds; ``seconds``: id, total_seconds.
+    """
+    rows = seconds.join(conversion, "id", "left")
+    zero = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("input_tokens", "output_tokens", "total_tokens")}
+    total = F.round(F.greatest(F.lit(0.0), F.col("total_seconds")), 6)
+    ocr = F.round(F.greatest(F.lit(0.0), total - F.coalesce("wall_clock_elapsed_seconds", F.lit(0.0))), 6)
+    return rows.select("id", (F.coalesce("requests", F.lit(0)) + 1).alias("requests"), *zero.values(), F.round(F.coalesce("llm_elapsed_seconds", F.lit(0.0)), 6).alias("llm_elapsed_seconds"), total.alias("wall_clock_elapsed_seconds"), ocr.alias("ocr_elapsed_seconds"))
+
+
+def job_folders(paths: DataFrame, now: Column, days: int = 30) -> DataFrame:
+    """Folders of jobs (path, modified_at) to remove: all below ``doc2x`` or ``full``, and those named by 32 hexadecimal digits, when old enough."""
+    name, above = F.element_at(F.split("path", "/"), -1), F.element_at(F.split("path", "/"), -2)
+    return paths.filter((above.isin("doc2x", "full") | F.rlike(name, F.lit("^[0-9a-f]{32}$"))) & (F.col("modified_at") <= now - F.make_dt_interval(F.lit(days))))
+
+
+def settled_folders(files: DataFrame, now: Column, stable_seconds: int = 30) -> DataFrame:
+    """(folder) of files (folder, modified_at): those whose newest file is old enough."""
+    newest = files.groupBy("folder").agg(F.max("modified_at").alias("newest"))
+    return newest.filter(F.lit(stable_seconds <= 0) | (F.col("newest") <= now - F.make_dt_interval(secs=F.lit(stable_seconds)))).select("folder")
 
 
 def usage_by_phase(traces: DataFrame) -> DataFrame:

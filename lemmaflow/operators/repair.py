@@ -14,7 +14,7 @@ SPAN = ["start_anchor", "end_anchor", "start_occurrence", "end_occurrence", "inc
 FAR = 10**12
 
 
-def _resolve(rows: DataFrame, span: str, search_start: Column | None = None) -> DataFrame:
+def resolve(rows: DataFrame, span: str, search_start: Column | None = None) -> DataFrame:
     """Adds the resolved span as a struct ``<span>_result``; null where no span was asked for."""
     own = rows.withColumns({f"r_{c}": F.col(f"{span}.{c}") for c in SPAN})
     names = rows.columns
@@ -39,8 +39,8 @@ def repaired_items(requests: DataFrame, current: DataFrame, sections: DataFrame)
     rows = rows.withColumn("anchor_at", T.nth_position(F.col("text"), F.col("anchor"), F.greatest(F.lit(1), F.coalesce("source_order_occurrence", F.lit(1))))).join(latest, [*KEY, "cur_label"], "left")
     following = Window.partitionBy(*KEY).orderBy("place").rowsBetween(1, Window.unboundedFollowing)
     rows = rows.withColumn("later", F.collect_list("anchor_at").over(following))  # in order; a section's requests are few
-    rows = _resolve(rows, "content_span")
-    rows = _resolve(rows, "proof_span", F.coalesce(F.when(F.col("content_span_result.found"), F.col("content_span_result.char_end")), F.lit(0)))
+    rows = resolve(rows, "content_span")
+    rows = resolve(rows, "proof_span", F.coalesce(F.when(F.col("content_span_result.found"), F.col("content_span_result.char_end")), F.lit(0)))
 
     text, c, p = F.col("text"), F.col("content_span_result"), F.col("proof_span_result")
     backed = lambda x: spans.source_backed(text, x)

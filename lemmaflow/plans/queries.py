@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import text as T
 from lemmaflow.operators import annotate, extract, jobs, normalize, quality, spans, split, structure
+from lemmaflow.plans import building, building_oracle
 from lemmaflow.plans.corpus import books
 from lemmaflow.plans.oracle import ORACLES
 from lemmaflow.scratch import staged
@@ -110,7 +111,7 @@ def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All kinds but bare sections, which its SQL doesn't have; ``structure_candidates_whole`` has them."""
+    """All kinds but bare sections; ``structure_candidates_whole`` has them."""
     return structure_candidates_whole(spark, sf_dir).filter("kind not in ('bare_section_candidate')")
 
 
@@ -290,8 +291,8 @@ def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _long(f) for f in _QUERIES}
+    return {f.__name__: _long(f) for f in [*_QUERIES, *building.QUERIES]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | building_oracle.ORACLES

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import PurePosixPath
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
+from lemmaflow.functions import patterns as R
+from lemmaflow.functions import values as V
+
 PAGES = t.StructType([t.StructField("pages", t.ArrayType(t.StructType([t.StructField("page_idx", t.IntegerType()), t.StructField("md", t.StringType())])))])
 #: Largest upload of each type, in bytes.
 CAPS = {"md": 10 * 1024 * 1024, "pdf": 300 * 1024 * 1024, "jpg": 7 * 1024 * 1024, "jpeg": 7 * 1024 * 1024, "png": 7 * 1024 * 1024}
@@ -39,3 +47,71 @@ def merged_chunks(chunks: DataFrame) -> DataFrame:
     moved = F.transform("pages", lambda p: F.struct((p["page_idx"] + F.col("start_page")).alias("page_idx"), p["md"].alias("md")))
     rows = chunks.select("doc_id", F.struct("chunk_index", moved.alias("pages")).alias("c"))
     return rows.groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["pages"])).alias("pages")).withColumn("text", pages_markdown(F.col("pages")))
+
+
+def _pages_of(v: Column) -> Column:
+    """Markdown of a payload's pages."""
+    texts = F.transform(F.filter(V.listed(V.field(v, "pages")), lambda p: V.is_text(V.field(p, "md"))), lambda p: F.regexp_replace(V.text(V.field(p, "md")), r"(?U)\s+$", ""))
+    return F.coalesce(F.array_join(F.filter(texts, lambda x: x != ""), "\n\n"), F.lit(""))
+
+
+def _filled(v: Column, name: str) -> Column:
+    """A field's text if it isn't blank, else null."""
+    own = F.when(V.is_text(V.field(v, name)), V.text(V.field(v, name)))
+    return F.when(F.regexp_replace(own, r"(?U)\s+", "") != "", own)
+
+
+def line_list_markdown(lines: Column) -> Column:
+    """Markdown of a list (a variant) of texts, or of objects with one of several text fields; the first that isn't blank counts."""
+    own = F.transform(V.listed(lines), lambda x: F.when(V.is_text(x), V.text(x)).when(V.is_object(x), F.coalesce(*(_filled(x, n) for n in R.OCR_LINE_TEXTS))))
+    return F.coalesce(F.array_join(F.array_compact(own), "\n"), F.lit(""))
+
+
+def image_markdown(answer: Column) -> Column:
+    """Markdown of an image's OCR answer (JSON): a text field, else its pages, else its lines; null if the answer is a failure, empty without any text."""
+    v = V.parsed(answer)
+    code, data = V.field(v, "code"), V.field(v, "data")
+    inner = F.when(V.is_object(V.field(data, "result")), V.field(data, "result")).when(V.is_object(V.field(data, "ocrResp")), V.field(data, "ocrResp")).otherwise(data)
+    body = F.when(V.is_object(data), inner).otherwise(v)
+    filled = lambda x: F.when(F.regexp_replace(x, r"(?U)\s+", "") != "", x)
+    lists = (filled(F.when(V.listed(V.field(body, n)).isNotNull(), line_list_markdown(V.field(body, n)))) for n in R.OCR_LINES)
+    failed = code.isNotNull() & ~F.is_variant_null(code) & (V.text(code) != "success")
+    return F.when(~F.coalesce(failed, F.lit(False)), F.coalesce(*(_filled(body, n) for n in R.OCR_TEXTS), filled(_pages_of(body)), *lists, F.lit("")))
+
+
+def archive_markdown(archives: DataFrame) -> DataFrame:
+    """(path, markdown) of zip archives (path, content): the Markdown file of the least depth, then name; null if there is none."""
+
+    def first(content: bytes) -> str | None:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            names = [n for n in archive.namelist() if n.lower().endswith(".md")]
+            return archive.read(min(names, key=lambda n: (len(PurePosixPath(n).parts), n))).decode() if names else None
+
+    @F.pandas_udf("string")
+    def markdown(content: pd.Series) -> pd.Series:
+        return content.map(first)
+
+    return archives.select("path", markdown("content").alias("markdown"))
+
+
+def source_folders(files: DataFrame) -> DataFrame:
+    """(folder) of files (path) that have a finished ``output.md``."""
+    return files.filter(F.element_at(F.split("path", "/"), -1) == "output.md").select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
+
+
+def relative_key(path: Column, root: str) -> Column:
+    """A path below ``root`` without its suffix."""
+    below = F.when(F.startswith(path, F.lit(root.rstrip("/") + "/")), F.substring(path, len(root.rstrip("/")) + 2, 1 << 30)).otherwise(path)
+    return F.regexp_replace(below, r"(?<=[^/])\.[^./]*$", "")
+
+
+def export_name(file: Column, most: int = R.EXPORT_NAME_BYTES) -> Column:
+    """A file's name without its suffix as an export may be called: letters, digits and ``._- ``, in at most so many bytes of UTF-8, whole characters only."""
+    stem = F.trim(F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"(.)\.[^.]*$", "$1"))
+    plain = F.regexp_replace(F.when(stem == "", "output").otherwise(stem), r"[^\p{L}\p{N}._\- ]", "_")
+    cut = lambda x: F.btrim(x, F.lit(" ._"))
+    whole = F.when(cut(plain) == "", "output").otherwise(cut(plain))
+    # the longest beginning that has no more bytes; a character has one at least
+    size = F.array_max(F.filter(F.sequence(F.lit(0), F.least(F.length(whole), F.lit(most))), lambda n: F.octet_length(F.substring(whole, F.lit(1), n)) <= most))
+    short = F.rtrim(F.substring(whole, F.lit(1), size), F.lit(" ._"))
+    return F.when(F.octet_length(whole) <= most, whole).when(short == "", "output").otherwise(short)

@@ -9,12 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lemmaflow.scratch import scratch_dir
+
 SEEN = "path string, digest string, seen_at timestamp, outcome string"
 RESULT = "path string, digest string, action string, failure_count int"
 STATE = "digest string, status string, failure_count int, updated_at double"
 
 
-def decide(stable_seconds: int = 30, cooldown_seconds: int = 3600, most_failures: int = 3) -> Callable:
+def stable(sightings: DataFrame, stable_seconds: int = 30) -> DataFrame:
+    """Sightings of files that haven't changed for a while; those without ``modified_at`` count as such. The others will be seen again."""
+    if "modified_at" not in sightings.columns:
+        return sightings
+    changed = F.unix_micros("seen_at") - F.unix_micros("modified_at") < stable_seconds * 1_000_000
+    return sightings.filter(~F.coalesce(changed, F.lit(False))).drop("modified_at")
+
+
+def decide(cooldown_seconds: int = 3600, most_failures: int = 3) -> Callable:
     """State of one path: what happens at each sighting (path, digest, seen_at, outcome of a conversion at this time), in the order of time.
 
     A changed digest forgets failures. Done files are skipped, failed ones wait for the cooldown, and are blocked after ``most_failures``.
@@ -45,9 +55,9 @@ def decide(stable_seconds: int = 30, cooldown_seconds: int = 3600, most_failures
     return step
 
 
-def ingest(sightings: DataFrame, **settings) -> DataFrame:
-    """The actions for a stream of sightings; state is kept by path, across batches."""
-    return sightings.groupBy("path").applyInPandasWithState(decide(**settings), RESULT, STATE, "append", GroupStateTimeout.NoTimeout)
+def ingest(sightings: DataFrame, stable_seconds: int = 30, **settings) -> DataFrame:
+    """The actions for a stream of sightings (as SEEN, and modified_at if known) of stable files; state is kept by path, across batches."""
+    return stable(sightings, stable_seconds).groupBy("path").applyInPandasWithState(decide(**settings), RESULT, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def run_available(spark: SparkSession, source: DataFrame, target: str, checkpoint: str, **settings) -> DataFrame:
@@ -59,15 +69,7 @@ def run_available(spark: SparkSession, source: DataFrame, target: str, checkpoin
 
 def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table ``events`` as sightings: users are files, and event values their outcomes."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir() + "/checkpoints"
-    folder = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    folder = scratch_dir(spark, "ingest")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     seen = events.select(F.col("user_id").cast("string").alias("path"), F.expr("cast(event_id div 40 as string)").alias("digest"), F.col("ts").alias("seen_at"), F.when(F.col("value") > 20, "ok").otherwise("error").alias("outcome"))
