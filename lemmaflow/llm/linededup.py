@@ -106,8 +106,11 @@ def add_batch(runs: Runs, batch: DataFrame) -> DataFrame:
     return batch.join(hot, KEY).unionByName(others).filter(~F.col("doc_id").eqNullSafe(F.col("owner"))).select("doc_id", "row", "line")
 
 
-def dropped_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """(doc_id, row, drops): the places of each document's dropped lines, in order; only documents that lose some."""
+def dropped_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 3, runs: Runs | None = None) -> DataFrame:
+    """(doc_id, row, drops): the places of each document's dropped lines, in order; only documents that lose some.
+
+    ``runs``: those of earlier deliveries, which own their keys; this one's are added, and the caller closes them.
+    """
     spark = docs.sparkSession
     hashes = line_hashes(docs.select(F.col("doc_id").cast("long"), "text"), least)
     cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
@@ -117,16 +120,19 @@ def dropped_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: in
     path = scratch_dir(spark, "lines")
     hashes.withColumn(f"{P}batch", batch).write.partitionBy(f"{P}batch").parquet(path)
     all_ = spark.read.schema(hashes.schema.add(f"{P}batch", "integer")).parquet(path)
-    runs, parts = Runs(spark, scratch_dir(spark, "runs"), fanout), []
-    for b in range(len(cuts) + 1):
-        parts.append(staged(add_batch(runs, all_.filter(F.col(f"{P}batch") == b).drop(f"{P}batch")), "drops"))
-    runs.close()
+    own, parts = runs or Runs(spark, scratch_dir(spark, "runs"), fanout), []
+    try:
+        for b in range(len(cuts) + 1):
+            parts.append(staged(add_batch(own, all_.filter(F.col(f"{P}batch") == b).drop(f"{P}batch")), "drops"))
+    finally:
+        if runs is None:
+            own.close()
     return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line")).alias("drops"))
 
 
-def dedup(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
+def dedup(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 3, runs: Runs | None = None) -> DataFrame:
     """``docs`` with ``text`` without the dropped lines, ``__lf_lines`` (before) and ``__lf_dropped``."""
-    drops = dropped_lines(docs, least, batches, fanout).select(F.col("doc_id").alias(f"{P}id"), F.col("row").alias(f"{P}row"), F.col("drops").alias(f"{P}drops"))
+    drops = dropped_lines(docs, least, batches, fanout, runs).select(F.col("doc_id").alias(f"{P}id"), F.col("row").alias(f"{P}row"), F.col("drops").alias(f"{P}drops"))
     joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col(f"{P}id")) & (F.hash("text") == F.col(f"{P}row")), "left")
     cut = joined.withColumns({f"{P}all": lines(F.col("text")), f"{P}from": F.concat(F.array(F.lit(0)), F.transform(f"{P}drops", lambda i: i + 1))})
     n = F.size(f"{P}all")
