@@ -8,6 +8,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,19 @@ def test_line_dedup_keeps_each_line_in_its_first_document(docs, rows, batches):
     assert Counter((r["doc_id"], r["__lf_lines"], r["__lf_dropped"], r["text"]) for r in out.collect()) == want
 
 
+def test_line_dedup_goes_on_with_the_runs_of_earlier_deliveries(spark):
+    made = lambda *rows: spark.createDataFrame(rows, "doc_id long, text string")
+    runs = linededup.Runs(spark, scratch_dir(spark, "runs"), 2)
+    try:
+        first = linededup.dedup(made((5, "a line of five\nshared by all of them"), (6, "shared by all of them")), batches=1, runs=runs)
+        later = linededup.dedup(made((1, "Shared by all of them\na line of one"), (7, "a line of five\na line of one")), batches=2, runs=runs)
+        assert {r["doc_id"]: r["text"] for r in first.collect()} == {5: "a line of five\nshared by all of them", 6: ""}
+        assert {r["doc_id"]: r["text"] for r in later.collect()} == {1: "a line of one", 7: ""} and runs.names()
+    finally:
+        runs.close()
+    assert not runs.names()
+
+
 def test_line_dedup_of_an_empty_table(none):
     assert linededup.dedup(none).count() == 0
 
@@ -355,7 +369,7 @@ def test_arc_versions_are_parsed_by_their_header_lines():
 
 def test_warc_round_trip_with_revisits(spark):
     long = "<p>" + "ä" * 100
-    pages = [(5, "http://a/ b", long), (3, "http://b/", long), (9, None, long), (9, None, long), (None, "http://c/", long), (7, "http://d/", "x" * 99), (8, "http://d/", "x" * 99), (1, "http://e/", None), (2, "http://e/", ""), (4, "http://f/", "y" * 300_000), (6, "é://g", "a\r\n\r\nb" * 30), (None, "http://h/", "z" * 200), (None, "http://i/", "z" * 200)]
+    pages = [(5, "http://a/ b", long), (3, "http://b/", long), (9, None, long), (9, None, long), (None, "http://c/", long), (7, "http://d/", "x" * 99), (8, "http://d/", "x" * 99), (1, "http://e/", None), (2, "http://e/", ""), (4, "http://f/", "y" * 300_000), (6, "é://g", "a\r\n\r\nb" * 30), (None, "http://h/", "z" * 200), (None, "http://i/", "z" * 200), (11, "filedesc://not-a-version-block", "f" * 120)]
     df = spark.createDataFrame([(*p, 1) for p in pages], "page_id long, url string, html string, payload int")
     got = Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.convert_pages(df).collect())
     want = Counter()
@@ -366,6 +380,18 @@ def test_warc_round_trip_with_revisits(spark):
         want[i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", first if again else None] += 1
     assert got == want
     assert warc.convert_pages(df.limit(0)).count() == 0
+    # the archives themselves: warcinfo first, identifiers that differ, revisits that name their response
+    folder = scratch_dir(spark, "warc")
+    warc.convert_pages(df, folder).count()
+    seen, ids = {}, Counter()
+    for f in Path(folder.removeprefix("file://")).glob("*.warc.gz"):
+        records = [warc.parse_record(m)[0] for m in warc.read_members(f.read_bytes())]
+        assert [r["warc-type"] for r in records].index("warcinfo") == 0 and records[0]["warc-filename"] == f.name
+        ids.update(r["warc-record-id"] for r in records)
+        seen |= {r["warc-record-id"]: r for r in records}
+    assert max(ids.values()) == 1 and len(ids) >= len(pages) + 1
+    again = [r for r in seen.values() if r["warc-type"] == "revisit"]
+    assert again and all(seen[r["warc-refers-to"]]["warc-payload-digest"] == r["warc-payload-digest"] and seen[r["warc-refers-to"]]["warc-target-uri"] == r["warc-refers-to-target-uri"] for r in again)
 
 
 # ---- 5
