@@ -99,3 +99,26 @@ BAD_ITEM, BAD_ITEM_OBJECT, BAD_ITEM_ID, BAD_DUPLICATE = "Annotation item at inde
 #: Fields of an OCR answer that may have Markdown, in order.
 OCR_TEXTS, OCR_LINES, OCR_LINE_TEXTS = ("md", "markdown", "text", "content"), ("texLines", "lines", "blocks"), ("md", "markdown", "text", "content", "latex", "line")
 EXPORT_NAME_BYTES = 50
+
+#: Warnings of splitting, quality and spans, and texts of audit reports.
+WARN_TRUNCATED = ": content appears truncated"
+WARN_PROOF_LEFT = ": proof marker remains in content while proof is null"
+WARN_NO_ITEMS = "source has theorem-like markers but extractor returned no items"
+WARN_FEW_ITEMS = "source has %d theorem-like markers but only %d extracted item(s)"
+WARN_REMARKS_ONLY = "all extracted items are remark despite multiple theorem-like source markers"
+WARN_NO_PROOFS = "source has explicit proof markers but no item has a proof field"
+WARN_LABELS = "duplicate labels: "
+WARN_ALL_REMARKS = "all extracted items are remark"
+WARN_SECTION_NUMBER = "duplicate section number detected: "
+WARN_LONG_SECTION = "section %02d is very long (%d chars); consider smaller chunks"
+SPAN_NO_START = "empty start_anchor"
+SPAN_START_MISSING = "start_anchor not found: '"
+SPAN_START_EARLY = "start_anchor occurrence resolved before search_start"
+SPAN_NO_END = "empty end_anchor"
+SPAN_END_MISSING = "end_anchor occurrence not found: '"
+SPAN_END_EARLY = "end anchor resolved before start anchor"
+AUDIT_MISSING = "Audit unavailable."
+AUDIT_TITLE = "# Consolidated LLM Audit Report\n\n"
+AUDIT_DEFERRED = "audit result unavailable"
+PATCH_SOME = "localized repair"
+PATCH_NONE = "no change"

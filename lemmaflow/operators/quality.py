@@ -24,8 +24,8 @@ def section_reports(sections: DataFrame, items: DataFrame) -> DataFrame:
     """A row a section: source_chars, marker counts, items, proofs, env_counts (a map) and warnings, in order and once each."""
     marked = sections.select(*KEY, "section", "section_number", "start_line", "end_line", F.length("text").alias("source_chars"), F.regexp_count("text", F.lit(R.SOURCE_ITEM)).alias("n_item_markers"), F.regexp_count("text", F.lit(R.PROOF_MARKER)).alias("n_proof_markers"), standalone_heading().alias("standalone"))
     checks = F.filter(F.array(
-        F.when(F.rlike("content", F.lit(R.TRUNCATED)), F.concat("label", F.lit(": content appears truncated"))),
-        F.when(F.col("proof").isNull() & F.rlike("content", F.lit(R.PROOF_MARKER)) & ~F.col("standalone"), F.concat("label", F.lit(": proof marker remains in content while proof is null"))),
+        F.when(F.rlike("content", F.lit(R.TRUNCATED)), F.concat("label", F.lit(R.WARN_TRUNCATED))),
+        F.when(F.col("proof").isNull() & F.rlike("content", F.lit(R.PROOF_MARKER)) & ~F.col("standalone"), F.concat("label", F.lit(R.WARN_PROOF_LEFT))),
     ), lambda x: x.isNotNull())
     each = items.join(marked.select(*KEY, "standalone"), KEY)
     kinds = env_counts(items).groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("env", F.col("n_items").cast("int"))))).alias("env_counts"))
@@ -36,10 +36,10 @@ def section_reports(sections: DataFrame, items: DataFrame) -> DataFrame:
     out = marked.join(own, KEY, "left").join(kinds, KEY, "left").withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_items", "n_proofs", "n_remarks")})
     n, markers = F.col("n_items"), F.col("n_item_markers")
     rules = F.array_compact(F.array(
-        F.when((markers > 0) & (n == 0), F.lit("source has theorem-like markers but extractor returned no items")),
-        F.when((markers >= 3) & (n <= 1), F.format_string("source has %d theorem-like markers but only %d extracted item(s)", markers, n)),
-        F.when((n > 0) & (F.col("n_remarks") == n) & (markers >= 2), F.lit("all extracted items are remark despite multiple theorem-like source markers")),
-        F.when((F.col("n_proof_markers") > 0) & (F.col("n_proofs") == 0) & ~F.col("standalone"), F.lit("source has explicit proof markers but no item has a proof field")),
+        F.when((markers > 0) & (n == 0), F.lit(R.WARN_NO_ITEMS)),
+        F.when((markers >= 3) & (n <= 1), F.format_string(R.WARN_FEW_ITEMS, markers, n)),
+        F.when((n > 0) & (F.col("n_remarks") == n) & (markers >= 2), F.lit(R.WARN_REMARKS_ONLY)),
+        F.when((F.col("n_proof_markers") > 0) & (F.col("n_proofs") == 0) & ~F.col("standalone"), F.lit(R.WARN_NO_PROOFS)),
     ))
     warnings = F.array_distinct(F.concat(F.coalesce("item_warnings", F.array().cast("array<string>")), rules))
     return out.select(*KEY, "section", "section_number", "start_line", "end_line", F.col("source_chars").cast("long").alias("source_chars"), markers.cast("long").alias("n_item_markers"), F.col("n_proof_markers").cast("long").alias("n_proof_markers"), "n_items", "n_proofs", "env_counts", warnings.alias("warnings"))
@@ -54,7 +54,7 @@ def document_reports(sections: DataFrame, items: DataFrame, split_warnings: Data
     none = F.array().cast("array<string>")
     out = total.join(own, "doc_id", "left").join(twice, "doc_id", "left").join(split, "doc_id", "left").withColumns({"items_total": F.coalesce("items_total", F.lit(0).cast("long")), "duplicate_labels": F.coalesce("duplicate_labels", none)})
     more = F.array_compact(F.array(
-        F.when(F.size("duplicate_labels") > 0, F.concat(F.lit("duplicate labels: "), F.array_join(F.slice("duplicate_labels", 1, 20), ", "))),
-        F.when((F.col("items_total") > 0) & (F.col("n_remarks") == F.col("items_total")), F.lit("all extracted items are remark")),
+        F.when(F.size("duplicate_labels") > 0, F.concat(F.lit(R.WARN_LABELS), F.array_join(F.slice("duplicate_labels", 1, 20), ", "))),
+        F.when((F.col("items_total") > 0) & (F.col("n_remarks") == F.col("items_total")), F.lit(R.WARN_ALL_REMARKS)),
     ))
     return out.select("doc_id", "sections_total", "items_total", "duplicate_labels", F.array_distinct(F.concat(F.coalesce("split", none), more)).alias("global_warnings"))

@@ -20,8 +20,8 @@ def resolved(rows: DataFrame, search_start: Column | None = None) -> DataFrame:
     end = F.when(b.isNull(), F.length(text)).when(F.coalesce("include_end", F.lit(False)), F.col("b_at") + F.length(b)).otherwise(F.col("b_at"))
     out = out.withColumns({"begin": begin, "end": end})
     error = (
-        F.when(a == "", "empty start_anchor").when(F.col("a_at").isNull(), F.concat(F.lit("start_anchor not found: '"), F.substring(a, 1, 80), F.lit("'"))).when(F.col("a_at") < low, "start_anchor occurrence resolved before search_start")
-        .when(b == "", "empty end_anchor").when(F.col("b_at").isNull(), F.concat(F.lit("end_anchor occurrence not found: '"), F.substring(b, 1, 80), F.lit("'"))).when(F.col("end") < F.col("begin"), "end anchor resolved before start anchor")
+        F.when(a == "", R.SPAN_NO_START).when(F.col("a_at").isNull(), F.concat(F.lit(R.SPAN_START_MISSING), F.substring(a, 1, 80), F.lit("'"))).when(F.col("a_at") < low, R.SPAN_START_EARLY)
+        .when(b == "", R.SPAN_NO_END).when(F.col("b_at").isNull(), F.concat(F.lit(R.SPAN_END_MISSING), F.substring(b, 1, 80), F.lit("'"))).when(F.col("end") < F.col("begin"), R.SPAN_END_EARLY)
     )
     line = lambda at: F.col("start_line") + F.length(F.substring(text, F.lit(1), at)) - F.length(F.replace(F.substring(text, F.lit(1), at), F.lit("\n"), F.lit("")))
     good = F.col("error").isNull()

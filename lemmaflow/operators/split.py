@@ -151,7 +151,7 @@ def split_warnings(sections_: DataFrame) -> DataFrame:
     marked = sections_.withColumn("again", again).select("doc_id", "section_index", F.explode(F.array_compact(F.array(
         F.when(F.col("lone"), F.struct(F.lit(0).alias("k"), F.lit(R.WARN_NO_SECTIONS).alias("warning"))),
         F.when(F.col("synthetic"), F.struct(F.lit(0).alias("k"), F.lit(R.WARN_SYNTHETIC).alias("warning"))),
-        F.when(F.col("again") & ~F.col("lone"), F.struct(F.lit(1).alias("k"), F.concat(F.lit("duplicate section number detected: "), "section_number").alias("warning"))),
-        F.when((F.length("text") > R.LONG_SECTION) & ~F.col("lone"), F.struct(F.lit(2).alias("k"), F.format_string("section %02d is very long (%d chars); consider smaller chunks", "section_index", F.length("text")).alias("warning"))),
+        F.when(F.col("again") & ~F.col("lone"), F.struct(F.lit(1).alias("k"), F.concat(F.lit(R.WARN_SECTION_NUMBER), "section_number").alias("warning"))),
+        F.when((F.length("text") > R.LONG_SECTION) & ~F.col("lone"), F.struct(F.lit(2).alias("k"), F.format_string(R.WARN_LONG_SECTION, "section_index", F.length("text")).alias("warning"))),
     ))).alias("w"))
     return marked.select("doc_id", (F.col("section_index") * 10 + F.col("w.k")).alias("position"), "w.warning")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lemmaflow.functions import patterns as R
+
 
 def items_json(items: DataFrame) -> DataFrame:
     """(doc_id, items_json): all items of a document in order."""
@@ -45,10 +47,10 @@ def _with_audits(sections: DataFrame, audits: DataFrame) -> DataFrame:
 
 def audit_markdown(sections: DataFrame, audits: DataFrame) -> DataFrame:
     """(doc_id, markdown): the audits of all sections in order; a section without one says so, an audit without text is empty."""
-    body = F.when(F.col("audited"), F.regexp_replace(F.coalesce("audit_markdown", F.lit("")), r"(?U)\s+\z", "")).otherwise("Audit unavailable.")
+    body = F.when(F.col("audited"), F.regexp_replace(F.coalesce("audit_markdown", F.lit("")), r"(?U)\s+\z", "")).otherwise(R.AUDIT_MISSING)
     part = F.concat(F.format_string("## section%02d.json ", "section_index"), F.coalesce("section", F.lit("")), F.lit("\n\n"), body, F.lit("\n"))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("section_index", part.alias("part")))), lambda x: x["part"])
-    return _with_audits(sections, audits).groupBy("doc_id").agg(F.concat(F.lit("# Consolidated LLM Audit Report\n\n"), F.array_join(parts, "\n")).alias("markdown"))
+    return _with_audits(sections, audits).groupBy("doc_id").agg(F.concat(F.lit(R.AUDIT_TITLE), F.array_join(parts, "\n")).alias("markdown"))
 
 
 def patch_candidates(sections: DataFrame, audits: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def patch_candidates(sections: DataFrame, audits: DataFrame) -> DataFrame:
     name = F.concat(F.format_string("section%02d_", "section_index"), F.coalesce("section_number", F.lit("")))
     acts = F.coalesce(F.size("actions") > 0, F.lit(False))
     asked = F.filter(F.coalesce("open_questions", F.array().cast("array<string>")), lambda q: F.coalesce(q, F.lit("")) != "")
-    reasons = F.when(F.col("audited"), asked).otherwise(F.array(F.lit("audit result unavailable")))
+    reasons = F.when(F.col("audited"), asked).otherwise(F.array(F.lit(R.AUDIT_DEFERRED)))
     rows = _with_audits(sections, audits).select(
         "doc_id", "section_index", F.when(F.col("audited") & ~acts, name).alias("same"), F.when(F.col("audited") & acts, F.col("patch_json")).alias("patch"),
         F.transform(reasons, lambda r: F.struct(name.alias("section_id"), r.alias("reason"))).alias("later"),
@@ -68,7 +70,7 @@ def patch_candidates(sections: DataFrame, audits: DataFrame) -> DataFrame:
         return F.filter(F.transform("s", lambda x: x[field]), lambda v: v.isNotNull())
 
     out = listed.select("doc_id", some("same").alias("no_change"), some("patch").alias("sections"), F.flatten(some("later")).alias("defer"))
-    return out.withColumn("overall_assessment", F.when(F.size("sections") > 0, "localized repair").otherwise("no change"))
+    return out.withColumn("overall_assessment", F.when(F.size("sections") > 0, R.PATCH_SOME).otherwise(R.PATCH_NONE))
 
 
 def write_by_document(df: DataFrame, path: str) -> None:
