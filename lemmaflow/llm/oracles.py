@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
-_LINE_DEDUP = r"""
+_LINE_MARKED = r"""
 with lines as (
   select doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
   from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from documents)
@@ -9,6 +9,9 @@ with lines as (
 ), marked as (
   select l.doc_id, l.i, l.line, coalesce(o.owner <> l.doc_id, false) as dropped from lines l left join owners o on l.key = o.key
 )
+"""
+
+_LINE_DEDUP = r"""
 select doc_id, count(*) as n_lines, cast(count(*) filter (where dropped) as bigint) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '')) as kept_sha256
 from marked group by doc_id
@@ -59,7 +62,7 @@ select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha
 """
 
 # all pairs by their shared shingles, and the closure of the links
-_JACCARD = r"""
+_LINKS = r"""
 with recursive w as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{M}]+') as ws from documents),
 d as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w),
 n as (select doc_id, count(*) as n from d group by doc_id),
@@ -67,9 +70,49 @@ pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from d a join d b o
 links as (select x, y from pairs join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 5 * c >= 4 * (nx.n + ny.n - c)),
 reach(x, y) as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x),
 classes as (select x as doc_id, least(x, min(y)) as class_id from reach group by x)
+"""
+
+_JACCARD = """
 select w.doc_id, coalesce(c.class_id, w.doc_id) as class_id, coalesce((select count(*) from links l where l.x = w.doc_id), 0) as n_links,
   case when len(ws) = 0 then w.doc_id else min(w.doc_id) over (partition by array_to_string(ws, ' ')) end as copy_of
 from w left join classes c on c.doc_id = w.doc_id
 """
 
-ORACLES = {"op2_line_dedup": _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS}
+_EITHER_CASE = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+
+
+def _spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""select doc_id, '{kind}' as kind, {rank} as rank, coalesce(list_sum(list_transform(parts[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as start, length(m[i]) as size
+  from (select *, unnest(range(1, len(m) + 1)) as i from (select doc_id, string_split_regex(t, {p}) as parts, regexp_extract_all(t, {p}, 0) as m, regexp_extract_all(t, {p}, {group}) as g from t where regexp_matches(t, {p}))) where length(g[i]) >= {least}"""
+
+
+_SECRETS_BASE = f"""
+with t as (select doc_id, coalesce(text, '') as t from documents), spans as (
+  {_spans("assign", 0, "(" + _EITHER_CASE + ")" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12)}
+  union all {_spans("access", 1, "AKIA[A-Z0-9]+", 0, 18)}
+  union all {_spans("hex", 2, "[0-9a-f]+", 0, 16)}
+)
+select t.doc_id, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(kind || ':' || cast(start as bigint) || ':' || cast(start + size as bigint), ',' order by start, rank), '')) as base_sha256
+from t left join spans s on t.doc_id = s.doc_id group by t.doc_id
+"""
+
+_URL_RULES = r"""
+with r as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from r),
+rules as (select unnest(['net', 'example.net', 'example.com', 'org']) as own, unnest(['/', '/en/', '/de/', '/fr/']) as below)
+select page_id, host, path, (select arg_max(own || below, length(own || below)) from rules where (host = own or ends_with(host, '.' || own)) and starts_with(path, below)) as rule from p
+"""
+
+#: What the first three stages of the pipeline keep.
+PIPELINE_KEPT = (
+    _QUALITY_BITS.replace("with split", "with recursive split", 1)
+    + ", d1 as (select d.* from documents d join bits b on d.doc_id = b.doc_id where fail_bits = 0)"
+    + _LINE_MARKED.replace("\nwith lines", ", lines", 1).replace("from documents", "from d1")
+    + ", d2 as (select doc_id, coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '') as text from marked group by doc_id)"
+    + _LINKS.replace("\nwith recursive w", ", w", 1).replace("from documents", "from d2")
+    + "select d2.doc_id, sha256(text) as text_sha256 from d2 left join classes c on c.doc_id = d2.doc_id where coalesce(c.class_id, d2.doc_id) = d2.doc_id"
+)
+
+ORACLES = {"op2_line_dedup": _LINE_MARKED + _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _LINKS + _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "secrets_base": _SECRETS_BASE, "url_rules": _URL_RULES, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS}

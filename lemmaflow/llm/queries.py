@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lemmaflow.llm.common import P, scratch_dir, table
+from lemmaflow.llm.urls import Rule
+
+
+URL_RULES = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
 
 
 def tokenizer_path(name: str) -> str:
@@ -49,10 +53,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lemmaflow.llm.urls import Rule, filter_urls
+    from lemmaflow.llm.urls import filter_urls
 
-    rules = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
-    return filter_urls(table(spark, sf_dir, "pages"), rules)
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +93,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op1_secrets`` that the fixed patterns alone decide."""
+    return op1_secrets(spark, sf_dir).drop("spans")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts, paths and rules of all URLs, without the models."""
+    from lemmaflow.llm.urls import with_rules
+
+    return with_rules(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule")
+
+
 def quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the current policy would keep without each of its rules."""
     from lemmaflow.llm.rules import POLICIES, ablations, ledger
@@ -98,7 +113,7 @@ def quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op") or k == "quality_rules_ablations"}
+    return {k: v for k, v in globals().items() if k.startswith("op")} | {f.__name__: f for f in (secrets_base, url_rules, quality_rules_ablations)}
 
 
 def oracle_sql() -> dict[str, str]:
