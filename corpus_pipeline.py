@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.llm import decontam, jaccard, linededup, packing, rules
 from lemmaflow.llm.common import staged, table
+from lemmaflow.llm.oracles import PIPELINE_KEPT
 from lemmaflow.llm.queries import tokenizer_path
 
 
@@ -41,12 +42,26 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("ngram_jaccard", ngram_jaccard), ("benchmark_decontamination", benchmark_decontamination), ("packing", pack)]
-#: SQL has no tokenizer; tests/llm/test_pipeline.py holds the stages against a brute-force version.
+#: SQL has no tiling and no tokenizer; tests/llm/test_pipeline.py holds the stages against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: SQL for the first three stages.
+KEPT_SQL = PIPELINE_KEPT
+
+
+def through(spark: SparkSession, sf_dir: str, stages: int) -> DataFrame:
+    """What so many stages keep of the documents, as a table."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES[:stages]:
         docs = staged(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
+
+
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the first three stages keep, with the digests of their texts."""
+    return through(spark, sf_dir, 3).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return STAGES[-1][1](spark, through(spark, sf_dir, len(STAGES) - 1), sf_dir)
