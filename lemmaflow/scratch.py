@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,10 +35,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch() -> None:
-    """Delete the scratch tables that this process has written; runs at the end of the process."""
-    while _made:
-        spark, path = _made.pop()
+def _delete(made: list[tuple[SparkSession, str]]) -> None:
+    while made:
+        spark, path = made.pop()
         try:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -44,4 +45,21 @@ def drop_scratch() -> None:
             return
 
 
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Deletes at its end the scratch tables that were made within. What reads them, a query's result included, must be used or written by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        own = _made[before:]
+        del _made[before:]
+        _delete(own)
+
+
+def drop_scratch() -> None:
+    """Delete the scratch tables that this process has written; runs at the end of the process."""
+    _delete(_made)
+
+
 atexit.register(drop_scratch)
