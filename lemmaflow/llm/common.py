@@ -2,60 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lemmaflow.scratch import scratch_dir, scratch_scope, staged
+
+__all__ = ["P", "heavy_keys", "null_safe", "scratch_dir", "scratch_scope", "staged", "table"]
+
 #: Names that operators add begin with this, so that they can't clash with columns of the input.
 P = "__lf_"
 
-_made: list[tuple[SparkSession, str]] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset and the master is
-    local does this choose a folder of its own; on a cluster a missing setting is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/lemmaflow-{os.getpid()}/{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again: cuts the lineage and survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch() -> None:
-    """Delete every scratch table that this process has written; runs at the end of the process."""
-    while _made:
-        spark, path = _made.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the JVM may be gone at exit; the scratch folder is then left to its owner
-            return
-
-
-atexit.register(drop_scratch)
-
-
 def heavy_keys(counts: DataFrame, keys: list[str], n: str = "n", share: int = 500) -> DataFrame:
     """Keys that hold over 1/``share`` of all rows. There can't be more than ``share`` of them, so broadcasting them is safe at any size.
 
