@@ -158,7 +158,10 @@ def read_token_files(spark: SparkSession, path: str, *, with_ids: bool = True) -
                 n = np.array(row["doc_tokens"], np.int64)
                 ends = np.cumsum(n)
                 parts = [raw[4 * a : 4 * b] for a, b in zip(ends - n, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(np.full(len(n), row["shard"]), pa.int32()), pa.array(ends - n + row["start"], pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts if with_ids else [None] * len(n), pa.binary())], names=[x.split()[0] for x in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(np.full(len(n), row["shard"]), pa.int32()), pa.array(ends - n + row["start"], pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts if with_ids else [None] * len(n), pa.binary())],
+                    names=[x.split()[0] for x in schema.split(", ")],
+                )
 
     blocks = spark.read.parquet(f"{path}/blocks")
     # one row a shard, as many as the writer had partitions

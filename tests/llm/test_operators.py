@@ -369,7 +369,11 @@ def test_arc_versions_are_parsed_by_their_header_lines():
 
 def test_warc_round_trip_with_revisits(spark):
     long = "<p>" + "ä" * 100
-    pages = [(5, "http://a/ b", long), (3, "http://b/", long), (9, None, long), (9, None, long), (None, "http://c/", long), (7, "http://d/", "x" * 99), (8, "http://d/", "x" * 99), (1, "http://e/", None), (2, "http://e/", ""), (4, "http://f/", "y" * 300_000), (6, "é://g", "a\r\n\r\nb" * 30), (None, "http://h/", "z" * 200), (None, "http://i/", "z" * 200), (11, "filedesc://not-a-version-block", "f" * 120)]
+    pages = [
+        (5, "http://a/ b", long), (3, "http://b/", long), (9, None, long), (9, None, long), (None, "http://c/", long), (7, "http://d/", "x" * 99), (8, "http://d/", "x" * 99),
+        (1, "http://e/", None), (2, "http://e/", ""), (4, "http://f/", "y" * 300_000), (6, "é://g", "a\r\n\r\nb" * 30), (None, "http://h/", "z" * 200), (None, "http://i/", "z" * 200),
+        (11, "filedesc://not-a-version-block", "f" * 120),
+    ]
     df = spark.createDataFrame([(*p, 1) for p in pages], "page_id long, url string, html string, payload int")
     got = Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.convert_pages(df).collect())
     want = Counter()
@@ -400,7 +404,11 @@ RULES = [urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls
 
 
 def test_url_rules_and_models(spark):
-    cases = {"http://Example.NET/en/x?y#z": ("example.net", "/en/x", "example.net/en/"), "https://a.example.net": ("a.example.net", "", None), "http://a.net/": ("a.net", "/", "net/"), "http://xnet/": ("xnet", "/", None), "http://b.org/fr/?": ("b.org", "/fr/", "org/fr/"), "nothing": ("", "", None), None: ("", "", None), "": ("", "", None), "http://É.Org/fr/x://y": ("É.org", "/fr/x://y", "org/fr/"), "http://h?a/b": ("h", "", None), "http://example.com/de": ("example.com", "/de", None)}
+    cases = {
+        "http://Example.NET/en/x?y#z": ("example.net", "/en/x", "example.net/en/"), "https://a.example.net": ("a.example.net", "", None), "http://a.net/": ("a.net", "/", "net/"),
+        "http://xnet/": ("xnet", "/", None), "http://b.org/fr/?": ("b.org", "/fr/", "org/fr/"), "nothing": ("", "", None), None: ("", "", None), "": ("", "", None),
+        "http://É.Org/fr/x://y": ("É.org", "/fr/x://y", "org/fr/"), "http://h?a/b": ("h", "", None), "http://example.com/de": ("example.com", "/de", None),
+    }
     rng = random.Random(2)
     made = [(f"http://{rng.choice(['good', 'fine', 'nice'])}.example.net/en/{rng.randrange(1000)}", None) for _ in range(300)] + [(f"http://{rng.choice(['spam', 'casino', 'pills'])}.other.net/win/{rng.randrange(1000)}", None) for _ in range(300)]
     probe = ["http://good.nice.example/en/17", "http://spam.casino.example/win/17"]
