@@ -31,8 +31,15 @@ def annotated(items: DataFrame) -> DataFrame:
     before, after = R.ISSUE_DEPENDENCY
     unresolved = F.transform(depends, lambda d: _issue("warning", "unresolved_dependency", F.concat(F.lit(before), d, F.lit(after))))
     targets = F.transform(depends, lambda d: F.struct(d.alias("label"), F.lit(None).cast("string").alias("target_id"), F.lit(False).alias("resolved")))
-    context = F.struct(F.coalesce("chapter", F.lit("")).alias("chapter_title"), F.coalesce("chapter_number", F.lit("")).alias("chapter_number"), F.coalesce("section", F.lit("")).alias("section_title"), F.coalesce("section_number", F.lit("")).alias("section_number"), F.lit("").alias("subsection_title"), F.lit("").alias("subsection_number"))
-    return own.select("doc_id", "global_index", item_id.alias("item_id"), F.col("item_index").alias("order_index"), F.col("shown").alias("label"), F.col("raw").alias("label_raw"), T.item_type(F.col("env")).alias("type"), "number_components", statement.alias("statement"), F.coalesce("proof", F.lit("")).alias("proof"), context.alias("context"), targets.alias("dependencies"), F.array_distinct(F.concat(first.cast(ISSUES), unresolved.cast(ISSUES))).alias("issues"), F.coalesce("env", F.lit("")).alias("raw_env"))
+    context = F.struct(
+        F.coalesce("chapter", F.lit("")).alias("chapter_title"), F.coalesce("chapter_number", F.lit("")).alias("chapter_number"), F.coalesce("section", F.lit("")).alias("section_title"),
+        F.coalesce("section_number", F.lit("")).alias("section_number"), F.lit("").alias("subsection_title"), F.lit("").alias("subsection_number"),
+    )
+    return own.select(
+        "doc_id", "global_index", item_id.alias("item_id"), F.col("item_index").alias("order_index"), F.col("shown").alias("label"), F.col("raw").alias("label_raw"),
+        T.item_type(F.col("env")).alias("type"), "number_components", statement.alias("statement"), F.coalesce("proof", F.lit("")).alias("proof"), context.alias("context"),
+        targets.alias("dependencies"), F.array_distinct(F.concat(first.cast(ISSUES), unresolved.cast(ISSUES))).alias("issues"), F.coalesce("env", F.lit("")).alias("raw_env"),
+    )
 
 
 def issues(annotated_: DataFrame) -> DataFrame:

@@ -86,7 +86,10 @@ def standalone_proofs(sections: DataFrame, blocks_: DataFrame) -> DataFrame:
     opening = F.exists(F.slice(T.split_lines(F.col("text")), 1, 5), lambda x: T.matches(T.strip(x), R.PROOF))
     bare = sections.filter(standalone_heading() | opening).join(blocks_.filter("block > 0").select(*KEY).distinct(), KEY, "left_anti")
     depends = F.coalesce(proof_dependency(F.col("source_heading")), proof_dependency(F.col("section")))
-    return bare.select(*KEY, F.lit(1).alias("position"), F.lit("remark").alias("env"), F.array().cast("array<string>").alias("number_components"), T.strip(F.col("text")).alias("content"), F.array_compact(F.array(depends)).alias("dependencies"), F.lit(None).cast("string").alias("proof"), F.concat(F.lit("Remark "), "section_number", F.lit("-1")).alias("label"))
+    return bare.select(
+        *KEY, F.lit(1).alias("position"), F.lit("remark").alias("env"), F.array().cast("array<string>").alias("number_components"), T.strip(F.col("text")).alias("content"),
+        F.array_compact(F.array(depends)).alias("dependencies"), F.lit(None).cast("string").alias("proof"), F.concat(F.lit("Remark "), "section_number", F.lit("-1")).alias("label"),
+    )
 
 
 def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
@@ -96,5 +99,8 @@ def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
     both = F.when(F.col("proof").isNotNull() & F.col("delayed").isNotNull(), T.strip(F.concat("proof", F.lit("\n\n"), "delayed"))).otherwise(F.coalesce("proof", "delayed"))
     env = T.item_kind(F.col("word"))
     numbers = F.filter(F.split("number", r"\."), lambda x: x != "")
-    items = proofs.join(sections.select(*KEY, "section_number"), KEY).select(*KEY, F.col("block").cast("int").alias("position"), env.alias("env"), numbers.alias("number_components"), "content", F.array().cast("array<string>").alias("dependencies"), both.alias("proof"), F.concat(T.lookup(env, R.DISPLAY), F.lit(" "), "section_number", F.lit("-"), F.col("block").cast("string")).alias("label"))
+    items = proofs.join(sections.select(*KEY, "section_number"), KEY).select(
+        *KEY, F.col("block").cast("int").alias("position"), env.alias("env"), numbers.alias("number_components"), "content", F.array().cast("array<string>").alias("dependencies"),
+        both.alias("proof"), F.concat(T.lookup(env, R.DISPLAY), F.lit(" "), "section_number", F.lit("-"), F.col("block").cast("string")).alias("label"),
+    )
     return items.unionByName(standalone_proofs(sections, parts)).filter("content <> ''")

@@ -71,7 +71,10 @@ def usage_by_phase(traces: DataFrame) -> DataFrame:
     ``traces``: phase, input_tokens, prompt_tokens, output_tokens, completion_tokens, total_tokens, elapsed_seconds and has_usage.
     """
     either = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit(0)), F.col(b), F.lit(0))
-    own = traces.filter("has_usage").groupBy("phase").agg(F.count(F.lit(1)).alias("requests"), F.sum(either("input_tokens", "prompt_tokens")).alias("input_tokens"), F.sum(either("output_tokens", "completion_tokens")).alias("output_tokens"), F.sum(F.coalesce("total_tokens", F.lit(0))).alias("total_tokens"), F.round(F.sum(F.coalesce("elapsed_seconds", F.lit(0.0))), 6).alias("elapsed_seconds"))
+    own = traces.filter("has_usage").groupBy("phase").agg(
+        F.count(F.lit(1)).alias("requests"), F.sum(either("input_tokens", "prompt_tokens")).alias("input_tokens"), F.sum(either("output_tokens", "completion_tokens")).alias("output_tokens"),
+        F.sum(F.coalesce("total_tokens", F.lit(0))).alias("total_tokens"), F.round(F.sum(F.coalesce("elapsed_seconds", F.lit(0.0))), 6).alias("elapsed_seconds"),
+    )
     all_ = traces.sparkSession.createDataFrame([(p,) for p in PHASES], "phase string")
     zero = {c: 0 for c in ("requests", "input_tokens", "output_tokens", "total_tokens", "elapsed_seconds")}
     return F.broadcast(all_).join(own, "phase", "left").fillna(zero)

@@ -22,7 +22,10 @@ def duplicate_labels(items: DataFrame) -> DataFrame:
 
 def section_reports(sections: DataFrame, items: DataFrame) -> DataFrame:
     """A row a section: source_chars, marker counts, items, proofs, env_counts (a map) and warnings, in order and once each."""
-    marked = sections.select(*KEY, "section", "section_number", "start_line", "end_line", F.length("text").alias("source_chars"), F.regexp_count("text", F.lit(R.SOURCE_ITEM)).alias("n_item_markers"), F.regexp_count("text", F.lit(R.PROOF_MARKER)).alias("n_proof_markers"), standalone_heading().alias("standalone"))
+    marked = sections.select(
+        *KEY, "section", "section_number", "start_line", "end_line", F.length("text").alias("source_chars"), F.regexp_count("text", F.lit(R.SOURCE_ITEM)).alias("n_item_markers"),
+        F.regexp_count("text", F.lit(R.PROOF_MARKER)).alias("n_proof_markers"), standalone_heading().alias("standalone"),
+    )
     checks = F.filter(F.array(
         F.when(F.rlike("content", F.lit(R.TRUNCATED)), F.concat("label", F.lit(R.WARN_TRUNCATED))),
         F.when(F.col("proof").isNull() & F.rlike("content", F.lit(R.PROOF_MARKER)) & ~F.col("standalone"), F.concat("label", F.lit(R.WARN_PROOF_LEFT))),
@@ -42,7 +45,10 @@ def section_reports(sections: DataFrame, items: DataFrame) -> DataFrame:
         F.when((F.col("n_proof_markers") > 0) & (F.col("n_proofs") == 0) & ~F.col("standalone"), F.lit(R.WARN_NO_PROOFS)),
     ))
     warnings = F.array_distinct(F.concat(F.coalesce("item_warnings", F.array().cast("array<string>")), rules))
-    return out.select(*KEY, "section", "section_number", "start_line", "end_line", F.col("source_chars").cast("long").alias("source_chars"), markers.cast("long").alias("n_item_markers"), F.col("n_proof_markers").cast("long").alias("n_proof_markers"), "n_items", "n_proofs", "env_counts", warnings.alias("warnings"))
+    return out.select(
+        *KEY, "section", "section_number", "start_line", "end_line", F.col("source_chars").cast("long").alias("source_chars"), markers.cast("long").alias("n_item_markers"),
+        F.col("n_proof_markers").cast("long").alias("n_proof_markers"), "n_items", "n_proofs", "env_counts", warnings.alias("warnings"),
+    )
 
 
 def document_reports(sections: DataFrame, items: DataFrame, split_warnings: DataFrame) -> DataFrame:

@@ -76,6 +76,10 @@ def repaired_items(requests: DataFrame, current: DataFrame, sections: DataFrame)
     ))
     env = F.when(F.col("env").isin(*R.DISPLAY), F.col("env")).otherwise(F.coalesce("cur.env", F.lit("remark")))
     depends = F.filter(F.transform(F.coalesce("dependencies", F.array().cast("array<string>")), lambda d: T.strip(d)), lambda d: d != "")
-    out = rows.select(*KEY, "place", "label", env.alias("env"), F.coalesce("number_components", F.array().cast("array<string>")).alias("number_components"), depends.alias("dependencies"), (~failed & (source != "none")).alias("accepted"), content.alias("content"), final_proof.alias("proof"), source.alias("content_source"), order.cast("long").alias("order_position"), F.coalesce("cur.item_index", F.lit(0)).alias("current_index"), warnings.alias("warnings"))
+    out = rows.select(
+        *KEY, "place", "label", env.alias("env"), F.coalesce("number_components", F.array().cast("array<string>")).alias("number_components"), depends.alias("dependencies"),
+        (~failed & (source != "none")).alias("accepted"), content.alias("content"), final_proof.alias("proof"), source.alias("content_source"), order.cast("long").alias("order_position"),
+        F.coalesce("cur.item_index", F.lit(0)).alias("current_index"), warnings.alias("warnings"),
+    )
     number = F.row_number().over(Window.partitionBy(*KEY, "accepted").orderBy("order_position", "current_index", "place"))
     return out.withColumn("item_index", F.when(F.col("accepted"), number)).withColumns({c: F.when(F.col("accepted"), F.col(c)) for c in ("content", "proof")})

@@ -92,7 +92,10 @@ def section_starts(lines_: DataFrame, roles: DataFrame) -> DataFrame:
     first = starts.groupBy("doc_id").agg(F.min_by(F.struct("line_no", "section_number", "chapter", "chapter_number"), "line_no").alias("s")).select("doc_id", "s.*")
     inferred = F.coalesce("inferred", T.previous_number(F.col("section_number")), F.lit("pre"))
     title = F.concat(inferred, F.lit(". Inferred pre-section material"))
-    made = front(lines_, first).filter("marker").join(first, "doc_id").select("doc_id", F.lit(1).alias("line_no"), inferred.alias("section_number"), title.alias("start_title"), "chapter", "chapter_number", F.lit(None).cast("int").alias("level"), title.alias("source_heading"), F.lit(True).alias("synthetic"))
+    made = front(lines_, first).filter("marker").join(first, "doc_id").select(
+        "doc_id", F.lit(1).alias("line_no"), inferred.alias("section_number"), title.alias("start_title"), "chapter", "chapter_number", F.lit(None).cast("int").alias("level"),
+        title.alias("source_heading"), F.lit(True).alias("synthetic"),
+    )
     return starts.unionByName(made)
 
 
@@ -109,7 +112,10 @@ def sections(documents: DataFrame) -> DataFrame:
     last = roles.groupBy("doc_id").agg(F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("c"), F.min(F.when(F.col("role") == "back", F.col("line_no"))).alias("first_back"))
     lone = documents.select("doc_id", stem(F.col("source_name")).alias("stem")).join(starts.select("doc_id").distinct(), "doc_id", "left_anti").join(last, "doc_id", "left")
     chapter, number = F.coalesce("c.chapter", "stem"), F.coalesce("c.chapter_number", F.lit(""))
-    lone = lone.select("doc_id", F.lit(1).alias("line_no"), F.when(number != "", number).otherwise("1").alias("section_number"), chapter.alias("start_title"), chapter.alias("chapter"), number.alias("chapter_number"), F.lit(None).cast("int").alias("level"), chapter.alias("source_heading"), F.lit(None).cast("boolean").alias("synthetic"))
+    lone = lone.select(
+        "doc_id", F.lit(1).alias("line_no"), F.when(number != "", number).otherwise("1").alias("section_number"), chapter.alias("start_title"), chapter.alias("chapter"),
+        number.alias("chapter_number"), F.lit(None).cast("int").alias("level"), chapter.alias("source_heading"), F.lit(None).cast("boolean").alias("synthetic"),
+    )
     ends = roles.filter("role = 'back'").select("doc_id", "line_no")
     marks = starts.unionByName(lone).withColumn("start", F.lit(True)).unionByName(ends.withColumn("start", F.lit(False)), allowMissingColumns=True)
     # back matter at a synthetic start's line leaves that section empty, as the start stands first

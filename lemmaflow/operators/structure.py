@@ -111,6 +111,9 @@ def heuristic_plans(lines: DataFrame, sections: DataFrame) -> DataFrame:
     starts = starts.withColumn("top", top).withColumn("place", F.row_number().over(by_line())).withColumn("inside", (F.col("place") == 1) | F.startswith("section_number", F.concat("top", F.lit("."))))
     starts = starts.withColumn("collapsed", F.min(F.col("inside")).over(Window.partitionBy("doc_id"))).filter("place = 1 or not collapsed")
     ends = starts.withColumn("end_line", F.lead("line_no").over(by_line()) - 1).join(chapters, "doc_id").join(first, "doc_id")
-    own = ends.select("doc_id", (F.col("place") - 1).alias("position"), F.col("line_no").alias("start_line"), F.coalesce("end_line", "n_lines").alias("end_line"), "section_number", "section_title", F.coalesce("last_title", "hard_chapter").alias("chapter"), F.coalesce("last_number", "hard_number").alias("chapter_number"))
+    own = ends.select(
+        "doc_id", (F.col("place") - 1).alias("position"), F.col("line_no").alias("start_line"), F.coalesce("end_line", "n_lines").alias("end_line"), "section_number", "section_title",
+        F.coalesce("last_title", "hard_chapter").alias("chapter"), F.coalesce("last_number", "hard_number").alias("chapter_number"),
+    )
     hard = sections.join(starts.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", (F.col("section_index") - 1).alias("position"), "start_line", "end_line", "section_number", F.col("section").alias("section_title"), "chapter", "chapter_number")
     return own.unionByName(hard).join(first, "doc_id").withColumnsRenamed({"hard_chapter": "fallback_chapter", "hard_number": "fallback_number"})

@@ -55,7 +55,10 @@ def dependency_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def span_clip_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans in the texts of documents, cut at a next item that begins at character 40; contents and proofs."""
     text = F.coalesce("text", F.lit(""))
-    rows = _table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), (F.col("doc_id") % 9 > 0).alias("found"), (F.col("doc_id") % 50).cast("int").alias("char_start"), (F.col("doc_id") % 50 + F.col("doc_id") % 31).cast("int").alias("char_end"), F.when(F.col("doc_id") % 4 > 0, 40).alias("next_anchor"))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", text.alias("text"), (F.col("doc_id") % 9 > 0).alias("found"), (F.col("doc_id") % 50).cast("int").alias("char_start"),
+        (F.col("doc_id") % 50 + F.col("doc_id") % 31).cast("int").alias("char_end"), F.when(F.col("doc_id") % 4 > 0, 40).alias("next_anchor"),
+    )
     out = [spans.clipped_to_next(rows, k).withColumn("kind", F.lit(k)) for k in ("content", "proof")]
     return out[0].unionByName(out[1]).select("doc_id", "kind", "found", "char_end", F.coalesce("warning", F.lit("")).alias("warning"), F.sha2("span_text", 256).alias("span_sha256"))
 
@@ -83,7 +86,10 @@ def span_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = build.built(docs.select("doc_id", "section_index", F.inline(items)), docs)
     sha = lambda c: F.sha2(F.coalesce(c, F.lit("-")), 256)
-    return out.select("doc_id", "position", F.coalesce("error", F.lit("")).alias("error"), _long("failed_at").alias("failed_at"), F.when(F.col("error").isNull(), sha(F.col("content"))).otherwise("").alias("content_sha256"), F.when(F.col("error").isNull(), sha(F.col("proof"))).otherwise("").alias("proof_sha256"))
+    return out.select(
+        "doc_id", "position", F.coalesce("error", F.lit("")).alias("error"), _long("failed_at").alias("failed_at"),
+        F.when(F.col("error").isNull(), sha(F.col("content"))).otherwise("").alias("content_sha256"), F.when(F.col("error").isNull(), sha(F.col("proof"))).otherwise("").alias("proof_sha256"),
+    )
 
 
 def repaired_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +127,11 @@ def declared_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tool_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as actions: some of kinds and places that don't exist."""
     o = _table(spark, sf_dir, "orders")
-    one = F.struct(F.when(F.col("o_orderkey") % 3 == 0, "delete").when(F.col("o_orderkey") % 3 == 1, "rename").otherwise("add").alias("action"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("target_label"), F.when(F.col("o_orderkey") % 5 == 0, "after").otherwise("inside").alias("anchor_position"), F.col("o_orderpriority").alias("reason"))
+    one = F.struct(
+        F.when(F.col("o_orderkey") % 3 == 0, "delete").when(F.col("o_orderkey") % 3 == 1, "rename").otherwise("add").alias("action"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("target_label"), F.when(F.col("o_orderkey") % 5 == 0, "after").otherwise("inside").alias("anchor_position"),
+        F.col("o_orderpriority").alias("reason"),
+    )
     calls = o.select(F.col("o_orderkey").alias("doc_id"), F.lit(1).alias("section_index"), F.concat(F.lit("[1,"), F.to_json(one), F.lit(",null]")).alias("actions"))
     return build.tool_actions(calls).select("doc_id", "place", "action", F.coalesce("target_label", F.lit("")).alias("target_label"), F.coalesce("anchor_position", F.lit("")).alias("anchor_position"), "reason")
 
@@ -158,7 +168,11 @@ def annotation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as submitted annotations, of which most have something wrong."""
     n = F.col("doc_id")
     items = F.when(n % 5 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("a"))).when(n % 5 == 1, F.array(F.lit("a"), F.lit(""))).otherwise(F.array(F.lit("a"), F.lit("b")))
-    whole = F.struct(F.when(n % 7 > 0, "md2json.annotation.v1").otherwise("v0").alias("schema_version"), F.when(n % 11 > 0, F.struct(F.when(n % 13 == 0, "pdf").otherwise("markdown").alias("source_type"))).alias("source"), F.when(n % 17 > 0, F.transform(items, lambda i: F.struct(i.alias("id")))).alias("items"), F.when(n % 19 == 0, "good").alias("quality"))
+    whole = F.struct(
+        F.when(n % 7 > 0, "md2json.annotation.v1").otherwise("v0").alias("schema_version"),
+        F.when(n % 11 > 0, F.struct(F.when(n % 13 == 0, "pdf").otherwise("markdown").alias("source_type"))).alias("source"),
+        F.when(n % 17 > 0, F.transform(items, lambda i: F.struct(i.alias("id")))).alias("items"), F.when(n % 19 == 0, "good").alias("quality"),
+    )
     payload = F.when(n % 23 == 0, "[]").otherwise(F.to_json(whole))
     return _table(spark, sf_dir, "documents").select("doc_id", F.coalesce(annotate.payload_error(payload, F.lit("markdown")), F.lit("")).alias("error"))
 
@@ -168,7 +182,10 @@ def annotations_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = lambda version, ids: F.to_json(F.struct(version.alias("schema_version"), F.struct(F.lit("markdown").alias("source_type")).alias("source"), F.transform(ids, lambda i: F.struct(i.cast("string").alias("id"))).alias("items")))
     good = F.lit("md2json.annotation.v1")
     stored = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), made(good, F.array(F.lit(1))).alias("payload"), F.lit(10).alias("updated_at"))
-    sent = _table(spark, sf_dir, "documents").filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), made(F.when(F.col("doc_id") % 4 > 0, good).otherwise("v0"), F.sequence(F.lit(1), F.col("doc_id") % 5 + 2)).alias("payload"), F.when(F.col("doc_id") % 3 > 0, 20).otherwise(5).alias("updated_at"))
+    sent = _table(spark, sf_dir, "documents").filter(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("id"), made(F.when(F.col("doc_id") % 4 > 0, good).otherwise("v0"), F.sequence(F.lit(1), F.col("doc_id") % 5 + 2)).alias("payload"),
+        F.when(F.col("doc_id") % 3 > 0, 20).otherwise(5).alias("updated_at"),
+    )
     return annotate.saved(stored, sent).select("id", "updated_at", "item_count")
 
 

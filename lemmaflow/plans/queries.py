@@ -141,7 +141,10 @@ def span_nth_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("start_line"))
-    rows = docs.select("*", F.substring("text", 5, 3).alias("start_anchor"), F.when(F.col("doc_id") % 3 > 0, F.substring("text", 20, 2)).alias("end_anchor"), F.lit(1).alias("start_occurrence"), F.lit(2).alias("end_occurrence"), (F.col("doc_id") % 2 == 0).alias("include_start"), (F.col("doc_id") % 5 == 0).alias("include_end"))
+    rows = docs.select(
+        "*", F.substring("text", 5, 3).alias("start_anchor"), F.when(F.col("doc_id") % 3 > 0, F.substring("text", 20, 2)).alias("end_anchor"), F.lit(1).alias("start_occurrence"),
+        F.lit(2).alias("end_occurrence"), (F.col("doc_id") % 2 == 0).alias("include_start"), (F.col("doc_id") % 5 == 0).alias("include_end"),
+    )
     return spans.resolved(rows).select("doc_id", "found", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("char_start", "char_end", "line_start")), F.sha2(F.coalesce("span_text", F.lit("")), 256).alias("span_sha256"))
 
 
@@ -196,7 +199,11 @@ def _traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "conversations")
     phase = F.element_at(F.lit(jobs.PHASES[:4]), (F.pmod(F.col("conv_id"), F.lit(4)) + 1).cast("int"))
     n = F.length(F.coalesce("text", F.lit(""))).cast("long")
-    return c.select(phase.alias("phase"), F.when(F.col("turn") % 2 == 0, n).alias("input_tokens"), F.lit(7).cast("long").alias("prompt_tokens"), (n % 100).alias("output_tokens"), F.lit(3).cast("long").alias("completion_tokens"), n.alias("total_tokens"), (F.col("turn") * 0.25).cast("double").alias("elapsed_seconds"), (F.col("role") != "system").alias("has_usage"))
+    return c.select(
+        phase.alias("phase"), F.when(F.col("turn") % 2 == 0, n).alias("input_tokens"), F.lit(7).cast("long").alias("prompt_tokens"), (n % 100).alias("output_tokens"),
+        F.lit(3).cast("long").alias("completion_tokens"), n.alias("total_tokens"), (F.col("turn") * 0.25).cast("double").alias("elapsed_seconds"),
+        (F.col("role") != "system").alias("has_usage"),
+    )
 
 
 def usage_by_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +256,10 @@ def saved_annotation_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     files = orders.select(F.col("o_orderkey").alias("path"), F.col("o_custkey").alias("digest"), F.col("o_orderdate").alias("modified_at"))
-    state = orders.filter("o_orderkey % 4 > 0").select(F.col("o_orderkey").alias("path"), F.when(F.col("o_orderkey") % 8 == 1, -1).otherwise(F.col("o_custkey")).alias("digest"), F.when(F.col("o_orderkey") % 4 == 1, "done").otherwise("failed").alias("status"), (F.col("o_orderkey") % 5).alias("failure_count"), F.col("o_orderdate").alias("updated_at"))
+    state = orders.filter("o_orderkey % 4 > 0").select(
+        F.col("o_orderkey").alias("path"), F.when(F.col("o_orderkey") % 8 == 1, -1).otherwise(F.col("o_custkey")).alias("digest"),
+        F.when(F.col("o_orderkey") % 4 == 1, "done").otherwise("failed").alias("status"), (F.col("o_orderkey") % 5).alias("failure_count"), F.col("o_orderdate").alias("updated_at"),
+    )
     return jobs.pending(files, state, F.expr("timestamp'1997-01-01 00:00:00'")).select("path", "digest")
 
 
@@ -276,7 +286,13 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(spark, sf_dir)
 
 
-_QUERIES = [section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items, normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole, planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, source_backed_whole, audit_report, patch_candidates, prompt_profile, usage_by_phase, usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset, stream_ingest_state]
+_QUERIES = [
+    section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items,
+    normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole,
+    planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, source_backed_whole, audit_report, patch_candidates, prompt_profile, usage_by_phase,
+    usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset,
+    stream_ingest_state,
+]
 
 
 def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -36,7 +36,10 @@ def quality_markdown(documents: DataFrame, reports: DataFrame) -> DataFrame:
     part = F.concat(F.format_string("### section%02d %s\n", "section_index", "section"), bullets(F.col("warnings")))
     own = reports.filter(F.size("warnings") > 0).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section_index", part.alias("part")))), lambda x: x["part"]), "\n\n").alias("parts"))
     whole = F.when(F.size("global_warnings") > 0, bullets(F.col("global_warnings"))).otherwise("- none")
-    return documents.join(own, "doc_id", "left").select("doc_id", F.concat(F.format_string("# Quality Report\n\nsections_total: %d\nitems_total: %d\n\n## Global Warnings\n\n", "sections_total", "items_total"), whole, F.lit("\n\n## Section Warnings\n\n"), F.coalesce("parts", F.lit("")), F.lit("\n")).alias("markdown"))
+    return documents.join(own, "doc_id", "left").select(
+        "doc_id",
+        F.concat(F.format_string("# Quality Report\n\nsections_total: %d\nitems_total: %d\n\n## Global Warnings\n\n", "sections_total", "items_total"), whole, F.lit("\n\n## Section Warnings\n\n"), F.coalesce("parts", F.lit("")), F.lit("\n")).alias("markdown"),
+    )
 
 
 def _with_audits(sections: DataFrame, audits: DataFrame) -> DataFrame:

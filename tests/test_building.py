@@ -84,7 +84,12 @@ def test_annotation_fields_in_odd_forms(spark):
 
 def test_annotations_are_checked_and_replaced_whole(spark):
     good = {"schema_version": "md2json.annotation.v1", "source": {}, "items": [{"id": "a"}, {"id": "b"}]}
-    cases = [(good, None), ("x", "object"), ({**good, "schema_version": 1}, "schema_version"), ({**good, "source": []}, "source object"), ({**good, "source": {"source_type": "pdf"}}, "match"), ({**good, "items": {}}, "items array"), ({**good, "items": [{"id": "a"}, 3]}, "index 2 must be"), ({**good, "items": [{"id": 1}]}, "non-empty id"), ({**good, "items": [{"id": "b"}, {"id": "a"}, {"id": "b"}]}, "Duplicate annotation item id: b"), ({**good, "quality": []}, "quality"), ({**good, "quality": None, "source": {"source_type": None}}, None)]
+    cases = [
+        (good, None), ("x", "object"), ({**good, "schema_version": 1}, "schema_version"), ({**good, "source": []}, "source object"), ({**good, "source": {"source_type": "pdf"}}, "match"),
+        ({**good, "items": {}}, "items array"), ({**good, "items": [{"id": "a"}, 3]}, "index 2 must be"), ({**good, "items": [{"id": 1}]}, "non-empty id"),
+        ({**good, "items": [{"id": "b"}, {"id": "a"}, {"id": "b"}]}, "Duplicate annotation item id: b"), ({**good, "quality": []}, "quality"),
+        ({**good, "quality": None, "source": {"source_type": None}}, None),
+    ]
     df = spark.createDataFrame([(i, json.dumps(p)) for i, (p, _) in enumerate(cases)] + [(99, None)], "id int, payload string")
     got = {r["id"]: r["e"] for r in df.select("id", annotate.payload_error(F.col("payload"), F.lit("markdown")).alias("e")).collect()}
     for i, (_, want) in enumerate(cases):
@@ -97,7 +102,11 @@ def test_annotations_are_checked_and_replaced_whole(spark):
 
 
 def test_ocr_answers_and_archives(spark):
-    cases = [({"md": " ", "text": "t "}, "t "), ({"data": {"ocrResp": {"pages": [{"md": "a \n"}, {"md": 3}, {"md": "b"}]}}}, "a\n\nb"), ({"data": {"lines": ["x", {"md": "", "latex": "y"}, {"other": 1}, 4]}}, "x\ny"), ({"code": "success", "data": {"content": "c"}}, "c"), ({"code": "parse_error", "md": "m"}, None), ({"data": 5, "md": "own"}, "own"), ({}, "")]
+    cases = [
+        ({"md": " ", "text": "t "}, "t "), ({"data": {"ocrResp": {"pages": [{"md": "a \n"}, {"md": 3}, {"md": "b"}]}}}, "a\n\nb"),
+        ({"data": {"lines": ["x", {"md": "", "latex": "y"}, {"other": 1}, 4]}}, "x\ny"), ({"code": "success", "data": {"content": "c"}}, "c"), ({"code": "parse_error", "md": "m"}, None),
+        ({"data": 5, "md": "own"}, "own"), ({}, ""),
+    ]
     df = spark.createDataFrame([(i, json.dumps(p)) for i, (p, _) in enumerate(cases)], "i int, p string")
     got = {r["i"]: r["m"] for r in df.select("i", readers.image_markdown(F.col("p")).alias("m")).collect()}
     assert [got[i] for i in range(len(cases))] == [w for _, w in cases]

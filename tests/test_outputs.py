@@ -52,7 +52,10 @@ def test_model_answers_retries_and_cache(spark):
 
 
 def test_profiles(spark):
-    rows = [("x", "1. A", "1.1", "1", "h", "plain", "textbook"), ("x", "A", "2", "", "h", "plain", "paper"), ("x", "A", "2", "1", "h", "Our Contributions are", "paper"), ("x", "A", "2", "1", "h", "定理", "chinese_math"), ("x", "A", "2", "1", "h", "汉" * 20, "chinese_math"), ("x", "A", "2", "1", "h", "y" * 4000 + "abstract", "textbook")]
+    rows = [
+        ("x", "1. A", "1.1", "1", "h", "plain", "textbook"), ("x", "A", "2", "", "h", "plain", "paper"), ("x", "A", "2", "1", "h", "Our Contributions are", "paper"),
+        ("x", "A", "2", "1", "h", "定理", "chinese_math"), ("x", "A", "2", "1", "h", "汉" * 20, "chinese_math"), ("x", "A", "2", "1", "h", "y" * 4000 + "abstract", "textbook"),
+    ]
     df = spark.createDataFrame(rows, "chapter string, section string, section_number string, chapter_number string, source_heading string, text string, want string")
     assert all(r["got"] == r["want"] for r in df.withColumn("got", profile()).collect())
     assert df.select(profile("paper").alias("p")).first()["p"] == "paper" and df.select(profile("odd").alias("p")).first()["p"] == "textbook"
@@ -60,7 +63,10 @@ def test_profiles(spark):
 
 def test_audits_and_patches(spark):
     sections = spark.createDataFrame([("d", 2, "B", "1.2"), ("d", 1, "A", "1.1"), ("d", 3, "C", None), ("e", 1, None, "1")], "doc_id string, section_index int, section string, section_number string")
-    audits = spark.createDataFrame([("d", 1, "fine \n\n", [], ["", None, "why?"], "{}"), ("d", 2, None, ["update"], None, '{"x":1}'), ("z", 1, "stray", None, None, None)], "doc_id string, section_index int, audit_markdown string, actions array<string>, open_questions array<string>, patch_json string")
+    audits = spark.createDataFrame(
+        [("d", 1, "fine \n\n", [], ["", None, "why?"], "{}"), ("d", 2, None, ["update"], None, '{"x":1}'), ("z", 1, "stray", None, None, None)],
+        "doc_id string, section_index int, audit_markdown string, actions array<string>, open_questions array<string>, patch_json string",
+    )
     got = {r["doc_id"]: r["markdown"] for r in writers.audit_markdown(sections, audits).collect()}
     assert got["d"] == "# Consolidated LLM Audit Report\n\n## section01.json A\n\nfine\n\n## section02.json B\n\n\n\n## section03.json C\n\nAudit unavailable.\n"
     assert set(got) == {"d", "e"}

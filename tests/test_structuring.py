@@ -104,7 +104,11 @@ def test_normalized_labels(items):
 
 def test_dependencies_follow_labels(spark):
     section = spark.createDataFrame([("d", 1, "6", "6. S", "", "")], "doc_id string, section_index int, section_number string, section string, chapter string, chapter_number string")
-    raw = [("d", 1, 1, "notation", "N", [], "Let.", [], None), ("d", 1, 2, "Definition", "D", [], " ", [], None), ("d", 1, 3, "def", "D2", [], "Def.", [], None), ("d", 1, 4, "Theorem", "Theorem -6-3", ["6", "1"], "T", [], None), ("d", 1, 5, "cor", "C", ["6", "1", "1"], "C", ["Theorem -6-3", "other", " "], " p "), ("d", 1, 6, "?", "A", [], "**Remark IV.2. x**", [], "")]
+    raw = [
+        ("d", 1, 1, "notation", "N", [], "Let.", [], None), ("d", 1, 2, "Definition", "D", [], " ", [], None), ("d", 1, 3, "def", "D2", [], "Def.", [], None),
+        ("d", 1, 4, "Theorem", "Theorem -6-3", ["6", "1"], "T", [], None), ("d", 1, 5, "cor", "C", ["6", "1", "1"], "C", ["Theorem -6-3", "other", " "], " p "),
+        ("d", 1, 6, "?", "A", [], "**Remark IV.2. x**", [], ""),
+    ]
     got = normalize.normalized(spark.createDataFrame(raw, "doc_id string, section_index int, position int, env string, label string, number_components array<string>, content string, dependencies array<string>, proof string"), section).orderBy("item_index").collect()
     assert [r["label"] for r in got] == ["Notation 6-extra-1", "Definition 6-extra-3", "Theorem 6.1", "Corollary 6.1.1", "Remark IV.2"]
     assert got[3]["dependencies"] == ["Theorem 6.1", "other"] and got[3]["proof"] == "p" and got[4]["proof"] is None
@@ -159,7 +163,10 @@ def test_candidates(spark):
 
 
 def test_spans(spark):
-    rows = [("aXbXXc", "X", None, 2, 1, True, False), ("aXbXXc", "XX", "c", 1, 1, False, True), ("aaa", "aa", None, 2, 1, True, True), ("ab", "", None, 1, 1, True, True), ("ab", "b", "a", 1, 1, True, False), ("😀.*b\n.*c", ".*", "", 1, 1, True, True), ("😀.*b\n.*c", ".*", None, 2, 0, True, True), ("x\\Ey", "\\E", None, 1, 1, True, True)]
+    rows = [
+        ("aXbXXc", "X", None, 2, 1, True, False), ("aXbXXc", "XX", "c", 1, 1, False, True), ("aaa", "aa", None, 2, 1, True, True), ("ab", "", None, 1, 1, True, True),
+        ("ab", "b", "a", 1, 1, True, False), ("😀.*b\n.*c", ".*", "", 1, 1, True, True), ("😀.*b\n.*c", ".*", None, 2, 0, True, True), ("x\\Ey", "\\E", None, 1, 1, True, True),
+    ]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, text string, start_anchor string, end_anchor string, start_occurrence int, end_occurrence int, include_start boolean, include_end boolean").withColumn("start_line", F.lit(10))
     got = {r["id"]: r for r in spans.resolved(df).collect()}
     assert [got[i]["span_text"] for i in range(8)] == ["XXc", "c", None, None, None, None, ".*c", "\\Ey"]
@@ -180,7 +187,10 @@ def test_titles_and_numbers(spark):
 def test_jobs_and_ingest(spark):
     events = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 5, None)], "id int, t int, status string")
     assert {r["id"]: r["status"] for r in jobs.latest(events, "id", F.col("t")).collect()} == {1: "b", 2: None}
-    traces = spark.createDataFrame([("extract", 5, 1, None, 2, 8, 0.5, True), ("extract", 0, 3, 4, 9, None, None, True), ("audit", 1, 1, 1, 1, 1, 1.0, False)], "phase string, input_tokens long, prompt_tokens long, output_tokens long, completion_tokens long, total_tokens long, elapsed_seconds double, has_usage boolean")
+    traces = spark.createDataFrame(
+        [("extract", 5, 1, None, 2, 8, 0.5, True), ("extract", 0, 3, 4, 9, None, None, True), ("audit", 1, 1, 1, 1, 1, 1.0, False)],
+        "phase string, input_tokens long, prompt_tokens long, output_tokens long, completion_tokens long, total_tokens long, elapsed_seconds double, has_usage boolean",
+    )
     got = {r["phase"]: tuple(r)[1:] for r in jobs.usage_by_phase(traces).collect()}
     assert got["extract"] == (2, 8, 6, 8, 0.5) and got["audit"] == (0, 0, 0, 0, 0.0) and len(got) == 6
     assert tuple(jobs.usage_total(jobs.usage_by_phase(traces)).first()) == (2, 8, 6, 8, 0.5)
