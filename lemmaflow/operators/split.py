@@ -135,6 +135,14 @@ def sections(documents: DataFrame) -> DataFrame:
     )
 
 
+def front_matter(documents: DataFrame) -> DataFrame:
+    """(doc_id, front_matter): what stands before a document's first section; none where a section was made from it, or where there are no sections."""
+    all_lines = lines(documents)
+    first = classified(headings(all_lines), documents.select("doc_id", "source_name")).filter("role = 'section'").groupBy("doc_id").agg(F.min("line_no").alias("line_no"))
+    found = front(all_lines, first).filter("not marker").select("doc_id", T.strip(F.col("front_text")).alias("front_matter"))
+    return found.filter("front_matter <> ''")
+
+
 def back_matter(documents: DataFrame) -> DataFrame:
     """(doc_id, back_matter): every excluded heading's block up to the next section, joined by blank lines; a second heading in a block repeats its text."""
     all_lines = lines(documents)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lemmaflow.operators import annotate, build, jobs, normalize, repair, spans, split, structure
+from lemmaflow.plans import convert
 from lemmaflow.plans.corpus import books
 from lemmaflow.scratch import staged
 from lemmaflow.sources import readers
@@ -217,7 +218,16 @@ def export_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", readers.export_name(name).alias("name"))
 
 
+def conversion_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals from the summaries of a conversion of all books."""
+    summary = convert.artefacts(staged(books(spark, sf_dir), "books"))["summary"]
+    one = F.from_json("summary_json", "sections_written long, items_total long, source_file string, front_matter_chars long, back_matter_chars long, split_warnings array<string>, files array<struct<section_number:string>>")
+    rows = summary.select("doc_id", one.alias("s"))
+    return rows.select("doc_id", "s.sections_written", "s.items_total", "s.source_file", "s.front_matter_chars", "s.back_matter_chars", F.size("s.split_warnings").alias("n_warnings"), F.array_join("s.files.section_number", ",").alias("section_numbers"))
+
+
 QUERIES = [
+    conversion_summaries,
     heuristic_plans, planned_sections, dependency_rewrite, span_clip_next, span_items, repaired_items, items_as_spans, declared_labels, tool_actions, tool_summaries, annotation_fields, annotation_errors, annotations_saved, usage_merged, image_answers,
     export_names,
 ]

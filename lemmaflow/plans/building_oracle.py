@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import profiles as P
-from lemmaflow.plans.oracle import _CHAPTER_REST, _KIND, _LETTER_REST, _LINES, _SECTIONS, _WARNINGS, _X, _clean, _is, _part, _re, _strip
+from lemmaflow.plans.oracle import _CHAPTER_REST, _KIND, _LETTER_REST, _LINES, _NORMAL, _SECTIONS, _WARNINGS, _X, _clean, _is, _part, _re, _strip
 
 _TEXT = "coalesce(text, '')"
 _RAW = _strip(_part("s", R.HEADING, 2))
@@ -89,7 +89,19 @@ def _any(x: str, words: list[str]) -> str:
     return "(" + " or ".join(f"contains({x}, '{w}')" for w in words) + ")"
 
 
+_BOUND = f"""{_NORMAL.replace(_SECTIONS, _WARNINGS, 1)}, blocks as (
+  select r.doc_id, r.line_no, (select min(s.line_no) from starts s where s.doc_id = r.doc_id and s.line_no > r.line_no) as next_line, row_number() over (partition by r.doc_id order by r.line_no) as place, r.doc_id in (select doc_id from starts) as sectioned
+  from roles r where role = 'back'
+), texts as (
+  select b.doc_id, b.line_no, {_strip("string_agg(l.line, chr(10) order by l.line_no)")} as block from blocks b join lines l on l.doc_id = b.doc_id and l.line_no >= b.line_no and l.line_no < coalesce(b.next_line, l.n_lines + 1) where sectioned or place = 1 group by b.doc_id, b.line_no
+), backs as (select doc_id, string_agg(block, chr(10) || chr(10) order by line_no) as t from texts where block <> '' group by doc_id),
+fronts as (
+  select l.doc_id, {_strip("string_agg(l.line, chr(10) order by l.line_no)")} as t from lines l join first_starts f on l.doc_id = f.doc_id and l.line_no < f.line_no where l.doc_id not in (select doc_id from front where marker) group by l.doc_id
+)"""
+
 ORACLES = {
+    "conversion_summaries": f"""with {_BOUND} select s.doc_id, count(*) as sections_written, (select count(*) from items i where i.doc_id = s.doc_id) as items_total, 'book' || s.doc_id || '.md' as source_file, coalesce((select length(t) from fronts f where f.doc_id = s.doc_id), 0) as front_matter_chars,
+  coalesce((select length(t) from backs b where b.doc_id = s.doc_id), 0) as back_matter_chars, (select count(*) from split_warnings w where w.doc_id = s.doc_id) as n_warnings, string_agg(section_number, ',' order by section_index) as section_numbers from sections s group by s.doc_id""",
     "heuristic_plans": f"with {_PLAN} select doc_id, position, start_line, end_line, section_number, section_title, chapter, chapter_number from plan",
     "planned_sections": f"""with {_PLAN}, sized as (select p.*, z.n_lines from plan p join (select doc_id, any_value(n_lines) as n_lines from lines group by doc_id) z using (doc_id)),
 p as (select *, greatest(1, least(n_lines, start_line)) as s, greatest(greatest(1, least(n_lines, start_line)), least(n_lines, end_line)) as e, row_number() over (partition by doc_id order by start_line, position, end_line) as i from sized),

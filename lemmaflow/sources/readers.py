@@ -13,6 +13,7 @@ from pyspark.sql import types as t
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import values as V
+from lemmaflow.operators.annotate import payload_error
 
 PAGES = t.StructType([t.StructField("pages", t.ArrayType(t.StructType([t.StructField("page_idx", t.IntegerType()), t.StructField("md", t.StringType())])))])
 #: Largest upload of each type, in bytes.
@@ -94,6 +95,25 @@ def archive_markdown(archives: DataFrame) -> DataFrame:
     return archives.select("path", markdown("content").alias("markdown"))
 
 
+def traces(spark: SparkSession, path: str) -> DataFrame:
+    """Traces below ``path`` (JSON files, however deep) as ``jobs.usage_by_phase`` takes them; the phase is the folder below ``path``. What doesn't parse has no usage."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    v, root = V.parsed(F.col("value")), path.rstrip("/").rsplit("/", 1)[-1]
+    usage = V.field(v, "usage")
+    number = lambda x, n: F.try_variant_get(x, f"$.{n}", "bigint")
+    seconds = lambda x: F.when(V.kind(V.field(x, "elapsed_seconds")).isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(x, "$.elapsed_seconds", "double"))
+    phase = F.regexp_extract(F.url_decode(F.input_file_name()), r"/\Q" + root + r"\E/([^/]+)/", 1)
+    names = ("input_tokens", "prompt_tokens", "output_tokens", "completion_tokens", "total_tokens")
+    return files.select(phase.alias("phase"), *(number(usage, n).alias(n) for n in names), F.coalesce(seconds(v), seconds(V.field(v, "timing"))).alias("elapsed_seconds"), V.is_object(usage).alias("has_usage"))
+
+
+def annotations(spark: SparkSession, path: str) -> DataFrame:
+    """(id, payload, error) of annotation files: the id is the file's name without its suffix; ``error`` tells why one is refused."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    name = F.url_decode(F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return files.select(F.regexp_replace(name, r"\.json$", "").alias("id"), F.col("value").alias("payload")).withColumn("error", payload_error(F.col("payload")))
+
+
 def source_folders(files: DataFrame) -> DataFrame:
     """(folder) of files (path) that have a finished ``output.md``."""
     return files.filter(F.element_at(F.split("path", "/"), -1) == "output.md").select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()

@@ -15,6 +15,39 @@ def items_json(items: DataFrame) -> DataFrame:
     return items.groupBy("doc_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("global_index", item.alias("item")))), lambda x: x["item"]), {"ignoreNullFields": "false"}).alias("items_json"))
 
 
+def section_items_json(items: DataFrame, sections: DataFrame) -> DataFrame:
+    """(doc_id, section_index, items_json): the items of each section in order; an empty list for a section without any."""
+    context = F.struct("chapter", "section", "chapter_number", "section_number")
+    item = F.struct(F.col("global_index").alias("index"), "label", "env", "number_components", context.alias("context"), "content", "dependencies", "proof")
+    own = items.groupBy("doc_id", "section_index").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("global_index", item.alias("item")))), lambda x: x["item"]), {"ignoreNullFields": "false"}).alias("items_json"))
+    return sections.select("doc_id", "section_index").join(own, ["doc_id", "section_index"], "left").fillna("[]", "items_json")
+
+
+def candidates_json(candidates: DataFrame, plans: DataFrame | None = None) -> DataFrame:
+    """(doc_id, candidates_json, used): a document's structure candidates in order, and whether a plan was used for it."""
+    one = F.struct("line_no", "kind", "text", "prev", "next")
+    rows = candidates.groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("candidates_json"))
+    if plans is None:
+        return rows.withColumn("used", F.lit(False))
+    return rows.join(plans.select("doc_id").distinct().withColumn("used", F.lit(True)), "doc_id", "left").withColumn("used", F.coalesce("used", F.lit(False)))
+
+
+def summary_json(documents: DataFrame, sections: DataFrame, reports: DataFrame, warnings: DataFrame, front: DataFrame, back: DataFrame, usage: DataFrame | None, audited: bool) -> DataFrame:
+    """(doc_id, summary_json): totals, characters of front and back matter, the splitter's warnings, usage, and an entry for each section."""
+    one = F.struct("section_index", "chapter_number", "section_number", "chapter", "section", F.array("start_line", "end_line").alias("line_range"), "heading_level", "source_heading")
+    files = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("files"))
+    said = warnings.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "warning"))), lambda x: x["warning"]).alias("split_warnings"))
+    used = usage if usage is not None else documents.select("doc_id", F.lit(None).cast("string").alias("usage_json"))
+    rows = documents.select("doc_id", "source_name").join(reports.select("doc_id", "sections_total", "items_total"), "doc_id", "left").join(files, "doc_id", "left").join(said, "doc_id", "left")
+    rows = rows.join(front, "doc_id", "left").join(back, "doc_id", "left").join(used.select("doc_id", "usage_json"), "doc_id", "left")
+    chars = lambda c: F.length(F.coalesce(c, F.lit("")))
+    body = F.struct(
+        F.col("sections_total").alias("sections_written"), "items_total", F.col("source_name").alias("source_file"), chars("front_matter").alias("front_matter_chars"), chars("back_matter").alias("back_matter_chars"),
+        F.coalesce("split_warnings", F.array().cast("array<string>")).alias("split_warnings"), F.lit(audited).alias("audit_enabled"), F.try_parse_json("usage_json").alias("usage_summary"), "files",
+    )
+    return rows.select("doc_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("summary_json"))
+
+
 def structure_index(sections: DataFrame, reports: DataFrame) -> DataFrame:
     """(doc_id, structure_json): the sections with lines, headings and numbers of items."""
     rows = sections.join(reports.select("doc_id", "section_index", F.col("n_items").alias("items")), ["doc_id", "section_index"], "left")

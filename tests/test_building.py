@@ -179,3 +179,44 @@ def test_spans_clip_at_the_next_item(spark):
     df = spark.createDataFrame([(True, 0, 9, 5), (True, 6, 9, 5), (False, 0, 9, 5), (True, 0, 9, None)], "found boolean, char_start int, char_end int, next_anchor int").withColumn("text", F.lit("0123456789"))
     got = [(r["found"], r["span_text"]) for r in spans.clipped_to_next(df, "content").collect()]
     assert got == [(True, "01234"), (False, "678"), (False, "012345678"), (True, "012345678")]
+
+
+BOOK = "Foreword by nobody.\n# Chapter 1. C\n## 1.1 A\nDefinition 1.1. x\n## 1.2 Two\nTheorem 1.2. y\nProof. z\n## References\n[1] none\n"
+
+
+def test_conversion_writes_all_artefacts(spark, tmp_path):
+    from lemmaflow.plans.convert import artefacts, convert
+
+    docs = spark.createDataFrame([("d", "d.md", BOOK, 1), ("e", "e.md", "no heading", 1)], "doc_id string, source_name string, text string, other int")
+    audits = spark.createDataFrame([("d", 1, "Fine.", [], [], "{}")], "doc_id string, section_index int, audit_markdown string, actions array<string>, open_questions array<string>, patch_json string")
+    repaired = spark.createDataFrame([("d", 2, 1, "lemma", "L", ["7"], "new", [], None)], "doc_id string, section_index int, position int, env string, label string, number_components array<string>, content string, dependencies array<string>, proof string")
+    usage = spark.createDataFrame([("d", '{"requests": 2}')], "doc_id string, usage_json string")
+    names = convert(docs, str(tmp_path), audits=audits, repaired=repaired, usage=usage)
+    assert set(names) == {"items", "section_items", "initial_items", "sections", "structure", "index", "quality", "candidates", "summary", "audits", "patches"}
+    read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
+    summary = {r["doc_id"]: json.loads(r["summary_json"]) for r in read("summary").collect()}
+    d, e = summary["d"], summary["e"]
+    assert (d["sections_written"], d["items_total"], d["front_matter_chars"], d["back_matter_chars"], d["audit_enabled"], d["usage_summary"]) == (2, 2, len("Foreword by nobody.\n# Chapter 1. C"), len("## References\n[1] none"), True, {"requests": 2})
+    assert [f["section_number"] for f in d["files"]] == ["1.1", "1.2"] and len(e["files"]) == 1 and e["items_total"] == 0 and len(e["split_warnings"]) == 1
+    labels = {(r["doc_id"], r["section_index"]): [i["label"] for i in json.loads(r["items_json"])] for r in read("section_items").collect()}
+    assert labels == {("d", 1): ["Definition 1.1"], ("d", 2): ["Lemma 7"], ("e", 1): []}
+    first = {(r["doc_id"], r["section_index"]): [i["label"] for i in json.loads(r["items_json"])] for r in read("initial_items").collect()}
+    assert first["d", 2] == ["Theorem 1.2"]
+    assert {r["doc_id"] for r in read("candidates").collect()} == {"d"} and "Fine." in read("audits").filter("doc_id = 'd'").first()["markdown"]
+    plans = spark.createDataFrame([("e", 0, 1, 1, "1", "All", "C", "", "C", "")], "doc_id string, position int, start_line int, end_line int, section_number string, section_title string, chapter string, chapter_number string, fallback_chapter string, fallback_number string")
+    planned = artefacts(docs, plans=plans)
+    assert {r["doc_id"]: r["n"] for r in planned["sections"].groupBy("doc_id").count().withColumnRenamed("count", "n").collect()} == {"d": 2, "e": 1}
+
+
+def test_traces_and_annotation_files(spark, tmp_path):
+    for name, body in {"extract/a.json": {"usage": {"input_tokens": 5, "total_tokens": 7}, "timing": {"elapsed_seconds": 1.5}}, "extract/deep/b.json": {"usage": {"prompt_tokens": 3, "completion_tokens": 1}, "elapsed_seconds": 2}, "audit/c.json": {"usage": None}, "audit/d.json": {"usage": {"output_tokens": 4}, "elapsed_seconds": "3"}}.items():
+        (tmp_path / "traces" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "traces" / name).write_text(json.dumps(body, indent=1))
+    (tmp_path / "traces" / "audit" / "bad.json").write_text("{")
+    got = {r["phase"]: tuple(r)[1:] for r in jobs.usage_by_phase(readers.traces(spark, str(tmp_path / "traces"))).collect()}
+    assert got["extract"] == (2, 8, 1, 7, 3.5) and got["audit"] == (1, 0, 4, 0, 0.0) and got["structure"] == (0, 0, 0, 0, 0.0)
+    good = {"schema_version": "md2json.annotation.v1", "source": {}, "items": []}
+    for name, body in {"one": good, "two words": {}}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(body))
+    got = {r["id"]: r["error"] for r in readers.annotations(spark, str(tmp_path)).collect()}
+    assert got["one"] is None and "schema_version" in got["two words"]
