@@ -92,7 +92,7 @@ ERROR_EMPTY_TEXT, ERROR_NOT_IN_SOURCE = "Mock API item cannot build an empty sou
 ACTIONS, ANCHOR_POSITIONS = ("add", "update", "delete"), ("before", "after", "replace")
 NO_AUDIT = ("\n\nShort verdict: no change\n\nCurrent JSON summary: ", " item(s).\n\nFindings: mock audit did not perform semantic review.\n\nCompact action summary: no actions.")
 #: What is wrong with a submitted annotation.
-BAD_OBJECT, BAD_VERSION = "Annotation payload must be a JSON object.", "Only schema_version=md2json.annotation.v1 is accepted."
+BAD_OBJECT, BAD_VERSION = "Annotation payload must be a JSON object.", f"Only schema_version={SCHEMA_VERSION} is accepted."
 BAD_SOURCE, BAD_SOURCE_TYPE = "Annotation payload must include source object.", "Annotation source.source_type does not match the conversion job."
 BAD_ITEMS, BAD_QUALITY = "Annotation payload must include items array.", "Annotation quality must be an object when provided."
 BAD_ITEM, BAD_ITEM_OBJECT, BAD_ITEM_ID, BAD_DUPLICATE = "Annotation item at index ", " must be an object.", " must include a non-empty id.", "Duplicate annotation item id: "
@@ -122,3 +122,5 @@ AUDIT_TITLE = "# Consolidated LLM Audit Report\n\n"
 AUDIT_DEFERRED = "audit result unavailable"
 PATCH_SOME = "localized repair"
 PATCH_NONE = "no change"
+#: Folders of kinds of jobs.
+JOB_FOLDERS = ("doc2x", "full")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lemmaflow.functions import patterns as R
 from lemmaflow.functions import values as V
 
 PHASES = ["structure", "extract", "audit", "mock_structure", "mock_extract", "mock_audit"]
@@ -54,9 +55,9 @@ def combined_usage(conversion: DataFrame, seconds: DataFrame) -> DataFrame:
 
 
 def job_folders(paths: DataFrame, now: Column, days: int = 30) -> DataFrame:
-    """Folders of jobs (path, modified_at) to remove: all below ``doc2x`` or ``full``, and those named by 32 hexadecimal digits, when old enough."""
+    """Folders of jobs (path, modified_at) to remove: all below the folders of kinds, and those named by 32 hexadecimal digits, when old enough."""
     name, above = F.element_at(F.split("path", "/"), -1), F.element_at(F.split("path", "/"), -2)
-    return paths.filter((above.isin("doc2x", "full") | F.rlike(name, F.lit("^[0-9a-f]{32}$"))) & (F.col("modified_at") <= now - F.make_dt_interval(F.lit(days))))
+    return paths.filter((above.isin(*R.JOB_FOLDERS) | F.rlike(name, F.lit("^[0-9a-f]{32}$"))) & (F.col("modified_at") <= now - F.make_dt_interval(F.lit(days))))
 
 
 def settled_folders(files: DataFrame, now: Column, stable_seconds: int = 30) -> DataFrame:

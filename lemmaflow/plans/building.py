@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lemmaflow.functions import patterns as R
 from lemmaflow.operators import annotate, build, jobs, normalize, repair, spans, split, structure
 from lemmaflow.plans import convert
 from lemmaflow.plans.corpus import books
@@ -170,7 +171,7 @@ def annotation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
     items = F.when(n % 5 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("a"))).when(n % 5 == 1, F.array(F.lit("a"), F.lit(""))).otherwise(F.array(F.lit("a"), F.lit("b")))
     whole = F.struct(
-        F.when(n % 7 > 0, "md2json.annotation.v1").otherwise("v0").alias("schema_version"),
+        F.when(n % 7 > 0, R.SCHEMA_VERSION).otherwise("v0").alias("schema_version"),
         F.when(n % 11 > 0, F.struct(F.when(n % 13 == 0, "pdf").otherwise("markdown").alias("source_type"))).alias("source"),
         F.when(n % 17 > 0, F.transform(items, lambda i: F.struct(i.alias("id")))).alias("items"), F.when(n % 19 == 0, "good").alias("quality"),
     )
@@ -181,7 +182,7 @@ def annotation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def annotations_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels as stored annotations and documents as submissions, every fourth one invalid: what is kept of each id."""
     made = lambda version, ids: F.to_json(F.struct(version.alias("schema_version"), F.struct(F.lit("markdown").alias("source_type")).alias("source"), F.transform(ids, lambda i: F.struct(i.cast("string").alias("id"))).alias("items")))
-    good = F.lit("md2json.annotation.v1")
+    good = F.lit(R.SCHEMA_VERSION)
     stored = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), made(good, F.array(F.lit(1))).alias("payload"), F.lit(10).alias("updated_at"))
     sent = _table(spark, sf_dir, "documents").filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("id"), made(F.when(F.col("doc_id") % 4 > 0, good).otherwise("v0"), F.sequence(F.lit(1), F.col("doc_id") % 5 + 2)).alias("payload"),

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import options
+from lemmaflow.functions import patterns as R
 from lemmaflow.functions.profiles import profile
 from lemmaflow.operators import annotate, build, jobs, spans
 from lemmaflow.sources import readers
@@ -83,7 +84,7 @@ def test_annotation_fields_in_odd_forms(spark):
 
 
 def test_annotations_are_checked_and_replaced_whole(spark):
-    good = {"schema_version": "md2json.annotation.v1", "source": {}, "items": [{"id": "a"}, {"id": "b"}]}
+    good = {"schema_version": R.SCHEMA_VERSION, "source": {}, "items": [{"id": "a"}, {"id": "b"}]}
     cases = [
         (good, None), ("x", "object"), ({**good, "schema_version": 1}, "schema_version"), ({**good, "source": []}, "source object"), ({**good, "source": {"source_type": "pdf"}}, "match"),
         ({**good, "items": {}}, "items array"), ({**good, "items": [{"id": "a"}, 3]}, "index 2 must be"), ({**good, "items": [{"id": 1}]}, "non-empty id"),
@@ -215,7 +216,7 @@ def test_traces_and_annotation_files(spark, tmp_path):
     (tmp_path / "traces" / "audit" / "bad.json").write_text("{")
     got = {r["phase"]: tuple(r)[1:] for r in jobs.usage_by_phase(readers.traces(spark, str(tmp_path / "traces"))).collect()}
     assert got["extract"] == (2, 8, 1, 7, 3.5) and got["audit"] == (1, 0, 4, 0, 0.0) and got["structure"] == (0, 0, 0, 0, 0.0)
-    good = {"schema_version": "md2json.annotation.v1", "source": {}, "items": []}
+    good = {"schema_version": R.SCHEMA_VERSION, "source": {}, "items": []}
     for name, body in {"one": good, "two words": {}}.items():
         (tmp_path / f"{name}.json").write_text(json.dumps(body))
     got = {r["id"]: r["error"] for r in readers.annotations(spark, str(tmp_path)).collect()}
