@@ -115,4 +115,35 @@ PIPELINE_KEPT = (
     + "select d2.doc_id, sha256(text) as text_sha256 from d2 left join classes c on c.doc_id = d2.doc_id where coalesce(c.class_id, d2.doc_id) = d2.doc_id"
 )
 
-ORACLES = {"op2_line_dedup": _LINE_MARKED + _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _LINKS + _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "secrets_base": _SECRETS_BASE, "url_rules": _URL_RULES, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS}
+# six rounds of assignment and means; every step is a table, as the next one reads it twice
+_CODES_START = """
+with kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select vec_id, label, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] as x from kept cross join (select unnest(range(8)) as p)
+), books0 as materialized (
+  select p, e, x as c from parts join (select vec_id, row_number() over (order by vec_id) - 1 as e from kept order by vec_id limit 16) using (vec_id)
+)"""
+_CODES_NEAREST = """, {name} as materialized (
+  select vec_id, label, p, arg_min(e, (d, e)) as e, min(d) as d, any_value(x) as x from (
+    select vec_id, label, p, e, x, cast(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) as d from parts join {books} using (p)
+  ) group by vec_id, label, p
+)"""
+_CODES_ROUND = """, books{next} as materialized (
+  select p, e, coalesce(m.c, b.c) as c from books{this} b left join (
+    select p, e, list(cast(floor_mean as bigint) order by i) as c from (
+      select p, e, i, (sum(y) - ((sum(y) % count(*)) + count(*)) % count(*)) // count(*) as floor_mean from (select p, e, unnest(x) as y, unnest(range(len(x))) as i from near{this}) group by p, e, i
+    ) group by p, e
+  ) m using (p, e)
+)"""
+_CODES = (
+    _CODES_START
+    + "".join(_CODES_NEAREST.format(name=f"near{i}", books=f"books{i}") + _CODES_ROUND.format(this=i, next=i + 1) for i in range(6))
+    + _CODES_NEAREST.format(name="final", books="books6")
+    + """, coded as (select vec_id, label, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error from final group by vec_id, label)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, (select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) from books6) as codebooks_sha256 from coded
+"""
+)
+
+ORACLES = {"op2_line_dedup": _LINE_MARKED + _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _LINKS + _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "secrets_base": _SECRETS_BASE, "url_rules": _URL_RULES, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS, "op13_vector_codes": _CODES}

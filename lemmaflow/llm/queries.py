@@ -93,6 +93,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.codes import compressed
+
+    return compressed(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of ``op1_secrets`` that the fixed patterns alone decide."""
     return op1_secrets(spark, sf_dir).drop("spans")
