@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_tables: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -35,10 +36,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """``df`` written to scratch as a table in buckets by ``keys``, sorted by them: joins on these don't move it again."""
+    spark = df.sparkSession
+    path, n = scratch_dir(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    _tables[path] = table
+    return spark.table(table)
+
+
 def _delete(made: list[tuple[SparkSession, str]]) -> None:
     while made:
         spark, path = made.pop()
         try:
+            if path in _tables:
+                spark.sql(f"drop table if exists {_tables.pop(path)}")
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # the JVM may be gone by then; the folder is its owner's to clean
