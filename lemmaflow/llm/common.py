@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lemmaflow.scratch import scratch_dir, scratch_scope, staged
+from lemmaflow.scratch import bucketed, scratch_dir, scratch_scope, staged
 
-__all__ = ["P", "heavy_keys", "null_safe", "scratch_dir", "scratch_scope", "staged", "table"]
+__all__ = ["P", "bucketed", "heavy_keys", "null_safe", "scratch_dir", "scratch_scope", "staged", "table"]
 
 #: Names that operators add begin with this, so that they can't clash with columns of the input.
 P = "__lf_"

@@ -115,6 +115,23 @@ PIPELINE_KEPT = (
     + "select d2.doc_id, sha256(text) as text_sha256 from d2 left join classes c on c.doc_id = d2.doc_id where coalesce(c.class_id, d2.doc_id) = d2.doc_id"
 )
 
+# all strings of 200 bytes, as 400 hexadecimal digits; gaps and islands of the covered bytes
+_REPEATS = """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+places as (select doc_id, x, unnest(range(octet_length(encode(x)) // 2 - 199)) as i from h where octet_length(encode(x)) >= 400),
+windows as (select doc_id, i, md5_number(substr(x, 2 * i + 1, 400)) as w from places),
+again as (select w from windows group by w having count(*) > 1),
+hits as (select distinct doc_id, i from windows where w in (select w from again)),
+marked as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 200 then 0 else 1 end as new from hits),
+numbered as (select doc_id, i, sum(new) over (partition by doc_id order by i) as k from marked),
+spans as (select doc_id, k, min(i) as a, max(i) + 200 as b from numbered group by doc_id, k),
+pieces as (select doc_id, lag(b, 1, 0) over (partition by doc_id order by a) as f, a as t from spans union all select doc_id, max(b), null from spans group by doc_id),
+kept as (select doc_id, string_agg(substr(x, 2 * f + 1, coalesce(2 * (t - f), length(x))), '' order by f) as y from pieces join h using (doc_id) group by doc_id),
+removed as (select doc_id, cast(sum(b - a) as bigint) as n_removed, count(*) as n_spans from spans group by doc_id)
+select h.doc_id, cast(length(x) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(y, x))) as kept_sha256
+from h left join kept using (doc_id) left join removed using (doc_id)
+"""
+
 # six rounds of assignment and means; every step is a table, as the next one reads it twice
 _CODES_START = """
 with kept as materialized (
@@ -146,4 +163,4 @@ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint)
 """
 )
 
-ORACLES = {"op2_line_dedup": _LINE_MARKED + _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _LINKS + _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "secrets_base": _SECRETS_BASE, "url_rules": _URL_RULES, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS, "op13_vector_codes": _CODES}
+ORACLES = {"op2_line_dedup": _LINE_MARKED + _LINE_DEDUP, "op4_warc": _WARC, "op7_ngram_jaccard": _LINKS + _JACCARD, "op8_quality_rules": _QUALITY_BITS + _QUALITY_LEDGER, "secrets_base": _SECRETS_BASE, "url_rules": _URL_RULES, "quality_rules_ablations": _QUALITY_BITS + _ABLATIONS, "op11_suffix_dedup": _REPEATS, "op13_vector_codes": _CODES}

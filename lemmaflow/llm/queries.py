@@ -93,6 +93,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.repeats import dedup
+
+    out = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(f"{P}bytes").alias("n_bytes"), F.col(f"{P}removed").alias("n_removed"), F.col(f"{P}spans").alias("n_spans"), F.sha2(f"{P}kept", 256).alias("kept_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.llm.codes import compressed
 
