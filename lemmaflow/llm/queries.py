@@ -100,6 +100,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col(f"{P}bytes").alias("n_bytes"), F.col(f"{P}removed").alias("n_removed"), F.col(f"{P}spans").alias("n_spans"), F.sha2(f"{P}kept", 256).alias("kept_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lemmaflow.llm.spelling import grouped
+
+    return grouped(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lemmaflow.llm.codes import compressed
 
