@@ -112,7 +112,7 @@ u as (select doc_id, i as section_index, case when s > before then s else least(
 v as (select u.*, coalesce(nullif(given, ''), section_number) as name, arg_min(l.line, l.line_no) as line, string_agg(l.line, chr(10) order by l.line_no) as body from u join lines l on l.doc_id = u.doc_id and l.line_no between u.start_line and u.end_line group by all)
 select doc_id, section_index, section_number, {_strip("section_number || '. ' || name")} as section, chapter, chapter_number, case when {_is("line", R.HEADING)} then length({_part("line", R.HEADING, 1)}) else -1 end as heading_level,
   case when {_is("line", R.HEADING)} then {_clean(_part("line", R.HEADING, 2))} when {_X} <> '' then {_X} else name end as source_heading, start_line, end_line, sha256({_strip("body")}) as text_sha256 from v""",
-    "structure_candidates_whole": f"""with {_LINES}, {_PARSED}, f as (
+    "structure_candidates": f"""with {_LINES}, {_PARSED}, f as (
   select *, last_value(nullif(substr(s, 1, 300), '') ignore nulls) over (partition by doc_id order by line_no rows between unbounded preceding and 1 preceding) as prev,
     first_value(nullif(substr(s, 1, 300), '') ignore nulls) over (partition by doc_id order by line_no rows between 1 following and unbounded following) as next,
     case when level > 0 then 'markdown_h' || level || case when {_is("title", R.CHAPTER)} then '_chapter' when {_is("title", R.BACK_MATTER)} then '_back_matter' when {_is("words", R.ITEM_HEADING)} then '_item_or_activity' when kind is not null then '_section_candidate' else '_heading' end
@@ -138,7 +138,7 @@ select doc_id, section_index, case when len(regexp_extract_all(t, {_re(R.CJK)}))
     from (select n.path, n.i, n.digest, n.ok, n.sec as now, case when n.digest = s.digest then s.status else '' end as status, case when n.digest = s.digest then s.failures else 0 end as failures, case when n.digest = s.digest then s.sec else 0 end as sec from state s join seen n on n.path = s.path and n.i = s.i + 1)
   )
 ) select action, count(*) as n from state where i > 0 group by action""",
-    "source_backed_whole": f"""with {_LINES}, b as (select doc_id, {_clean("string_agg(line, chr(10) order by line_no)")} as t from lines group by doc_id), v as (select doc_id as document, {_clean(f"string_split({_TEXT}, chr(10))[1]")} as x from documents),
+    "source_backed": f"""with {_LINES}, b as (select doc_id, {_clean("string_agg(line, chr(10) order by line_no)")} as t from lines group by doc_id), v as (select doc_id as document, {_clean(f"string_split({_TEXT}, chr(10))[1]")} as x from documents),
 pairs as (select document, x, cast(document // 16 as varchar) as doc_id from v union all select document, x, cast(document // 16 - 1 as varchar) from v)
 select doc_id, document, x = '' or contains(t, x) as backed from b join pairs using (doc_id)""",
     "dependency_rewrite": """with items as (select doc_id // 4 as s, doc_id % 4 + 1 as p, case when doc_id % 3 > 0 then cast(doc_id % 7 as varchar) end as number from documents),

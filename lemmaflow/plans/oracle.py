@@ -269,13 +269,6 @@ from (select doc_id, coalesce(text, '') as t from documents) where doc_id not in
     "annotation_quality": f"""with {_QUALITY}, {_ISSUES}, every as (
   select distinct doc_id, severity, code, message, item_id from issues union all select doc_id, 'warning', 'global_warning', warning, null from global_warnings union all select distinct doc_id, 'warning', 'section_warning', warning, null from section_warnings
 ) select d.doc_id, count(*) filter (where severity = 'error') as error_count, count(*) filter (where severity = 'warning') as warning_count from (select distinct doc_id from all_lines) d left join every using (doc_id) group by d.doc_id""",
-    "structure_candidates": f"""with {_LINES}, x as (
-  select doc_id, line_no, {_X} as s, {_strip(_part(_X, R.HEADING, 2))} as raw, {_clean(_part(_X, R.HEADING, 2))} as title, length({_part(_X, R.HEADING, 1)}) as level from lines
-), f as (select *, last_value(nullif(substr(s, 1, 300), '') ignore nulls) over (partition by doc_id order by line_no rows between unbounded preceding and 1 preceding) as prev,
-    first_value(nullif(substr(s, 1, 300), '') ignore nulls) over (partition by doc_id order by line_no rows between 1 following and unbounded following) as next, {_is("s", R.HEADING)} as heading, {_KIND} as section_kind from x
-), k as (select *, case when heading then 'markdown_h' || level || case when {_is("title", R.CHAPTER)} then '_chapter' when {_is("title", R.BACK_MATTER)} then '_back_matter' when {_is("raw", R.ITEM_HEADING)} then '_item_or_activity' when section_kind is not null then '_section_candidate' else '_heading' end
-    when {_is(_clean("s"), R.CHAPTER)} then 'bare_chapter_candidate' when {_is(_clean("s"), R.BACK_MATTER)} then 'bare_back_matter_candidate' when {_is("s", R.ITEM_HEADING)} then 'item_or_activity_candidate' end as kind from f where s <> '')
-select doc_id, line_no, kind, sha256(substr(s, 1, 500)) as text_sha256, sha256(coalesce(prev, '')) as prev_sha256, sha256(coalesce(next, '')) as next_sha256 from k where kind is not null""",
     "plan_clip_overlaps": """with plan as (select l_orderkey as doc_id, cast(l_linenumber as bigint) as position, cast(l_partkey % 60 as int) as s0, greatest(1, least(50, l_partkey % 60)) as s, l_partkey % 60 + l_suppkey % 25 as e0 from lineitem),
 p as (select *, greatest(s, least(50, e0)) as e, row_number() over (partition by doc_id order by s0, position, e0) as i from plan),
 q as (select *, least(50, i + max(e - i) over (partition by doc_id order by i rows unbounded preceding)) as end_line from p),
@@ -295,8 +288,6 @@ select doc_id, pos as position, 1 + length(substr(t, 1, pos)) - length(replace(s
     "audit_report": f"""with {_AUDITS} select doc_id, '# Consolidated LLM Audit Report' || chr(10) || chr(10) || string_agg('## section' || lpad(cast(i as varchar), 2, '0') || '.json ' || lang || chr(10) || chr(10) || case when audited then 'Quality ' || quality else 'Audit unavailable.' end || chr(10), chr(10) order by i) as markdown from a group by doc_id""",
     "patch_candidates": f"""with {_AUDITS} select doc_id, case when bool_or(acts) then 'localized repair' else 'no change' end as overall_assessment, coalesce(string_agg(id, ',' order by i) filter (where audited and not acts), '') as no_change,
   coalesce(string_agg('{{"id":' || doc || '}}', ',' order by i) filter (where acts), '') as sections, coalesce(string_agg(id || ':' || case when audited then 'keep?' else 'audit result unavailable' end, ',' order by i) filter (where not audited or toxic = 1), '') as defer from a group by doc_id""",
-    "source_backed": f"""with {_LINES}, b as (select doc_id, {_clean("string_agg(line, chr(10) order by line_no)")} as t from lines group by doc_id), v as (select cast(doc_id // 16 as varchar) as doc_id, {_clean("string_split(coalesce(text, ''), chr(10))[1]")} as x from documents where doc_id % 16 = 0)
-select doc_id, x = '' or contains(t, x) as backed from b join v using (doc_id)""",
     "usage_by_phase": f"with {_USAGE} select * from usage",
     "usage_total": f"with {_USAGE} select cast(sum(requests) as bigint) as requests, cast(sum(input_tokens) as bigint) as input_tokens, cast(sum(output_tokens) as bigint) as output_tokens, cast(sum(total_tokens) as bigint) as total_tokens, round(sum(elapsed_seconds), 6) as llm_elapsed_seconds from usage",
     "jobs_latest_state": f"with {_LATEST} select user_id, ts, event_id, event_type, value from latest",

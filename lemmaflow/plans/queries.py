@@ -111,11 +111,6 @@ def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All kinds but bare sections; ``structure_candidates_whole`` has them."""
-    return structure_candidates_whole(spark, sf_dir).filter("kind not in ('bare_section_candidate')")
-
-
-def structure_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of every kind."""
     rows = structure.candidates(split.lines(books(spark, sf_dir)))
     return rows.select("doc_id", "line_no", "kind", F.sha2("text", 256).alias("text_sha256"), F.sha2("prev", 256).alias("prev_sha256"), F.sha2("next", 256).alias("next_sha256"))
@@ -149,13 +144,6 @@ def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_backed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each book has the first line of the document that opens the next one."""
-    docs = _table(spark, sf_dir, "documents").filter("doc_id % 16 = 0").select(F.expr("cast(doc_id div 16 as string)").alias("doc_id"), F.substring_index("text", "\n", 1).alias("value"))
-    b = books(spark, sf_dir)
-    return b.join(docs, "doc_id").select("doc_id", spans.source_backed(F.col("text"), F.col("value")).alias("backed"))
-
-
-def source_backed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the first line of every document is in its own book, and in the book before, if there is one."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document"), F.substring_index("text", "\n", 1).alias("value"), F.explode(F.expr("array(cast(doc_id div 16 as string), cast(doc_id div 16 - 1 as string))")).alias("doc_id"))
     values = docs.groupBy("doc_id").agg(F.collect_list(F.struct("document", "value")).alias("values"))  # 32 a book
@@ -288,8 +276,8 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items,
-    normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates, structure_candidates_whole,
-    planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, source_backed_whole, audit_report, patch_candidates, prompt_profile, usage_by_phase,
+    normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates,
+    planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase,
     usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset,
     stream_ingest_state,
 ]

@@ -236,10 +236,8 @@ def test_whole_structure_candidates_have_bare_sections(spark, tmp_path):
 
     lines = ["Start", "1.1 Open sets", "B Closed sets", "def", "2 A sentence that ends here.", "3 x = y", "thm", "proof", "C) Compact sets", "remark", "12 plain title", "plain text"]
     folder = _corpus(spark, tmp_path, [(0, "\n".join(lines))])
-    whole = {(r["line_no"], r["kind"]) for r in queries()["structure_candidates_whole"](spark, folder).collect()}
+    whole = {(r["line_no"], r["kind"]) for r in queries()["structure_candidates"](spark, folder).collect()}
     assert {n for n, kind in whole if kind == "bare_section_candidate"} == {2, 3, 9, 11}
-    part = {(r["line_no"], r["kind"]) for r in queries()["structure_candidates"](spark, folder).collect()}
-    assert part == {x for x in whole if x[1] != "bare_section_candidate"}
 
 
 def test_whole_source_backed_tests_every_document(spark, tmp_path):
@@ -247,7 +245,7 @@ def test_whole_source_backed_tests_every_document(spark, tmp_path):
 
     texts = [(i, f"first   line of {i}\nsame line") for i in range(40)]
     texts[5], texts[20], texts[21] = (5, None), (20, "same  line\nx"), (21, " \nx")
-    got = {(int(r["doc_id"]), r["document"]): r["backed"] for r in queries()["source_backed_whole"](spark, _corpus(spark, tmp_path, texts)).collect()}
+    got = {(int(r["doc_id"]), r["document"]): r["backed"] for r in queries()["source_backed"](spark, _corpus(spark, tmp_path, texts)).collect()}
     assert set(got) == {(i // 16, i) for i in range(40)} | {(i // 16 - 1, i) for i in range(16, 40)}
     for (book, i), backed in got.items():
         assert backed == (book == i // 16 or i in (20, 21)), (book, i)
