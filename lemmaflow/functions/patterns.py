@@ -111,6 +111,10 @@ WARN_LABELS = "duplicate labels: "
 WARN_ALL_REMARKS = "all extracted items are remark"
 WARN_SECTION_NUMBER = "duplicate section number detected: "
 WARN_LONG_SECTION = "section %02d is very long (%d chars); consider smaller chunks"
+WARN_PLAN_EMPTY = "LLM structure plan had no sections; used hard splitter fallback"
+WARN_PLAN_ORDER = "LLM structure sections were not sorted; sorted by start_line"
+WARN_PLAN_MOVED = "Adjusted overlapping section start for section %d."
+WARN_PLAN_END = "Adjusted invalid end_line for section %d."
 SPAN_NO_START = "empty start_anchor"
 SPAN_START_MISSING = "start_anchor not found: '"
 SPAN_START_EARLY = "start_anchor occurrence resolved before search_start"

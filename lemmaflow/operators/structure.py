@@ -65,7 +65,50 @@ def clipped(plan: DataFrame) -> DataFrame:
     rows = plan.withColumns({"i": F.row_number().over(order), "s": start, "e": end})
     ends = rows.withColumn("new_end", F.least(F.col("n_lines"), F.col("i") + F.max(F.col("e") - F.col("i")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     before = F.coalesce(F.lag("new_end").over(order), F.lit(0))
-    return ends.withColumn("before", before).select("doc_id", "position", F.col("i").alias("section_index"), F.when(F.col("s") > F.col("before"), F.col("s")).otherwise(F.least(F.col("before") + 1, "n_lines")).alias("start_line"), F.col("new_end").alias("end_line"))
+    moved = F.col("s") <= F.col("before")
+    begin = F.when(moved, F.least(F.col("before") + 1, "n_lines")).otherwise(F.col("s"))
+    return ends.withColumn("before", before).select("doc_id", "position", F.col("i").alias("section_index"), begin.alias("start_line"), F.col("new_end").alias("end_line"), moved.alias("moved"), (F.col("e") < begin).alias("stretched"))
+
+
+def ranges_text(lines: Column, ranges: Column) -> Column:
+    """The text of ranges of lines (start_line, end_line), joined by blank lines: starts are clamped to the lines, ends to the start and the last line, a missing number is
+    the least allowed one. Blank pieces go; null ranges, and ranges of a text without lines, are empty. Ranges that overlap repeat their text."""
+    n = F.size(lines)
+    begin = lambda r: F.greatest(F.lit(1), F.least(n, F.coalesce(r["start_line"], F.lit(1))))
+    end = lambda r: F.greatest(begin(r), F.least(n, F.coalesce(r["end_line"], F.lit(1))))
+    pieces = F.transform(ranges, lambda r: T.strip(F.array_join(F.slice(lines, begin(r), end(r) - begin(r) + 1), "\n")))
+    return F.coalesce(F.when(n > 0, F.array_join(F.filter(pieces, lambda x: x != ""), "\n\n")), F.lit(""))
+
+
+def plan_matter(heads: DataFrame, sections: DataFrame, documents: DataFrame) -> DataFrame:
+    """(doc_id, front_matter, back_matter) of documents with a plan (``heads``: doc_id, front_matter_ranges, back_matter_ranges), in one pass over each text.
+
+    Without front matter in the plan it is what stands before the first section (``sections``: doc_id, start_line).
+    """
+    first = sections.groupBy("doc_id").agg(F.min("start_line").alias("first"))
+    rows = documents.join(heads.select("doc_id", "front_matter_ranges", "back_matter_ranges"), "doc_id").join(first, "doc_id", "left").withColumn("lines", T.split_lines(F.col("text")))
+    front = ranges_text(F.col("lines"), F.col("front_matter_ranges"))
+    before = F.when(F.col("first") > 1, T.strip(F.array_join(F.slice("lines", 1, F.col("first") - 1), "\n")))
+    return rows.select("doc_id", F.coalesce(F.nullif(front, F.lit("")), before, F.lit("")).alias("front_matter"), ranges_text(F.col("lines"), F.col("back_matter_ranges")).alias("back_matter"))
+
+
+def plan_warnings(heads: DataFrame, plans: DataFrame, documents: DataFrame, hard: DataFrame) -> DataFrame:
+    """(doc_id, position, warning) of documents with a plan: the plan's own (``heads``: doc_id, warnings; blank ones go), sections out of order, adjusted starts and ends.
+
+    A plan without sections leaves the hard splitter's warnings (``hard``: doc_id, position, warning) and says so. ``plans``: as ``planned_sections`` takes them.
+    """
+    told = heads.select("doc_id", F.posexplode(F.filter(F.transform("warnings", T.strip), lambda w: w != "")).alias("position", "warning")).withColumn("k", F.lit(0))
+    whole = plans.select("doc_id").distinct()
+    own = told.join(whole, "doc_id", "left_semi")
+    later = F.col("start") < F.max("start").over(Window.partitionBy("doc_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1))
+    order = plans.withColumn("start", F.coalesce("start_line", F.lit(0))).withColumn("later", later).groupBy("doc_id").agg(F.bool_or("later").alias("later")).filter("later").select("doc_id", F.lit(0).alias("position"), F.lit(R.WARN_PLAN_ORDER).alias("warning"), F.lit(1).alias("k"))
+    size = documents.select("doc_id", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
+    said = F.array_compact(F.array(F.when(F.col("moved"), F.format_string(R.WARN_PLAN_MOVED, "section_index")), F.when(F.col("stretched"), F.format_string(R.WARN_PLAN_END, "section_index"))))
+    adjusted = clipped(plans.join(size, "doc_id")).select("doc_id", "section_index", F.posexplode(said).alias("i", "warning")).select("doc_id", (F.col("section_index") * 2 + F.col("i")).alias("position"), "warning", F.lit(2).alias("k"))
+    empty = heads.select("doc_id").join(whole, "doc_id", "left_anti")
+    old = hard.join(empty, "doc_id", "left_semi").select("doc_id", "position", "warning", F.lit(0).alias("k")).unionByName(empty.select("doc_id", F.lit(0).alias("position"), F.lit(R.WARN_PLAN_EMPTY).alias("warning"), F.lit(1).alias("k")))
+    rows = own.select("doc_id", "position", "warning", "k").unionByName(order).unionByName(adjusted).unionByName(old)
+    return rows.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("k", "position")) - 1).alias("position"), "warning")
 
 
 def planned_sections(plans: DataFrame, documents: DataFrame) -> DataFrame:

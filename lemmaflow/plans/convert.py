@@ -2,50 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lemmaflow.operators import models, normalize, quality, split, structure
 from lemmaflow.scratch import staged
-from lemmaflow.sources import writers
+from lemmaflow.sources import store, writers
+
+RANGES = "array<struct<start_line:int,end_line:int>>"
+
 
+def plan_heads(plans: DataFrame, heads: DataFrame | None) -> DataFrame:
+    """(doc_id, front_matter_ranges, back_matter_ranges, warnings) of every document with a plan: as given, else without any."""
+    names = {"front_matter_ranges": RANGES, "back_matter_ranges": RANGES, "warnings": "array<string>"}
+    if heads is None:
+        return plans.select("doc_id").distinct().select("doc_id", *(F.lit(None).cast(k).alias(n) for n, k in names.items()))
+    return heads.select("doc_id", *(F.col(n).cast(k).alias(n) if n in heads.columns else F.lit(None).cast(k).alias(n) for n, k in names.items()))
 
-def artefacts(documents: DataFrame, *, plans: DataFrame | None = None, audits: DataFrame | None = None, repaired: DataFrame | None = None, usage: DataFrame | None = None, **extraction) -> dict[str, DataFrame]:
+
+def artefacts(
+    documents: DataFrame, *, plans: DataFrame | None = None, heads: DataFrame | None = None, audits: DataFrame | None = None, repaired: DataFrame | None = None, usage: DataFrame | None = None, **extraction
+) -> dict[str, DataFrame]:
     """The artefacts of documents (doc_id, source_name, text), by name.
 
-    ``plans``: planned sections for some documents, as ``structure.planned_sections`` takes them; the others keep the splitter's. ``audits``: as
+    ``plans``: planned sections for some documents, as ``structure.planned_sections`` takes them, and ``heads``: the rest of their plans (front_matter_ranges, back_matter_ranges,
+    warnings; what isn't there is none); a document in ``heads`` alone has a plan without sections. The others keep the splitter's. ``audits``: as
     ``writers.audit_markdown`` takes them; ``repaired``: items that replace the extracted ones of their sections; ``usage``: (doc_id, usage_json);
-    ``extraction``: what ``models.extracted`` takes (a model's client, its cache); without it the local rules extract.
+    ``extraction``: what ``models.extracted`` takes (a model's client, its store of answers); without it the local rules extract.
     """
     hard = staged(split.sections(documents), "sections")
-    sections = hard
+    sections, warnings = hard, staged(split.split_warnings(hard), "warnings")
+    front, back = staged(split.front_matter(documents), "front"), staged(split.back_matter(documents), "back")
+    out = {}
     if plans is not None:
+        heads = staged(plan_heads(plans, heads), "heads")
         planned = structure.planned_sections(plans, documents).withColumns({"synthetic": F.lit(False), "lone": F.lit(False)})
         sections = staged(hard.join(plans.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(planned), "sections")
+        said = structure.plan_warnings(heads, plans, documents, warnings)
+        warnings = staged(warnings.join(heads.select("doc_id"), "doc_id", "left_anti").unionByName(said), "warnings")
+        whole = heads.join(plans.select("doc_id").distinct(), "doc_id", "left_semi")
+        matter = staged(structure.plan_matter(whole, sections, documents), "matter")
+        own = lambda df, name: df.join(matter.select("doc_id"), "doc_id", "left_anti").unionByName(matter.filter(F.col(name) != "").select("doc_id", name))
+        front, back = own(front, "front_matter"), own(back, "back_matter")
+        out["plan"] = writers.plans_json(whole, plans)
     initial = staged(normalize.normalized(models.extracted(sections, **extraction), sections), "items")
     items = initial
     if repaired is not None:
         key = ["doc_id", "section_index"]
         raw = initial.join(repaired.select(*key).distinct(), key, "left_anti").withColumn("position", F.col("item_index")).select(*key, "position", "env", "label", "number_components", "content", "dependencies", "proof")
         items = staged(normalize.normalized(raw.unionByName(repaired.select(raw.columns)), sections), "items")
-    warnings = staged(split.split_warnings(sections), "warnings")
     reports = staged(quality.section_reports(sections, items), "reports")
     whole = staged(quality.document_reports(sections, items, warnings), "documents")
-    out = {
+    out |= {
         "items": writers.items_json(items), "section_items": writers.section_items_json(items, sections), "sections": sections.select("doc_id", "section_index", F.concat(F.regexp_replace("text", r"(?U)\s+\z", ""), F.lit("\n")).alias("markdown")),
-        "structure": writers.structure_index(sections, reports), "index": writers.index_markdown(reports, documents), "quality": writers.quality_markdown(whole, reports),
-        "candidates": writers.candidates_json(structure.candidates(split.lines(documents)), plans), "summary": writers.summary_json(documents, sections, whole, warnings, split.front_matter(documents), split.back_matter(documents), usage, audits is not None),
+        "structure": writers.structure_index(sections, reports), "index": writers.index_markdown(reports, documents), "quality": writers.quality_markdown(whole, reports), "quality_json": writers.quality_json(whole, reports),
+        "candidates": writers.candidates_json(structure.candidates(split.lines(documents)), plans), "summary": writers.summary_json(documents, sections, whole, warnings, front, back, usage, audits is not None),
+        "front_matter": front.select("doc_id", F.concat("front_matter", F.lit("\n")).alias("markdown")), "back_matter": back.select("doc_id", F.concat("back_matter", F.lit("\n")).alias("markdown")),
     }
     if repaired is not None:
         out["initial_items"] = writers.section_items_json(initial, sections)
     if audits is not None:
-        out |= {"audits": writers.audit_markdown(sections, audits), "patches": writers.patch_candidates(sections, audits)}
+        out |= {"audits": writers.audit_markdown(sections, audits), "patches": writers.patch_candidates(sections, audits), "section_audits": writers.section_audits(audits)}
     return out
 
 
 def convert(documents: DataFrame, folder: str, **settings) -> list[str]:
-    """Write the artefacts of documents below ``folder``, a table each; those of other documents stay. The names of the tables."""
-    found = artefacts(staged(documents.select("doc_id", "source_name", "text"), "source"), **settings)
-    for name, df in found.items():
-        writers.write_by_document(df, f"{folder.rstrip('/')}/{name}")
+    """Write the artefacts of documents to the store ``folder``: all that earlier conversions of these documents left is superseded, that of other documents stays. The names of the tables."""
+    source = staged(documents.select("doc_id", "source_name", "text"), "source")
+    found = artefacts(source, **settings)
+    store.commit(folder, source.select("doc_id"), found)
     return sorted(found)
+
+
+def read(spark: SparkSession, folder: str, name: str, documents: Iterable[str] | None = None) -> DataFrame:
+    """An artefact of all documents, or of some, as their last conversion left it."""
+    return store.read(spark, folder, name, documents)

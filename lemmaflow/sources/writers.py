@@ -109,6 +109,23 @@ def patch_candidates(sections: DataFrame, audits: DataFrame) -> DataFrame:
     return out.withColumn("overall_assessment", F.when(F.size("sections") > 0, R.PATCH_SOME).otherwise(R.PATCH_NONE))
 
 
-def write_by_document(df: DataFrame, path: str) -> None:
-    """Replaces the partitions of the documents in ``df``; those of other documents stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_id").parquet(path)
+def section_audits(audits: DataFrame) -> DataFrame:
+    """(doc_id, section_index, markdown, patch_json): each section's audit, ended by one line end, and its patch."""
+    body = F.concat(F.regexp_replace(F.coalesce("audit_markdown", F.lit("")), r"(?U)\s+\z", ""), F.lit("\n"))
+    return audits.select("doc_id", "section_index", body.alias("markdown"), "patch_json")
+
+
+def quality_json(documents: DataFrame, reports: DataFrame) -> DataFrame:
+    """(doc_id, quality_json): the whole report and those of the sections, in order."""
+    one = F.struct(*(c for c in reports.columns if c not in ("doc_id", "source_name")))
+    own = reports.groupBy("doc_id").agg(F.array_sort(F.collect_list(one), lambda x, y: x["section_index"] - y["section_index"]).alias("sections"))  # maps have no order
+    rows = documents.join(own, "doc_id", "left")
+    return rows.select("doc_id", F.to_json(F.struct(*(c for c in rows.columns if c != "doc_id")), {"ignoreNullFields": "false"}).alias("quality_json"))
+
+
+def plans_json(heads: DataFrame, plans: DataFrame) -> DataFrame:
+    """(doc_id, plan_json): the plans that were used, with their sections in order."""
+    fields = [c for c in plans.columns if c not in ("doc_id", "position", "fallback_chapter", "fallback_number")]
+    own = plans.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", F.struct(*fields).alias("s")))), lambda x: x["s"]).alias("sections"))
+    rows = heads.join(own, "doc_id")
+    return rows.select("doc_id", F.to_json(F.struct(*(c for c in rows.columns if c != "doc_id"))).alias("plan_json"))

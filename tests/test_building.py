@@ -14,6 +14,7 @@ from lemmaflow.functions import patterns as R
 from lemmaflow.functions.profiles import profile
 from lemmaflow.operators import annotate, build, jobs, spans
 from lemmaflow.sources import readers
+from lemmaflow.sources import store
 from lemmaflow.streaming.ingest import stable
 
 SECTION = "doc_id string, section_index int, section_number string, section string, text string, start_line int"
@@ -193,8 +194,11 @@ def test_conversion_writes_all_artefacts(spark, tmp_path):
     repaired = spark.createDataFrame([("d", 2, 1, "lemma", "L", ["7"], "new", [], None)], "doc_id string, section_index int, position int, env string, label string, number_components array<string>, content string, dependencies array<string>, proof string")
     usage = spark.createDataFrame([("d", '{"requests": 2}')], "doc_id string, usage_json string")
     names = convert(docs, str(tmp_path), audits=audits, repaired=repaired, usage=usage)
-    assert set(names) == {"items", "section_items", "initial_items", "sections", "structure", "index", "quality", "candidates", "summary", "audits", "patches"}
-    read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
+    assert set(names) == {"items", "section_items", "initial_items", "sections", "structure", "index", "quality", "quality_json", "candidates", "summary", "audits", "patches", "section_audits", "front_matter", "back_matter"}
+    read = lambda n: store.read(spark, str(tmp_path), n)
+    assert {r["doc_id"]: r["markdown"] for r in read("front_matter").collect()} == {"d": "Foreword by nobody.\n# Chapter 1. C\n"}
+    assert {r["doc_id"]: r["markdown"] for r in read("back_matter").collect()} == {"d": "## References\n[1] none\n"}
+    assert [len(json.loads(r["quality_json"])["sections"]) for r in read("quality_json").orderBy("doc_id").collect()] == [2, 1]
     summary = {r["doc_id"]: json.loads(r["summary_json"]) for r in read("summary").collect()}
     d, e = summary["d"], summary["e"]
     assert (d["sections_written"], d["items_total"], d["front_matter_chars"], d["back_matter_chars"], d["audit_enabled"], d["usage_summary"]) == (2, 2, len("Foreword by nobody.\n# Chapter 1. C"), len("## References\n[1] none"), True, {"requests": 2})

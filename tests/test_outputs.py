@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions.profiles import profile
 from lemmaflow.operators import models, normalize, quality, spans, split
-from lemmaflow.sources import writers
+from lemmaflow.sources import store, writers
 
 BOOK = "# Chapter 1. C\n## 1.1 A | B\nDefinition 1.1. x ...\n## 1.2 Two\nTheorem 1.2. y\nProof. z\n"
 
@@ -26,8 +26,8 @@ def test_results_as_json_and_markdown(spark, tmp_path):
     text = writers.quality_markdown(quality.document_reports(sections, items, split.split_warnings(sections)), reports).first()["markdown"]
     assert "- none" in text and "### section01" in text and "content appears truncated" in text
     for d in ("d", "e", "d"):
-        writers.write_by_document(items.withColumn("doc_id", F.lit(d)), str(tmp_path / "items"))
-    assert {r["doc_id"]: r["n"] for r in spark.read.parquet(str(tmp_path / "items")).groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {"d": 2, "e": 2}
+        store.commit(str(tmp_path / "out"), docs.select(F.lit(d).alias("doc_id")), {"items": items.withColumn("doc_id", F.lit(d))})
+    assert {r["doc_id"]: r["n"] for r in store.read(spark, str(tmp_path / "out"), "items").groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {"d": 2, "e": 2}
 
 
 def test_model_answers_retries_and_cache(spark):
