@@ -128,3 +128,13 @@ PATCH_SOME = "localized repair"
 PATCH_NONE = "no change"
 #: Folders of kinds of jobs.
 JOB_FOLDERS = ("doc2x", "full")
+TOOLS = ("list_source_item_labels", "search_source", "extract_source_span", "build_repaired_items")
+TOOL_NOTE = "Labels are model-declared; the tool only checked literal anchors."
+TOOL_UNKNOWN = "Unknown audit source tool: "
+TOOL_WARNINGS = "\n\nSource-span validation warnings:\n"
+TOOL_NO_AUDIT = ": audit repaired with source span tools."
+TOOL_NO_RESULT = "Audit tool workflow ended without build_repaired_items."
+
+# ---- what a model is told between turns, in words of our own
+TOOL_CONTINUE = "Go on with the source tools; when the evidence is there, build the final items, all of them."
+TOOL_MUST_BUILD = "Build the final items now: all that stay, unchanged ones by their current label, others by spans of the source."

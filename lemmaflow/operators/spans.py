@@ -32,13 +32,13 @@ def resolved(rows: DataFrame, search_start: Column | None = None) -> DataFrame:
     return done.drop("a_at", "b_at", "begin", "end")
 
 
-def searched(rows: DataFrame, most: int = 5, around: int = 240) -> DataFrame:
+def searched(rows: DataFrame, most: int | Column = 5, around: int = 240) -> DataFrame:
     """A row for each of the first ``most`` (1 at least) literal, non-overlapping matches of ``query`` in ``text``: offset (from 0), line and
     snippet, which has ``around`` code points on both sides, besides the rows' own columns. Null texts and queries are empty; an empty query has no matches."""
     text, query = F.coalesce("text", F.lit("")), F.coalesce("query", F.lit(""))
     at, low = F.col("offset"), F.greatest(F.lit(0), F.col("offset") - around)
     head = F.substring(text, F.lit(1), at)
-    found = rows.select("*", F.explode(T.positions(text, query, max(1, most))).alias("offset"))
+    found = rows.select("*", F.explode(T.positions(text, query, F.greatest(F.lit(1), F.lit(most)))).alias("offset"))
     line = F.col("start_line") + F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit("")))
     return found.withColumns({"line": line, "snippet": F.substring(text, low + 1, at - low + F.length(query) + around)})
 
