@@ -11,7 +11,6 @@ list of (id, name, arguments as JSON) and a dict. Its failures, after ``attempts
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -22,6 +21,7 @@ from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
 from lemmaflow.functions import values as V
 from lemmaflow.operators import build, jobs, repair, spans
+from lemmaflow.operators.models import attempted
 from lemmaflow.scratch import staged
 
 KEY = ["doc_id", "section_index"]
@@ -40,18 +40,10 @@ def asked(rows: DataFrame, make_client: Callable[[], Client], attempts: int = 3,
         for frame in frames:
             out = []
             for row in frame.to_dict("records"):
-                began, reply, error = time.monotonic(), (None, [], {}), None
-                for attempt in range(1, attempts + 1):
-                    try:
-                        reply, error = client(row), None
-                        break
-                    except Exception as e:  # what a service does wrong is the section's result, after the last attempt
-                        error = f"{type(e).__name__}: {e}"
-                        if attempt < attempts:
-                            time.sleep(delay * attempt)
-                content, calls, usage = reply
+                reply, error, seconds = attempted(client, row, attempts, delay)
+                content, calls, usage = reply or (None, [], {})
                 calls = [{"id": i, "name": n, "arguments": a} for i, n, a in calls]
-                out.append((row["doc_id"], row["section_index"], content, calls, json.dumps(usage) if usage else None, time.monotonic() - began, error))
+                out.append((row["doc_id"], row["section_index"], content, calls, json.dumps(usage) if usage else None, seconds, error))
             yield pd.DataFrame(out, columns=["doc_id", "section_index", "content", "calls", "usage", "elapsed_seconds", "error"])
 
     return rows.mapInPandas(run, REPLY)

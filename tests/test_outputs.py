@@ -30,7 +30,7 @@ def test_results_as_json_and_markdown(spark, tmp_path):
     assert {r["doc_id"]: r["n"] for r in store.read(spark, str(tmp_path / "out"), "items").groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {"d": 2, "e": 2}
 
 
-def test_model_answers_retries_and_cache(spark):
+def test_model_answers_and_retries(spark):
     sections = spark.createDataFrame([("d", i, "s", "1", "c", "", f"text {i}") for i in (1, 2, 3)], "doc_id string, section_index int, section string, section_number string, chapter string, chapter_number string, text string")
 
     def make():
@@ -46,9 +46,6 @@ def test_model_answers_retries_and_cache(spark):
 
     out = {r["section_index"]: r for r in models.answers(sections, make, delay=0).collect()}
     assert out[1]["error"] is None and out[1]["input_tokens"] == 5 and out[3]["error"] == "OSError: busy" and out[3]["response"] is None
-    cache = spark.createDataFrame([("d", 1, '[{"label": "kept"}, {"label": "two"}]')], "doc_id string, section_index int, response string")
-    got = models.extracted(sections, cache, make, delay=0).orderBy("section_index", "position").collect()
-    assert [(r["section_index"], r["position"], r["label"]) for r in got] == [(1, 1, "kept"), (1, 2, "two"), (2, 1, "L")]
 
 
 def test_profiles(spark):
