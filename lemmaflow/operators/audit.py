@@ -159,7 +159,7 @@ def tool_loop(sections: DataFrame, current: DataFrame, make_client: Callable[[],
     open_ = staged(base.join(shown, KEY, "left").select(*KEY, "text", "start_line", F.coalesce("items", F.lit("[]")).alias("items"), none.alias("messages"), F.lit(0).alias("n_labels")), "open")
     out: dict[str, list[DataFrame]] = {n: [] for n in ("audits", "repaired", "traces", "replies", "errors")}
     for turn, choice in enumerate([LIST, *["auto"] * free, BUILD]):
-        rows = open_.select(*KEY, "text", "items", F.to_json("messages").alias("messages"), F.lit(choice).alias("tool_choice"))
+        rows = open_.select(*KEY, "text", "items", F.to_json("messages", {"ignoreNullFields": "false"}).alias("messages"), F.lit(choice).alias("tool_choice"))
         replies = staged(asked(rows, make_client, **settings), "replies")
         out["replies"].append(replies.withColumn("turn", F.lit(turn)))
         failed = replies.filter("error is not null").select(*KEY, "error")

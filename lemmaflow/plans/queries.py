@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import text as T
 from lemmaflow.operators import annotate, extract, jobs, normalize, quality, spans, split, structure
-from lemmaflow.plans import building, building_oracle
+from lemmaflow.plans import building, building_oracle, workflows, workflows_oracle
 from lemmaflow.plans.corpus import books
 from lemmaflow.plans.oracle import ORACLES
 from lemmaflow.scratch import staged
@@ -295,8 +295,8 @@ def _long(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _long(f) for f in [*_QUERIES, *building.QUERIES]}
+    return {f.__name__: _long(f) for f in [*_QUERIES, *building.QUERIES, *workflows.QUERIES]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLES | building_oracle.ORACLES
+    return ORACLES | building_oracle.ORACLES | workflows_oracle.ORACLES
