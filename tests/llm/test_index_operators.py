@@ -255,3 +255,38 @@ def test_tree_finds_the_nearest_of_all(exact):
         far = ((asked[:, None].astype(np.int64) - points[None].astype(np.int64)) ** 2).sum(2)
         assert index.tolist() == far.argmin(1).tolist()
         assert best.tolist() == far.min(1).tolist()
+
+
+# ---- 1, long texts
+
+
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_sums_in_chunks(spark, levels):
+    from pyspark.sql import functions as F
+
+    from lemmaflow.llm.secrets import CHUNK, sums_so_far
+
+    sizes = [0, 1, CHUNK - 1, CHUNK, CHUNK + 1, 3 * CHUNK, CHUNK * CHUNK + 5]
+    rows = spark.createDataFrame([(n, [i % 7 for i in range(n)]) for n in sizes], "n int, a array<int>")
+    for r in rows.select("n", "a", sums_so_far(F.col("a"), levels).alias("s")).collect():
+        assert r["s"] == np.cumsum(r["a"]).tolist(), r["n"]
+
+
+def test_secrets_of_a_very_long_text(spark):
+    """7 MB of secrets and identifiers: time must not grow with the square."""
+    import re
+    import time
+
+    from pyspark.sql import functions as F
+
+    from lemmaflow.llm import secrets
+
+    r = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    lines = ["é password = '" + "".join(r.choices(letters, k=24)) + "'" if i % 2 else "some_" + "_".join(r.choices(["get", "value", "of", "index"], k=5)) + " €" for i in range(200_000)]
+    text = "\n".join(lines)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    row = secrets.find_secrets(docs).select(F.col("base").alias("b"), F.size("spans").alias("n")).first()
+    assert time.time() - began < 120
+    assert [(s["start"], s["end"]) for s in row["b"]] == [m.span() for m in re.finditer(r"password = '[A-Za-z0-9]+", text)] and row["n"] >= 100_000
