@@ -1,14 +1,13 @@
 """Quality classifier: supervised subword embeddings.
 
-Features of a text are its words, the character n-grams inside its words (with the white space at their ends), two tokens of their own for word n-grams
-that come again (the word before; five words seen before in the text) and one for the text itself, hashed into BUCKETS.
-Each bucket has a learned vector; a text's vector is the average over its features; a softmax over the classes gives the score.
-The two tokens for repeats are beyond plain hashed n-grams, whose average can't tell a text from the text twice; README.md has the figures without them.
+Features of a text are its words, the pairs of words in a row, the character n-grams inside its words (with the white space at their ends) and one for the text itself, hashed into BUCKETS.
+Each bucket has a learned vector; a text's vector is the sum of three averages and the vector of the text itself: over the words, over the pairs, over the character n-grams. In the
+first two each different one counts once, over the number of all, so that a text that repeats itself has a shorter vector than one that doesn't. A softmax over the classes gives the score.
 Training is stochastic gradient descent in numpy on a bounded sample of labelled rows: those whose ids have the least hashes, ``most`` rows and
 ``most_features`` different features of rows at most. Scoring reads whole texts.
 
-As the output is linear in the averaged vector, a bucket's vector times the difference of the class weights is a number, and
-a text's score comes from the average of these; that table of BUCKETS numbers is all that goes to the tasks.
+As the output is linear in a text's vector, a bucket's vector times the difference of the class weights is a number, and
+a text's score comes from the weighted sum of these; that table of BUCKETS numbers is all that goes to the tasks.
 
 Defined results: null text is the empty text, whose only feature is the mark for the text itself; null doc_ids are never learned from, and score
 as others do; rows with null labels are no labels; repeated rows score alike; without labels of both kinds all scores are the share of
@@ -31,23 +30,22 @@ from lemmaflow.llm.textnum import chunks, mix, shingles
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
-TEXT, REPEAT, SEEN = 0, 1, 2  # buckets of the marks
+TEXT = 0  # bucket of the text itself
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
-    return (mix(hashes + np.uint64(kind << 48)) % np.uint64(BUCKETS - 3)).astype(np.int32) + 3
+    return (mix(hashes + np.uint64(kind << 48)) % np.uint64(BUCKETS - 1)).astype(np.int32) + 1
 
 
-def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of features and the texts that they belong to, a part at a time; each feature as often as it occurs."""
+def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Features, the texts that they belong to and their weights in the average, a part at a time. Words and pairs come once a text, however often it has them."""
     sizes = np.array([len(t) for t in texts], np.int64)
     codes = np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    begins = 1 + np.cumsum(sizes + 1) - (sizes + 1)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)  # of places from 1 on; a text has the space after it
     gap = ((codes >= 9) & (codes <= 13)) | (codes == 32)
     n = len(codes)
-    yield np.full(len(texts), TEXT, np.int32), np.arange(len(texts), dtype=np.int32)
+    yield np.full(len(texts), TEXT, np.int32), np.arange(len(texts), dtype=np.int32), np.ones(len(texts))
     # words
     starts = np.flatnonzero(~gap[1:] & gap[:-1]) + 1
     ends = np.flatnonzero(gap[1:] & ~gap[:-1]) + 1
@@ -62,46 +60,47 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         down[0] = 1
         words = mix((total[ends] - total[starts]) * np.multiply.accumulate(down)[starts])
         mine = owner[starts - 1]
-        yield _bucket(words, 1), mine
-        again = np.flatnonzero((words[1:] == words[:-1]) & (mine[1:] == mine[:-1])) + 1
-        yield np.full(len(again), REPEAT, np.int32), mine[again]
-        tokens = np.searchsorted(mine, np.arange(len(texts) + 1))
-        windows, first, _ = shingles(words, tokens, 5)
-        of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
-        keyed = mix(windows ^ of.astype(np.uint64) * _MULTIPLIER)
-        once = np.zeros(len(keyed), bool)
-        once[np.unique(keyed, return_index=True)[1]] = True
-        yield np.full(int((~once).sum()), SEEN, np.int32), of[~once]
+        inside = np.flatnonzero(mine[1:] == mine[:-1])
+        pairs = mix(words[inside] * _MULTIPLIER + words[inside + 1])
+        for hashes, of, kind in ((words, mine, 1), (pairs, mine[inside], 2)):
+            if len(of):
+                every = np.bincount(of, minlength=len(texts))
+                own = np.unique(of.astype(np.int64) * BUCKETS + _bucket(hashes, kind))
+                of = (own // BUCKETS).astype(np.int32)
+                yield (own % BUCKETS).astype(np.int32), of, 1 / every[of]
     # character n-grams: white space at their ends only
     gaps = np.concatenate([[0], np.cumsum(gap)])
-    gram = values.copy()
+    gram, found = values.copy(), []
     for k in range(2, max(GRAMS) + 1):
         gram = gram[: n - k + 1] * _MULTIPLIER + values[k - 1 :] if n >= k else gram[:0]
         if k in GRAMS and len(gram):
             at = np.flatnonzero(gaps[k - 1 : n] - gaps[1 : n - k + 2] == 0)
-            yield _bucket(gram[at], k), owner[at + gap[at] - 1]  # the space before a word isn't the text before
+            found.append((_bucket(gram[at], k), owner[at + gap[at] - 1]))  # the space before a word isn't the text before
+    every = sum(np.bincount(of, minlength=len(texts)) for _, of in found) if found else np.zeros(len(texts))
+    for ids, of in found:
+        yield ids, of, 1 / every[of]
 
 
 @dataclass
 class Model:
-    """A number for each bucket; a text's score is the logistic function of their average over its features."""
+    """A number for each bucket; a text's score is the logistic function of their weighted sum over its features."""
 
     gain: np.ndarray
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        total, count = np.zeros(len(texts)), np.zeros(len(texts))
-        for ids, of in features(texts):
-            total += np.bincount(of, self.gain[ids], len(texts))
-            count += np.bincount(of, minlength=len(texts))
-        return 1 / (1 + np.exp(-np.clip(total / count, -40, 40)))
+        total = np.zeros(len(texts))
+        for ids, of, weight in features(texts):
+            total += np.bincount(of, self.gain[ids] * weight, len(texts))
+        return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
 def bag(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its different features, and the share of each."""
+    """For each text its different features, and the weight of each."""
     out = []
     for t in texts:
-        ids, n = np.unique(np.concatenate([i for i, _ in features([t])]), return_counts=True)
-        out.append((ids, (n / n.sum()).astype(np.float32)))
+        parts = list(features([t]))
+        ids, at = np.unique(np.concatenate([i for i, _, _ in parts]), return_inverse=True)
+        out.append((ids, np.bincount(at, np.concatenate([w for _, _, w in parts])).astype(np.float32)))
     return out
 
 
@@ -125,8 +124,9 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, epochs
             step = rate * (1 - done / steps)
             back = p @ weights
             weights -= step * np.outer(p, hidden)
-            # shares are small, so vectors learn at the rate of the whole text
-            vectors[ids] -= (step * np.minimum(share * len(ids), 8.0))[:, None] * back[None, :]
+            # shares are small, so vectors learn at the rate of the whole text: a step moves its average by the gradient
+            part = np.minimum(share * len(ids), 4.0)
+            vectors[ids] -= (step / (share @ part) * part)[:, None] * back[None, :]
             done += 1
     return Model((vectors @ (weights[1] - weights[0])).astype(np.float32))
 

@@ -708,14 +708,47 @@ def test_classifier_learns_quality(spark, none):
     assert lone.filter("score < 0.9").count() == 0
 
 
-def test_features_are_counted_as_brute_force_counts_them():
-    texts = ["ab ab  abc", "", "x", "é\nab ab"]
-    n = Counter()
-    for ids, of in quality.features(texts):
-        for i in of.tolist():
-            n[i] += 1
+def test_features_are_weighted_as_brute_force_weighs_them():
+    texts = ["ab ab  abc", "", "x", "é\nab ab", "ab ab ab ab", " one two one two "]
+    got = [Counter() for _ in texts]
+    for ids, of, weight in quality.features(texts):
+        for f, i, w in zip(ids.tolist(), of.tolist(), np.broadcast_to(weight, ids.shape).tolist(), strict=True):
+            got[i][f] += w
     for k, t in enumerate(texts):
-        padded = " " + t + " "
-        grams = sum(not re.search(r"\s", padded[i + 1 : i + g - 1]) and i + g <= len(padded) for g in quality.GRAMS for i in range(len(padded) - g + 1))
-        w = t.split()
-        assert n[k] == 1 + len(w) + sum(a == b for a, b in zip(w, w[1:])) + grams, t
+        padded, words = " " + t + " ", t.split()
+        grams = [padded[i : i + g] for g in quality.GRAMS for i in range(len(padded) - g + 1) if not re.search(r"\s", padded[i + 1 : i + g - 1])]
+        pairs = list(zip(words, words[1:]))
+        want = [1.0] + [1 / max(len(words), 1)] * len(set(words)) + [1 / max(len(pairs), 1)] * len(set(pairs)) + [n / len(grams) for n in Counter(grams).values()]
+        assert np.allclose(sorted(got[k].values()), sorted(want)), t
+
+
+def test_fit_is_plain_gradient_descent():
+    rng = random.Random(8)
+    texts = [words(rng, rng.randrange(1, 30), 20) for _ in range(10)]
+    labels = [i % 2 for i in range(10)]
+    bags = quality.bag(texts)
+    model = quality.fit(bags, np.array(labels), epochs=3, rate=0.4, seed=3)
+    # the same with dictionaries and loops, from the same beginning and in the same order
+    r, d = np.random.default_rng(3), quality.DIMENSIONS
+    table = r.uniform(-1 / d, 1 / d, (quality.BUCKETS, d)).astype(np.float32)
+    vectors = {int(f): [float(x) for x in table[f]] for ids, _ in bags for f in ids}
+    weights, done = [[0.0] * d, [0.0] * d], 0
+    for _ in range(3):
+        for i in r.permutation(10):
+            own = {int(f): float(w) for f, w in zip(*bags[i], strict=True)}
+            hidden = [sum(w * vectors[f][k] for f, w in own.items()) for k in range(d)]
+            out = [sum(a * b for a, b in zip(row, hidden, strict=True)) for row in weights]
+            p = [np.exp(o) / sum(np.exp(o2) for o2 in out) for o in out]
+            p[labels[i]] -= 1
+            step = 0.4 * (1 - done / 30)
+            back = [p[0] * weights[0][k] + p[1] * weights[1][k] for k in range(d)]
+            weights = [[weights[c][k] - step * p[c] * hidden[k] for k in range(d)] for c in range(2)]
+            part = {f: min(w * len(own), 4.0) for f, w in own.items()}
+            size = sum(own[f] * part[f] for f in own)
+            for f in own:
+                vectors[f] = [x - step / size * part[f] * g for x, g in zip(vectors[f], back, strict=True)]
+            done += 1
+    for f, v in vectors.items():
+        assert abs(model.gain[f] - sum(x * (b - a) for x, a, b in zip(v, *weights, strict=True))) < 1e-4
+    raw = [sum(float(model.gain[f]) * float(w) for f, w in zip(*b, strict=True)) for b in bags]
+    assert np.allclose(model.scores(texts), 1 / (1 + np.exp(-np.array(raw))), atol=1e-5)
