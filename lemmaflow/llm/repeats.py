@@ -210,7 +210,7 @@ def _remove(depth: int, at: int):
     return run
 
 
-def repeated_spans(texts: DataFrame, depth: int = 200, most: int = 1 << 14, most_keys: int = 1 << 22, memory: int = 256 << 20) -> DataFrame:
+def repeated_spans(texts: DataFrame, depth: int = 200, most: int = 1 << 11, most_keys: int = 1 << 22, memory: int = 256 << 20) -> DataFrame:
     """(row, start, end) of repeated strings in ``texts`` (row, text; a table bucketed by ``row``), in bytes. Spans of one row may overlap."""
     text = F.coalesce("text", F.lit(""))
     keys = texts.select(text.alias("text")).mapInArrow(_keys(depth), "key long, n long")
