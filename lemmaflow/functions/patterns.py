@@ -128,6 +128,8 @@ PATCH_SOME = "localized repair"
 PATCH_NONE = "no change"
 #: Folders of kinds of jobs.
 JOB_FOLDERS = ("doc2x", "full")
+ERROR_PAGE_SIZE = "Single PDF page exceeds Doc2X upload byte limit: page=%d bytes=%d"
+COLLECTED = ("markdown", "full", "annotation", "debug")
 TOOLS = ("list_source_item_labels", "search_source", "extract_source_span", "build_repaired_items")
 TOOL_NOTE = "Labels are model-declared; the tool only checked literal anchors."
 TOOL_UNKNOWN = "Unknown audit source tool: "

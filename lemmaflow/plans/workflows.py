@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
-from lemmaflow.operators import audit, models, planner, structure
+from lemmaflow.operators import audit, joblog, models, planner, structure
 from lemmaflow.scratch import scratch_dir, staged
 from lemmaflow.sources import store
 from lemmaflow.streaming import watch
@@ -178,4 +178,44 @@ def plan_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-QUERIES = [store_snapshot, folder_stream, plan_matter, planner_faults, planner_plans, tool_loop_sections, answers_reused, plan_warnings]
+def job_log_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users as moves of jobs, in two batches with a snapshot between them: what jobs there are in the end."""
+    e = _table(spark, sf_dir, "events")
+    kind = F.element_at(F.lit(["create", "status", "status", "status", "complete", "resume", "delete", "progress", "access"]), (F.col("event_id") % 9 + 1).cast("int"))
+    status = F.when(F.col("event_id") % 5 < 3, "running").when(F.col("event_id") % 5 == 3, "failed").otherwise("queued")
+    none = F.lit(None).cast("string")
+    rows = staged(e.select(
+        F.col("user_id").cast("string").alias("id"), F.col("event_id").cast("long").alias("seq"), F.col("ts").cast("timestamp").alias("at"), kind.alias("kind"), F.when(kind == "status", status).alias("status"), F.col("event_type").alias("phase"),
+        (F.col("event_id") % 1000 * 2).cast("int").alias("sections_total"), (F.col("event_id") % 1000).cast("int").alias("sections_completed"), none.alias("error"), none.alias("result"),
+    ), "events")
+    half = rows.agg(F.max("seq")).first()[0] or 0
+    log = joblog.JobLog(spark, scratch_dir(spark, "jobs"))
+    log.append(rows.filter(F.col("seq") <= half // 2))
+    log.compact()
+    log.append(rows.filter(F.col("seq") > half // 2))
+    out = log.states()
+    return out.select(F.col("id").cast("long").alias("id"), "status", F.unix_seconds("created_at").alias("created_at"), F.coalesce("sections_total", F.lit(-1)).cast("long").alias("sections_total"), F.col("sections_completed").cast("long").alias("sections_completed"))
+
+
+def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen documents in a row as the pages of a file, cut into ranges of at most six pages and 8,000 bytes."""
+    docs = _table(spark, sf_dir, "documents")
+    pages = docs.select(F.expr("doc_id div 16").alias("doc_id"), F.col("doc_id").alias("page"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes"))
+    out = joblog.page_ranges(pages, 6, 8000, overhead=100)
+    number = lambda c: F.col(c).cast("long").alias(c)
+    return out.select("doc_id", *map(number, ("chunk", "start_page", "end_page", "bytes")), F.col("error").isNotNull().alias("too_large"))
+
+
+def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as jobs of both kinds, labelled documents' ids as those with an annotation, every tenth order's folder as debug output."""
+    orders = _table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "succeeded").when(F.col("o_orderkey") % 3 == 0, "failed").otherwise("running")
+    name = F.col("o_orderkey").cast("string")
+    at = F.col("o_orderdate").cast("timestamp")
+    jobs = orders.select(F.when(F.col("o_orderkey") % 2 == 0, "markdown").otherwise("full").alias("kind"), name.alias("id"), status.alias("status"), at.alias("updated_at"), F.concat(F.lit("/jobs/"), name).alias("path"))
+    debug = orders.filter("o_orderkey % 10 = 0").select(F.concat(F.lit("/debug/"), name).alias("path"), at.alias("modified_at"))
+    saved = _table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    return joblog.collection_plan(jobs, saved, debug, F.expr("timestamp'1997-01-01 00:00:00'"))
+
+
+QUERIES = [job_log_states, page_ranges, collection_plan, store_snapshot, folder_stream, plan_matter, planner_faults, planner_plans, tool_loop_sections, answers_reused, plan_warnings]

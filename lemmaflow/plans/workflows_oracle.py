@@ -72,6 +72,38 @@ w as (
 )
 select doc_id, row_number() over (partition by doc_id order by k, place) - 1 as position, warning from w"""
 
+_JOBS = """with recursive e as (
+  select user_id as id, event_id as seq, ts, ['create', 'status', 'status', 'status', 'complete', 'resume', 'delete', 'progress', 'access'][event_id % 9 + 1] as kind,
+    case when event_id % 5 < 3 then 'running' when event_id % 5 = 3 then 'failed' else 'queued' end as wanted from events
+), m as (select *, row_number() over (partition by id order by seq) as rn from e where kind not in ('progress', 'access')),
+s(id, rn, status, born) as (
+  select distinct id, cast(0 as bigint), 'none', cast(-1 as bigint) from e
+  union all select id, rn, coalesce(new, status), case when new is not null and kind = 'create' then seq else born end from (
+    select s.id, m.rn, s.status, s.born, m.kind, m.seq, case when kind = 'create' and status = 'none' then 'queued' when kind = 'delete' and status <> 'none' then 'none' when kind = 'complete' and status = 'running' then 'succeeded'
+      when kind = 'resume' and status = 'failed' then 'queued' when kind = 'status' and wanted = 'running' and status = 'queued' then 'running' when kind = 'status' and wanted = 'failed' and status in ('queued', 'running') then 'failed'
+      when kind = 'status' and wanted = 'queued' and status in ('running', 'queued') then 'queued' end as new
+    from s join m on m.id = s.id and m.rn = s.rn + 1)
+), last as (select id, arg_max(status, rn) as status, arg_max(born, rn) as born from s group by id),
+p as (select l.id, max(e.seq) as seq from last l join e on e.id = l.id and e.kind = 'progress' and e.seq > l.born group by l.id)
+select l.id, status, epoch_us(b.ts) // 1000000 as created_at, cast(coalesce(p.seq % 1000 * 2, -1) as bigint) as sections_total, cast(coalesce(p.seq % 1000, 0) as bigint) as sections_completed
+from last l join e b on b.id = l.id and b.seq = l.born left join p on p.id = l.id where status <> 'none'"""
+
+_PAGES = """with recursive f as (select doc_id // 16 as doc_id, list(octet_length(encode(coalesce(text, ''))) order by doc_id) as sizes from documents group by 1),
+r(doc_id, sizes, a, b) as (
+  select doc_id, sizes, a, least(a + 6, len(sizes)) from (select doc_id, sizes, unnest(range(0, len(sizes), 6)) as a from f)
+  union all select doc_id, sizes, unnest([a, a + (b - a) // 2]), unnest([a + (b - a) // 2, b]) from r where b - a > 1 and 100 + list_sum(sizes[a + 1:b]) > 8000
+), x as (select doc_id, a, b, cast(100 + list_sum(sizes[a + 1:b]) as bigint) as bytes from r)
+select doc_id, row_number() over (partition by doc_id order by a) as chunk, a as start_page, b as end_page, bytes, bytes > 8000 as too_large from x where bytes <= 8000 or b - a = 1"""
+
+_COLLECTION = """with j as (
+  select case when o_orderkey % 2 = 0 then 'markdown' else 'full' end as kind, cast(o_orderkey as varchar) as id, case when o_orderstatus = 'F' then 'succeeded' when o_orderkey % 3 = 0 then 'failed' else 'running' end as status,
+    timestamp '1997-01-01 00:00:00' - cast(o_orderdate as timestamp) as age, o_orderkey in (select doc_id from labels) as saved, o_orderkey % 10 = 0 as debug from orders
+)
+select kind, id, '/jobs/' || id as path, status || case when saved then ' with annotation, older than 180 days' when status = 'failed' then ', older than 7 days' else ', older than 14 days' end as reason from j
+where status <> 'running' and age >= to_days(case when saved then 180 when status = 'failed' then 7 else 14 end)
+union all select 'debug', '/debug/' || id, '/debug/' || id, 'older than 1 days' from j where debug and age >= to_days(1)"""
+
 ORACLES = {
+    "job_log_states": _JOBS, "page_ranges": _PAGES, "collection_plan": _COLLECTION,
     "store_snapshot": _STORE, "folder_stream": _STREAM, "plan_matter": _MATTER, "planner_faults": _FAULTS, "planner_plans": _PLANS, "tool_loop_sections": _LOOP, "answers_reused": _REUSED, "plan_warnings": _WARNED,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from pathlib import PurePosixPath
 
 import pandas as pd
@@ -80,19 +81,36 @@ def image_markdown(answer: Column) -> Column:
     return F.when(~F.coalesce(failed, F.lit(False)), F.coalesce(*(_filled(body, n) for n in R.OCR_TEXTS), filled(_pages_of(body)), *lists, F.lit("")))
 
 
-def archive_markdown(archives: DataFrame) -> DataFrame:
-    """(path, markdown) of zip archives (path, content): the Markdown file of the least depth, then name; null if there is none."""
-
-    def first(content: bytes) -> str | None:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            names = [n for n in archive.namelist() if n.lower().endswith(".md")]
-            return archive.read(min(names, key=lambda n: (len(PurePosixPath(n).parts), n))).decode() if names else None
-
-    @F.pandas_udf("string")
-    def markdown(content: pd.Series) -> pd.Series:
-        return content.map(first)
-
-    return archives.select("path", markdown("content").alias("markdown"))
+def archive_markdown(archives: DataFrame, most: int = CAPS["md"]) -> DataFrame:
+    """(path, markdown, error) of zip archives (path, content): the Markdown file of the least depth, then name; null if there is none.
+
+    ``error`` tells why an archive gives nothing: null content, no zip archive, a member that is broken, encrypted, larger than ``most`` bytes or not UTF-8. Other archives aren't touched by it.
+    """
+
+    def first(content: bytes | None) -> tuple[str | None, str | None]:
+        if content is None:
+            return None, "no content"
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                members = [m for m in archive.infolist() if not m.is_dir() and m.filename.lower().endswith(".md")]
+                if not members:
+                    return None, None
+                chosen = min(members, key=lambda m: (len(PurePosixPath(m.filename).parts), m.filename))
+                with archive.open(chosen) as f:
+                    data = f.read(most + 1)  # the size that the archive tells may be wrong
+                return (None, "too large") if len(data) > most else (data.decode(), None)
+        except (zipfile.BadZipFile, zlib.error, EOFError) as e:
+            return None, f"broken archive: {e}"
+        except UnicodeDecodeError:
+            return None, "not UTF-8"
+        except (RuntimeError, NotImplementedError) as e:
+            return None, f"unreadable member: {e}"
+
+    @F.pandas_udf("markdown string, error string")
+    def markdown(content: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([first(c) for c in content], columns=["markdown", "error"])
+
+    return archives.select("path", markdown("content").alias("m")).select("path", "m.markdown", "m.error")
 
 
 def traces(spark: SparkSession, path: str) -> DataFrame:
