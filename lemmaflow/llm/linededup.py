@@ -41,7 +41,7 @@ def line_hashes(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, row, line, h1, h2) of every line with a key of ``least`` code points. ``row`` tells rows of equal doc_id apart."""
     found = F.transform(lines(F.col("text")), lambda x, i: F.struct(i.alias("line"), line_key(x).alias("key")))
     long = F.filter(found, lambda x: F.length(x["key"]) >= least)
-    each = docs.select("doc_id", F.hash("text").alias("row"), F.inline(F.transform(long, lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["key"]).alias("h1"), F.xxhash64(F.lit("line"), x["key"]).alias("h2")))))
+    each = docs.select("doc_id", F.xxhash64("text").alias("row"), F.inline(F.transform(long, lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["key"]).alias("h1"), F.xxhash64(F.lit("line"), x["key"]).alias("h2")))))
     return each
 
 
@@ -53,12 +53,15 @@ class Runs:
     folder: str
     fanout: int = 3
     levels: list[list[str]] = field(default_factory=list)
+    #: Tables that may exist, whatever became of their writing.
+    made: set[str] = field(default_factory=set)
 
     def names(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def write(self, rows: DataFrame) -> str:
         name, n = f"lemmaflow_run_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.made.add(name)
         rows.select(*KEY, "owner").repartition(n, *KEY).write.bucketBy(n, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}").saveAsTable(name)
         return name
 
@@ -73,9 +76,11 @@ class Runs:
                 return
             old = self.levels[level]
             name = self.write(reduce(DataFrame.unionByName, map(self.spark.table, old)))
+            # the new run counts from here on; if its writing failed, the old ones still do
+            self.levels[level], level = [], level + 1
             for x in old:
                 self.spark.sql(f"drop table {x}")
-            self.levels[level], level = [], level + 1
+                self.made.discard(x)
 
     def owners(self, keys: DataFrame) -> DataFrame:
         """Adds ``owner`` to distinct keys: null where no run has the key. One merge join a run; the runs' side isn't shuffled."""
@@ -86,9 +91,9 @@ class Runs:
         return out.select(*keys.columns, (F.coalesce(*found, F.lit(None).cast("long")) if found else F.lit(None).cast("long")).alias("owner"))
 
     def close(self) -> None:
-        for name in self.names():
+        for name in self.made:
             self.spark.sql(f"drop table if exists {name}")
-        self.levels = []
+        self.levels, self.made = [], set()
 
 
 def add_batch(runs: Runs, batch: DataFrame) -> DataFrame:
@@ -133,7 +138,7 @@ def dropped_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: in
 def dedup(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 3, runs: Runs | None = None) -> DataFrame:
     """``docs`` with ``text`` without the dropped lines, ``__lf_lines`` (before) and ``__lf_dropped``."""
     drops = dropped_lines(docs, least, batches, fanout, runs).select(F.col("doc_id").alias(f"{P}id"), F.col("row").alias(f"{P}row"), F.col("drops").alias(f"{P}drops"))
-    joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col(f"{P}id")) & (F.hash("text") == F.col(f"{P}row")), "left")
+    joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col(f"{P}id")) & (F.xxhash64("text") == F.col(f"{P}row")), "left")
     cut = joined.withColumns({f"{P}all": lines(F.col("text")), f"{P}from": F.concat(F.array(F.lit(0)), F.transform(f"{P}drops", lambda i: i + 1))})
     n = F.size(f"{P}all")
     # between two dropped lines lies a run of kept ones

@@ -142,7 +142,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, *, end_id: int =
         yield from out()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = tokens.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "crc")
+    ordered = tokens.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "n", "crc").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "crc")
     ordered.select("doc_id", "width", "ids").mapInArrow(run, _BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

@@ -290,3 +290,48 @@ def test_secrets_of_a_very_long_text(spark):
     row = secrets.find_secrets(docs).select(F.col("base").alias("b"), F.size("spans").alias("n")).first()
     assert time.time() - began < 120
     assert [(s["start"], s["end"]) for s in row["b"]] == [m.span() for m in re.finditer(r"password = '[A-Za-z0-9]+", text)] and row["n"] >= 100_000
+
+
+# ---- 2 and 10, many rows without an id
+
+
+def test_line_dedup_tells_rows_without_an_id_apart(spark):
+    from lemmaflow.llm import linededup
+
+    rows = [(1, "shared line number one\nshared line number two")] + [(None, f"own text of row {i}\n" + ("shared line number one" if i % 2 else "shared line number two")) for i in range(3000)]
+    got = Counter(r["text"] for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), batches=2).filter("doc_id is null").collect())
+    assert got == Counter(f"own text of row {i}" for i in range(3000))
+    assert linededup.line_hashes(spark.createDataFrame(rows, "doc_id long, text string"), 10).select("row").dtypes == [("row", "bigint")]
+
+
+def test_runs_are_dropped_when_a_compaction_fails(spark, monkeypatch):
+    from lemmaflow.llm import linededup
+    from lemmaflow.llm.common import scratch_dir
+
+    runs = linededup.Runs(spark, scratch_dir(spark, "runs"), 2)
+    one = lambda k: spark.createDataFrame([(k, k, k)], "h1 long, h2 long, owner long")
+    runs.add(one(1))
+    monkeypatch.setattr(linededup, "reduce", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        runs.add(one(2))
+    names = set(runs.made)
+    assert len(names) == 2 and {r["owner"] for r in runs.owners(one(1).unionByName(one(2)).drop("owner")).collect()} == {1, 2}
+    runs.close()
+    assert not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_token_files_split_equal_ids(spark):
+    from lemmaflow.llm.common import scratch_dir
+    from lemmaflow.llm.queries import tokenizer_path
+    from lemmaflow.llm.tokenfile import read_token_files, write_token_files
+
+    rows = [(None, f"text {i} " * (i % 40 + 1)) for i in range(2000)] + [(1, "one"), (2, "two")]
+    path = scratch_dir(spark, "tokens")
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, tokenizer_path("word_bpe_49k.json"))
+    assert spark.read.parquet(f"{path}/blocks").filter("doc_id is null" if "doc_id" in spark.read.parquet(f"{path}/blocks").columns else "true").select("shard").distinct().count() > 1
+    got = read_token_files(spark, path, with_ids=False).orderBy("start").collect()
+    assert len(got) == len(rows) and [r["doc_id"] for r in got[-2:]] == [1, 2]
+    ends = 0
+    for r in got:
+        assert r["start"] == ends
+        ends += r["n_tokens"]
