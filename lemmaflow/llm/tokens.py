@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from lemmaflow.llm.textnum import chunks
 
 #: Pieces that a worker keeps; about 250 bytes each. When it is full, it is emptied. Idle workers hold it while other stages run.
-KEPT = 300_000
+KEPT = 600_000
 _MARK = "\x01"
 #: Letters that NFC leaves alone and lower case keeps single letters: those of ASCII and Latin-1.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
