@@ -10,6 +10,7 @@ tokens, as the library does; each is a piece of its own and gets its own id. Oth
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
@@ -149,8 +150,17 @@ def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndar
     return out, offsets + np.arange(n + 1)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers wait for further tasks, and what they hold meanwhile is missing beside them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def encode_column(texts: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(place of the first text, ids, offsets) for chunks of a column; null is the empty text."""
     own = encoder(path)
     for at, part in chunks(texts, 8 << 20):
         yield at, *with_end(*own.encode(part), end_id)
+    give_back()
