@@ -3,8 +3,8 @@
 Two first-order Markov models over the characters of long tokens are trained from labelled samples: strings that look random and
 ordinary identifiers. A token whose log-likelihood ratio exceeds a threshold is a span of kind ``random``, if it overlaps no pattern's span.
 The labels come from the patterns: what they match is random, long tokens that touch no match are ordinary. Counts cover all documents; there are no more
-than two for each pair of characters. Tokens that hide among the ordinary ones but look random to a first model aren't trained on. One labelled token in ``HELD_OUT``, by hash, is left out of the counts; on these, hard
-ones included, the threshold is set: at the least sum of the share of random ones missed and COST times the share of ordinary ones taken, in the middle of the best range.
+than two for each pair of characters. Tokens that hide among the ordinary ones but look random to a first model lose their label, as secrets that no
+pattern names are among them. One labelled token in ``HELD_OUT``, by hash, is left out of the counts; on these the threshold is set: at the least sum of the share of random ones missed and COST times the share of ordinary ones taken, in the middle of the best range.
 Work is linear in a text's length: matches are masked in one pass, and places are summed up in chunks.
 
 Defined results: null text is the empty text, without spans; a null doc_id stays null; repeated rows are scanned alike;
@@ -203,9 +203,9 @@ def threshold(labelled: DataFrame, gain: list[float]) -> float:
 def learn(docs: DataFrame) -> tuple[list[float], float]:
     """The gains and the threshold."""
     labelled = staged(labelled_tokens(docs), "tokens")
-    for_training = labelled.filter(~_held_out(F.col("token")))
-    first = train(for_training)
-    gain = train(for_training.filter(F.col("random") | (gain_of(_inside(F.col("token")), first) <= LEAST_GAIN)))
+    first = train(labelled.filter(~_held_out(F.col("token"))))
+    labelled = staged(labelled.filter(F.col("random") | (gain_of(_inside(F.col("token")), first) <= LEAST_GAIN)), "tokens")
+    gain = train(labelled.filter(~_held_out(F.col("token"))))
     return gain, threshold(labelled.filter(_held_out(F.col("token"))), gain)
 
 
