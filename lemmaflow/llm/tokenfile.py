@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from lemmaflow.llm.common import P, scratch_dir
 from lemmaflow.llm.tokens import encode_column
 
+#: Pieces of text that a worker keeps at most; nothing else here needs its memory.
+KEPT = 1_000_000
+
 BLOCK = 1 << 20
 #: Lengths in bytes of the four codes that a control byte stands for.
 LENGTHS = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.int64)
@@ -62,7 +65,7 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 def _tokenized(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, ids, offsets in encode_column(batch.column(1), tokenizer, end_id):
+            for at, ids, offsets in encode_column(batch.column(1), tokenizer, end_id, KEPT):
                 kind = np.uint16 if len(ids) == 0 or ids.max() < 1 << 16 else np.uint32
                 raw, n = ids.astype(kind).tobytes(), np.diff(offsets)
                 size = kind().itemsize

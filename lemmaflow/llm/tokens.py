@@ -113,14 +113,14 @@ class Encoder:
             count[i], last = len(own), i + 1
         return pa.concat_arrays([*out, texts.slice(last)]), np.concatenate([[0], np.cumsum(count)])
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, kept: int = KEPT) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's begin (one more entry than texts). Texts: not null."""
         texts, first = self.parts(texts)
         lists = self.pieces(texts)
         offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py())[first]
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.known) > KEPT:
+        if len(self.known) > kept:
             self.clear()
         place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         if len(new := np.flatnonzero(place < 0)):
@@ -158,9 +158,9 @@ def give_back() -> None:
         trim(0)
 
 
-def encode_column(texts: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(place of the first text, ids, offsets) for chunks of a column; null is the empty text."""
+def encode_column(texts: pa.Array, path: str, end_id: int, kept: int = KEPT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place of the first text, ids, offsets) for chunks of a column; null is the empty text. ``kept``: pieces that a worker keeps at most."""
     own = encoder(path)
     for at, part in chunks(texts, 8 << 20):
-        yield at, *with_end(*own.encode(part), end_id)
+        yield at, *with_end(*own.encode(part, kept), end_id)
     give_back()
