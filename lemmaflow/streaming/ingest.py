@@ -17,7 +17,8 @@ STATE = "digest string, status string, failure_count int, updated_at double"
 
 
 def stable(sightings: DataFrame, stable_seconds: int = 30) -> DataFrame:
-    """Sightings of files that haven't changed for a while; those without ``modified_at`` count as such. The others will be seen again."""
+    """Sightings of files that haven't changed for a while; those without ``modified_at`` count as such. The others go, so a source must give them again;
+    ``streaming.watch`` keeps them pending instead."""
     if "modified_at" not in sightings.columns:
         return sightings
     changed = F.unix_micros("seen_at") - F.unix_micros("modified_at") < stable_seconds * 1_000_000
