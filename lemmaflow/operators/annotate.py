@@ -18,9 +18,12 @@ def _issue(severity: str, code: str, message) -> Column:
 
 
 def annotated(items: DataFrame) -> DataFrame:
-    """Items as the annotation has them: item_id, order_index, label, type, statement, proof, context, dependencies (never resolved) and issues."""
+    """Items as the annotation has them: item_id, order_index, label, type, statement, proof, context, dependencies (never resolved) and issues.
+
+    Ids and order count through the whole document, as its list of items does, so that no two items of a document share an id.
+    """
     statement, label = F.coalesce("content", F.lit("")), F.coalesce("label", F.lit(""))
-    item_id = F.format_string("item_%06d", F.col("item_index"))
+    item_id = F.format_string("item_%06d", F.col("global_index"))
     many = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "raw"))
     own = items.withColumns({"raw": label, "shown": F.when(label != "", label).otherwise(item_id)}).withColumn("many", many)
     depends = F.filter(F.coalesce("dependencies", F.array().cast("array<string>")), lambda d: d != "")
@@ -36,7 +39,7 @@ def annotated(items: DataFrame) -> DataFrame:
         F.coalesce("section_number", F.lit("")).alias("section_number"), F.lit("").alias("subsection_title"), F.lit("").alias("subsection_number"),
     )
     return own.select(
-        "doc_id", "global_index", item_id.alias("item_id"), F.col("item_index").alias("order_index"), F.col("shown").alias("label"), F.col("raw").alias("label_raw"),
+        "doc_id", "global_index", item_id.alias("item_id"), F.col("global_index").alias("order_index"), F.col("shown").alias("label"), F.col("raw").alias("label_raw"),
         T.item_type(F.col("env")).alias("type"), "number_components", statement.alias("statement"), F.coalesce("proof", F.lit("")).alias("proof"), context.alias("context"),
         targets.alias("dependencies"), F.array_distinct(F.concat(first.cast(ISSUES), unresolved.cast(ISSUES))).alias("issues"), F.coalesce("env", F.lit("")).alias("raw_env"),
     )
@@ -47,16 +50,22 @@ def issues(annotated_: DataFrame) -> DataFrame:
     return annotated_.select("doc_id", "item_id", "global_index", F.posexplode("issues").alias("place", "i")).select("doc_id", "item_id", "global_index", "place", "i.*")
 
 
-def quality_summary(annotated_: DataFrame, documents: DataFrame, sections: DataFrame) -> DataFrame:
-    """(doc_id, error_count, warning_count) over the different issues of items, and warnings of documents and sections.
+def quality_issues(annotated_: DataFrame, documents: DataFrame, sections: DataFrame) -> DataFrame:
+    """(doc_id, place, severity, code, message, item_id): the different issues of items and warnings of documents and sections (item_id is null), in this order.
 
-    ``documents`` and ``sections``: reports with global_warnings and warnings.
+    ``documents`` and ``sections``: reports with global_warnings and warnings. Equal ones count where they come first.
     """
-    none = F.lit(None).cast("string")
-    own = issues(annotated_).select("doc_id", "severity", "code", "message", "item_id")
-    whole = documents.select("doc_id", F.lit("warning").alias("severity"), F.lit("global_warning").alias("code"), F.explode("global_warnings").alias("message"), none.alias("item_id"))
-    parts = sections.select("doc_id", F.lit("warning").alias("severity"), F.lit("section_warning").alias("code"), F.explode("warnings").alias("message"), none.alias("item_id"))
-    once = own.unionByName(whole).unionByName(parts).distinct()
+    none, at = F.lit(None).cast("string"), lambda part, a, b: F.struct(F.lit(part).alias("part"), a.cast("long").alias("a"), b.cast("long").alias("b")).alias("at")
+    own = issues(annotated_).select("doc_id", "severity", "code", "message", "item_id", at(0, F.col("global_index"), F.col("place")))
+    said = lambda df, code, warnings, part, a: df.select("doc_id", F.lit("warning").alias("severity"), F.lit(code).alias("code"), a.alias("a"), F.posexplode(warnings).alias("b", "message"))
+    whole = said(documents, "global_warning", "global_warnings", 1, F.lit(0)).select("doc_id", "severity", "code", "message", none.alias("item_id"), at(1, F.col("a"), F.col("b")))
+    parts = said(sections, "section_warning", "warnings", 2, F.col("section_index")).select("doc_id", "severity", "code", "message", none.alias("item_id"), at(2, F.col("a"), F.col("b")))
+    return own.unionByName(whole).unionByName(parts).groupBy("doc_id", "severity", "code", "message", "item_id").agg(F.min("at").alias("place")).select("doc_id", "place", "severity", "code", "message", "item_id")
+
+
+def quality_summary(annotated_: DataFrame, documents: DataFrame, sections: DataFrame) -> DataFrame:
+    """(doc_id, error_count, warning_count) over ``quality_issues``; a document without any has zeros."""
+    once = quality_issues(annotated_, documents, sections)
     counts = once.groupBy("doc_id").agg(F.count_if(F.col("severity") == "error").alias("error_count"), F.count_if(F.col("severity") == "warning").alias("warning_count"))
     zero = F.lit(0).cast("long")
     return documents.select("doc_id").join(counts, "doc_id", "left").select("doc_id", F.coalesce("error_count", zero).alias("error_count"), F.coalesce("warning_count", zero).alias("warning_count"))
@@ -75,6 +84,44 @@ def document_titles(annotated_: DataFrame) -> DataFrame:
     return annotated_.groupBy("doc_id").agg(F.coalesce(F.min_by(title, F.when(title != "", F.col("global_index"))), F.lit("")).alias("title"))
 
 
+def _listed(rows: DataFrame, order: str, value: Column, name: str) -> DataFrame:
+    """(doc_id, ``name``): each document's values as an array, by ``order``."""
+    return rows.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value.alias("value")))), lambda x: x["value"]).alias(name))
+
+
+def assembled(annotated_: DataFrame, documents: DataFrame, sections: DataFrame, sources: DataFrame) -> DataFrame:
+    """The annotation document of each source, a row a document: doc_id, schema_version, source, document, items, quality; nested as its JSON.
+
+    ``documents`` and ``sections``: reports, as ``quality_issues`` takes them. ``sources``: doc_id, source_name and, if it has them, source_type (else markdown) and original_mime_type (else by
+    the name). A source without items has empty lists; one without an id (null), or named twice in ``sources``, isn't a document of its own: null ids go, of equal ids one row stays.
+    Everything is grouped by document, whose items are parts of one text; nothing else is brought together.
+    """
+    texts, boxes = F.array().cast("array<string>"), F.array().cast("array<struct<page:bigint,block_id:string,bbox:array<double>>>")
+    refs = F.struct(F.array().cast("array<bigint>").alias("pages"), texts.alias("block_ids"), texts.alias("span_ids"), boxes.alias("bbox_refs"))
+    assets = F.struct(*(F.lit("").alias(n) for n in ("image_path", "caption", "table_markdown")))
+    item = F.struct(
+        F.col("item_id").alias("id"), "order_index", "label", "label_raw", "type", "number_components", "statement", "proof", "context", "dependencies", refs.alias("source_refs"), assets.alias("assets"),
+        F.struct(F.lit(False).alias("modified"), "issues").alias("audit"), F.struct(F.col("raw_env").alias("env")).alias("raw"),
+    )
+    items = _listed(annotated_, "global_index", item, "items")
+    once = quality_issues(annotated_, documents, sections)
+    found = _listed(once, "place", F.struct("severity", "code", "message", "item_id"), "issues")
+    own_chapters = _listed(chapters(annotated_), "place", F.struct("number", "title"), "chapters")
+    optional = lambda n: F.col(n).cast("string") if n in sources.columns else F.lit(None).cast("string")
+    name, kind = F.coalesce("source_name", F.lit("input")), F.coalesce(optional("source_type"), F.lit("markdown"))
+    source = F.struct(name.alias("filename"), kind.alias("source_type"), F.coalesce(F.nullif(optional("original_mime_type"), F.lit("")), T.mime_type(name, kind)).alias("original_mime_type"), F.lit(None).cast("string").alias("content_hash"))
+    rows = sources.filter("doc_id is not null").select("doc_id", source.alias("source")).groupBy("doc_id").agg(F.min("source").alias("source"))
+    for part in (items, found, own_chapters, document_titles(annotated_)):
+        rows = rows.join(part, "doc_id", "left")
+    listed = lambda n, part: F.coalesce(n, F.array().cast(part.schema[n].dataType)).alias(n)
+    rows = rows.select("doc_id", "source", "title", listed("items", items), listed("issues", found), listed("chapters", own_chapters))
+    counted = lambda severity: F.size(F.filter("issues", lambda x: x["severity"] == severity)).alias(f"{severity}_count")
+    return rows.select(
+        "doc_id", F.lit(R.SCHEMA_VERSION).alias("schema_version"), "source", F.struct(F.coalesce("title", F.lit("")).alias("title"), F.lit("").alias("language"), "chapters").alias("document"), "items",
+        F.struct(counted("error"), counted("warning"), "issues").alias("quality"),
+    )
+
+
 def fields(payload: Column) -> Column:
     """The annotation's fields of an item's JSON, in whatever form it has them: statement, number_components, context, dependencies, source_refs, assets and modified."""
     v = V.parsed(payload)

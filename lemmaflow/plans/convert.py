@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lemmaflow.operators import models, normalize, quality, split, structure
+from lemmaflow.operators import annotate, models, normalize, quality, split, structure
 from lemmaflow.scratch import staged
 from lemmaflow.sources import store, writers
 
@@ -61,6 +61,7 @@ def artefacts(
         "candidates": writers.candidates_json(structure.candidates(split.lines(documents)), plans), "summary": writers.summary_json(documents, sections, whole, warnings, front, back, usage, audits is not None),
         "front_matter": front.select("doc_id", F.concat("front_matter", F.lit("\n")).alias("markdown")), "back_matter": back.select("doc_id", F.concat("back_matter", F.lit("\n")).alias("markdown")),
     }
+    out["annotation"] = writers.annotation_json(annotate.assembled(annotate.annotated(items), whole, reports, documents))
     if repaired is not None:
         out["initial_items"] = writers.section_items_json(initial, sections)
     if audits is not None:

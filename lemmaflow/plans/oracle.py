@@ -218,9 +218,9 @@ global_warnings as (
 _QUALITY = _QUALITY.replace(_SECTIONS, _WARNINGS, 1)
 
 _ISSUES = f"""issues as (
-  select doc_id, global_index, printf('item_%06d', item_index) as item_id, 'error' as severity, 'empty_statement' as code, '{R.ISSUE_EMPTY}' as message from items where {_strip("content")} = ''
+  select doc_id, global_index, printf('item_%06d', global_index) as item_id, 'error' as severity, 'empty_statement' as code, '{R.ISSUE_EMPTY}' as message from items where {_strip("content")} = ''
   union all
-  select doc_id, global_index, printf('item_%06d', item_index), 'warning', 'duplicate_label', '{R.ISSUE_DUPLICATE}' || label from (select *, count(*) over (partition by doc_id, label) as many from items) where many > 1
+  select doc_id, global_index, printf('item_%06d', global_index), 'warning', 'duplicate_label', '{R.ISSUE_DUPLICATE}' || label from (select *, count(*) over (partition by doc_id, label) as many from items) where many > 1
 )"""
 
 _JOBS = "jobs as (select o_orderkey as id, case when o_orderstatus = 'F' then 'succeeded' when o_orderkey % 3 = 0 then 'failed' when o_orderkey % 3 = 1 then 'queued' else 'running' end as status, o_orderdate as updated_at from orders)"
@@ -269,6 +269,25 @@ from (select doc_id, coalesce(text, '') as t from documents) where doc_id not in
     "annotation_quality": f"""with {_QUALITY}, {_ISSUES}, every as (
   select distinct doc_id, severity, code, message, item_id from issues union all select doc_id, 'warning', 'global_warning', warning, null from global_warnings union all select distinct doc_id, 'warning', 'section_warning', warning, null from section_warnings
 ) select d.doc_id, count(*) filter (where severity = 'error') as error_count, count(*) filter (where severity = 'warning') as warning_count from (select distinct doc_id from all_lines) d left join every using (doc_id) group by d.doc_id""",
+    "annotation_documents": f"""with {_QUALITY}, {_ISSUES}, said as (
+  select doc_id, 0 as part, global_index as a, case code when 'empty_statement' then 0 else 1 end as b, severity, code, message, item_id from issues
+  union all select doc_id, 1, 0, position, 'warning', 'global_warning', warning, null from split_warnings
+  union all select doc_id, 1, 0, 1000000001, 'warning', 'global_warning', warning, null from global_warnings where starts_with(warning, '{R.WARN_LABELS}')
+  union all select doc_id, 1, 0, 1000000002, 'warning', 'global_warning', warning, null from global_warnings where warning = '{R.WARN_ALL_REMARKS}'
+  union all select doc_id, 2, section_index, place, 'warning', 'section_warning', warning, null from section_warnings
+), placed as (select *, row_number() over (partition by doc_id, severity, code, message, item_id order by part, a, b) as again from said),
+every as (
+  select doc_id, count(*) filter (where severity = 'error') as error_count, count(*) filter (where severity = 'warning') as warning_count, string_agg(severity || '|' || code || '|' || message || '|' || coalesce(item_id, '-'), chr(10) order by part, a, b) as t
+  from placed where again = 1 group by doc_id
+), listed as (
+  select i.doc_id, count(*) as n, string_agg(printf('item_%06d', global_index) || '|' || global_index || '|' || label || '|' || env || '|' || sha256(content) || '|' || sha256(coalesce(proof, '')) || '|' || s.section_number || '|' || s.section || '|' || s.chapter_number || '|'
+    || (select count(*) from issues q where q.doc_id = i.doc_id and q.global_index = i.global_index) || '|' || env, chr(10) order by global_index) as t
+  from items i join sections s using (doc_id, section_index) group by i.doc_id
+), shown as (select doc_id, chapter_number, chapter, min(global_index) as first from items where chapter <> '' or chapter_number <> '' group by all)
+select d.doc_id, 'book' || d.doc_id || '.md' as filename, 'text/markdown' as mime_type, coalesce((select min_by(chapter, first) from shown x where x.doc_id = d.doc_id and chapter <> ''), '') as title,
+  coalesce((select string_agg(chapter_number || '|' || chapter, chr(10) order by first) from shown x where x.doc_id = d.doc_id), '') as chapters, coalesce(l.n, 0) as n_items, coalesce(error_count, 0) as error_count,
+  coalesce(warning_count, 0) as warning_count, sha256(coalesce(l.t, '')) as items_sha256, sha256(coalesce(e.t, '')) as issues_sha256
+from (select distinct doc_id from all_lines) d left join listed l using (doc_id) left join every e using (doc_id)""",
     "plan_clip_overlaps": """with plan as (select l_orderkey as doc_id, cast(l_linenumber as bigint) as position, cast(l_partkey % 60 as int) as s0, greatest(1, least(50, l_partkey % 60)) as s, l_partkey % 60 + l_suppkey % 25 as e0 from lineitem),
 p as (select *, greatest(s, least(50, e0)) as e, row_number() over (partition by doc_id order by s0, position, e0) as i from plan),
 q as (select *, least(50, i + max(e - i) over (partition by doc_id order by i rows unbounded preceding)) as end_line from p),

@@ -110,6 +110,22 @@ def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.quality_summary(annotate.annotated(items), documents, reports)
 
 
+def annotation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotation document of each book: its source and title, and digests of its items and issues in order."""
+    b = staged(books(spark, sf_dir), "books")
+    sections, items = _items(b)
+    reports = staged(quality.section_reports(sections, items), "reports")
+    documents = quality.document_reports(sections, items, split.split_warnings(sections))
+    out = annotate.assembled(annotate.annotated(items), documents, reports, b)
+    shown = lambda i: F.concat_ws("|", i["id"], i["order_index"].cast("string"), i["label"], i["type"], F.sha2(i["statement"], 256), F.sha2(i["proof"], 256), i["context"]["section_number"], i["context"]["section_title"], i["context"]["chapter_number"], F.size(i["audit"]["issues"]).cast("string"), i["raw"]["env"])
+    said = lambda x: F.concat_ws("|", x["severity"], x["code"], x["message"], F.coalesce(x["item_id"], F.lit("-")))
+    digest = lambda array, f: F.sha2(F.array_join(F.transform(array, f), "\n"), 256)
+    return out.select(
+        "doc_id", "source.filename", F.col("source.original_mime_type").alias("mime_type"), "document.title", F.array_join(F.transform("document.chapters", lambda c: F.concat_ws("|", c["number"], c["title"])), "\n").alias("chapters"),
+        F.size("items").alias("n_items"), "quality.error_count", "quality.warning_count", digest("items", shown).alias("items_sha256"), digest("quality.issues", said).alias("issues_sha256"),
+    )
+
+
 def structure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of every kind."""
     rows = structure.candidates(split.lines(books(spark, sf_dir)))
@@ -276,7 +292,7 @@ def stream_ingest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     section_item_counts, lines_explode, heading_scan, chapter_carry_forward, section_bounds, section_text_stats, back_matter_blocks, split_warnings, no_heading_documents, local_items,
-    normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, structure_candidates,
+    normalized_labels, duplicate_labels, quality_sections, quality_documents, annotation_issues, annotation_chapters, annotation_quality, annotation_documents, structure_candidates,
     planner_needed, plan_clip_overlaps, span_nth_occurrence, span_resolve, source_search, source_backed, audit_report, patch_candidates, prompt_profile, usage_by_phase,
     usage_total, jobs_latest_state, jobs_unfinished, jobs_recent_topk, jobs_union_list, retention_expired, saved_annotation_preferred, ingest_pending, pages_to_markdown, chunk_page_offset,
     stream_ingest_state,

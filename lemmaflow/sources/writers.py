@@ -48,6 +48,12 @@ def summary_json(documents: DataFrame, sections: DataFrame, reports: DataFrame,
     return rows.select("doc_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("summary_json"))
 
 
+def annotation_json(documents: DataFrame) -> DataFrame:
+    """(doc_id, annotation_json) of annotation documents, as ``annotate.assembled`` makes them."""
+    parts = F.struct("schema_version", "source", "document", "items", "quality")
+    return documents.select("doc_id", F.to_json(parts, {"ignoreNullFields": "false"}).alias("annotation_json"))
+
+
 def structure_index(sections: DataFrame, reports: DataFrame) -> DataFrame:
     """(doc_id, structure_json): the sections with lines, headings and numbers of items."""
     rows = sections.join(reports.select("doc_id", "section_index", F.col("n_items").alias("items")), ["doc_id", "section_index"], "left")

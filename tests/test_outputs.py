@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from lemmaflow.functions.profiles import profile
-from lemmaflow.operators import models, normalize, quality, spans, split
+from lemmaflow.operators import annotate, extract, models, normalize, quality, spans, split
 from lemmaflow.sources import store, writers
 
 BOOK = "# Chapter 1. C\n## 1.1 A | B\nDefinition 1.1. x ...\n## 1.2 Two\nTheorem 1.2. y\nProof. z\n"
@@ -79,3 +79,30 @@ def test_search_counts_matches_without_overlaps(spark):
     got = [(r["id"], r["offset"], r["line"], r["snippet"]) for r in spans.searched(rows, most=3, around=1).orderBy("id", "offset").collect()]
     assert got == [(1, 0, 5, "aaa"), (1, 2, 5, "aaa\n"), (1, 6, 6, "baa"), (2, 1, 1, "x\\Ey"), (6, 1, 1, "😀.😀"), (6, 3, 1, "😀.")]
     assert [r["offset"] for r in spans.searched(rows.filter("id = 1"), most=0).collect()] == [0]
+
+
+def test_annotation_documents_are_whole(spark):
+    text = "# Chapter 1 C\n## 1.1 A\nDefinition 1.1. x\n## 1.2 B\nDefinition 1.1. y\nProof of nothing.\n# Chapter 2 D\n## 2.1 E\nTheorem 2.1. z\n"
+    docs = spark.createDataFrame([("a", "a.md", text), ("none", "scan.PNG", "plain"), ("e", None, ""), (None, "lost.md", "x")], "doc_id string, source_name string, text string")
+    sections = split.sections(docs)
+    items = normalize.normalized(extract.local_items(sections), sections)
+    reports, whole = quality.section_reports(sections, items), quality.document_reports(sections, items, split.split_warnings(sections))
+    out = annotate.assembled(annotate.annotated(items), whole, reports, docs.unionByName(docs.filter("doc_id = 'a'")).withColumn("source_type", F.when(F.col("doc_id") == "none", "pdf")))
+    rows = {r["doc_id"]: json.loads(r["annotation_json"]) for r in writers.annotation_json(out).collect()}
+    assert set(rows) == {"a", "none", "e"}
+    a = rows["a"]
+    assert list(a) == ["schema_version", "source", "document", "items", "quality"] and a["source"] == {"filename": "a.md", "source_type": "markdown", "original_mime_type": "text/markdown", "content_hash": None}
+    # ids count through the document, not through a section
+    assert [(i["id"], i["order_index"], i["type"]) for i in a["items"]] == [("item_000001", 1, "def"), ("item_000002", 2, "def"), ("item_000003", 3, "thm")]
+    assert set(a["items"][0]) == {"id", "order_index", "label", "label_raw", "type", "number_components", "statement", "proof", "context", "dependencies", "source_refs", "assets", "audit", "raw"}
+    assert a["items"][0]["source_refs"] == {"pages": [], "block_ids": [], "span_ids": [], "bbox_refs": []} and a["items"][2]["proof"] == ""
+    assert [c["number"] for c in a["document"]["chapters"]] == ["1", "2"] and a["document"]["title"] == a["document"]["chapters"][0]["title"]
+    codes = [(i["code"], i["item_id"]) for i in a["quality"]["issues"]]
+    assert codes[:2] == [("duplicate_label", "item_000001"), ("duplicate_label", "item_000002")] and ("global_warning", None) in codes[2:]
+    assert a["quality"]["warning_count"] == len(codes) and a["quality"]["error_count"] == 0
+    assert rows["none"]["source"]["original_mime_type"] == "application/pdf" and rows["none"]["items"] == [] and rows["none"]["document"]["chapters"] == []
+    assert rows["e"]["source"]["filename"] == "input" and rows["e"]["document"] == {"title": "", "language": "", "chapters": []}
+    bad = writers.annotation_json(out).filter(annotate.payload_error(F.col("annotation_json")).isNotNull())
+    assert bad.count() == 0
+    empty = annotate.assembled(annotate.annotated(items.limit(0)), whole.limit(0), reports.limit(0), docs.limit(0))
+    assert empty.count() == 0

@@ -123,7 +123,7 @@ def test_quality_and_annotation(items):
     assert first["warnings"] == ["Remark 2.1-extra-1: content appears truncated"]
     documents = quality.document_reports(own, n, split.split_warnings(own))
     assert {r["doc_id"]: r["items_total"] for r in documents.collect()} == {"b": 6, "p": 1, "q": 1}
-    twice = n.unionByName(n.filter("doc_id = 'b' and item_index = 1").withColumn("item_index", F.lit(9)).withColumn("content", F.lit("")))
+    twice = n.unionByName(n.filter("doc_id = 'b' and global_index = 1").withColumn("global_index", F.lit(9)).withColumn("content", F.lit("")))
     a = annotate.annotated(twice)
     found = [(r["item_id"], r["severity"], r["code"]) for r in annotate.issues(a).filter("doc_id = 'b'").orderBy("item_id", "place").collect()]
     assert found == [("item_000001", "warning", "duplicate_label"), ("item_000009", "error", "empty_statement"), ("item_000009", "warning", "duplicate_label")]
