@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.operators import audit, joblog, models, planner, structure
+from lemmaflow.plans import convert
+from lemmaflow.plans.corpus import books
+from lemmaflow.plans.progress import ProgressLog
 from lemmaflow.scratch import scratch_dir, staged
 from lemmaflow.sources import store
 from lemmaflow.streaming import watch
@@ -218,4 +221,15 @@ def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joblog.collection_plan(jobs, saved, debug, F.expr("timestamp'1997-01-01 00:00:00'"))
 
 
-QUERIES = [job_log_states, page_ranges, collection_plan, store_snapshot, folder_stream, plan_matter, planner_faults, planner_plans, tool_loop_sections, answers_reused, plan_warnings]
+def conversion_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log of a conversion of all books in two blocks tells: the counts of committed blocks, those at the end, and what the store has then."""
+    log, folder = ProgressLog(spark, scratch_dir(spark, "progress")), scratch_dir(spark, "converted")
+    convert.convert(books(spark, sf_dir), folder, blocks=2, progress=log, run="books")
+    rows = log.rows("books")
+    committed = rows.filter("block is not null").agg(F.lit("committed").alias("phase"), F.sum("documents_completed").alias("documents"), F.sum("sections_completed").alias("sections"))
+    end = rows.filter("phase = 'completed'").select("phase", F.col("documents_completed").alias("documents"), F.col("sections_completed").alias("sections"))
+    stored = convert.read(spark, folder, "sections").agg(F.lit("stored").alias("phase"), F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("sections"))
+    return committed.unionByName(end).unionByName(stored)
+
+
+QUERIES = [conversion_progress, job_log_states, page_ranges, collection_plan, store_snapshot, folder_stream, plan_matter, planner_faults, planner_plans, tool_loop_sections, answers_reused, plan_warnings]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lemmaflow.functions import patterns as R
-from lemmaflow.plans.oracle import _strip
+from lemmaflow.plans.oracle import _SECTIONS, _strip
 
 _DOCS = "d as (select doc_id, coalesce(text, '') as t, lang from documents), l as (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id)"
 
@@ -104,6 +104,7 @@ where status <> 'running' and age >= to_days(case when saved then 180 when statu
 union all select 'debug', '/debug/' || id, '/debug/' || id, 'older than 1 days' from j where debug and age >= to_days(1)"""
 
 ORACLES = {
+    "conversion_progress": f"with {_SECTIONS}, n as (select count(distinct doc_id) as documents, count(*) as sections from sections) select phase, documents, sections from n, (values ('committed'), ('completed'), ('stored')) p(phase)",
     "job_log_states": _JOBS, "page_ranges": _PAGES, "collection_plan": _COLLECTION,
     "store_snapshot": _STORE, "folder_stream": _STREAM, "plan_matter": _MATTER, "planner_faults": _FAULTS, "planner_plans": _PLANS, "tool_loop_sections": _LOOP, "answers_reused": _REUSED, "plan_warnings": _WARNED,
 }
