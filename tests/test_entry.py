@@ -12,7 +12,7 @@ import pytest
 REPO = Path(__file__).resolve().parent.parent
 DATA = Path("/root/testdata/sf0.001")
 CHEAP = ["lines_explode", "heading_scan", "chapter_carry_forward", "plan_clip_overlaps", "span_resolve", "source_search", "audit_report", "patch_candidates", "span_nth_occurrence", "usage_by_phase", "jobs_latest_state", "retention_expired", "ingest_pending", "pages_to_markdown", "source_backed", "structure_candidates", "planner_faults", "planner_plans", "plan_matter", "plan_warnings", "page_ranges", "collection_plan", "job_log_states",
-         "source_backed", "structure_candidates", "planner_faults", "planner_plans", "plan_matter", "plan_warnings", "page_ranges", "collection_plan", "job_log_states", "span_items", "repaired_items", "declared_labels", "annotation_fields", "annotations_saved", "usage_merged", "planned_sections"]
+         "annotation_documents", "span_items", "repaired_items", "declared_labels", "annotation_fields", "annotations_saved", "usage_merged", "planned_sections"]
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
