@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import ClassVar
 
@@ -11,14 +12,25 @@ from pyspark.sql import functions as F
 from lemmaflow.functions import patterns as R
 
 
+#: What ``\s`` matches in all scripts.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: An end of a line.
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def clean(x: Column) -> Column:
     """Stripped, with every run of white space as one space."""
-    return F.regexp_replace(strip(x), r"(?U)\s+", " ")
+    return F.regexp_replace(strip(x), r"(?U)\s\s+|[\s&&[^ ]]", " ")
 
 
 def matches(x: Column, pattern: str) -> Column:
@@ -37,9 +49,14 @@ def lookup(x: Column, table: dict) -> Column:
 
 def split_lines(text: Column) -> Column:
     """Lines as Python's splitlines gives them: all line ends count, the last one makes no empty line, the empty text has none."""
-    one_end = F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n", "\n")
-    found = F.split(one_end, "[\n\r\x0b\x0c\x1c-\x1e\x85  ]", -1)
-    return F.when(F.element_at(found, -1) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
+    # a generator computes what it is given as often as it is named
+    one_end = F.regexp_replace(F.coalesce(text, F.lit("")), "[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029](?:(?<=\r)\n)?", "\n")
+    return let(F.split(one_end, "\n", -1), lambda found: F.when(F.element_at(found, -1) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found))
+
+
+def first_lines(text: Column, n: int) -> Column:
+    """The first ``n`` lines at most, of which the last one may be an empty one that ``split_lines`` doesn't have; the rest of the text isn't cut."""
+    return F.slice(F.split(F.coalesce(text, F.lit("")), LINE_END, n + 1), 1, n)
 
 
 def join_lines(lines: Column, start: Column, end: Column) -> Column:
@@ -195,7 +212,7 @@ def inferred_number(first: Column, kind: Column) -> Column:
 
 def first_line(content: Column) -> Column:
     """An item's first line without heading marks and emphasis before its words."""
-    return F.regexp_replace(F.coalesce(F.get(split_lines(content), F.lit(0)), F.lit("")), r"(?U)^\s*(?:#{1,6}\s*)?[*_`]+", "")
+    return F.regexp_replace(F.coalesce(F.get(first_lines(content, 1), F.lit(0)), F.lit("")), r"(?U)^\s*(?:#{1,6}\s*)?[*_`]+", "")
 
 
 def nth_position(text: Column, anchor: Column, n: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from lemmaflow.functions import patterns as R
+from lemmaflow.functions import text as T
 from lemmaflow.functions import values as V
 from lemmaflow.operators.annotate import payload_error
 
@@ -146,10 +147,15 @@ def relative_key(path: Column, root: str) -> Column:
 def export_name(file: Column, most: int = R.EXPORT_NAME_BYTES) -> Column:
     """A file's name without its suffix as an export may be called: letters, digits and ``._- ``, in at most so many bytes of UTF-8, whole characters only."""
     stem = F.trim(F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"(.)\.[^.]*$", "$1"))
-    plain = F.regexp_replace(F.when(stem == "", "output").otherwise(stem), r"[^\p{L}\p{N}._\- ]", "_")
-    cut = lambda x: F.btrim(x, F.lit(" ._"))
-    whole = F.when(cut(plain) == "", "output").otherwise(cut(plain))
-    # the longest beginning that has no more bytes; a character has one at least
-    size = F.array_max(F.filter(F.sequence(F.lit(0), F.least(F.length(whole), F.lit(most))), lambda n: F.octet_length(F.substring(whole, F.lit(1), n)) <= most))
-    short = F.rtrim(F.substring(whole, F.lit(1), size), F.lit(" ._"))
-    return F.when(F.octet_length(whole) <= most, whole).when(short == "", "output").otherwise(short)
+    named = lambda x: F.when(x == "", "output").otherwise(x)
+    ends = F.lit(" ._")
+
+    def short(whole: Column) -> Column:
+        # the longest beginning that has no more bytes; a character has one at least
+        head = F.substring(whole, F.lit(1), F.lit(most))
+        size = F.array_max(F.filter(F.sequence(F.lit(0), F.length(head)), lambda n: F.octet_length(F.substring(head, F.lit(1), n)) <= most))
+        return F.when(F.octet_length(whole) <= most, whole).otherwise(T.let(F.rtrim(F.substring(head, F.lit(1), size), ends), named))
+
+    # each step is computed once, not for every length that is tried
+    plain = F.regexp_replace(T.let(stem, named), r"[^\p{L}\p{N}._\- ]", "_")
+    return T.let(T.let(F.btrim(plain, ends), named), short)
