@@ -1,8 +1,8 @@
 """A folder as a stream: files that are new or have changed are converted once each, when they are stable, and again after failures.
 
 Spark's file source gives a file once by name, so a changed file would never come again, and a file that isn't stable yet would be lost. Here each look at the
-folder is a *listing*: the files that are new or changed since the listings before are appended, with digest and content, to a log table. The log is the stream. A
-second stream are the *outcomes* of conversions, which come back to the state of their file. The state of a path is a stateful processor's value: its digest, its
+folder is a *listing*: the files that are new or changed since the listings before are appended, with their digest, to a log table, after their contents were written to a
+table beside it. The log is the stream. A second stream are the *outcomes* of conversions, which come back to the state of their file. The state of a path is a stateful processor's value: its digest, its
 status, failures and when it is due; processing-time timers end the wait of files that aren't stable or whose last conversion failed, without a new sighting; an optional time
 to live forgets paths.
 
@@ -10,8 +10,8 @@ to live forgets paths.
                                       due -(error)-> failed -(cooldown)-> due; after ``most_failures``: blocked
 
 Due files are handed to a converter in ``foreachBatch``. Actions, results and outcomes of a batch are written to partitions named by its id, which a batch that
-runs again replaces, so each digest has its results once, whenever the stream is killed. A listing's files have ``most_files`` sightings each, and a batch takes one, so a path
-has at most one sighting a batch and its task reads a bounded number of rows.
+runs again replaces, so each digest has its results once, whenever the stream is killed. The log's files have up to ``most_files`` sightings each, however many partitions a listing
+has, and a batch takes one file: a path has at most one sighting a batch, its task reads a bounded number of rows, and there are no more batches than the sightings ask for.
 
 Timers are checked in every batch; a listing without changes is logged too, as an empty file, so that each pass has one.
 """
@@ -22,14 +22,15 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from math import ceil
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
-SIGHTED = "path string, digest string, modified_at timestamp, seen_at timestamp, content binary"
+SIGHTED = "path string, digest string, modified_at timestamp, seen_at timestamp, listing string"
+CONTENT = "path string, digest string, modified_at timestamp, seen_at timestamp, content binary, listing string"
 OUTCOME = "path string, digest string, seen_at timestamp, error string"
 ACTION = "path string, digest string, action string, failures int, listing string"
 STATE = "digest string, status string, failures int, due long, seen long, listing string"
@@ -68,16 +69,16 @@ class Pending(StatefulProcessor):
     def _get(self) -> dict | None:
         return dict(zip(("digest", "status", "failures", "due", "seen", "listing"), self.state.get(), strict=True)) if self.state.exists() else None
 
-    def _out(self, key: tuple, s: dict, actions: list[tuple]) -> Iterator[pd.DataFrame]:
+    def _out(self, key: tuple, s: dict, actions: list[tuple]) -> Iterator[Row]:
         self.state.update((s["digest"], s["status"], s["failures"], s["due"], s["seen"], s["listing"]))
-        if actions:
-            yield pd.DataFrame([(key[0], x["digest"], a, x["failures"], x["listing"]) for a, x in actions], columns=["path", "digest", "action", "failures", "listing"])
+        for a, x in actions:
+            yield Row(path=key[0], digest=x["digest"], action=a, failures=x["failures"], listing=x["listing"])
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:  # noqa: N802, N803
         now, s, actions = timerValues.getCurrentProcessingTimeInMs(), self._get(), []
         # outcomes belong to what was sighted before them
-        for r in sorted((r for frame in rows for r in frame.itertuples()), key=lambda r: (r.listing is not None, r.seen_at)):
-            at = int(r.seen_at.timestamp() * 1000)
+        for r in sorted(rows, key=lambda r: (r.listing is not None, r.seen)):
+            at = r.seen
             if r.listing is None:
                 if s is None or r.digest != s["digest"] or s["status"] != "due":
                     continue
@@ -88,7 +89,7 @@ class Pending(StatefulProcessor):
                     s |= {"status": "blocked" if s["failures"] >= self.most else "failed", "due": at + self.cooldown}
                 actions.append((s["status"], dict(s)))
             elif s is None or at >= s["seen"]:
-                stable = 0 if pd.isna(r.modified_at) else int(r.modified_at.timestamp() * 1000) + self.stable
+                stable = 0 if r.modified is None else r.modified + self.stable
                 if s is None or r.digest != s["digest"]:
                     s = {"digest": r.digest, "status": "pending", "failures": 0, "due": stable, "seen": at, "listing": r.listing}
                 else:
@@ -101,7 +102,7 @@ class Pending(StatefulProcessor):
             actions += self._wait(s, now)
             yield from self._out(key, s, actions)
 
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         s = self._get()
         if s is not None:  # a timer of an earlier digest finds nothing due, or sets the right one
             yield from self._out(key, s, self._wait(s, timerValues.getCurrentProcessingTimeInMs()))
@@ -124,7 +125,7 @@ def _confs(spark: SparkSession) -> Iterator[None]:
 
 @dataclass
 class Watch:
-    """A watched folder and its tables below ``work``: log, outcomes, actions, results, checkpoint.
+    """A watched folder and its tables below ``work``: contents, log, outcomes, actions, results, checkpoint.
 
     ``convert``: takes (path, digest, content) and returns (path, digest, error, ...), with a null error where the conversion succeeded. What it returns is the results table.
     """
@@ -151,22 +152,29 @@ class Watch:
 
     def sight(self, found: DataFrame) -> None:
         """Log a listing: those of the files (path, modified_at, content) that are new, changed, or there again since the listings before."""
-        last = self._read("log", SIGHTED + ", listing string").groupBy("path").agg(F.max("modified_at").alias("last"))
+        last = self._read("log", SIGHTED).groupBy("path").agg(F.max("modified_at").alias("last"))
         new = found.join(last, "path", "left").filter(F.col("last").isNull() | (F.col("modified_at") > F.col("last")))
         rows = new.select("path", F.sha2("content", 256).alias("digest"), "modified_at", F.current_timestamp().alias("seen_at"), "content")
-        rows.write.option("maxRecordsPerFile", self.most_files).parquet(f"{self._at('log')}/listing={uuid.uuid4().hex}")
+        listing = f"listing={uuid.uuid4().hex}"
+        rows.write.parquet(f"{self._at('contents')}/{listing}")
+        names = self.spark.read.schema(rows.schema).parquet(f"{self._at('contents')}/{listing}").drop("content")
+        n = names.count()
+        # shares differ by a few rows, which must not make files of their own
+        parts = 1 if n <= self.most_files else ceil(n / self.most_files * 1.1)
+        names.repartition(parts).write.option("maxRecordsPerFile", self.most_files).parquet(f"{self._at('log')}/{listing}")
 
     def start(self, **trigger) -> StreamingQuery:
         """The stream over listings and outcomes. ``trigger``: as ``DataStreamWriter.trigger`` takes it."""
         self._make("log")
         self._make("outcomes")
-        log = self.spark.readStream.schema(SIGHTED + ", listing string").option("maxFilesPerTrigger", 1).parquet(self._at("log"))
+        log = self.spark.readStream.schema(SIGHTED).option("maxFilesPerTrigger", 1).parquet(self._at("log"))
         outcomes = self.spark.readStream.schema(OUTCOME + ", batch_id long").parquet(self._at("outcomes"))
-        both = log.select("path", "digest", "modified_at", "seen_at", "listing", F.lit(None).cast("string").alias("error")).unionByName(
-            outcomes.select("path", "digest", F.lit(None).cast("timestamp").alias("modified_at"), "seen_at", F.lit(None).cast("string").alias("listing"), "error")
+        none = lambda kind: F.lit(None).cast(kind)
+        both = log.select("path", "digest", F.unix_millis("modified_at").alias("modified"), F.unix_millis("seen_at").alias("seen"), "listing", none("string").alias("error")).unionByName(
+            outcomes.select("path", "digest", none("long").alias("modified"), F.unix_millis("seen_at").alias("seen"), none("string").alias("listing"), "error")
         )
         state = Pending(self.stable_seconds, self.cooldown_seconds, self.most_failures, self.keep_seconds)
-        actions = both.groupBy("path").transformWithStateInPandas(state, ACTION, "Append", "ProcessingTime")
+        actions = both.groupBy("path").transformWithState(state, ACTION, "Append", "ProcessingTime")
         with _confs(self.spark):
             return actions.writeStream.foreachBatch(self._batch).option("checkpointLocation", self._at("checkpoint")).outputMode("append").trigger(**trigger).start()
 
@@ -179,8 +187,8 @@ class Watch:
         due = put(actions, "actions").filter("action = 'convert'")
         listings = [r[0] for r in due.select("listing").distinct().collect()]  # a batch reads one listing; with timers those of the files that wait
         if listings:
-            log = actions.sparkSession.read.schema(SIGHTED + ", listing string").parquet(self._at("log")).filter(F.col("listing").isin(listings))
-            texts = log.join(due.select("path", "digest", "listing"), ["path", "digest", "listing"]).select("path", "digest", "content")
+            contents = actions.sparkSession.read.schema(CONTENT).parquet(self._at("contents")).filter(F.col("listing").isin(listings))
+            texts = contents.join(due.select("path", "digest", "listing"), ["path", "digest", "listing"]).select("path", "digest", "content")
             results = put(self.convert(texts), "results")
             put(results.select("path", "digest", F.current_timestamp().alias("seen_at"), F.col("error").cast("string").alias("error")), "outcomes")
 

@@ -31,3 +31,13 @@ def test_lines_are_pythons(spark):
     got = df.select("i", T.split_lines(F.col("x")).alias("lines"), T.first_lines(F.col("x"), 2).alias("first")).collect()
     assert {r["i"]: r["lines"] for r in got} == {i: x.splitlines() for i, x in enumerate(texts)}
     assert all([y for y in r["first"] if y] == [y for y in r["lines"][:2] if y] for r in got)
+
+
+def test_a_listing_of_many_partitions_is_one_batch(spark, tmp_path):
+    from lemmaflow.streaming import watch
+
+    w = watch.Watch(spark, str(tmp_path / "work"), lambda texts: texts.select("path", "digest", F.lit(None).cast("string").alias("error")), stable_seconds=0, most_files=1000)
+    found = spark.range(0, 60, 1, 12).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("path"), F.timestamp_seconds(F.lit(1700000000)).alias("modified_at"), F.encode(F.col("id").cast("string"), "utf-8").alias("content"))
+    w.run(found)
+    rows = w.actions().groupBy("batch_id", "action").count().collect()
+    assert [(r["action"], r["count"]) for r in rows] == [("convert", 60)]  # a batch a file before: twelve
