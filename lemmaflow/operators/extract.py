@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
@@ -12,17 +12,17 @@ from lemmaflow.scratch import staged
 KEY = ["doc_id", "section_index"]
 
 
-def section_lines(sections: DataFrame) -> DataFrame:
-    """(doc_id, section_index, place, line, block): block n has the lines from the n-th item's to the next one's; block 0 stands before all."""
-    each = sections.select(*KEY, F.posexplode(T.split_lines(F.col("text"))).alias("place", "line"))
-    start = T.matches(T.strip(F.col("line")), R.ITEM_START)
-    in_order = Window.partitionBy(*KEY).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return each.withColumn("block", F.sum(start.cast("int")).over(in_order))
-
-
 def blocks(sections: DataFrame) -> DataFrame:
-    """(doc_id, section_index, block, lines, number, word): a row a block, with its item's number and kind word."""
-    rows = section_lines(sections).groupBy(*KEY, "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]).alias("lines"))
+    """(doc_id, section_index, block, lines, number, word): a row a block, with its item's number and kind word.
+
+    Block n has the lines from the n-th item's to the next one's; block 0 stands before all. They are cut from their section's one array of lines.
+    """
+    starts = F.array_compact(F.transform("lines", lambda x, i: F.when(T.matches(T.strip(x), R.ITEM_START), i)))
+    rows = sections.select(*KEY, T.split_lines(F.col("text")).alias("lines"))
+    rows = rows.select(*KEY, "lines", F.concat(F.array(F.lit(0)), starts, F.array(F.size("lines"))).alias("bounds"))
+    at = lambda b: F.get("bounds", b)
+    cut = F.transform(F.sequence(F.lit(0), F.size("bounds") - 2), lambda b: F.struct(b.cast("long").alias("block"), F.slice("lines", at(b) + 1, at(b + 1) - at(b)).alias("lines")))
+    rows = rows.select(*KEY, F.inline(F.filter(cut, lambda b: F.size(b["lines"]) > 0)))
     head = T.strip(F.get("lines", F.lit(0)))
     some = lambda *groups: F.coalesce(*(F.nullif(T.part(head, R.ITEM_START, g), F.lit("")) for g in groups), F.lit(""))
     return rows.withColumns({"number": F.when(F.col("block") > 0, some(2, 4, 5)), "word": F.when(F.col("block") > 0, some(1, 3, 6))})
@@ -57,7 +57,7 @@ def inline_proofs(blocks_: DataFrame) -> DataFrame:
 
 
 def delayed_proofs(blocks_: DataFrame, once: bool = True) -> DataFrame:
-    """(doc_id, section_index, block, delayed): proofs that name an item of the section, for the last item of that number, joined by blank lines.
+    """(doc_id, section_index, delayed): a map from blocks to proofs that name an item of the section, for the last item of that number, joined by blank lines.
 
     ``once``: a proof within its own item's block is inline already and isn't attached again.
     """
@@ -69,7 +69,8 @@ def delayed_proofs(blocks_: DataFrame, once: bool = True) -> DataFrame:
     rows = found.select(*KEY, "from_block", F.col("m.i").alias("i"), F.col("m.number").alias("number"), text.alias("text")).join(owners, [*KEY, "number"]).filter("text <> ''")
     if once:
         rows = rows.filter("from_block <> block")
-    return rows.groupBy(*KEY, "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("from_block", "i", "text"))), lambda x: x["text"]), "\n\n").alias("delayed"))
+    own = rows.groupBy(*KEY, "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("from_block", "i", "text"))), lambda x: x["text"]), "\n\n").alias("delayed"))
+    return own.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("block", "delayed"))).alias("delayed"))
 
 
 def proof_dependency(text: Column) -> Column:
@@ -83,7 +84,7 @@ def standalone_heading() -> Column:
 
 def standalone_proofs(sections: DataFrame, blocks_: DataFrame) -> DataFrame:
     """Sections without items that are a proof as a whole, as one remark each."""
-    opening = F.exists(F.slice(T.split_lines(F.col("text")), 1, 5), lambda x: T.matches(T.strip(x), R.PROOF))
+    opening = F.exists(T.first_lines(F.col("text"), 5), lambda x: T.matches(T.strip(x), R.PROOF))
     bare = sections.filter(standalone_heading() | opening).join(blocks_.filter("block > 0").select(*KEY).distinct(), KEY, "left_anti")
     depends = F.coalesce(proof_dependency(F.col("source_heading")), proof_dependency(F.col("section")))
     return bare.select(
@@ -95,7 +96,8 @@ def standalone_proofs(sections: DataFrame, blocks_: DataFrame) -> DataFrame:
 def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
     """Items of all sections: doc_id, section_index, position, env, number_components, content, dependencies, proof and a label by position."""
     parts = staged(blocks(sections), "blocks")
-    proofs = inline_proofs(parts).join(delayed_proofs(parts, once), [*KEY, "block"], "left")
+    # by section alone, as all that follows, so that items move once
+    proofs = inline_proofs(parts).join(delayed_proofs(parts, once), KEY, "left").withColumn("delayed", F.element_at("delayed", F.col("block")))
     both = F.when(F.col("proof").isNotNull() & F.col("delayed").isNotNull(), T.strip(F.concat("proof", F.lit("\n\n"), "delayed"))).otherwise(F.coalesce("proof", "delayed"))
     env = T.item_kind(F.col("word"))
     numbers = F.filter(F.split("number", r"\."), lambda x: x != "")

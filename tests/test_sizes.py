@@ -41,3 +41,25 @@ def test_a_listing_of_many_partitions_is_one_batch(spark, tmp_path):
     w.run(found)
     rows = w.actions().groupBy("batch_id", "action").count().collect()
     assert [(r["action"], r["count"]) for r in rows] == [("convert", 60)]  # a batch a file before: twelve
+
+
+def test_blocks_of_sections_are_cut_without_moving_lines(spark):
+    from lemmaflow.operators import extract
+
+    text = "before\nDefinition 1. A\nmore\n\nTheorem 2. B\nProof. x"
+    rows = extract.blocks(spark.createDataFrame([("d", 1, text), ("d", 2, ""), ("d", 3, "Lemma 1. only"), ("d", 4, None)], "doc_id string, section_index int, text string"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()  # lines were shuffled and sorted
+    got = {(r["section_index"], r["block"]): (r["lines"], r["number"], r["word"]) for r in rows.collect()}
+    assert got == {(1, 0): (["before"], None, None), (1, 1): (["Definition 1. A", "more", ""], "1", "Definition"), (1, 2): (["Theorem 2. B", "Proof. x"], "2", "Theorem"), (3, 1): (["Lemma 1. only"], "1", "Lemma")}
+
+
+def test_heuristic_plans_parse_each_line_once(spark, monkeypatch):
+    from lemmaflow.operators import split, structure
+
+    docs = spark.createDataFrame([("d", "d.md", "# Chapter 1 X\n## 1.1 Y\ntext\n## 1.2 Z\nthing\n\nend")], "doc_id string, source_name string, text string")
+    sections = split.sections(docs)
+    names = []
+    monkeypatch.setattr(structure, "staged", lambda df, name: names.append(name) or df.localCheckpoint())
+    plans = structure.heuristic_plans(split.lines(docs), sections)
+    assert names == ["parsed"]  # four reads parsed all lines four times
+    assert sorted((r["start_line"], r["end_line"], r["section_number"]) for r in plans.collect()) == [(2, 3, "1.1"), (4, 7, "1.2")]
