@@ -144,11 +144,15 @@ def heuristic_plans(lines: DataFrame, sections: DataFrame) -> DataFrame:
     """
     first = sections.groupBy("doc_id").agg(F.min_by(F.struct("chapter", "chapter_number"), "section_index").alias("h")).select("doc_id", F.col("h.chapter").alias("hard_chapter"), F.col("h.chapter_number").alias("hard_number"))
     so_far = by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = parsed(lines).select("doc_id", "line_no", "kind", "mark", "name", "own_number", "own_chapter", ((F.col("level") > 0) | F.col("bare")).alias("heads"))
+    heads = F.col("kind").isNotNull() & ((F.col("level") > 0) | F.col("bare"))
+    # every line is parsed once; few have anything but their number
+    rows = staged(parsed(lines).withColumn("heads", heads).select("doc_id", "line_no", *(F.when(F.col("heads"), F.col(c)).alias(c) for c in ("kind", "mark", "name")), "own_number", "own_chapter"), "parsed")
+    chapters = rows.groupBy("doc_id").agg(F.max("line_no").alias("n_lines"))
+    rows = rows.filter("own_number is not null or kind is not null")
     rows = rows.withColumn("number", F.last("own_number", ignorenulls=True).over(so_far)).join(first, "doc_id").withColumn("number", F.coalesce("number", "hard_number"))
     of_chapter = F.when(F.col("own_number").isNotNull(), F.col("line_no"))
-    chapters = rows.groupBy("doc_id").agg(F.max_by("own_number", of_chapter).alias("last_number"), F.max_by("own_chapter", of_chapter).alias("last_title"), F.max("line_no").alias("n_lines"))
-    starts = rows.filter(F.col("own_number").isNull() & F.col("heads") & F.col("kind").isNotNull()).select("doc_id", "line_no", T.section_number(F.col("kind"), F.col("mark"), F.col("number")).alias("section_number"), F.col("name").alias("section_title"))
+    chapters = chapters.join(rows.groupBy("doc_id").agg(F.max_by("own_number", of_chapter).alias("last_number"), F.max_by("own_chapter", of_chapter).alias("last_title")), "doc_id", "left")
+    starts = rows.filter(F.col("own_number").isNull() & F.col("kind").isNotNull()).select("doc_id", "line_no", T.section_number(F.col("kind"), F.col("mark"), F.col("number")).alias("section_number"), F.col("name").alias("section_title"))
     whole = by_line().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     top = F.first("section_number").over(whole)
     starts = starts.withColumn("top", top).withColumn("place", F.row_number().over(by_line())).withColumn("inside", (F.col("place") == 1) | F.startswith("section_number", F.concat("top", F.lit("."))))
