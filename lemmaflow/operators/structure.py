@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,12 +55,20 @@ def planner_needed(lines: DataFrame, sections: DataFrame, split_warnings: DataFr
     return number.select("doc_id").join(reasons.withColumn("hit", F.lit(True)), "doc_id", "left").select("doc_id", F.coalesce("hit", F.lit(False)).alias("needed"))
 
 
-def clipped(plan: DataFrame) -> DataFrame:
+#: About how many rows of plans a task sorts.
+ROWS_A_TASK = 1 << 20
+
+
+def clipped(plan: DataFrame, n_rows: int | None = None) -> DataFrame:
     """Planned sections (doc_id, position, start_line, end_line, n_lines) sorted, clamped and clipped so that none overlaps the one before.
 
     A section begins after the end of those before it, and at the last line at most; an end is never before its start. In closed form:
-    the end is the least of the last line and the row's number plus the greatest of (end less row number) so far.
+    the end is the least of the last line and the row's number plus the greatest of (end less row number) so far. ``n_rows``: how many
+    sections there are, if known; large plans are then dealt out so that the memory of a task doesn't grow with them.
     """
+    parts = ceil((n_rows or 0) / ROWS_A_TASK)
+    if parts > int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        plan = plan.repartition(parts, "doc_id")
     start = F.greatest(F.lit(1), F.least("n_lines", F.coalesce("start_line", F.lit(1))))
     end = F.greatest(start, F.least("n_lines", F.coalesce("end_line", F.lit(1))))
     order = Window.partitionBy("doc_id").orderBy(F.coalesce("start_line", F.lit(0)), "position", "end_line")
@@ -104,7 +114,7 @@ def plan_warnings(heads: DataFrame, plans: DataFrame, documents: DataFrame, hard
     order = plans.withColumn("start", F.coalesce("start_line", F.lit(0))).withColumn("later", later).groupBy("doc_id").agg(F.bool_or("later").alias("later")).filter("later").select("doc_id", F.lit(0).alias("position"), F.lit(R.WARN_PLAN_ORDER).alias("warning"), F.lit(1).alias("k"))
     size = documents.select("doc_id", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
     said = F.array_compact(F.array(F.when(F.col("moved"), F.format_string(R.WARN_PLAN_MOVED, "section_index")), F.when(F.col("stretched"), F.format_string(R.WARN_PLAN_END, "section_index"))))
-    adjusted = clipped(plans.join(size, "doc_id")).select("doc_id", "section_index", F.posexplode(said).alias("i", "warning")).select("doc_id", (F.col("section_index") * 2 + F.col("i")).alias("position"), "warning", F.lit(2).alias("k"))
+    adjusted = clipped(plans.join(size, "doc_id"), plans.count()).select("doc_id", "section_index", F.posexplode(said).alias("i", "warning")).select("doc_id", (F.col("section_index") * 2 + F.col("i")).alias("position"), "warning", F.lit(2).alias("k"))
     empty = heads.select("doc_id").join(whole, "doc_id", "left_anti")
     old = hard.join(empty, "doc_id", "left_semi").select("doc_id", "position", "warning", F.lit(0).alias("k")).unionByName(empty.select("doc_id", F.lit(0).alias("position"), F.lit(R.WARN_PLAN_EMPTY).alias("warning"), F.lit(1).alias("k")))
     rows = own.select("doc_id", "position", "warning", "k").unionByName(order).unionByName(adjusted).unionByName(old)

@@ -141,7 +141,7 @@ def planner_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plan_clip_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planned sections stand-ins: an order's lines, with starts and ends from part and supplier keys."""
     plan = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("position"), (F.col("l_partkey") % 60).cast("int").alias("start_line"), (F.col("l_partkey") % 60 + F.col("l_suppkey") % 25).cast("int").alias("end_line"), F.lit(50).alias("n_lines"))
-    return structure.clipped(plan).drop("moved", "stretched")
+    return structure.clipped(plan, plan.count()).drop("moved", "stretched")
 
 
 def span_nth_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,13 @@ def test_heuristic_plans_parse_each_line_once(spark, monkeypatch):
     plans = structure.heuristic_plans(split.lines(docs), sections)
     assert names == ["parsed"]  # four reads parsed all lines four times
     assert sorted((r["start_line"], r["end_line"], r["section_number"]) for r in plans.collect()) == [(2, 3, "1.1"), (4, 7, "1.2")]
+
+
+def test_large_plans_are_dealt_out_by_their_rows(spark, monkeypatch):
+    from lemmaflow.operators import structure
+
+    monkeypatch.setattr(structure, "ROWS_A_TASK", 100)
+    plan = spark.range(2000).select((F.col("id") % 300).alias("doc_id"), F.col("id").alias("position"), (F.col("id") % 7).cast("int").alias("start_line"), (F.col("id") % 11).cast("int").alias("end_line"), F.lit(9).alias("n_lines"))
+    out = structure.clipped(plan, 2000)
+    assert out.rdd.getNumPartitions() == 20  # four, the session's, whatever the rows
+    assert sorted(out.collect()) == sorted(structure.clipped(plan).collect())
