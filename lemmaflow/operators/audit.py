@@ -22,7 +22,7 @@ from lemmaflow.functions import text as T
 from lemmaflow.functions import values as V
 from lemmaflow.operators import build, jobs, repair, spans
 from lemmaflow.operators.models import attempted
-from lemmaflow.scratch import staged
+from lemmaflow.scratch import bucketed, staged
 
 KEY = ["doc_id", "section_index"]
 LIST, SEARCH, EXTRACT, BUILD = R.TOOLS
@@ -152,20 +152,23 @@ def tool_loop(sections: DataFrame, current: DataFrame, make_client: Callable[[],
 
     ``sections``: doc_id, section_index, text, start_line; ``current``: doc_id, section_index, item_index, label, env, content, proof.
     """
-    base = staged(sections.select(*KEY, "text", "start_line"), "sections")
+    # texts move once, into buckets; turns bring the rest, which is small, to them
+    base = bucketed(sections.select(*KEY, "text", "start_line"), "sections", KEY)
     item = F.struct("item_index", "label", "env", "content", "proof")
     shown = current.groupBy(*KEY).agg(F.to_json(F.array_sort(F.collect_list(item)), {"ignoreNullFields": "false"}).alias("items"))
     none = F.array().cast("array<struct<role:string,content:string,calls:array<struct<id:string,name:string,arguments:string>>,call:string>>")
-    open_ = staged(base.join(shown, KEY, "left").select(*KEY, "text", "start_line", F.coalesce("items", F.lit("[]")).alias("items"), none.alias("messages"), F.lit(0).alias("n_labels")), "open")
+    shown = bucketed(shown, "shown", KEY)
+    open_ = staged(base.select(*KEY, none.alias("messages"), F.lit(0).alias("n_labels")), "open")
     out: dict[str, list[DataFrame]] = {n: [] for n in ("audits", "repaired", "traces", "replies", "errors")}
     for turn, choice in enumerate([LIST, *["auto"] * free, BUILD]):
-        rows = open_.select(*KEY, "text", "items", F.to_json("messages", {"ignoreNullFields": "false"}).alias("messages"), F.lit(choice).alias("tool_choice"))
+        rows = base.join(open_, KEY).join(shown, KEY, "left").select(*KEY, "text", F.coalesce("items", F.lit("[]")).alias("items"), F.to_json("messages", {"ignoreNullFields": "false"}).alias("messages"), F.lit(choice).alias("tool_choice"))
         replies = staged(asked(rows, make_client, **settings), "replies")
         out["replies"].append(replies.withColumn("turn", F.lit(turn)))
         failed = replies.filter("error is not null").select(*KEY, "error")
         going = open_.join(replies.filter("error is null").select(*KEY, "content", "calls"), KEY)
-        each = staged(going.select(*KEY, "text", "start_line", F.col("n_labels").alias("known"), F.posexplode("calls").alias("at", "call")).select(*KEY, "text", "start_line", "known", "at", "call.id", "call.name", F.when(V.is_object(V.parsed(F.col("call.arguments"))), F.col("call.arguments")).otherwise("{}").alias("arguments")), "calls")
-        labels = staged(_listed(each, current), "labels")
+        each = staged(going.select(*KEY, F.col("n_labels").alias("known"), F.posexplode("calls").alias("at", "call")).select(*KEY, "known", "at", "call.id", "call.name", F.when(V.is_object(V.parsed(F.col("call.arguments"))), F.col("call.arguments")).otherwise("{}").alias("arguments")), "calls")
+        of = lambda name: base.join(each.filter(F.col("name") == name), KEY)
+        labels = staged(_listed(of(LIST), current), "labels")
         # a build counts the labels of the last list before it; of several builds in a turn the last one counts
         last = each.filter(F.col("name") == BUILD).groupBy(*KEY).agg(F.max("at").alias("at"))
         final = each.join(last, [*KEY, "at"])
@@ -176,11 +179,11 @@ def tool_loop(sections: DataFrame, current: DataFrame, make_client: Callable[[],
         out["audits"].append(results.drop("at", "result"))
         unknown = each.filter(~F.col("name").isin(*R.TOOLS)).select(*KEY, "at", _json(F.concat(F.lit(R.TOOL_UNKNOWN), "name").alias("error")).alias("result"))
         early = each.filter(F.col("name") == BUILD).join(last, [*KEY, "at"], "left_anti").select(*KEY, "at", F.lit(None).cast("string").alias("result"))
-        answers = [labels.drop("n_labels"), _searched(each), _extracted(each), results.select(*KEY, "at", "result"), unknown, early]
+        answers = [labels.drop("n_labels"), _searched(of(SEARCH)), _extracted(of(EXTRACT)), results.select(*KEY, "at", "result"), unknown, early]
         answered = answers[0]
         for a in answers[1:]:
             answered = answered.unionByName(a)
-        traced = staged(each.drop("text", "start_line", "known").join(answered, [*KEY, "at"]), "traces")
+        traced = staged(each.drop("known").join(answered, [*KEY, "at"]), "traces")
         out["traces"].append(traced.select(*KEY, F.lit(turn).alias("turn"), F.col("at").alias("place"), F.col("name").alias("tool"), "arguments", "result", build.tool_summary(F.col("result")).alias("summary")))
         if choice == BUILD:
             left = going.join(results.select(*KEY), KEY, "left_anti")
@@ -194,7 +197,7 @@ def tool_loop(sections: DataFrame, current: DataFrame, make_client: Callable[[],
         more = going.join(results.select(*KEY), KEY, "left_anti").join(tools, KEY, "left").join(newest, KEY, "left")
         nudges = ([R.TOOL_CONTINUE] if turn else []) + ([R.TOOL_MUST_BUILD] if turn == free else [])
         messages = F.concat("messages", one("assistant", F.col("content"), F.col("calls")), F.coalesce("said", F.filter("messages", lambda m: F.lit(False))), *(one("user", F.lit(n), no_calls) for n in nudges))
-        open_ = staged(more.select(*KEY, "text", "start_line", "items", messages.alias("messages"), F.coalesce("newest", "n_labels").alias("n_labels")), "open")
+        open_ = staged(more.select(*KEY, messages.alias("messages"), F.coalesce("newest", "n_labels").alias("n_labels")), "open")
         out["errors"].append(failed)
         if open_.isEmpty():
             break

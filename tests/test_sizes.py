@@ -73,3 +73,15 @@ def test_large_plans_are_dealt_out_by_their_rows(spark, monkeypatch):
     out = structure.clipped(plan, 2000)
     assert out.rdd.getNumPartitions() == 20  # four, the session's, whatever the rows
     assert sorted(out.collect()) == sorted(structure.clipped(plan).collect())
+
+
+def test_turns_of_the_tool_loop_do_not_carry_texts(spark, monkeypatch):
+    from lemmaflow.operators import audit
+
+    kept, real = {}, audit.staged
+    monkeypatch.setattr(audit, "staged", lambda df, name: kept.setdefault(name, df.columns) and real(df, name))
+    sections = spark.createDataFrame([("d", 1, "some text", 1)], "doc_id string, section_index int, text string, start_line int")
+    current = spark.createDataFrame([], "doc_id string, section_index int, item_index int, label string, env string, content string, proof string")
+    out = audit.tool_loop(sections, current, lambda: lambda row: (None, [("b", "build_repaired_items", '{"audit_markdown": "' + row["text"] + '"}')], {}), free=0, attempts=1)
+    assert not any("text" in columns for columns in kept.values())  # each turn wrote and moved the whole text
+    assert [r["audit_markdown"] for r in out["audits"].collect()] == ["some text"]
