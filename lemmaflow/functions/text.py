@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,8 @@ from lemmaflow.functions import patterns as R
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: An end of a line.
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+#: The ends of lines but the line feed.
+OTHER_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,8 +53,10 @@ def lookup(x: Column, table: dict) -> Column:
 
 def split_lines(text: Column) -> Column:
     """Lines as Python's splitlines gives them: all line ends count, the last one makes no empty line, the empty text has none."""
+    # the pattern goes through a text by its characters, so it is for the few that need it
+    other = lambda x: reduce(or_, (F.contains(x, F.lit(c)) for c in OTHER_ENDS))
+    one_end = let(F.coalesce(text, F.lit("")), lambda x: F.when(other(x), F.regexp_replace(x, "[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029](?:(?<=\r)\n)?", "\n")).otherwise(x))
     # a generator computes what it is given as often as it is named
-    one_end = F.regexp_replace(F.coalesce(text, F.lit("")), "[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029](?:(?<=\r)\n)?", "\n")
     return let(F.split(one_end, "\n", -1), lambda found: F.when(F.element_at(found, -1) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
-from lemmaflow.scratch import staged
 
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -55,19 +54,6 @@ def classified(headings_: DataFrame, names: DataFrame) -> DataFrame:
     }).drop("stem", "mark", "name", "own_chapter", "own_number")
 
 
-def front(lines_: DataFrame, first: DataFrame) -> DataFrame:
-    """What stands before the first section: doc_id, front_text, marker (whether it has items) and inferred (their section's number:
-    that of the first numbered item with several components, without the last)."""
-    before = lines_.join(first.select("doc_id", F.col("line_no").alias("first_line")), "doc_id").filter("line_no < first_line")
-    before = before.withColumn("bare", T.strip(F.regexp_replace(T.strip(F.col("line")), "^#+", ""))).withColumn("number", T.part(F.col("bare"), R.NUMBERED_ITEM, 1))
-    upper = F.when(F.contains("number", F.lit(".")), F.regexp_replace("number", r"\.[^.]*$", ""))
-    return before.withColumn("upper", upper).groupBy("doc_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("front_text"),
-        F.coalesce(F.bool_or((F.col("number") != "") | T.matches(F.col("bare"), R.RESULT_HEADING)), F.lit(False)).alias("marker"),
-        F.min_by("upper", F.when(F.col("upper").isNotNull(), F.col("line_no"))).alias("inferred"),
-    )
-
-
 def with_own_lines(rows: DataFrame, documents: DataFrame, start: str, end: str) -> DataFrame:
     """Rows with ``own``, their document's lines from line ``start`` to before line ``end`` (null: to the last), and n_lines, the document's.
 
@@ -86,17 +72,61 @@ def with_own_lines(rows: DataFrame, documents: DataFrame, start: str, end: str)
     return grouped.join(whole, "doc_id").select(F.inline(F.transform("rows", cut)))
 
 
-def section_starts(lines_: DataFrame, roles: DataFrame) -> DataFrame:
-    """The starts of all sections, with a synthetic one at line 1 where items stand before the first heading."""
-    starts = roles.filter("role = 'section'").select("doc_id", "line_no", "section_number", F.col("section_title").alias("start_title"), "chapter", "chapter_number", "level", F.col("title").alias("source_heading"), F.lit(False).alias("synthetic"))
-    first = starts.groupBy("doc_id").agg(F.min_by(F.struct("line_no", "section_number", "chapter", "chapter_number"), "line_no").alias("s")).select("doc_id", "s.*")
-    inferred = F.coalesce("inferred", T.previous_number(F.col("section_number")), F.lit("pre"))
-    title = F.concat(inferred, F.lit(". Inferred pre-section material"))
-    made = front(lines_, first).filter("marker").join(first, "doc_id").select(
-        "doc_id", F.lit(1).alias("line_no"), inferred.alias("section_number"), title.alias("start_title"), "chapter", "chapter_number", F.lit(None).cast("int").alias("level"),
-        title.alias("source_heading"), F.lit(True).alias("synthetic"),
+def heading_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line) of documents (doc_id, text): the lines that may be headings; no others are made rows."""
+    numbered = F.transform(T.split_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line")))
+    return documents.select("doc_id", F.inline(F.filter(numbered, lambda r: F.contains(r["line"], F.lit("#")))))
+
+
+def _front_marks(rows: DataFrame) -> DataFrame:
+    """Adds marker (whether what stands before the first section, ``front``, has items) and inferred (their section's number:
+    that of the first numbered item with several components, without the last)."""
+    rows = rows.withColumn("bare", F.transform("front", lambda x: T.strip(F.regexp_replace(T.strip(x), "^#+", ""))))
+    rows = rows.withColumn("numbers", F.filter(F.transform("bare", lambda x: T.part(x, R.NUMBERED_ITEM, 1)), lambda n: n != ""))
+    upper = F.get(F.filter("numbers", lambda n: F.contains(n, F.lit("."))), F.lit(0))
+    return rows.withColumns({
+        "marker": F.coalesce((F.size("numbers") > 0) | F.exists("bare", lambda x: T.matches(x, R.RESULT_HEADING)), F.lit(False)), "inferred": F.regexp_replace(upper, r"\.[^.]*$", ""),
+    }).drop("bare", "numbers")
+
+
+def outlined(documents: DataFrame) -> DataFrame:
+    """A row a document: its lines, n_lines, front (those before the first section), marker, sections and backs, whose texts are still to be cut from the lines.
+
+    Headings are classified in rows of their own, which are few; a document's come back to it as arrays, so that its text moves once. A synthetic section stands at line 1 where
+    items stand before the first heading; a document without section headings is one section, up to its back matter.
+    """
+    roles = classified(headings(heading_lines(documents)), documents.select("doc_id", "source_name"))
+    section, back = F.col("role") == "section", F.col("role") == "back"
+    # from the last heading to the first, each sees those behind it
+    behind = Window.partitionBy("doc_id").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
+    roles = roles.withColumns({"next_line": F.min(F.when(section | back, F.col("line_no"))).over(behind), "next_start": F.min(F.when(section, F.col("line_no"))).over(behind)})
+    fields = {
+        "line_no": F.col("line_no"), "next_line": F.col("next_line"), "section_number": F.col("section_number"), "start_title": F.col("section_title"), "chapter": F.col("chapter"),
+        "chapter_number": F.col("chapter_number"), "level": F.col("level"), "source_heading": F.col("title"), "synthetic": F.lit(False),
+    }
+    one = lambda values: F.struct(*(v.alias(n) for n, v in values.items()))
+    found = roles.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.when(section, one(fields)))).alias("starts"), F.array_sort(F.collect_list(F.when(back, F.struct("line_no", F.col("next_start").alias("next_line"))))).alias("backs"),
+        F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("last"), F.min(F.when((section | back) & (F.col("line_no") > 1), F.col("line_no"))).alias("second"),
     )
-    return starts.unionByName(made)
+    rows = documents.filter("doc_id is not null").select("doc_id", stem(F.col("source_name")).alias("stem"), T.split_lines(F.col("text")).alias("lines")).join(found, "doc_id", "left")
+    first = F.get("starts", F.lit(0))
+    rows = _front_marks(rows.withColumns({"n_lines": F.size("lines"), "first": first, "front": F.when(first.isNotNull(), F.slice("lines", 1, first["line_no"] - 1))}))
+    inferred = F.coalesce("inferred", T.previous_number(F.col("first.section_number")), F.lit("pre"))
+    at_1 = {"line_no": F.lit(1), "next_line": F.col("second"), "level": F.lit(None).cast("int")}
+    title = F.concat(inferred, F.lit(". Inferred pre-section material"))
+    made = at_1 | {"section_number": inferred, "start_title": title, "chapter": F.col("first.chapter"), "chapter_number": F.col("first.chapter_number"), "source_heading": title, "synthetic": F.lit(True)}
+    chapter, number = F.coalesce("last.chapter", "stem"), F.coalesce("last.chapter_number", F.lit(""))
+    lone = at_1 | {"section_number": F.when(number != "", number).otherwise("1"), "start_title": chapter, "chapter": chapter, "chapter_number": number, "source_heading": chapter, "synthetic": F.lit(None).cast("boolean")}
+    in_order = lambda values: one({n: values[n] for n in fields})
+    sections_ = F.when(F.col("first").isNull(), F.array(in_order(lone))).when(F.col("marker"), F.concat(F.array(in_order(made)), "starts")).otherwise(F.col("starts"))
+    return rows.select("doc_id", "lines", "n_lines", "front", "marker", sections_.alias("sections"), F.when(F.col("first").isNull(), F.slice("backs", 1, 1)).otherwise(F.col("backs")).alias("backs"))
+
+
+def _cut(r: Column) -> Column:
+    """The lines of one of ``outlined``'s parts: from its own to before the next one, or to the last."""
+    end = F.coalesce(r["next_line"], F.col("n_lines") + 1)
+    return F.slice("lines", r["line_no"], F.greatest(F.least(end, F.col("n_lines") + 1) - r["line_no"], F.lit(0)))
 
 
 def sections(documents: DataFrame) -> DataFrame:
@@ -105,25 +135,14 @@ def sections(documents: DataFrame) -> DataFrame:
     Columns: doc_id, section_index, section_number, section, chapter, chapter_number, heading_level, source_heading, start_line,
     end_line (without trailing blank lines), synthetic, text. A document without section headings is one section, up to its back matter.
     """
-    all_lines = lines(documents)
-    # headings are few; all that follows reads them again and again
-    roles = staged(classified(headings(all_lines), documents.select("doc_id", "source_name")), "roles")
-    starts = staged(section_starts(all_lines, roles), "starts")
-    last = roles.groupBy("doc_id").agg(F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("c"), F.min(F.when(F.col("role") == "back", F.col("line_no"))).alias("first_back"))
-    lone = documents.select("doc_id", stem(F.col("source_name")).alias("stem")).join(starts.select("doc_id").distinct(), "doc_id", "left_anti").join(last, "doc_id", "left")
-    chapter, number = F.coalesce("c.chapter", "stem"), F.coalesce("c.chapter_number", F.lit(""))
-    lone = lone.select(
-        "doc_id", F.lit(1).alias("line_no"), F.when(number != "", number).otherwise("1").alias("section_number"), chapter.alias("start_title"), chapter.alias("chapter"),
-        number.alias("chapter_number"), F.lit(None).cast("int").alias("level"), chapter.alias("source_heading"), F.lit(None).cast("boolean").alias("synthetic"),
-    )
-    ends = roles.filter("role = 'back'").select("doc_id", "line_no")
-    marks = starts.unionByName(lone).withColumn("start", F.lit(True)).unionByName(ends.withColumn("start", F.lit(False)), allowMissingColumns=True)
-    # back matter at a synthetic start's line leaves that section empty, as the start stands first
-    order = Window.partitionBy("doc_id").orderBy("line_no", F.desc("start"))
-    # the next boundary is a greater line, so equal ones are passed over
-    later = F.min(F.struct("line_no")).over(Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(1, Window.unboundedFollowing))["line_no"]
-    bounded = marks.withColumn("next_line", later).filter("start").withColumn("section_index", F.row_number().over(order)).drop("start")
-    cut = with_own_lines(bounded, documents, "line_no", "next_line")
+    return _sections(outlined(documents))
+
+
+def _sections(outlined_: DataFrame) -> DataFrame:
+    names = ["line_no", "next_line", "section_number", "start_title", "chapter", "chapter_number", "level", "source_heading", "synthetic"]
+    # each takes its own lines along, not the document's
+    cut = F.transform("sections", lambda r, i: F.struct(*(r[n].alias(n) for n in names), (i + 1).alias("section_index"), F.col("n_lines").alias("n_lines"), _cut(r).alias("own")))
+    cut = outlined_.select("doc_id", F.inline(cut))
     # trailing blank lines are no part of a section
     filled = F.array_max(F.transform("own", lambda x, i: F.when(T.strip(x) != "", i + 1).otherwise(0)))
     next_line = F.coalesce("next_line", F.col("n_lines") + 1)
@@ -137,35 +156,27 @@ def sections(documents: DataFrame) -> DataFrame:
 
 def front_matter(documents: DataFrame) -> DataFrame:
     """(doc_id, front_matter): what stands before a document's first section; none where a section was made from it, or where there are no sections."""
-    all_lines = lines(documents)
-    first = classified(headings(all_lines), documents.select("doc_id", "source_name")).filter("role = 'section'").groupBy("doc_id").agg(F.min("line_no").alias("line_no"))
-    found = front(all_lines, first).filter("not marker").select("doc_id", T.strip(F.col("front_text")).alias("front_matter"))
-    return found.filter("front_matter <> ''")
+    return outlined(documents).filter("front is not null and not marker").select("doc_id", T.strip(F.array_join("front", "\n")).alias("front_matter")).filter("front_matter <> ''")
 
 
 def back_matter(documents: DataFrame) -> DataFrame:
-    """(doc_id, back_matter): every excluded heading's block up to the next section, joined by blank lines; a second heading in a block repeats its text."""
-    all_lines = lines(documents)
-    roles = staged(classified(headings(all_lines), documents.select("doc_id", "source_name")), "roles")
-    starts = staged(section_starts(all_lines, roles).select("doc_id", "line_no", F.lit(True).alias("start")), "starts")
-    backs = roles.filter("role = 'back'").select("doc_id", "line_no", F.lit(False).alias("start"))
-    later = Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(1, Window.unboundedFollowing)
-    blocks = starts.unionByName(backs).withColumn("next_line", F.min(F.when(F.col("start"), F.col("line_no"))).over(later)).filter("not start")
-    has_start = starts.select("doc_id").distinct().withColumn("sectioned", F.lit(True))
-    placed = blocks.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no"))).join(has_start, "doc_id", "left")
-    each = with_own_lines(placed, documents, "line_no", "next_line").withColumn("block", T.strip(F.array_join("own", "\n")))
-    # a document without sections has one block, from its first back matter on
-    each = each.filter("(sectioned or place = 1) and block <> ''")
-    return each.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "block"))), lambda x: x["block"]), "\n\n").alias("back_matter"))
+    """(doc_id, back_matter): every excluded heading's block up to the next section, joined by blank lines; a second heading in a block repeats its text.
+
+    A document without sections has one block, from its first back matter on.
+    """
+    blocks = F.filter(F.transform("backs", lambda r: T.strip(F.array_join(_cut(r), "\n"))), lambda x: x != "")
+    return outlined(documents).filter("size(backs) > 0").select("doc_id", F.array_join(blocks, "\n\n").alias("back_matter")).filter("back_matter <> ''")
 
 
 def split_warnings(sections_: DataFrame) -> DataFrame:
     """(doc_id, position, warning): no headings, a synthetic section, repeated section numbers, long sections; in order."""
     again = F.row_number().over(Window.partitionBy("doc_id", "section_number").orderBy("section_index")) > 1
-    marked = sections_.withColumn("again", again).select("doc_id", "section_index", F.explode(F.array_compact(F.array(
+    # texts stay where they are
+    narrow = sections_.select("doc_id", "section_index", "section_number", "lone", "synthetic", F.length("text").alias("n_chars"))
+    marked = narrow.withColumn("again", again).select("doc_id", "section_index", F.explode(F.array_compact(F.array(
         F.when(F.col("lone"), F.struct(F.lit(0).alias("k"), F.lit(R.WARN_NO_SECTIONS).alias("warning"))),
         F.when(F.col("synthetic"), F.struct(F.lit(0).alias("k"), F.lit(R.WARN_SYNTHETIC).alias("warning"))),
         F.when(F.col("again") & ~F.col("lone"), F.struct(F.lit(1).alias("k"), F.concat(F.lit(R.WARN_SECTION_NUMBER), "section_number").alias("warning"))),
-        F.when((F.length("text") > R.LONG_SECTION) & ~F.col("lone"), F.struct(F.lit(2).alias("k"), F.format_string(R.WARN_LONG_SECTION, "section_index", F.length("text")).alias("warning"))),
+        F.when((F.col("n_chars") > R.LONG_SECTION) & ~F.col("lone"), F.struct(F.lit(2).alias("k"), F.format_string(R.WARN_LONG_SECTION, "section_index", "n_chars").alias("warning"))),
     ))).alias("w"))
     return marked.select("doc_id", (F.col("section_index") * 10 + F.col("w.k")).alias("position"), "w.warning")

@@ -85,3 +85,28 @@ def test_turns_of_the_tool_loop_do_not_carry_texts(spark, monkeypatch):
     out = audit.tool_loop(sections, current, lambda: lambda row: (None, [("b", "build_repaired_items", '{"audit_markdown": "' + row["text"] + '"}')], {}), free=0, attempts=1)
     assert not any("text" in columns for columns in kept.values())  # each turn wrote and moved the whole text
     assert [r["audit_markdown"] for r in out["audits"].collect()] == ["some text"]
+
+
+def test_sections_are_cut_without_tables_of_headings(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from lemmaflow.operators import split
+
+    text = "Definition 2.1. early\n# Chapter 1 X\r\n## References\nr\n## 1.1 Y\nbody\n\n## Index\nz\n## 1.2 Z"
+    docs = spark.createDataFrame([("d", "d.md", text), ("lone", "lone.md", "## Index\nall\n# Funding\nmore"), (None, "x.md", "## 1 A"), ("empty", "e.md", None)], "doc_id string, source_name string, text string")
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: 1 / 0)  # headings and starts were written and read again, all lines with them
+    got = [(r["doc_id"], r["section_index"], r["section_number"], r["start_line"], r["end_line"], r["text"]) for r in split.sections(docs).orderBy("doc_id", "section_index").collect()]
+    assert got == [("d", 1, "2", 1, 2, "Definition 2.1. early\n# Chapter 1 X"), ("d", 2, "1.1", 5, 6, "## 1.1 Y\nbody"), ("d", 3, "1.2", 10, 10, "## 1.2 Z"), ("empty", 1, "1", 1, 0, ""), ("lone", 1, "1", 1, 2, "## Index\nall")]
+    assert {r["doc_id"]: r["back_matter"] for r in split.back_matter(docs).collect()} == {"d": "## References\nr\n\n## Index\nz", "lone": "## Index\nall\n# Funding\nmore"}
+    assert split.front_matter(docs).count() == 0
+
+
+def test_warnings_of_sections_do_not_move_texts(spark):
+    from lemmaflow.operators import split
+
+    sections = spark.createDataFrame([("d", 1, "1", False, False, "x" * 45_001), ("d", 2, "1", False, False, "y")], "doc_id string, section_index int, section_number string, lone boolean, synthetic boolean, text string")
+    out = split.split_warnings(sections)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = next(i for i, x in enumerate(plan) if "Window" in x) + 1
+    assert "length(text" in plan[below]  # the texts went through the shuffle and the sort
+    assert [r["position"] for r in out.orderBy("position").collect()] == [12, 21]
