@@ -26,10 +26,14 @@ PROOF_HEADING = ANY + r"^(?:Proof|证明)\b"
 BACK_MATTER = ANY + r"^(?:references|bibliography|acknowledgements?|funding|author contributions?|data availability|conflict of interest|competing interests|index|subject index)\b"
 FRONT_MATTER = ANY + r"^(?:abstract|contents|table of contents|preface|foreword)\b"
 BARE_NUMBERED = CASE + r"^\s*(\d+(?:\.\d+)*|[A-Z])(?:[\.)])?\s+(.+?)\s*$"
+#: What a stripped line's first three characters are, if it is a heading or has BARE_NUMBERED.
+MAY_HEAD = CASE + r"^(?:#|\d|[A-Z][\.)]?\s)"
 MATHY = CASE + r"(?:\\\(|\\\[|\$|\\[A-Za-z]+|[{}_^=<>])"
 ITEM_HEADING = ANY + rf"^\s*(?:#{{1,6}}\s+)?(?:{EN15}|Proof|Try it|Investigate|{CN14}|证明)\b"
 ITEM_START = ANY + rf"^(?:#{{1,6}}\s+)?(?:({EN15})\s*([A-Z]?\d+(?:\.\d+)*)?\.?|({CN14})\s*(\d+(?:\.\d+)*)?|(\d+(?:\.\d+)+)\.?\s+({EN8}))\b"
 PROOF = ANY + r"^(?:Proof(?:\s+of(?:\s+Theorem)?\s+([A-Z]?\d+(?:\.\d+)*))?[.;:]?|证明)\s*(.*)$"
+#: How a line begins that has PROOF, and one that has CONSTRUCTION.
+PROOF_BEGINS, CONSTRUCTION_BEGINS = ANY + r"^(?:Proof|证明)", ANY + r"^Construction\."
 CONSTRUCTION = ANY + r"^Construction\.\s*(.*)$"
 PROOF_OF = ANY + r"Proof of\s+(Theorem|Lemma|Proposition|Corollary|Claim)\s+([A-Z]?\d+(?:\.\d+)*)"
 SOURCE_ITEM = "(?dmiuU)" + rf"^\s{{0,3}}(?:#{{1,6}}\s+)?(?:{EN15}|{CN14})\b"

@@ -45,8 +45,9 @@ def candidates(lines: DataFrame, most: int = 5000) -> DataFrame:
 def planner_needed(lines: DataFrame, sections: DataFrame, split_warnings: DataFrame) -> DataFrame:
     """(doc_id, needed): warnings of the splitter, a bare section that it missed, or items above sections."""
     number = sections.groupBy("doc_id").agg(F.min_by("chapter_number", "section_index").alias("number"))
-    # headings and bare sections are few
-    rows = staged(parsed(lines).select("doc_id", "line_no", "level", "kind", "mark", T.matches(F.col("title"), R.ITEM_HEADING).alias("item"), "bare"), "parsed").filter("bare or level > 0")
+    # headings and bare sections are few: lines that don't begin as one aren't parsed
+    begins = T.matches(F.substring(F.ltrim("line", F.lit(T.SPACES)), 1, 3), R.MAY_HEAD)
+    rows = staged(parsed(lines.filter(begins)).select("doc_id", "line_no", "level", "kind", "mark", T.matches(F.col("title"), R.ITEM_HEADING).alias("item"), "bare"), "parsed").filter("bare or level > 0")
     bare = rows.filter("bare").join(number, "doc_id").select("doc_id", F.col("line_no").alias("start_line"), T.section_number(F.col("kind"), F.col("mark"), F.col("number")).alias("section_number"))
     missed = bare.join(sections.select("doc_id", "start_line"), ["doc_id", "start_line"], "left_anti").join(sections.select("doc_id", "section_number"), ["doc_id", "section_number"], "left_anti")
     section = F.col("kind").isNotNull()

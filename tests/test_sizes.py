@@ -110,3 +110,15 @@ def test_warnings_of_sections_do_not_move_texts(spark):
     below = next(i for i, x in enumerate(plan) if "Window" in x) + 1
     assert "length(text" in plan[below]  # the texts went through the shuffle and the sort
     assert [r["position"] for r in out.orderBy("position").collect()] == [12, 21]
+
+
+def test_only_lines_that_may_head_are_parsed_for_the_planner(spark, monkeypatch):
+    from lemmaflow.operators import split, structure
+
+    seen, real = [], structure.parsed
+    monkeypatch.setattr(structure, "parsed", lambda rows: seen.append(rows) or real(rows))
+    lines = ["## 1 One", "A plain sentence.", "text", "  2. Two", "\u00a0## 3 Three", "B) Four", "\u0663 Five", "Bad", ""]
+    docs = spark.createDataFrame([("d", "d.md", "\n".join(lines))], "doc_id string, source_name string, text string")
+    sections = split.sections(docs)
+    assert [r["needed"] for r in structure.planner_needed(split.lines(docs), sections, split.split_warnings(sections)).collect()] == [True]
+    assert [r["line_no"] for r in seen[0].orderBy("line_no").collect()] == [1, 2, 4, 5, 6, 7]  # all nine before
