@@ -7,31 +7,44 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
-from lemmaflow.scratch import staged
 
 KEY = ["doc_id", "section_index"]
 
 
-def blocks(sections: DataFrame) -> DataFrame:
-    """(doc_id, section_index, block, lines, number, word): a row a block, with its item's number and kind word.
+#: What items take along of their section.
+CONTEXT = ["section_number", "chapter_number", "section", "chapter"]
+
 
-    Block n has the lines from the n-th item's to the next one's; block 0 stands before all. They are cut from their section's one array of lines.
+def _parts(sections: DataFrame, *along: str) -> DataFrame:
+    """A row a section, with what ``along`` names: its blocks that have lines, as structs of block, lines, named, number and word.
+
+    Block n has the lines from the n-th item's to the next one's; block 0 stands before all. ``named``: the proof number of each line. Each line is looked at once.
     """
-    starts = F.array_compact(F.transform("lines", lambda x, i: F.when(T.matches(T.strip(x), R.ITEM_START), i)))
-    rows = sections.select(*KEY, T.split_lines(F.col("text")).alias("lines"))
-    rows = rows.select(*KEY, "lines", F.concat(F.array(F.lit(0)), starts, F.array(F.size("lines"))).alias("bounds"))
+    look = lambda x: T.let(T.strip(x), lambda bare: F.struct(x.alias("line"), T.matches(bare, R.ITEM_START).alias("starts"), proof_number(bare).alias("named")))
+    rows = sections.select(*KEY, *along, F.transform(T.split_lines(F.col("text")), look).alias("looked"))
+    starts = F.array_compact(F.transform("looked", lambda x, i: F.when(x["starts"], i)))
+    rows = rows.withColumn("bounds", F.concat(F.array(F.lit(0)), starts, F.array(F.size("looked"))))
     at = lambda b: F.get("bounds", b)
-    cut = F.transform(F.sequence(F.lit(0), F.size("bounds") - 2), lambda b: F.struct(b.cast("long").alias("block"), F.slice("lines", at(b) + 1, at(b + 1) - at(b)).alias("lines")))
-    rows = rows.select(*KEY, F.inline(F.filter(cut, lambda b: F.size(b["lines"]) > 0)))
-    head = T.strip(F.get("lines", F.lit(0)))
-    some = lambda *groups: F.coalesce(*(F.nullif(T.part(head, R.ITEM_START, g), F.lit("")) for g in groups), F.lit(""))
-    return rows.withColumns({"number": F.when(F.col("block") > 0, some(2, 4, 5)), "word": F.when(F.col("block") > 0, some(1, 3, 6))})
+
+    def block(b: Column) -> Column:
+        own = F.slice("looked", at(b) + 1, at(b + 1) - at(b))
+        some = lambda head, *groups: F.when(b > 0, F.coalesce(*(F.nullif(T.part(head, R.ITEM_START, g), F.lit("")) for g in groups), F.lit("")))
+        return T.let(T.strip(F.get("looked", at(b))["line"]), lambda head: F.struct(b.cast("long").alias("block"), own["line"].alias("lines"), own["named"].alias("named"), some(head, 2, 4, 5).alias("number"), some(head, 1, 3, 6).alias("word")))
+
+    some_lines = F.filter(F.sequence(F.lit(0), F.size("bounds") - 2), lambda b: at(b + 1) > at(b))
+    return rows.select(*KEY, *along, F.transform(some_lines, block).alias("parts"))
+
+
+def blocks(sections: DataFrame) -> DataFrame:
+    """(doc_id, section_index, block, lines, number, word): a row a block, with its item's number and kind word."""
+    # of a plain column Spark would infer a filter, for which it computes the blocks once more, below all steps
+    return _parts(sections).select(*KEY, F.inline(F.filter("parts", lambda p: p["block"].isNotNull()))).drop("named")
 
 
 def proof_number(line: Column) -> Column:
     """The number that a proof line names (empty if none); null for other lines."""
     x = T.strip(line)
-    return F.when(T.matches(x, R.PROOF), T.part(x, R.PROOF, 1))
+    return F.when(T.matches(F.substring(x, 1, 5), R.PROOF_BEGINS), T.part(x, R.PROOF, 1))
 
 
 def without_mark(proof: Column) -> Column:
@@ -40,37 +53,46 @@ def without_mark(proof: Column) -> Column:
     return T.strip(F.regexp_replace(body, R.CONSTRUCTION, "$1"))
 
 
-def inline_proofs(blocks_: DataFrame) -> DataFrame:
+def inline_proofs(items: DataFrame) -> DataFrame:
     """Adds content and proof to item blocks: the lines from the first proof or construction on, unless it names another item; up to a proof of another."""
-    lines, number = F.col("lines"), F.col("number")
-    named = F.transform(lines, proof_number)
-    opens = F.transform(lines, lambda x: T.matches(T.strip(x), R.PROOF) | T.matches(T.strip(x), R.CONSTRUCTION))
-    out = blocks_.filter("block > 0").withColumns({"named": named, "first": F.array_position(opens, True).cast("int")})
-    first = F.col("first")
+    lines, number, first = F.col("lines"), F.col("number"), F.col("first")
+    opens = F.transform(lines, lambda x, i: F.get("named", i).isNotNull() | T.matches(F.substring(F.ltrim(x, F.lit(T.SPACES)), 1, 13), R.CONSTRUCTION_BEGINS))
+    out = items.withColumn("first", F.array_position(opens, True).cast("int"))
     foreign = F.coalesce((F.get("named", first - 1) != "") & (number != "") & (F.get("named", first - 1) != number), F.lit(False))
     tail = F.slice("lines", F.greatest(first, F.lit(1)), F.size("lines"))
     later = F.transform(F.slice("named", F.greatest(first, F.lit(1)), F.size("lines")), lambda x, i: (i > 0) & F.coalesce((x != "") & (x != number), F.lit(False)))
-    cut = F.array_position(later, True).cast("int")
-    proof = without_mark(F.array_join(F.when(cut > 0, F.slice(tail, 1, cut - 1)).otherwise(tail), "\n"))
+    out = out.withColumn("cut", F.array_position(later, True).cast("int"))
+    proof = without_mark(F.array_join(F.when(F.col("cut") > 0, F.slice(tail, 1, F.col("cut") - 1)).otherwise(tail), "\n"))
     content = T.strip(F.array_join(F.when(first > 0, F.slice("lines", 1, first - 1)).otherwise(lines), "\n"))
-    return out.withColumns({"content": T.strip(F.regexp_replace(content, r"(?dmU)^#{1,6}\s+", "")), "proof": F.when((first > 0) & ~foreign, F.nullif(proof, F.lit("")))}).drop("named", "first")
+    unmarked = T.let(content, lambda x: F.when(F.contains(x, F.lit("#")), T.strip(F.regexp_replace(x, r"(?dmU)^#{1,6}\s+", ""))).otherwise(x))
+    return out.withColumns({"content": unmarked, "proof": F.when((first > 0) & ~foreign, F.nullif(proof, F.lit("")))}).drop("named", "first", "cut")
 
 
-def delayed_proofs(blocks_: DataFrame, once: bool = True) -> DataFrame:
-    """(doc_id, section_index, delayed): a map from blocks to proofs that name an item of the section, for the last item of that number, joined by blank lines.
+def _delayed_proofs(parts: DataFrame, once: bool) -> DataFrame:
+    """Adds ``delayed`` to sections' blocks: a map from blocks to proofs that name an item of the section, for the last item of that number, joined by blank lines.
 
-    ``once``: a proof within its own item's block is inline already and isn't attached again.
+    ``once``: a proof within its own item's block is inline already and isn't attached again. Sorting brings together what belongs together, so that a section's work doesn't grow with its blocks times its proofs.
     """
-    owners = blocks_.filter("block > 0 and number <> ''").groupBy(*KEY, "number").agg(F.max("block").alias("block"))
-    marked = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), proof_number(x).alias("number"))), lambda x: x["number"] != "")
-    own_first = F.when(F.col("block") > 0, 1).otherwise(0)  # an item's line is no proof
-    found = blocks_.select(*KEY, F.col("block").alias("from_block"), "lines", own_first.alias("low"), F.explode(marked).alias("m")).filter("m.i >= low")
-    text = T.strip(F.regexp_replace(T.strip(F.array_join(F.slice("lines", F.col("m.i") + 1, F.size("lines")), "\n")), R.PROOF, "$2"))
-    rows = found.select(*KEY, "from_block", F.col("m.i").alias("i"), F.col("m.number").alias("number"), text.alias("text")).join(owners, [*KEY, "number"]).filter("text <> ''")
-    if once:
-        rows = rows.filter("from_block <> block")
-    own = rows.groupBy(*KEY, "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("from_block", "i", "text"))), lambda x: x["text"]), "\n\n").alias("delayed"))
-    return own.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("block", "delayed"))).alias("delayed"))
+    numbered = F.array_sort(F.filter(F.transform("parts", lambda p: F.struct(p["number"].alias("number"), p["block"].alias("block"))), lambda p: p["number"] != ""))
+    last = T.let(numbered, lambda s: F.filter(s, lambda p, i: ~p["number"].eqNullSafe(F.get(s, i + 1)["number"])))
+
+    def marked(p: Column) -> Column:
+        rest = lambda i: T.strip(F.regexp_replace(T.strip(F.array_join(F.slice(p["lines"], i + 1, F.size(p["lines"])), "\n")), R.PROOF, "$2"))
+        # an item's line is no proof
+        of = F.filter(F.transform(p["named"], lambda n, i: F.when((n != "") & ((i > 0) | (p["block"] == 0)), F.struct(n.alias("number"), i.alias("i")))), lambda m: m.isNotNull())
+        return F.transform(of, lambda m: F.struct(m["number"].alias("number"), p["block"].alias("from_block"), m["i"].alias("i"), rest(m["i"]).alias("text")))
+
+    marks = F.flatten(F.transform("parts", marked))
+    owned = lambda owners: F.transform(marks, lambda m: F.struct(F.element_at(owners, m["number"]).alias("owner"), m["from_block"].alias("from_block"), m["i"].alias("i"), m["text"].alias("text")))
+    mine = lambda m: m["owner"].isNotNull() & (m["text"] != "") & ((m["owner"] != m["from_block"]) if once else F.lit(True))
+    rows = parts.withColumn("placed", F.array_sort(F.filter(T.let(F.map_from_entries(last), owned), mine)))
+    firsts = F.array_compact(F.transform("placed", lambda m, i: F.when(~m["owner"].eqNullSafe(F.get("placed", i - 1)["owner"]), i)))
+
+    def joined(at: Column) -> Column:
+        end = lambda j: F.coalesce(F.get(at, j + 1), F.size("placed"))
+        return F.map_from_entries(F.transform(at, lambda s, j: F.struct(F.get("placed", s)["owner"], F.array_join(F.slice("placed", s + 1, end(j) - s)["text"], "\n\n"))))
+
+    return rows.withColumn("delayed", T.let(firsts, joined)).drop("placed")
 
 
 def proof_dependency(text: Column) -> Column:
@@ -82,27 +104,31 @@ def standalone_heading() -> Column:
     return F.contains(heading, F.lit("proof of")) | F.contains(heading, F.lit("证明"))
 
 
-def standalone_proofs(sections: DataFrame, blocks_: DataFrame) -> DataFrame:
+def standalone_proofs(sections: DataFrame, *along: str) -> DataFrame:
     """Sections without items that are a proof as a whole, as one remark each."""
     opening = F.exists(T.first_lines(F.col("text"), 5), lambda x: T.matches(T.strip(x), R.PROOF))
-    bare = sections.filter(standalone_heading() | opening).join(blocks_.filter("block > 0").select(*KEY).distinct(), KEY, "left_anti")
+    bare = sections.filter(standalone_heading() | opening).filter(~F.exists(T.split_lines(F.col("text")), lambda x: T.matches(T.strip(x), R.ITEM_START)))
     depends = F.coalesce(proof_dependency(F.col("source_heading")), proof_dependency(F.col("section")))
     return bare.select(
         *KEY, F.lit(1).alias("position"), F.lit("remark").alias("env"), F.array().cast("array<string>").alias("number_components"), T.strip(F.col("text")).alias("content"),
-        F.array_compact(F.array(depends)).alias("dependencies"), F.lit(None).cast("string").alias("proof"), F.concat(F.lit("Remark "), "section_number", F.lit("-1")).alias("label"),
+        F.array_compact(F.array(depends)).alias("dependencies"), F.lit(None).cast("string").alias("proof"), F.concat(F.lit("Remark "), "section_number", F.lit("-1")).alias("label"), *along,
     )
 
 
 def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
-    """Items of all sections: doc_id, section_index, position, env, number_components, content, dependencies, proof and a label by position."""
-    parts = staged(blocks(sections), "blocks")
-    # by section alone, as all that follows, so that items move once
-    proofs = inline_proofs(parts).join(delayed_proofs(parts, once), KEY, "left").withColumn("delayed", F.element_at("delayed", F.col("block")))
+    """Items of all sections: doc_id, section_index, position, env, number_components, content, dependencies, proof, a label by position, and what CONTEXT names.
+
+    All that an item needs is in its section's row, so nothing is moved.
+    """
+    sections = sections.filter("doc_id is not null and section_index is not null")
+    parts = _delayed_proofs(_parts(sections, *CONTEXT), once)
+    # each block takes its own proof along, not the section's
+    own = T.let(F.col("delayed"), lambda d: F.transform(F.filter("parts", lambda p: p["block"] > 0), lambda p: F.struct(*(p[c].alias(c) for c in ("block", "lines", "named", "number", "word")), F.element_at(d, p["block"]).alias("delayed"))))
+    proofs = inline_proofs(parts.select(*KEY, *CONTEXT, F.inline(own)))
     both = F.when(F.col("proof").isNotNull() & F.col("delayed").isNotNull(), T.strip(F.concat("proof", F.lit("\n\n"), "delayed"))).otherwise(F.coalesce("proof", "delayed"))
-    env = T.item_kind(F.col("word"))
-    numbers = F.filter(F.split("number", r"\."), lambda x: x != "")
-    items = proofs.join(sections.select(*KEY, "section_number"), KEY).select(
-        *KEY, F.col("block").cast("int").alias("position"), env.alias("env"), numbers.alias("number_components"), "content", F.array().cast("array<string>").alias("dependencies"),
-        both.alias("proof"), F.concat(T.lookup(env, R.DISPLAY), F.lit(" "), "section_number", F.lit("-"), F.col("block").cast("string")).alias("label"),
+    items = proofs.withColumn("env", T.item_kind(F.col("word"))).select(
+        *KEY, F.col("block").cast("int").alias("position"), "env", F.filter(F.split("number", r"\."), lambda x: x != "").alias("number_components"), "content", F.array().cast("array<string>").alias("dependencies"),
+        both.alias("proof"), F.concat(T.lookup(F.col("env"), R.DISPLAY), F.lit(" "), "section_number", F.lit("-"), F.col("block").cast("string")).alias("label"), *CONTEXT,
     )
-    return items.unionByName(standalone_proofs(sections, parts)).filter("content <> ''")
+    # an item's content has its first line at least; a filter on it would compute it twice
+    return items.unionByName(standalone_proofs(sections, *CONTEXT).filter("content <> ''"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lemmaflow.functions import patterns as R
 from lemmaflow.functions import text as T
-from lemmaflow.scratch import staged
+from lemmaflow.operators.extract import CONTEXT
 
 KEY = ["doc_id", "section_index"]
 
@@ -18,24 +18,27 @@ def normalized(raw: DataFrame, sections: DataFrame) -> DataFrame:
     ``raw``: doc_id, section_index, position, env, label, number_components, content, dependencies, proof.
     A numbered item's label is its kind and number; others count up within their section. Dependencies on raw labels of kept
     items follow the new labels (of equal raw labels, the last). ``item_index`` keeps gaps, ``global_index`` has none.
+    Where raw items have their section's columns already, as local ones do, sections aren't joined; items move once, by document.
     """
     trimmed = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: T.strip(x)), lambda x: x != "")
-    context = sections.select(*KEY, "section_number", "chapter_number", "section", "chapter")
-    own = raw.join(context, KEY).withColumns({"env": T.normal_kind(F.col("env")), "raw_label": T.strip(F.coalesce("label", F.lit(""))), "content": T.strip(F.coalesce("content", F.lit("")))})
+    own = raw if set(CONTEXT) <= set(raw.columns) else raw.join(sections.select(*KEY, *CONTEXT), KEY)
+    own = own.repartition("doc_id").withColumns({"env": T.normal_kind(F.col("env")), "raw_label": T.strip(F.coalesce("label", F.lit(""))), "content": T.strip(F.coalesce("content", F.lit("")))})
     given = trimmed(F.col("number_components"))
     own = own.withColumns({"first": T.first_line(F.col("content")), "given": given})
     own = own.withColumn("number_components", F.when(F.size("given") > 0, F.col("given")).otherwise(T.inferred_number(F.col("first"), F.col("env")))).drop("first", "given")
-    order = Window.partitionBy(*KEY).orderBy("position")
+    section = Window.partitionBy(*KEY).orderBy("position")
+    whole = section.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bare = (F.size("number_components") == 0).cast("int")
     prefix = F.coalesce(F.nullif(T.strip(F.coalesce("section_number", F.lit(""))), F.lit("")), F.nullif(T.strip(F.coalesce("chapter_number", F.lit(""))), F.lit("")), F.lit("section"))
     name = T.lookup(F.col("env"), R.DISPLAY)
-    own = own.withColumns({"item_index": F.row_number().over(order), "extra": F.sum(bare).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    own = own.withColumns({"item_index": F.row_number().over(section), "extra": F.sum(bare).over(section.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "dependencies": trimmed(F.col("dependencies"))})
     label = F.when(F.size("number_components") > 0, F.concat(name, F.lit(" "), F.array_join("number_components", "."))).otherwise(F.concat(name, F.lit(" "), prefix, F.lit("-extra-"), F.col("extra").cast("string")))
-    kept = staged(own.withColumn("label", label).filter("content <> ''"), "labelled")
-    renamed = kept.filter("raw_label <> '' and raw_label <> label").groupBy(*KEY, "raw_label").agg(F.max_by("label", "item_index").alias("label"))
-    names = renamed.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("raw_label", "label"))).alias("names"))
-    out = kept.join(names, KEY, "left")
-    depends = trimmed(F.col("dependencies"))
-    follows = F.when(F.col("names").isNotNull(), F.transform(depends, lambda d: F.coalesce(F.element_at("names", d), d))).otherwise(depends)
-    everywhere = Window.partitionBy("doc_id").orderBy("section_index", "item_index")
-    return out.select(*KEY, "item_index", F.row_number().over(everywhere).alias("global_index"), "label", "env", "number_components", "section_number", "section", "chapter", "chapter_number", "content", follows.alias("dependencies"), F.nullif(T.strip(F.col("proof")), F.lit("")).alias("proof"))
+    kept = own.withColumn("label", label).filter("content <> ''")
+    # names are brought together only in sections where an item depends on something
+    kept = kept.withColumn("asked", F.bool_or(F.size("dependencies") > 0).over(whole))
+    renamed = F.col("asked") & (F.col("raw_label") != "") & (F.col("raw_label") != F.col("label"))
+    kept = kept.withColumn("names", F.collect_list(F.when(renamed, F.struct("raw_label", "label"))).over(whole))
+    named = lambda d: F.try_element_at(F.filter("names", lambda n: n["raw_label"] == d), F.lit(-1))["label"]
+    follows = F.when(F.size("names") > 0, F.transform("dependencies", lambda d: F.coalesce(named(d), d))).otherwise(F.col("dependencies"))
+    everywhere = Window.partitionBy("doc_id").orderBy("section_index", "position", "item_index")
+    return kept.select(*KEY, "item_index", F.row_number().over(everywhere).alias("global_index"), "label", "env", "number_components", "section_number", "section", "chapter", "chapter_number", "content", follows.alias("dependencies"), F.nullif(T.strip(F.col("proof")), F.lit("")).alias("proof"))

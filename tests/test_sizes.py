@@ -122,3 +122,22 @@ def test_only_lines_that_may_head_are_parsed_for_the_planner(spark, monkeypatch)
     sections = split.sections(docs)
     assert [r["needed"] for r in structure.planner_needed(split.lines(docs), sections, split.split_warnings(sections)).collect()] == [True]
     assert [r["line_no"] for r in seen[0].orderBy("line_no").collect()] == [1, 2, 4, 5, 6, 7]  # all nine before
+
+
+def test_items_are_made_in_their_sections_row(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from lemmaflow.operators import extract, normalize, split
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: 1 / 0)  # blocks were written and read again
+    text = "## 1 A\nProof of Theorem 1.2. early\nTheorem 1.2. a\nLemma 3. b\nTheorem 1.2. c\n## mark\nProof of Lemma. no\nmore\nRemark. r\nProof of Theorem 1.2. late\nProof of 3. third"
+    sections = split.sections(spark.createDataFrame([("d", "d.md", text)], "doc_id string, source_name string, text string"))
+    raw = extract.local_items(sections)
+    assert {r["position"]: (r["content"], r["proof"]) for r in raw.collect()} == {
+        1: ("Theorem 1.2. a", None), 2: ("Lemma 3. b", "third"), 3: ("Theorem 1.2. c\nmark", "Proof of Lemma. no\nmore\n\nearly\n\nProof of Theorem 1.2. late\nProof of 3. third"), 4: ("Remark. r", "late"),
+    }
+    items = normalize.normalized(raw.withColumn("dependencies", F.array(F.lit("Remark 1-4"), F.lit("x"))), sections)
+    assert {r["global_index"]: (r["label"], r["dependencies"]) for r in items.collect()} == {i + 1: (x, ["Remark 1-extra-1", "x"]) for i, x in enumerate(["Theorem 1.2", "Lemma 3", "Theorem 1.2", "Remark 1-extra-1"])}
+    wide = raw.select(*raw.columns)
+    wide = spark.createDataFrame(wide.rdd, wide.schema)
+    assert normalize.normalized(wide, sections)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0].count("Exchange") == 1  # items moved three times
