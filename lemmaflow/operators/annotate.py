@@ -25,10 +25,11 @@ def annotated(items: DataFrame) -> DataFrame:
     statement, label = F.coalesce("content", F.lit("")), F.coalesce("label", F.lit(""))
     item_id = F.format_string("item_%06d", F.col("global_index"))
     many = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "raw"))
-    own = items.withColumns({"raw": label, "shown": F.when(label != "", label).otherwise(item_id)}).withColumn("many", many)
+    # by document, as what comes after, so that items move once; where statements aren't asked for, they stay
+    own = items.withColumns({"raw": label, "shown": F.when(label != "", label).otherwise(item_id), "blank": T.strip(statement) == ""}).repartition("doc_id").withColumn("many", many)
     depends = F.filter(F.coalesce("dependencies", F.array().cast("array<string>")), lambda d: d != "")
     first = F.array_compact(F.array(
-        F.when(T.strip(statement) == "", _issue("error", "empty_statement", R.ISSUE_EMPTY)),
+        F.when(F.col("blank"), _issue("error", "empty_statement", R.ISSUE_EMPTY)),
         F.when(T.strip(F.col("shown")) == "", _issue("warning", "missing_label", R.ISSUE_NO_LABEL)).when((F.col("raw") == F.col("shown")) & (F.col("many") > 1), _issue("warning", "duplicate_label", F.concat(F.lit(R.ISSUE_DUPLICATE), "shown"))),
     ))
     before, after = R.ISSUE_DEPENDENCY

@@ -141,3 +141,21 @@ def test_items_are_made_in_their_sections_row(spark, monkeypatch):
     wide = raw.select(*raw.columns)
     wide = spark.createDataFrame(wide.rdd, wide.schema)
     assert normalize.normalized(wide, sections)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0].count("Exchange") == 1  # items moved three times
+
+
+def _kept_low(df, column, within):
+    """Whether a column is read only by what ``within`` names, and goes no further."""
+    lines = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if f"{column}#" in x]
+    return lines and all("LogicalRDD" in x or within in x and f", {column}#" not in x for x in lines)
+
+
+ITEMS = "doc_id string, section_index int, item_index int, global_index int, label string, env string, number_components array<string>, section_number string, section string, chapter string, chapter_number string, content string, dependencies array<string>, proof string"
+
+
+def test_issues_of_items_do_not_move_statements(spark):
+    from lemmaflow.operators import annotate
+
+    rows = [("d", 1, i, i, label, "thm", ["1"], "1", "s", "c", "1", content, [], None) for i, (label, content) in enumerate([("A", "x"), ("A", " "), ("B", "y")], 1)]
+    found = annotate.issues(annotate.annotated(spark.createDataFrame(rows, ITEMS)))
+    assert _kept_low(found, "content", "trim(")  # statements went through a shuffle and a sort by label
+    assert sorted((r["global_index"], r["code"]) for r in found.collect()) == [(1, "duplicate_label"), (2, "duplicate_label"), (2, "empty_statement")]
