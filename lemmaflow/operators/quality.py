@@ -27,13 +27,15 @@ def section_reports(sections: DataFrame, items: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(R.PROOF_MARKER)).alias("n_proof_markers"), standalone_heading().alias("standalone"),
     )
     checks = F.filter(F.array(
-        F.when(F.rlike("content", F.lit(R.TRUNCATED)), F.concat("label", F.lit(R.WARN_TRUNCATED))),
-        F.when(F.col("proof").isNull() & F.rlike("content", F.lit(R.PROOF_MARKER)) & ~F.col("standalone"), F.concat("label", F.lit(R.WARN_PROOF_LEFT))),
+        F.when(F.col("truncated"), F.concat("label", F.lit(R.WARN_TRUNCATED))), F.when(F.col("proof_left") & ~F.col("standalone"), F.concat("label", F.lit(R.WARN_PROOF_LEFT))),
     ), lambda x: x.isNotNull())
-    each = items.join(marked.select(*KEY, "standalone"), KEY)
+    # contents are looked at where they are and don't move
+    may_be = F.contains("content", F.lit("[")) | F.contains("content", F.lit("..."))
+    looked = items.select(*KEY, "item_index", "label", "env", (F.coalesce(F.col("proof"), F.lit("")) != "").alias("has_proof"), (may_be & F.rlike("content", F.lit(R.TRUNCATED))).alias("truncated"), (F.col("proof").isNull() & F.rlike("content", F.lit(R.PROOF_MARKER))).alias("proof_left"))
+    each = looked.join(marked.select(*KEY, "standalone"), KEY)
     kinds = env_counts(items).groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("env", F.col("n_items").cast("int"))))).alias("env_counts"))
     own = each.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("n_items"), F.count_if(F.coalesce(F.col("proof"), F.lit("")) != "").alias("n_proofs"), F.count_if(F.col("env") == "remark").alias("n_remarks"),
+        F.count(F.lit(1)).alias("n_items"), F.count_if("has_proof").alias("n_proofs"), F.count_if(F.col("env") == "remark").alias("n_remarks"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("item_index", checks.alias("w")))), lambda x: x["w"])).alias("item_warnings"),
     )
     out = marked.join(own, KEY, "left").join(kinds, KEY, "left").withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_items", "n_proofs", "n_remarks")})

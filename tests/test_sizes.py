@@ -159,3 +159,13 @@ def test_issues_of_items_do_not_move_statements(spark):
     found = annotate.issues(annotate.annotated(spark.createDataFrame(rows, ITEMS)))
     assert _kept_low(found, "content", "trim(")  # statements went through a shuffle and a sort by label
     assert sorted((r["global_index"], r["code"]) for r in found.collect()) == [(1, "duplicate_label"), (2, "duplicate_label"), (2, "empty_statement")]
+
+
+def test_reports_of_sections_do_not_move_contents(spark):
+    from lemmaflow.operators import quality
+
+    sections = spark.createDataFrame([("d", 1, "s", "1", "## 1 s", 1, 3, "Theorem 1. x...\nProof. y")], "doc_id string, section_index int, section string, section_number string, source_heading string, start_line int, end_line int, text string")
+    rows = [("d", 1, 1, 1, "A", "thm", ["1"], "1", "s", "c", "1", "x [Mock excerpt truncated] y", [], None), ("d", 1, 2, 2, "B", "thm", ["2"], "1", "s", "c", "1", "x...\nProof. y", [], None), ("d", 1, 3, 3, "C", "thm", ["2"], "1", "s", "c", "1", "z... ", [], "p")]
+    found = quality.section_reports(sections, spark.createDataFrame(rows, ITEMS))
+    assert _kept_low(found, "content", "RLIKE")  # contents were joined with their sections
+    assert [r["warnings"] for r in found.collect()] == [["A: content appears truncated", "B: proof marker remains in content while proof is null", "C: content appears truncated"]]
