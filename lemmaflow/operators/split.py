@@ -156,7 +156,11 @@ def _sections(outlined_: DataFrame) -> DataFrame:
 
 def front_matter(documents: DataFrame) -> DataFrame:
     """(doc_id, front_matter): what stands before a document's first section; none where a section was made from it, or where there are no sections."""
-    return outlined(documents).filter("front is not null and not marker").select("doc_id", T.strip(F.array_join("front", "\n")).alias("front_matter")).filter("front_matter <> ''")
+    return _front_matter(outlined(documents))
+
+
+def _front_matter(outlined_: DataFrame) -> DataFrame:
+    return outlined_.filter("front is not null and not marker").select("doc_id", T.strip(F.array_join("front", "\n")).alias("front_matter")).filter("front_matter <> ''")
 
 
 def back_matter(documents: DataFrame) -> DataFrame:
@@ -164,8 +168,17 @@ def back_matter(documents: DataFrame) -> DataFrame:
 
     A document without sections has one block, from its first back matter on.
     """
+    return _back_matter(outlined(documents))
+
+
+def _back_matter(outlined_: DataFrame) -> DataFrame:
     blocks = F.filter(F.transform("backs", lambda r: T.strip(F.array_join(_cut(r), "\n"))), lambda x: x != "")
-    return outlined(documents).filter("size(backs) > 0").select("doc_id", F.array_join(blocks, "\n\n").alias("back_matter")).filter("back_matter <> ''")
+    return outlined_.filter("size(backs) > 0").select("doc_id", F.array_join(blocks, "\n\n").alias("back_matter")).filter("back_matter <> ''")
+
+
+def parts(outlined_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sections, front and back matter of documents that have been outlined (and staged, or each outlines them again)."""
+    return _sections(outlined_), _front_matter(outlined_), _back_matter(outlined_)
 
 
 def split_warnings(sections_: DataFrame) -> DataFrame:

@@ -36,9 +36,11 @@ def artefacts(
     ``progress`` is told the number of sections before and after their extraction; ``extraction``: what ``models.extracted`` takes (a model's client, its store of answers); without it the local rules extract.
     """
     tell = progress or (lambda event: None)
-    hard, n = staged_count(split.sections(documents), "sections")
+    # lines move to their headings once for all three
+    found, front, back = split.parts(staged(split.outlined(documents), "outlined"))
+    hard, n = staged_count(found, "sections")
     sections, warnings = hard, staged(split.split_warnings(hard), "warnings")
-    front, back = staged(split.front_matter(documents), "front"), staged(split.back_matter(documents), "back")
+    front, back = staged(front, "front"), staged(back, "back")
     out = {}
     if plans is not None:
         heads = staged(plan_heads(plans, heads), "heads")
