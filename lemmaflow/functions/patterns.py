@@ -31,6 +31,8 @@ MAY_HEAD = CASE + r"^(?:#|\d|[A-Z][\.)]?\s)"
 MATHY = CASE + r"(?:\\\(|\\\[|\$|\\[A-Za-z]+|[{}_^=<>])"
 ITEM_HEADING = ANY + rf"^\s*(?:#{{1,6}}\s+)?(?:{EN15}|Proof|Try it|Investigate|{CN14}|证明)\b"
 ITEM_START = ANY + rf"^(?:#{{1,6}}\s+)?(?:({EN15})\s*([A-Z]?\d+(?:\.\d+)*)?\.?|({CN14})\s*(\d+(?:\.\d+)*)?|(\d+(?:\.\d+)+)\.?\s+({EN8}))\b"
+#: What a stripped line's first three characters are, if it has ITEM_START.
+ITEM_BEGINS = ANY + rf"^(?:#|\d|{'|'.join(dict.fromkeys(w[:3] for w in EN15.split('|')))}|[{''.join(dict.fromkeys(w[0] for w in CN14.split('|')))}])"
 PROOF = ANY + r"^(?:Proof(?:\s+of(?:\s+Theorem)?\s+([A-Z]?\d+(?:\.\d+)*))?[.;:]?|证明)\s*(.*)$"
 #: How a line begins that has PROOF, and one that has CONSTRUCTION.
 PROOF_BEGINS, CONSTRUCTION_BEGINS = ANY + r"^(?:Proof|证明)", ANY + r"^Construction\."

@@ -62,7 +62,8 @@ def split_lines(text: Column) -> Column:
 
 def first_lines(text: Column, n: int) -> Column:
     """The first ``n`` lines at most, of which the last one may be an empty one that ``split_lines`` doesn't have; the rest of the text isn't cut."""
-    return F.slice(F.split(F.coalesce(text, F.lit("")), LINE_END, n + 1), 1, n)
+    # as many lines end at the n-th line feed at the latest
+    return F.slice(F.split(F.substring_index(F.coalesce(text, F.lit("")), "\n", n), LINE_END, n + 1), 1, n)
 
 
 def join_lines(lines: Column, start: Column, end: Column) -> Column:
@@ -180,11 +181,15 @@ def qualified_number(number: Column, chapter: Column) -> Column:
 
 def item_kind(title: Column) -> Column:
     """The kind of item that a title's words show; the first rule that fits wins."""
-    low = F.lower(title)
-    out = F.when(F.contains(low, F.lit(R.TITLE_KINDS[0][0])), R.TITLE_KINDS[0][1])
-    for word, kind in R.TITLE_KINDS[1:]:
-        out = out.when(F.contains(low, F.lit(word)), kind)
-    return out.otherwise("remark")
+
+    def kind_of(low: Column) -> Column:
+        out = F.when(F.contains(low, F.lit(R.TITLE_KINDS[0][0])), R.TITLE_KINDS[0][1])
+        for word, kind in R.TITLE_KINDS[1:]:
+            out = out.when(F.contains(low, F.lit(word)), kind)
+        return out.otherwise("remark")
+
+    # each rule would lower the title anew
+    return let(F.lower(title), kind_of)
 
 
 def normal_kind(raw: Column) -> Column:

@@ -17,16 +17,18 @@ def _issue(severity: str, code: str, message) -> Column:
     return F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
 
-def annotated(items: DataFrame) -> DataFrame:
+def annotated(items: DataFrame, together: bool = False) -> DataFrame:
     """Items as the annotation has them: item_id, order_index, label, type, statement, proof, context, dependencies (never resolved) and issues.
 
     Ids and order count through the whole document, as its list of items does, so that no two items of a document share an id.
+    ``together``: a document's items are in one task already.
     """
     statement, label = F.coalesce("content", F.lit("")), F.coalesce("label", F.lit(""))
     item_id = F.format_string("item_%06d", F.col("global_index"))
     many = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "raw"))
     # by document, as what comes after, so that items move once; where statements aren't asked for, they stay
-    own = items.withColumns({"raw": label, "shown": F.when(label != "", label).otherwise(item_id), "blank": T.strip(statement) == ""}).repartition("doc_id").withColumn("many", many)
+    own = items.withColumns({"raw": label, "shown": F.when(label != "", label).otherwise(item_id), "blank": T.strip(statement) == ""})
+    own = (own if together else own.repartition("doc_id")).withColumn("many", many)
     depends = F.filter(F.coalesce("dependencies", F.array().cast("array<string>")), lambda d: d != "")
     first = F.array_compact(F.array(
         F.when(F.col("blank"), _issue("error", "empty_statement", R.ISSUE_EMPTY)),

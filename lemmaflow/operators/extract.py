@@ -20,7 +20,7 @@ def _parts(sections: DataFrame, *along: str) -> DataFrame:
 
     Block n has the lines from the n-th item's to the next one's; block 0 stands before all. ``named``: the proof number of each line. Each line is looked at once.
     """
-    look = lambda x: T.let(T.strip(x), lambda bare: F.struct(x.alias("line"), T.matches(bare, R.ITEM_START).alias("starts"), proof_number(bare).alias("named")))
+    look = lambda x: T.let(T.strip(x), lambda bare: F.struct(x.alias("line"), (T.matches(F.substring(bare, 1, 3), R.ITEM_BEGINS) & T.matches(bare, R.ITEM_START)).alias("starts"), proof_number(bare).alias("named")))
     rows = sections.select(*KEY, *along, F.transform(T.split_lines(F.col("text")), look).alias("looked"))
     starts = F.array_compact(F.transform("looked", lambda x, i: F.when(x["starts"], i)))
     rows = rows.withColumn("bounds", F.concat(F.array(F.lit(0)), starts, F.array(F.size("looked"))))
@@ -104,31 +104,30 @@ def standalone_heading() -> Column:
     return F.contains(heading, F.lit("proof of")) | F.contains(heading, F.lit("证明"))
 
 
-def standalone_proofs(sections: DataFrame, *along: str) -> DataFrame:
-    """Sections without items that are a proof as a whole, as one remark each."""
+def standalone_proof() -> Column:
+    """The content and dependencies of a section that is a proof as a whole, if it has no items; else null."""
     opening = F.exists(T.first_lines(F.col("text"), 5), lambda x: T.matches(T.strip(x), R.PROOF))
-    bare = sections.filter(standalone_heading() | opening).filter(~F.exists(T.split_lines(F.col("text")), lambda x: T.matches(T.strip(x), R.ITEM_START)))
     depends = F.coalesce(proof_dependency(F.col("source_heading")), proof_dependency(F.col("section")))
-    return bare.select(
-        *KEY, F.lit(1).alias("position"), F.lit("remark").alias("env"), F.array().cast("array<string>").alias("number_components"), T.strip(F.col("text")).alias("content"),
-        F.array_compact(F.array(depends)).alias("dependencies"), F.lit(None).cast("string").alias("proof"), F.concat(F.lit("Remark "), "section_number", F.lit("-1")).alias("label"), *along,
-    )
+    return F.when(standalone_heading() | opening, F.struct(T.strip(F.col("text")).alias("content"), F.array_compact(F.array(depends)).alias("dependencies")))
 
 
 def local_items(sections: DataFrame, once: bool = True) -> DataFrame:
     """Items of all sections: doc_id, section_index, position, env, number_components, content, dependencies, proof, a label by position, and what CONTEXT names.
 
-    All that an item needs is in its section's row, so nothing is moved.
+    All that an item needs is in its section's row, so nothing is moved, and sections are made once. A section without items that is a proof as a whole is one remark.
     """
-    sections = sections.filter("doc_id is not null and section_index is not null")
-    parts = _delayed_proofs(_parts(sections, *CONTEXT), once)
+    sections = sections.filter("doc_id is not null and section_index is not null").withColumn("whole", standalone_proof())
+    parts = _delayed_proofs(_parts(sections, *CONTEXT, "whole"), once)
+    names, texts = ("block", "lines", "named", "number", "word"), F.array().cast("array<string>")
+    kind = "struct<content:string,dependencies:array<string>>"
     # each block takes its own proof along, not the section's
-    own = T.let(F.col("delayed"), lambda d: F.transform(F.filter("parts", lambda p: p["block"] > 0), lambda p: F.struct(*(p[c].alias(c) for c in ("block", "lines", "named", "number", "word")), F.element_at(d, p["block"]).alias("delayed"))))
+    own = T.let(F.col("delayed"), lambda d: F.transform(F.filter("parts", lambda p: p["block"] > 0), lambda p: F.struct(*(p[c].alias(c) for c in names), F.element_at(d, p["block"]).alias("delayed"), F.lit(None).cast(kind).alias("alone"))))
+    alone = dict(zip(names, (F.lit(1).cast("long"), texts, texts, F.lit(""), F.lit("")), strict=True)) | {"delayed": F.lit(None).cast("string"), "alone": F.col("whole")}
+    own = T.let(own, lambda found: F.when(F.size(found) > 0, found).when(F.col("whole.content") != "", F.array(F.struct(*(v.alias(n) for n, v in alone.items())))))
     proofs = inline_proofs(parts.select(*KEY, *CONTEXT, F.inline(own)))
     both = F.when(F.col("proof").isNotNull() & F.col("delayed").isNotNull(), T.strip(F.concat("proof", F.lit("\n\n"), "delayed"))).otherwise(F.coalesce("proof", "delayed"))
-    items = proofs.withColumn("env", T.item_kind(F.col("word"))).select(
-        *KEY, F.col("block").cast("int").alias("position"), "env", F.filter(F.split("number", r"\."), lambda x: x != "").alias("number_components"), "content", F.array().cast("array<string>").alias("dependencies"),
+    # an item's content has its first line at least; a filter on it would compute it twice
+    return proofs.withColumn("env", T.item_kind(F.col("word"))).select(
+        *KEY, F.col("block").cast("int").alias("position"), "env", F.filter(F.split("number", r"\."), lambda x: x != "").alias("number_components"), F.coalesce("alone.content", "content").alias("content"), F.coalesce("alone.dependencies", texts).alias("dependencies"),
         both.alias("proof"), F.concat(T.lookup(F.col("env"), R.DISPLAY), F.lit(" "), "section_number", F.lit("-"), F.col("block").cast("string")).alias("label"), *CONTEXT,
     )
-    # an item's content has its first line at least; a filter on it would compute it twice
-    return items.unionByName(standalone_proofs(sections, *CONTEXT).filter("content <> ''"))

@@ -12,20 +12,23 @@ from lemmaflow.operators.extract import CONTEXT
 KEY = ["doc_id", "section_index"]
 
 
-def normalized(raw: DataFrame, sections: DataFrame) -> DataFrame:
+def normalized(raw: DataFrame, sections: DataFrame, together: bool = False) -> DataFrame:
     """Items with canonical env and label; blank ones go, after they have been counted.
 
     ``raw``: doc_id, section_index, position, env, label, number_components, content, dependencies, proof.
     A numbered item's label is its kind and number; others count up within their section. Dependencies on raw labels of kept
     items follow the new labels (of equal raw labels, the last). ``item_index`` keeps gaps, ``global_index`` has none.
     Where raw items have their section's columns already, as local ones do, sections aren't joined; items move once, by document.
+    ``together``: a document's items are in one task already, as those of documents that have just been grouped are, so that they needn't move.
     """
     trimmed = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: T.strip(x)), lambda x: x != "")
     own = raw if set(CONTEXT) <= set(raw.columns) else raw.join(sections.select(*KEY, *CONTEXT), KEY)
-    own = own.repartition("doc_id").withColumns({"env": T.normal_kind(F.col("env")), "raw_label": T.strip(F.coalesce("label", F.lit(""))), "content": T.strip(F.coalesce("content", F.lit("")))})
+    own = own.withColumns({"env": T.normal_kind(F.col("env")), "raw_label": T.strip(F.coalesce("label", F.lit(""))), "content": T.strip(F.coalesce("content", F.lit("")))})
     given = trimmed(F.col("number_components"))
-    own = own.withColumns({"first": T.first_line(F.col("content")), "given": given})
+    own = own.withColumns({"first": T.first_line(F.col("content")), "given": given, "blank": F.col("content") == ""})
     own = own.withColumn("number_components", F.when(F.size("given") > 0, F.col("given")).otherwise(T.inferred_number(F.col("first"), F.col("env")))).drop("first", "given")
+    # all that is read of contents is known by now; who doesn't ask for them doesn't move them
+    own = own if together else own.repartition("doc_id")
     section = Window.partitionBy(*KEY).orderBy("position")
     whole = section.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bare = (F.size("number_components") == 0).cast("int")
@@ -33,7 +36,7 @@ def normalized(raw: DataFrame, sections: DataFrame) -> DataFrame:
     name = T.lookup(F.col("env"), R.DISPLAY)
     own = own.withColumns({"item_index": F.row_number().over(section), "extra": F.sum(bare).over(section.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "dependencies": trimmed(F.col("dependencies"))})
     label = F.when(F.size("number_components") > 0, F.concat(name, F.lit(" "), F.array_join("number_components", "."))).otherwise(F.concat(name, F.lit(" "), prefix, F.lit("-extra-"), F.col("extra").cast("string")))
-    kept = own.withColumn("label", label).filter("content <> ''")
+    kept = own.withColumn("label", label).filter("not blank")
     # names are brought together only in sections where an item depends on something
     kept = kept.withColumn("asked", F.bool_or(F.size("dependencies") > 0).over(whole))
     renamed = F.col("asked") & (F.col("raw_label") != "") & (F.col("raw_label") != F.col("label"))

@@ -21,23 +21,24 @@ def lines(documents: DataFrame) -> DataFrame:
 
 
 def headings(lines_: DataFrame) -> DataFrame:
-    """(doc_id, line_no, level, title) of heading lines; code fences aren't told apart."""
+    """(doc_id, line_no, level, title) of heading lines, and what other columns they have; code fences aren't told apart."""
     found = lines_.filter(T.matches(F.col("line"), R.HEADING))
-    return found.select("doc_id", "line_no", F.length(T.part(F.col("line"), R.HEADING, 1)).alias("level"), T.clean(T.part(F.col("line"), R.HEADING, 2)).alias("title"))
+    others = [c for c in lines_.columns if c not in ("doc_id", "line_no", "line")]
+    return found.select("doc_id", "line_no", F.length(T.part(F.col("line"), R.HEADING, 1)).alias("level"), T.clean(T.part(F.col("line"), R.HEADING, 2)).alias("title"), *others)
 
 
 def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"(.)\.[^.]*$", "$1")
 
 
-def classified(headings_: DataFrame, names: DataFrame) -> DataFrame:
+def classified(headings_: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Adds role (back, chapter, front, section or none), chapter and chapter_number (as of the heading) and the section's number and title.
 
-    ``names``: (doc_id, source_name). The chapter before the first one is the document's title: its first plain heading of level 1, else the file's stem.
+    ``names``: (doc_id, source_name), unless headings have their document's source_name. The chapter before the first one is the document's title: its first plain heading of level 1, else the file's stem.
     """
     title = F.col("title")
     role = F.when(T.matches(title, R.BACK_MATTER), "back").when(F.col("own_number").isNotNull(), "chapter").when(T.matches(title, R.FRONT_MATTER), "front").when(F.col("kind").isNotNull(), "section").otherwise("none")
-    own = T.with_title(headings_, title).withColumn("role", role).select("doc_id", "line_no", "level", "title", F.col("kind").alias("section_kind"), "mark", "name", "own_chapter", "own_number", "role")
+    own = T.with_title(headings_, title).withColumn("role", role).select("doc_id", "line_no", "level", "title", F.col("kind").alias("section_kind"), "mark", "name", "own_chapter", "own_number", "role", *([] if names is not None else [stem(F.col("source_name")).alias("stem")]))
     plain = F.when((F.col("role") == "none") & (F.col("level") == 1), title)
     everywhere = by_line().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = by_line().rowsBetween(*UP_TO_HERE)
@@ -46,7 +47,9 @@ def classified(headings_: DataFrame, names: DataFrame) -> DataFrame:
         "doc_title": F.first(plain, ignorenulls=True).over(everywhere),
         "chapter": F.last(F.when(chapter, F.col("own_chapter")), ignorenulls=True).over(so_far),
         "chapter_number": F.coalesce(F.last(F.when(chapter, F.col("own_number")), ignorenulls=True).over(so_far), F.lit("")),
-    }).join(names.select("doc_id", stem(F.col("source_name")).alias("stem")), "doc_id", "left")
+    })
+    if names is not None:
+        own = own.join(names.select("doc_id", stem(F.col("source_name")).alias("stem")), "doc_id", "left")
     return own.withColumn("doc_title", F.coalesce("doc_title", "stem")).withColumns({
         "chapter": F.coalesce("chapter", "doc_title"),
         "section_number": F.when(section, T.section_number(F.col("section_kind"), F.col("mark"), F.col("chapter_number"))),
@@ -73,9 +76,9 @@ def with_own_lines(rows: DataFrame, documents: DataFrame, start: str, end: str)
 
 
 def heading_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of documents (doc_id, text): the lines that may be headings; no others are made rows."""
-    numbered = F.transform(T.split_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line")))
-    return documents.select("doc_id", F.inline(F.filter(numbered, lambda r: F.contains(r["line"], F.lit("#")))))
+    """(doc_id, source_name, line_no, line) of documents (doc_id, source_name, text): the lines that may be headings; no others are made rows."""
+    numbered = F.transform(T.split_lines(F.col("text")), lambda x, i: F.when(F.contains(x, F.lit("#")), F.struct((i + 1).alias("line_no"), x.alias("line"))))
+    return documents.select("doc_id", "source_name", F.inline(F.array_compact(numbered)))
 
 
 def _front_marks(rows: DataFrame) -> DataFrame:
@@ -92,10 +95,12 @@ def _front_marks(rows: DataFrame) -> DataFrame:
 def outlined(documents: DataFrame) -> DataFrame:
     """A row a document: its lines, n_lines, front (those before the first section), marker, sections and backs, whose texts are still to be cut from the lines.
 
-    Headings are classified in rows of their own, which are few; a document's come back to it as arrays, so that its text moves once. A synthetic section stands at line 1 where
+    Headings are classified in rows of their own, which are few; a document's come back to it as arrays, so that its text moves once,
+    and not at all where documents have just been grouped by id: both sides begin alike, so that Spark shuffles what they are made of once for both. A synthetic section stands at line 1 where
     items stand before the first heading; a document without section headings is one section, up to its back matter.
     """
-    roles = classified(headings(heading_lines(documents)), documents.select("doc_id", "source_name"))
+    documents = documents.filter("doc_id is not null")
+    roles = classified(headings(heading_lines(documents)))
     section, back = F.col("role") == "section", F.col("role") == "back"
     # from the last heading to the first, each sees those behind it
     behind = Window.partitionBy("doc_id").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
@@ -109,7 +114,7 @@ def outlined(documents: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(section, one(fields)))).alias("starts"), F.array_sort(F.collect_list(F.when(back, F.struct("line_no", F.col("next_start").alias("next_line"))))).alias("backs"),
         F.max_by(F.struct("chapter", "chapter_number"), "line_no").alias("last"), F.min(F.when((section | back) & (F.col("line_no") > 1), F.col("line_no"))).alias("second"),
     )
-    rows = documents.filter("doc_id is not null").select("doc_id", stem(F.col("source_name")).alias("stem"), T.split_lines(F.col("text")).alias("lines")).join(found, "doc_id", "left")
+    rows = documents.select("doc_id", stem(F.col("source_name")).alias("stem"), T.split_lines(F.col("text")).alias("lines")).join(found, "doc_id", "left")
     first = F.get("starts", F.lit(0))
     rows = _front_marks(rows.withColumns({"n_lines": F.size("lines"), "first": first, "front": F.when(first.isNotNull(), F.slice("lines", 1, first["line_no"] - 1))}))
     inferred = F.coalesce("inferred", T.previous_number(F.col("first.section_number")), F.lit("pre"))

@@ -31,6 +31,12 @@ def _items(b: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sections, staged(normalize.normalized(extract.local_items(sections), sections), "items")
 
 
+def _annotated(b: DataFrame) -> DataFrame:
+    """Annotated items for one reader: nothing is staged, books, sections and items stay where the documents were grouped."""
+    sections = split.sections(b)
+    return annotate.annotated(normalize.normalized(extract.local_items(sections), sections, together=True), together=True)
+
+
 def section_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many items of each kind each section has: the flagship."""
     _, items = _items(books(spark, sf_dir))
@@ -100,7 +106,7 @@ def annotation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotation_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.chapters(annotate.annotated(_items(books(spark, sf_dir))[1]))
+    return annotate.chapters(_annotated(books(spark, sf_dir)))
 
 
 def annotation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,3 +169,49 @@ def test_reports_of_sections_do_not_move_contents(spark):
     found = quality.section_reports(sections, spark.createDataFrame(rows, ITEMS))
     assert _kept_low(found, "content", "RLIKE")  # contents were joined with their sections
     assert [r["warnings"] for r in found.collect()] == [["A: content appears truncated", "B: proof marker remains in content while proof is null", "C: content appears truncated"]]
+
+
+def test_whatever_starts_an_item_begins_as_one(spark):
+    from lemmaflow.functions import patterns as R
+
+    words = [*R.EN15.split("|"), *R.CN14.split("|")]
+    lines = [x for w in words for x in (w, w.lower() + " 1.2. a", w.upper(), "## " + w, w.replace("s", "ſ") + " 3")] + [f"{n} {w} b" for n in ("1.2", "٣.٤.") for w in R.EN8.split("|")] + ["text", "", "Theory", "1.2 text"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    got = {r["x"]: (r["starts"], r["begins"]) for r in df.select("x", T.matches(F.col("x"), R.ITEM_START).alias("starts"), T.matches(F.substring("x", 1, 3), R.ITEM_BEGINS).alias("begins")).collect()}
+    assert all(begins for starts, begins in got.values() if starts) and sum(starts for starts, _ in got.values()) > 5 * 15 and not got["text"][1]
+
+
+def test_kinds_of_items_lower_their_title_once(spark):
+    kinds = spark.createDataFrame([("Satz Theorem",), ("EXERCISE",), ("注记",), ("",), (None,)], "x string").select(T.item_kind(F.col("x")).alias("k"))
+    assert kinds._jdf.queryExecution().optimizedPlan().toString().lower().count("lower(") == 1  # once a rule before
+    assert [r["k"] for r in kinds.collect()] == ["thm", "exercise", "remark", "remark", "remark"]
+
+
+def _moves(df):
+    """How many exchanges a plan that has run made, but for those that it used again."""
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    return sum("Exchange hashpartitioning" in x and "ReusedExchange" not in x for x in final.splitlines())
+
+
+def _from_where_they_were_grouped(spark, monkeypatch, name, plain):
+    """A query's rows, with nothing staged and texts moved once, against those of the staged way."""
+    from pyspark.sql import DataFrameWriter
+
+    from lemmaflow.operators import annotate
+    from lemmaflow.plans import queries
+    from lemmaflow.plans.corpus import books
+
+    folder = "/root/testdata/sf0.001"
+    want = plain(annotate.annotated(queries._items(books(spark, folder))[1])).collect()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: 1 / 0)  # books, sections and items were written and read again
+    found = getattr(queries, name)(spark, folder)
+    rows = found.collect()
+    assert _moves(found) == 1  # texts moved three times
+    return rows, want
+
+
+def test_chapters_are_made_where_documents_were_grouped(spark, monkeypatch):
+    from lemmaflow.operators import annotate
+
+    rows, want = _from_where_they_were_grouped(spark, monkeypatch, "annotation_chapters", annotate.chapters)
+    assert rows and sorted(rows) == sorted(want)
