@@ -102,7 +102,7 @@ def quality_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.issues(annotate.annotated(_items(books(spark, sf_dir))[1])).select("doc_id", "global_index", "item_id", "severity", "code", "message")
+    return annotate.issues(_annotated(books(spark, sf_dir))).select("doc_id", "global_index", "item_id", "severity", "code", "message")
 
 
 def annotation_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,11 @@ def test_chapters_are_made_where_documents_were_grouped(spark, monkeypatch):
 
     rows, want = _from_where_they_were_grouped(spark, monkeypatch, "annotation_chapters", annotate.chapters)
     assert rows and sorted(rows) == sorted(want)
+
+
+def test_issues_are_made_where_documents_were_grouped(spark, monkeypatch):
+    from lemmaflow.operators import annotate
+
+    key = ["doc_id", "global_index", "item_id", "severity", "code", "message"]
+    rows, want = _from_where_they_were_grouped(spark, monkeypatch, "annotation_issues", lambda a: annotate.issues(a).select(*key))
+    assert rows and sorted(rows) == sorted(want)
