@@ -82,11 +82,12 @@ def with_repeat_words(df: DataFrame) -> DataFrame:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and n_upper."""
     body = F.coalesce(F.col(text), F.lit(""))
-    step = df.withColumns({f"{P}text": body, f"{P}hashes": word_hashes(body), f"{P}lines": F.filter(F.split(body, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")})
+    step = df.withColumns({f"{P}text": body, f"{P}hashes": word_hashes(body), f"{P}lines": F.filter(F.split(body, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")})
     hashes, lines, body = F.col(f"{P}hashes"), F.col(f"{P}lines"), F.col(f"{P}text")
     n = F.size(hashes)
-    places = F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0)))
-    windows = F.when(n >= WINDOW, F.transform(places, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
+    # hashes of a window's words side by side, not five look-ups a word
+    beside = F.arrays_zip(*(F.slice(hashes, k + 1, F.greatest(n - (WINDOW - 1), F.lit(0))).alias(str(k)) for k in range(WINDOW)))
+    windows = F.when(n >= WINDOW, F.transform(beside, lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
     measured = step.withColumns({
         f"{P}windows": windows,
         "n_words": n.cast("long"),

@@ -67,3 +67,12 @@ def test_stages_of_empty_tables(spark, tables):
     folder, _ = tables
     none = spark.createDataFrame([], SCHEMA)
     assert all(stage(spark, none, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_windows_of_words_are_hashed_side_by_side(spark):
+    from lemmaflow.llm import rules
+
+    texts = ["a b c d", "a b c d e", "x a b c d e y a b c d e", "one two three four five six " * 3, "", None]
+    out = rules.measure(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()  # five look-ups a word, by its place
+    assert {r["doc_id"]: (r["n_words"], r["n_repeat_words"]) for r in out.collect()} == {0: (4, 0), 1: (5, 0), 2: (12, 10), 3: (18, 18), 4: (0, 0), 5: (0, 0)}
